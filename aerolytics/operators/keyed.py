@@ -89,19 +89,8 @@ def keyed_frame(df: DataFrame, keys: list[str], order: list[str], halo: int,
     if chunk_rows < halo:
         raise ValueError("chunk_rows must be at least the halo")
 
-    key_cols = [F.col(k) for k in keys]
-    bucketed = df.withColumn(BUCKET, F.date_trunc(bucket_unit, F.col(order[0])))
-    rn_w = Window.partitionBy(*key_cols, F.col(BUCKET)).orderBy(*[F.col(o) for o in order])
-    counts = bucketed.groupBy(*keys, BUCKET).agg(F.count(F.lit(1)).alias("_n"))
-    offset_w = (Window.partitionBy(*key_cols) if keys else Window).orderBy(BUCKET) \
-        .rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*keys, BUCKET,
-                            F.coalesce(F.sum("_n").over(offset_w), F.lit(0)).alias("_off"))
-    positioned = (bucketed
-                  .withColumn("_rn", F.row_number().over(rn_w))
-                  .join(offsets, on=[*keys, BUCKET], how="inner")
-                  .withColumn(POS, F.col("_off") + F.col("_rn") - 1)
-                  .drop("_rn", "_off", BUCKET))
+    positioned = group_positions(df, keys, F.date_trunc(bucket_unit, F.col(order[0])),
+                                 [F.col(o) for o in order], with_size=False)
     base_chunk = F.floor(F.col(POS) / F.lit(chunk_rows)).cast("long")
     in_halo = (F.col(POS) % F.lit(chunk_rows)) >= F.lit(chunk_rows - halo)
     shift = F.explode(F.when(in_halo, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
@@ -109,6 +98,7 @@ def keyed_frame(df: DataFrame, keys: list[str], order: list[str], halo: int,
                .withColumn(CHUNK, base_chunk + F.col("_shift"))
                .withColumn(GHOST, F.col("_shift") == 1)
                .drop("_shift"))
+    key_cols = [F.col(k) for k in keys]
     helpers = [POS, CHUNK, GHOST]
     if carry:
         real = ghosted.filter(~F.col(GHOST))
@@ -123,3 +113,30 @@ def keyed_frame(df: DataFrame, keys: list[str], order: list[str], halo: int,
         ghosted = ghosted.join(carries, on=[*keys, CHUNK], how="left")
         helpers += [f"_carry_{c}" for c in carry]
     return KeyedFrame(ghosted, keys, order, True, helpers)
+
+
+def group_positions(df: DataFrame, keys: list[str], bucket: Column, order: list[Column],
+                    with_size: bool = True) -> DataFrame:
+    """Add ``_pos`` (0-based rank of each row inside its key by ``order``) and, optionally,
+    ``_n`` (rows in the key) without sorting any whole key in one task.
+
+    ``bucket`` must be monotone in ``order`` (a time truncation, a hash prefix). Rows are
+    ranked inside (key, bucket); the running count of earlier buckets comes from a small
+    pre-aggregated table with one row per (key, bucket).
+    """
+    key_cols = [F.col(k) for k in keys]
+    bucketed = df.withColumn(BUCKET, bucket)
+    rn_w = Window.partitionBy(*key_cols, F.col(BUCKET)).orderBy(*order)
+    counts = bucketed.groupBy(*keys, BUCKET).agg(F.count(F.lit(1)).alias("_bn"))
+    by_key = Window.partitionBy(*key_cols) if keys else Window
+    offsets = counts.select(
+        *keys, BUCKET,
+        F.coalesce(F.sum("_bn").over(by_key.orderBy(BUCKET).rowsBetween(
+            Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"),
+        *([F.sum("_bn").over(by_key.rowsBetween(Window.unboundedPreceding,
+                                                Window.unboundedFollowing)).alias("_n")]
+          if with_size else []))
+    return (bucketed.withColumn("_rn", F.row_number().over(rn_w))
+            .join(offsets, on=[*keys, BUCKET], how="inner")
+            .withColumn(POS, F.col("_off") + F.col("_rn") - 1)
+            .drop("_rn", "_off", BUCKET))
