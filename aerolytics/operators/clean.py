@@ -158,6 +158,8 @@ def impute_ffill_median(df: DataFrame, cols=None, key: str = "station",
     clip_cols = [c for c in (clip_cols if clip_cols is not None else POLLUTANTS) if c in cols]
     med = df.groupBy(key).agg(*[F.median(c).alias(f"__med_{c}") for c in cols])
     filled = forward_fill(df, cols, key=key, time=time, mode=mode, chunk_rows=chunk_rows)
+    # per-key statistics: AQE broadcasts them from the measured stage size, or splits
+    # a skewed key's partition (skewJoin); counting first would recompute the aggregate
     joined = filled.join(med, on=key, how="left")
     out = []
     for c in df.columns:

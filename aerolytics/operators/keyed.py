@@ -140,3 +140,39 @@ def group_positions(df: DataFrame, keys: list[str], bucket: Column, order: list[
             .join(offsets, on=[*keys, BUCKET], how="inner")
             .withColumn(POS, F.col("_off") + F.col("_rn") - 1)
             .drop("_rn", "_off", BUCKET))
+
+
+def running_totals(df: DataFrame, keys: list[str], order: str, cols: list[str],
+                   n_buckets: int = 256, accuracy: int = 10_000) -> DataFrame:
+    """Exact running sums of ``cols`` in ``order`` inside each key, plus key totals.
+
+    Adds ``cum_{c}`` (sum over rows up to and including this one) and ``tot_{c}``. Rows
+    must be unique in (keys, order) — pre-aggregate first. Balanced monotone buckets come
+    from approximate quantiles (a bounded aggregate); the exact running sum is a window
+    inside (key, bucket) plus the totals of earlier buckets, so no key is ordered in one
+    task however many distinct values it has.
+    """
+    key_cols = [F.col(k) for k in keys]
+    fracs = F.array(*[F.lit(i / n_buckets) for i in range(1, n_buckets)])
+    bounds = df.groupBy(*keys).agg(
+        F.percentile_approx(F.col(order), fracs, accuracy).alias("_bounds"))
+    b = F.size(F.filter(F.col("_bounds"), lambda x: x < F.col(order)))
+    # one row per key; AQE broadcasts it from the measured stage size or splits a hot
+    # key's partition (skew join), so no key is pulled into one task by this join
+    bucketed = (df.join(bounds, on=keys, how="inner") if keys
+                else df.crossJoin(F.broadcast(bounds))) \
+        .withColumn(BUCKET, b).drop("_bounds")
+    in_bucket = Window.partitionBy(*key_cols, F.col(BUCKET)).orderBy(order) \
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    per_bucket = bucketed.groupBy(*keys, BUCKET).agg(*[F.sum(c).alias(f"_b_{c}") for c in cols])
+    by_key = Window.partitionBy(*key_cols) if keys else Window
+    before = by_key.orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    whole = by_key.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    offsets = per_bucket.select(*keys, BUCKET, *[
+        x for c in cols for x in (
+            F.coalesce(F.sum(f"_b_{c}").over(before), F.lit(0)).alias(f"_off_{c}"),
+            F.sum(f"_b_{c}").over(whole).alias(f"tot_{c}"))])
+    running = bucketed.select("*", *[F.sum(c).over(in_bucket).alias(f"_run_{c}") for c in cols])
+    out = running.join(offsets, on=[*keys, BUCKET], how="inner")
+    return out.select(*df.columns, *[(F.col(f"_off_{c}") + F.col(f"_run_{c}")).alias(f"cum_{c}")
+                                     for c in cols], *[f"tot_{c}" for c in cols])

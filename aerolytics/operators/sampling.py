@@ -67,6 +67,8 @@ def split_time(df: DataFrame, key: str, time: str, test_fraction: float = 0.2) -
     # integer arithmetic: the cut is exact and repeatable across engines
     offset = (span * F.lit(train.numerator)).cast("long") / F.lit(train.denominator)
     cut = F.timestamp_add("MICROSECOND", F.floor(offset).cast("long"), F.col("_lo"))
+    # per-key statistics: AQE broadcasts them from the measured stage size, or splits
+    # a skewed key's partition (skewJoin); counting first would recompute the aggregate
     return (df.join(b, on=key, how="inner")
             .withColumn("is_test", F.col(time) > cut).drop("_lo", "_hi"))
 
@@ -85,6 +87,8 @@ def holdout_tail(df: DataFrame, key: str, time: str, horizon: int = 24,
     cut = tail.groupBy(key).agg(F.min(time).alias("_cut"))
     sizes = df.groupBy(key).agg(F.count(F.lit(1)).alias("n_points"))
     ok = sizes.filter(F.col("n_points") >= min_points).join(cut, on=key)
+    # per-key statistics: AQE broadcasts them from the measured stage size, or splits
+    # a skewed key's partition (skewJoin); counting first would recompute the aggregate
     flagged = (df.join(ok, on=key, how="inner")
                .withColumn("is_test", F.col(time) >= F.col("_cut")).drop("_cut", "n_points"))
     rejected = sizes.filter(F.col("n_points") < min_points)

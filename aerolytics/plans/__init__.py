@@ -1,6 +1,6 @@
 """Registered queries (Spark builders + DuckDB oracles). Importing this package fills the registry."""
 
-from aerolytics.plans import clean_queries, feature_queries, series_queries  # noqa: F401
+from aerolytics.plans import clean_queries, feature_queries, quality_queries, series_queries  # noqa: F401
 from aerolytics.plans.registry import ORACLES, QUERIES
 
 __all__ = ["QUERIES", "ORACLES"]
