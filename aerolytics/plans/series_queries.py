@@ -31,17 +31,33 @@ def q_resample_hourly(spark, sf_dir):
     return round_doubles(resample.resample_hourly(_gappy(spark, sf_dir)))
 
 
-@register("interpolate_linear", oracle=f"""
-SELECT station, datetime, {R6('''CASE WHEN pm25 IS NOT NULL THEN pm25 WHEN pv IS NULL THEN NULL
+def interp_sql(hourly_sql: str) -> str:
+    """Linear interpolation over an hourly (station, datetime, pm25) relation."""
+    return f"""
+SELECT station, datetime, CASE WHEN pm25 IS NOT NULL THEN pm25 WHEN pv IS NULL THEN NULL
   WHEN nv IS NULL THEN pv
-  ELSE pv + (nv - pv) * CAST(date_diff('second', pt, datetime) AS DOUBLE) / CAST(date_diff('second', pt, nt) AS DOUBLE) END''')} AS pm25
+  ELSE pv + (nv - pv) * CAST(date_diff('second', pt, datetime) AS DOUBLE) / CAST(date_diff('second', pt, nt) AS DOUBLE) END AS pm25
 FROM (SELECT *,
   last_value(pm25 IGNORE NULLS) OVER (PARTITION BY station ORDER BY datetime ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS pv,
   last_value(CASE WHEN pm25 IS NOT NULL THEN datetime END IGNORE NULLS) OVER (PARTITION BY station ORDER BY datetime ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS pt,
   first_value(pm25 IGNORE NULLS) OVER (PARTITION BY station ORDER BY datetime ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS nv,
   first_value(CASE WHEN pm25 IS NOT NULL THEN datetime END IGNORE NULLS) OVER (PARTITION BY station ORDER BY datetime ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS nt
-  FROM ({_HOURLY}) x) y
-""")
+  FROM ({hourly_sql}) x) y
+"""
+
+
+def hourly_sql(src: str) -> str:
+    """Hourly mean on a complete calendar over a (station, datetime, pm25) relation."""
+    return f"""
+WITH h AS (SELECT station, date_trunc('hour', datetime) AS datetime, avg(pm25) AS pm25
+           FROM ({src}) r WHERE pm25 IS NOT NULL GROUP BY 1, 2),
+b AS (SELECT station, min(datetime) AS lo, max(datetime) AS hi FROM h GROUP BY 1),
+g AS (SELECT station, unnest(generate_series(lo, hi, INTERVAL 1 HOUR)) AS datetime FROM b)
+SELECT g.station, g.datetime, h.pm25 FROM g LEFT JOIN h USING (station, datetime)
+"""
+
+
+@register("interpolate_linear", oracle=f"SELECT station, datetime, {R6('pm25')} AS pm25 FROM ({interp_sql(_HOURLY)}) z")
 def q_interpolate_linear(spark, sf_dir):
     return round_doubles(resample.prepare_series(_gappy(spark, sf_dir)))
 
