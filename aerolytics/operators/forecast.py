@@ -123,12 +123,13 @@ def differenced(series: DataFrame, key: str, time: str, value: str, lags: int) -
 
 def ar_cross_products(series: DataFrame, key: str = "station", time: str = "datetime",
                       value: str = "pm25") -> DataFrame:
-    """n and sums of products of the differenced series with its first two lags."""
+    """n and mean products of the differenced series ``d`` with its first two lags: the
+    moment matrix of the AR(2) normal equations (means keep magnitudes engine-stable)."""
     d = differenced(series, key, time, value, 2).na.drop(subset=["d", "d1", "d2"])
-    terms = {"s_d": "d", "s_d1": "d1", "s_d2": "d2", "s_dd": "d*d", "s_dd1": "d*d1",
-             "s_dd2": "d*d2", "s_d1d1": "d1*d1", "s_d1d2": "d1*d2", "s_d2d2": "d2*d2"}
+    terms = {"m_d": "d", "m_d1": "d1", "m_d2": "d2", "m_dd": "d*d", "m_dd1": "d*d1",
+             "m_dd2": "d*d2", "m_d1d1": "d1*d1", "m_d1d2": "d1*d2", "m_d2d2": "d2*d2"}
     return d.groupBy(key).agg(F.count(F.lit(1)).alias("n"),
-                              *[F.sum(F.expr(e)).alias(n) for n, e in terms.items()])
+                              *[F.avg(F.expr(e)).alias(n) for n, e in terms.items()])
 
 
 def fit_arma(series: DataFrame, key: str = "station", time: str = "datetime",
