@@ -1,7 +1,8 @@
 """Registered queries (Spark builders + DuckDB oracles). Importing this package fills the registry."""
 
 from aerolytics.plans import (clean_queries, feature_queries, forecast_queries,  # noqa: F401
-                              ml_queries, quality_queries, series_queries)
+                              ml_queries, quality_queries, series_queries,
+                              stream_queries)
 from aerolytics.plans.registry import ORACLES, QUERIES
 
 __all__ = ["QUERIES", "ORACLES"]
