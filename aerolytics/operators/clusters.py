@@ -91,10 +91,11 @@ def kmeans_select(points: DataFrame, cols, k_range=KMEANS_K_RANGE,
     silhouette across k (ties -> smaller k). Returns (best model, k, silhouette, table of
     (k, silhouette))."""
     data = with_vector(points, cols).cache()
+    n = data.count()  # profile rows (one per entity)
     ev = ClusteringEvaluator(featuresCol="features", predictionCol="prediction")
     best = None
     scores = []
-    for k in k_range:
+    for k in [k for k in k_range if 2 <= k <= n - 1]:  # silhouette needs 2 <= k <= n-1
         models = [KMeans(k=k, seed=seed + r, maxIter=max_iter, featuresCol="features").fit(data)
                   for r in range(restarts)]
         m = min(models, key=lambda mm: mm.summary.trainingCost)
@@ -106,8 +107,9 @@ def kmeans_select(points: DataFrame, cols, k_range=KMEANS_K_RANGE,
         if best is None or s > best[2]:
             best = (m, k, s)
     if best is None:
-        m = KMeans(k=k_range[0], seed=seed, maxIter=max_iter, featuresCol="features").fit(data)
-        best = (m, k_range[0], -1.0)
+        k0 = max(1, min(k_range[0], n))
+        m = KMeans(k=k0, seed=seed, maxIter=max_iter, featuresCol="features").fit(data)
+        best = (m, k0, -1.0)
     data.unpersist()
     return best[0], best[1], best[2], scores
 

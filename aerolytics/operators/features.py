@@ -87,21 +87,26 @@ def build_features(df: DataFrame, key="station", time: str = "datetime", target:
     kf = keyed_frame(df, _keys(key), [time, *order_extra], halo=halo, mode=mode,
                      **({"chunk_rows": chunk_rows} if chunk_rows else {}))
     w = kf.window
-    cols = ["*"]
-    if calendar:
-        cols += calendar_columns(time)
-    cols += lag_columns(target, lags, w)
+    # only the window outputs are computed under the window; row-local calendar and label
+    # columns come after it, so the shuffle carries the narrow input rows
+    cols = ["*", *lag_columns(target, lags, w)]
     for col, ks in extra_lags.items():
         cols += lag_columns(col, ks, w)
     cols += rolling_columns(target, windows, w)
+    post = []
+    if calendar:
+        post += calendar_columns(time)
     if label:
-        cols += [aqi_category(target, null_label).alias("aqi_category"),
+        post += [aqi_category(target, null_label).alias("aqi_category"),
                  aqi_code(target, null_label).alias("aqi_label")]
-    out = kf.finish(kf.df.select(*cols))
+    windowed = kf.finish(kf.df.select(*cols))
     if drop_warmup:
         first, last = min(lags), max(lags)
-        out = out.filter(F.col(f"{target}_lag{first}").isNotNull()
-                         & F.col(f"{target}_lag{last}").isNotNull())
+        windowed = windowed.filter(F.col(f"{target}_lag{first}").isNotNull()
+                                   & F.col(f"{target}_lag{last}").isNotNull())
+    base = [c for c in df.columns]
+    feats = [c for c in windowed.columns if c not in base]
+    out = windowed.select(*base, *post, *feats)
     return out
 
 

@@ -125,3 +125,14 @@ def drift_psi(long_df: DataFrame, side: str = "is_test", bins: int = 10,
     a = F.greatest(F.col("c2") / F.sum("c2").over(tot), F.lit(floor))
     return (per_bin.select("feature", ((a - e) * F.log(a / e)).alias("_t"))
             .groupBy("feature").agg(F.sum("_t").alias("psi")))
+
+
+def input_checks(df: DataFrame, rules: dict, keep=()) -> DataFrame:
+    """Reject table for scoring inputs (F10): one row per (row, failed rule).
+
+    ``rules`` maps a rule name to a Column condition that a valid row satisfies; a NULL
+    condition counts as failed.
+    """
+    failed = F.filter(F.array(*[F.when(~F.coalesce(cond, F.lit(False)), F.lit(name))
+                                for name, cond in rules.items()]), lambda x: x.isNotNull())
+    return df.select(*keep, F.explode(failed).alias("failed_rule"))

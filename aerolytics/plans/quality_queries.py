@@ -306,3 +306,27 @@ SELECT feature, {R6('sum((a - e) * ln(a / e))')} AS psi FROM t GROUP BY 1
 """)
 def q_drift_psi(spark, sf_dir):
     return round_doubles(quality.drift_psi(_drift_long(spark, sf_dir)))
+
+
+# --- scoring input checks (F10) ------------------------------------------------------
+
+_CHECK_IN = ("SELECT event_id, value - 20 AS pm25, CAST(hour(ts) + CASE WHEN event_id % 30 = 0 "
+             "THEN 24 ELSE 0 END AS INTEGER) AS hour, CAST(month(ts) AS INTEGER) AS month FROM events")
+
+
+@register("score_input_check", oracle=f"""
+WITH c AS ({_CHECK_IN})
+SELECT event_id, 'pm25_non_negative' AS failed_rule FROM c WHERE NOT coalesce(pm25 >= 0, false)
+UNION ALL SELECT event_id, 'hour_in_range' FROM c WHERE NOT coalesce(hour BETWEEN 0 AND 23, false)
+UNION ALL SELECT event_id, 'month_in_range' FROM c WHERE NOT coalesce(month BETWEEN 1 AND 12, false)
+""")
+def q_score_input_check(spark, sf_dir):
+    """Negatives (value - 20) and out-of-range hours (every 30th row) go to the reject table."""
+    ev = table(spark, sf_dir, "events").select(
+        "event_id", (F.col("value") - 20).alias("pm25"),
+        (F.hour("ts") + F.when(F.col("event_id") % 30 == 0, 24).otherwise(0)).alias("hour"),
+        F.month("ts").alias("month"))
+    rules = {"pm25_non_negative": F.col("pm25") >= 0,
+             "hour_in_range": F.col("hour").between(0, 23),
+             "month_in_range": F.col("month").between(1, 12)}
+    return quality.input_checks(ev, rules, keep=["event_id"])

@@ -105,12 +105,25 @@ def read_batch_csv(spark: SparkSession, path: str, known_features) -> DataFrame:
         raise ValueError("batch has none of the model's feature columns")
     if df.limit(1).count() == 0:
         raise ValueError("batch is empty")
-    # file order: input file name + byte position of the split, then row order within it
-    ordered = df.withColumn("_file", F.input_file_name()).withColumn(
-        "_mono", F.monotonically_increasing_id())
+    return with_row_index(df)
+
+
+def with_row_index(df: DataFrame, out: str = "row_index") -> DataFrame:
+    """Exact 0..n-1 index in scan order without a sort or a single-task window.
+
+    ``monotonically_increasing_id`` is (partition id << 33) + position in the partition;
+    a per-partition count table (one row per partition, so bounded) gives each
+    partition's offset. For a single input file the scan order is the file order.
+    """
+    mono = df.withColumn("_mono", F.monotonically_increasing_id())
+    part = F.shiftright(F.col("_mono"), 33)
+    counts = mono.groupBy(part.alias("_pid")).agg(F.count(F.lit(1)).alias("_n"))
     from pyspark.sql import Window
-    w = Window.orderBy("_file", "_mono")  # bounded by the upload size limit of the caller
-    return ordered.withColumn("row_index", F.row_number().over(w) - 1).drop("_file", "_mono")
+    offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(
+        Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
+    local = F.col("_mono") - F.shiftleft(F.col("_pid"), 33)
+    return (mono.withColumn("_pid", part).join(F.broadcast(offsets), "_pid")
+            .withColumn(out, F.col("_off") + local).drop("_mono", "_pid", "_off"))
 
 
 def read_projection_points(spark: SparkSession, path: str) -> DataFrame:
