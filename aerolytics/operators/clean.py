@@ -17,6 +17,7 @@ from aerolytics.constants import (AQI_CATEGORIES, NUMERIC, POLLUTANTS, SENSOR_SE
 from aerolytics.functions.aqi import category_to_code
 from aerolytics.functions.scalar import clip, coerce_double, decimal_comma_double
 from aerolytics.operators.features import forward_fill
+from aerolytics.operators.keyed import median_by_key
 
 NUMERIC_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
                  T.DoubleType, T.DecimalType)
@@ -136,14 +137,19 @@ def available(df: DataFrame, wanted) -> list[str]:
 def impute_median(df: DataFrame, cols=None, approx: bool = False) -> DataFrame:
     """Global median fill per numeric column (C5); all-null columns stay NULL.
 
-    Exact median keeps the distinct values of each column in the aggregate buffer;
-    ``approx=True`` uses ``percentile_approx`` for unbounded value domains.
+    The exact median is distributed (:func:`median_by_key`): no task holds a column's
+    values. ``approx=True`` uses ``percentile_approx`` (one bounded aggregate) instead.
     """
     cols = cols if cols is not None else numeric_columns(df)
-    agg = (lambda c: F.percentile_approx(F.col(_q(c)), 0.5)) if approx else \
-        (lambda c: F.median(F.col(_q(c))))
-    med = df.agg(*[agg(c).cast("double").alias(f"__med_{i}") for i, c in enumerate(cols)])
-    joined = df.crossJoin(F.broadcast(med))  # exactly one row
+    if approx:
+        med = df.agg(*[F.percentile_approx(F.col(_q(c)), 0.5).cast("double").alias(f"__med_{i}")
+                       for i, c in enumerate(cols)])
+    else:
+        med = None
+        for i, c in enumerate(cols):
+            m = median_by_key(df.select(F.col(_q(c)).alias("_v")), [], "_v", f"__med_{i}")
+            med = m if med is None else med.crossJoin(m)  # one row each
+    joined = df.crossJoin(F.broadcast(med))  # exactly one row: a broadcast scalar
     out = [F.coalesce(F.col(_q(c)), F.col(f"__med_{cols.index(c)}")).alias(c) if c in cols
            else F.col(_q(c)) for c in df.columns]
     return joined.select(*out)
@@ -156,7 +162,10 @@ def impute_ffill_median(df: DataFrame, cols=None, key: str = "station",
     then clip at 0 (D1, C6). Negatives therefore enter the median, as in the reference."""
     cols = [c for c in (cols if cols is not None else NUMERIC) if c in df.columns]
     clip_cols = [c for c in (clip_cols if clip_cols is not None else POLLUTANTS) if c in cols]
-    med = df.groupBy(key).agg(*[F.median(c).alias(f"__med_{c}") for c in cols])
+    med = None
+    for c in cols:  # exact, distributed per-key medians (no key's values in one task)
+        m = median_by_key(df, [key], c, f"__med_{c}")
+        med = m if med is None else med.join(m, on=key, how="full")
     filled = forward_fill(df, cols, key=key, time=time, mode=mode, chunk_rows=chunk_rows)
     # per-key statistics: AQE broadcasts them from the measured stage size, or splits
     # a skewed key's partition (skewJoin); counting first would recompute the aggregate

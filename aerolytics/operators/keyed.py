@@ -176,3 +176,23 @@ def running_totals(df: DataFrame, keys: list[str], order: str, cols: list[str],
     out = running.join(offsets, on=[*keys, BUCKET], how="inner")
     return out.select(*df.columns, *[(F.col(f"_off_{c}") + F.col(f"_run_{c}")).alias(f"cum_{c}")
                                      for c in cols], *[f"tot_{c}" for c in cols])
+
+
+def median_by_key(df: DataFrame, keys: list[str], col: str, out: str = "median") -> DataFrame:
+    """Exact median per key (mean of the two middle values for an even count), without
+    holding a key's values in one task.
+
+    Values are pre-aggregated to (key, value) counts, ranked by :func:`running_totals`,
+    and the median is read at ranks floor((n+1)/2) and floor(n/2)+1. NULLs are ignored;
+    a key with no values gets no row.
+    """
+    counts = (df.filter(F.col(col).isNotNull()).groupBy(*keys, col)
+              .agg(F.count(F.lit(1)).alias("_c")))
+    run = running_totals(counts, keys, col, ["_c"])
+    r1 = F.floor((F.col("tot__c") + 1) / 2)
+    r2 = F.floor(F.col("tot__c") / 2) + 1
+    picked = [F.min(F.when(F.col("cum__c") >= r1, F.col(col))).alias("_v1"),
+              F.min(F.when(F.col("cum__c") >= r2, F.col(col))).alias("_v2")]
+    agg = run.groupBy(*keys).agg(*picked) if keys else run.agg(*picked)
+    return agg.select(*keys, (F.col("_v1") + (F.col("_v2") - F.col("_v1")) * 0.5)
+                      .cast("double").alias(out))

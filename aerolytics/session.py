@@ -53,7 +53,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
-        # Only reached in local tests: a cluster names a shared folder in its conf.
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS, object store)")
+        # local mode only (tests): a cluster names a shared folder in its conf
         configured = tempfile.mkdtemp(prefix="aerolytics-ckpt-", dir=os.environ.get("TMPDIR"))
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
