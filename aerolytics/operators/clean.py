@@ -145,16 +145,28 @@ def impute_median(df: DataFrame, cols=None, approx: bool = False) -> DataFrame:
         med = df.agg(*[F.percentile_approx(F.col(_q(c)), 0.5).cast("double").alias(f"__med_{i}")
                        for i, c in enumerate(cols)])
     else:
-        med = None
-        for i, c in enumerate(cols):
-            m = median_by_key(df.select(F.col(_q(c)).alias("_v")), [], "_v", f"__med_{i}")
-            med = m if med is None else med.crossJoin(m)  # one row each
+        med = medians_wide(df, [], cols).select(
+            *[F.col(_q(c)).alias(f"__med_{i}") for i, c in enumerate(cols)])
     joined = df.crossJoin(F.broadcast(med))  # exactly one row: a broadcast scalar
     out = [F.coalesce(F.col(_q(c)), F.col(f"__med_{cols.index(c)}")).alias(c) if c in cols
            else F.col(_q(c)) for c in df.columns]
     return joined.select(*out)
 
 
+def medians_wide(df: DataFrame, keys: list[str], cols) -> DataFrame:
+    """Exact medians of several columns per key in ONE distributed pass: the columns are
+    stacked into (key, column, value) rows, ranked together, and pivoted back (the pivot
+    values are the given column names, so no extra distinct job)."""
+    cols = list(cols)
+    stack = "stack({}, {})".format(len(cols), ", ".join(
+        f"{i}, CAST({_q(c)} AS DOUBLE)" for i, c in enumerate(cols)))
+    long = df.select(*[F.col(_q(k)) for k in keys], F.expr(stack).alias("_ci", "_v"))
+    med = median_by_key(long, [*keys, "_ci"], "_v", "_m")
+    wide = med.groupBy(*keys).pivot("_ci", list(range(len(cols)))).agg(F.first("_m"))
+    return wide.select(*[F.col(_q(k)) for k in keys],
+                       *[F.col(str(i)).alias(c) for i, c in enumerate(cols)])
+
+
 def impute_ffill_median(df: DataFrame, cols=None, key: str = "station",
                         time: str = "datetime", clip_cols=None, mode: str = "auto",
                         chunk_rows: int | None = None) -> DataFrame:
@@ -162,10 +174,8 @@ def impute_ffill_median(df: DataFrame, cols=None, key: str = "station",
     then clip at 0 (D1, C6). Negatives therefore enter the median, as in the reference."""
     cols = [c for c in (cols if cols is not None else NUMERIC) if c in df.columns]
     clip_cols = [c for c in (clip_cols if clip_cols is not None else POLLUTANTS) if c in cols]
-    med = None
-    for c in cols:  # exact, distributed per-key medians (no key's values in one task)
-        m = median_by_key(df, [key], c, f"__med_{c}")
-        med = m if med is None else med.join(m, on=key, how="full")
+    # exact, distributed per-key medians of all columns in one pass
+    med = medians_wide(df, [key], cols).select(key, *[F.col(c).alias(f"__med_{c}") for c in cols])
     filled = forward_fill(df, cols, key=key, time=time, mode=mode, chunk_rows=chunk_rows)
     # per-key statistics: AQE broadcasts them from the measured stage size, or splits
     # a skewed key's partition (skewJoin); counting first would recompute the aggregate

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from aerolytics.functions.aqi import aqi_category, aqi_code
 from aerolytics.functions.calendar import calendar_columns
 from aerolytics.operators import evaluate, quality, sampling
-from aerolytics.operators.features import lag_columns, rolling_columns
+from aerolytics.operators.features import lag_columns
 from aerolytics.operators.keyed import keyed_frame
 from aerolytics.plans.feature_queries import sql_category, sql_code
 from aerolytics.plans.registry import R6, register, round_doubles
@@ -119,9 +119,8 @@ def baseline_predictions(spark, sf_dir):
     r = readings(spark, sf_dir, "user_id")
     kf = keyed_frame(r, ["station"], ["datetime"], halo=24)
     w = kf.window
-    wide = kf.finish(kf.df.select(
-        F.col("pm25").alias("y"), *lag_columns("pm25", [1], w),
-        *[c for c in rolling_columns("pm25", [3, 24], w) if "mean" in str(c)]))
+    means = [F.avg("pm25").over(w.rowsBetween(-n, -1)).alias(f"pm25_roll_mean{n}") for n in (3, 24)]
+    wide = kf.finish(kf.df.select(F.col("pm25").alias("y"), *lag_columns("pm25", [1], w), *means))
     wide = wide.filter(F.col("pm25_lag1").isNotNull())
     stack = F.expr("stack(3, 'last_value', 1, pm25_lag1, 'mean_3h', 2, pm25_roll_mean3, "
                    "'mean_24h', 3, pm25_roll_mean24)").alias("model", "trained_order", "p")

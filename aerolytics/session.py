@@ -29,6 +29,9 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     if master:
         builder = builder.master(master)
     builder = builder.config("spark.ui.enabled", "false")
+    if master and master.startswith("local"):
+        # local mode: the driver JVM is the only executor (no effect on a running JVM)
+        builder = builder.config("spark.driver.memory", os.environ.get("AEROLYTICS_DRIVER_MEMORY", "8g"))
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for k, v in SESSION_CONF.items():
