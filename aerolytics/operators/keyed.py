@@ -143,7 +143,8 @@ def group_positions(df: DataFrame, keys: list[str], bucket: Column, order: list[
 
 
 def running_totals(df: DataFrame, keys: list[str], order: str, cols: list[str],
-                   n_buckets: int = 256, accuracy: int = 10_000) -> DataFrame:
+                   groups: int = 16, accuracy: int = 10_000, mode: str = "auto",
+                   max_rows_per_task: int = DEFAULT_MAX_ROWS_PER_TASK) -> DataFrame:
     """Exact running sums of ``cols`` in ``order`` inside each key, plus key totals.
 
     Adds ``cum_{c}`` (sum over rows up to and including this one) and ``tot_{c}``. Rows
@@ -153,10 +154,20 @@ def running_totals(df: DataFrame, keys: list[str], order: str, cols: list[str],
     task however many distinct values it has.
     """
     key_cols = [F.col(k) for k in keys]
+    by_key = Window.partitionBy(*key_cols) if keys else Window
+    if mode not in ("auto", "plain", "bucketed"):
+        raise ValueError(f"unknown mode {mode!r}")
+    if mode == "plain" or (mode == "auto" and not choose_chunked(df, keys, max_rows_per_task)):
+        # every key fits one task (checked): one window per key
+        run = by_key.orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        whole = by_key.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        return df.select("*", *[F.sum(c).over(run).alias(f"cum_{c}") for c in cols],
+                         *[F.sum(c).over(whole).alias(f"tot_{c}") for c in cols])
+    n_buckets = groups * groups  # 256 balanced buckets by default
     fracs = F.array(*[F.lit(i / n_buckets) for i in range(1, n_buckets)])
     bounds = df.groupBy(*keys).agg(
         F.percentile_approx(F.col(order), fracs, accuracy).alias("_bounds"))
-    b = F.size(F.filter(F.col("_bounds"), lambda x: x < F.col(order)))
+    b = bucket_of(F.col("_bounds"), F.col(order), groups)
     # one row per key; AQE broadcasts it from the measured stage size or splits a hot
     # key's partition (skew join), so no key is pulled into one task by this join
     bucketed = (df.join(bounds, on=keys, how="inner") if keys
@@ -165,7 +176,6 @@ def running_totals(df: DataFrame, keys: list[str], order: str, cols: list[str],
     in_bucket = Window.partitionBy(*key_cols, F.col(BUCKET)).orderBy(order) \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     per_bucket = bucketed.groupBy(*keys, BUCKET).agg(*[F.sum(c).alias(f"_b_{c}") for c in cols])
-    by_key = Window.partitionBy(*key_cols) if keys else Window
     before = by_key.orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     whole = by_key.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     offsets = per_bucket.select(*keys, BUCKET, *[
@@ -178,17 +188,24 @@ def running_totals(df: DataFrame, keys: list[str], order: str, cols: list[str],
                                      for c in cols], *[f"tot_{c}" for c in cols])
 
 
-def median_by_key(df: DataFrame, keys: list[str], col: str, out: str = "median") -> DataFrame:
+def median_by_key(df: DataFrame, keys: list[str], col: str, out: str = "median",
+                  mode: str = "auto", max_distinct: int = 2_000_000) -> DataFrame:
     """Exact median per key (mean of the two middle values for an even count), without
     holding a key's values in one task.
 
     Values are pre-aggregated to (key, value) counts, ranked by :func:`running_totals`,
     and the median is read at ranks floor((n+1)/2) and floor(n/2)+1. NULLs are ignored;
-    a key with no values gets no row.
+    a key with no values gets no row. ``mode="auto"`` first bounds the distinct values
+    per key (HyperLogLog); the built-in exact ``median`` aggregate is used when they fit
+    one buffer, the distributed form otherwise.
     """
+    if mode == "aggregate" or (mode == "auto" and _max_distinct(df, keys, col) <= max_distinct):
+        # checked: every key's distinct values fit one aggregation buffer
+        agg = [F.median(F.col(col)).cast("double").alias(out)]
+        return df.groupBy(*keys).agg(*agg) if keys else df.agg(*agg)
     counts = (df.filter(F.col(col).isNotNull()).groupBy(*keys, col)
               .agg(F.count(F.lit(1)).alias("_c")))
-    run = running_totals(counts, keys, col, ["_c"])
+    run = running_totals(counts, keys, col, ["_c"], mode="bucketed")
     r1 = F.floor((F.col("tot__c") + 1) / 2)
     r2 = F.floor(F.col("tot__c") / 2) + 1
     picked = [F.min(F.when(F.col("cum__c") >= r1, F.col(col))).alias("_v1"),
@@ -196,3 +213,36 @@ def median_by_key(df: DataFrame, keys: list[str], col: str, out: str = "median")
     agg = run.groupBy(*keys).agg(*picked) if keys else run.agg(*picked)
     return agg.select(*keys, (F.col("_v1") + (F.col("_v2") - F.col("_v1")) * 0.5)
                       .cast("double").alias(out))
+
+
+def _rank_in_sorted(arr: Column, v: Column, lo: int, hi: int, base: Column | None = None,
+                    stride: int = 1, offset: int = 0) -> Column:
+    """Number of elements below ``v`` among the ascending elements
+    ``arr[base + offset + stride*i]`` for i in [lo, hi), plus ``lo``; a binary search
+    unrolled into nested CASE WHEN (compiled by codegen, no per-row lambda)."""
+    if lo >= hi:
+        return F.lit(lo)
+    mid = (lo + hi) // 2
+    idx = F.lit(offset + stride * mid + 1) if base is None else base + F.lit(offset + stride * mid + 1)
+    return F.when(F.element_at(arr, idx) < v,
+                  _rank_in_sorted(arr, v, mid + 1, hi, base, stride, offset)) \
+        .otherwise(_rank_in_sorted(arr, v, lo, mid, base, stride, offset))
+
+
+def bucket_of(bounds: Column, v: Column, groups: int) -> Column:
+    """Exact rank of ``v`` in ``groups**2 - 1`` ascending bounds (0..groups**2-1) by a
+    two-level search: first among every ``groups``-th bound, then inside that slice —
+    about 2*groups CASE nodes instead of groups**2."""
+    g = groups
+    coarse = _rank_in_sorted(bounds, v, 0, g - 1, stride=g, offset=g - 1)
+    base = coarse * F.lit(g)
+    fine = _rank_in_sorted(bounds, v, 0, g - 1, base=base)
+    return base + fine
+
+
+def _max_distinct(df: DataFrame, keys: list[str], col: str) -> int:
+    """Upper estimate of the distinct values of ``col`` in the largest key (one aggregate)."""
+    est = F.approx_count_distinct(F.col(col), 0.05)
+    row = (df.groupBy(*keys).agg(est.alias("_d")).agg(F.max("_d").alias("m")) if keys
+           else df.agg(est.alias("m"))).first()
+    return int(1.1 * (row["m"] or 0))

@@ -28,7 +28,7 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    builder = builder.config("spark.ui.enabled", "false")
+    builder = builder.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
     if master and master.startswith("local"):
         # local mode: the driver JVM is the only executor (no effect on a running JVM)
         builder = builder.config("spark.driver.memory", os.environ.get("AEROLYTICS_DRIVER_MEMORY", "8g"))
