@@ -179,16 +179,19 @@ def dbscan(points: DataFrame, cols, key: str, eps: float = DBSCAN_EPS,
                   .join(core.withColumnRenamed("node", "b"), "b", "left_semi")).checkpoint()
     labels = core.select("node", F.col("node").alias("label"))
     for _ in range(max_rounds):
-        # every core node takes the smallest label among itself and its core neighbours
+        # every core node takes the smallest label among itself and its core neighbours ...
         prop = (core_edges.join(labels.withColumnRenamed("node", "b"), "b")
                 .groupBy(F.col("a").alias("node")).agg(F.min("label").alias("cand")))
-        new = (labels.join(prop, "node", "left")
-               .select("node", F.least("label", F.coalesce("cand", "label")).alias("label"))
-               .checkpoint())
-        changed = new.join(labels.withColumnRenamed("label", "old"), "node") \
-            .filter(F.col("label") != F.col("old")).limit(1).count()
-        labels = new
-        if changed == 0:
+        step = (labels.join(prop, "node", "left")
+                .select("node", F.col("label").alias("old"),
+                        F.least("label", F.coalesce("cand", "label")).alias("l1")))
+        # ... then jumps to its label's label (pointer jumping: long chains collapse fast)
+        jump = step.select(F.col("node").alias("l1"), F.col("l1").alias("l2"))
+        new = (step.join(jump, "l1", "left")
+               .select("node", "old", F.least("l1", F.coalesce("l2", "l1")).alias("label"))
+               .checkpoint())  # cut the lineage every round (survives lost executors)
+        labels = new.select("node", "label")
+        if new.filter(F.col("label") != F.col("old")).limit(1).count() == 0:
             break
     border = (pairs.join(labels.withColumnRenamed("node", "b"), "b")
               .groupBy(F.col("a").alias("node")).agg(F.min("label").alias("border_label")))

@@ -134,19 +134,23 @@ def ar_cross_products(series: DataFrame, key: str = "station", time: str = "date
 
 def fit_arma(series: DataFrame, key: str = "station", time: str = "datetime",
              value: str = "pm25", long_ar: int = AR_LONG) -> DataFrame:
-    """Stage 1: AR(long_ar) with intercept -> residuals; stage 2: d on (1, d1, d2, e1, e2).
-    Returns key, coef = [c, phi1, phi2, theta1, theta2], n."""
-    d = differenced(series, key, time, value, long_ar)
+    """Coefficients [c, phi1, phi2, theta1, theta2] per key (see :func:`_fit_arma_stages`)."""
+    return _fit_arma_stages(series, key, time, value, long_ar)[1]
+
+
+def _fit_arma_stages(series: DataFrame, key: str, time: str, value: str, long_ar: int):
+    """Stage 1: AR(long_ar) with intercept -> residuals ``e``; stage 2: ``d`` on
+    (1, d1, d2, e1, e2). Returns (differenced rows with residuals, stage-2 coefficients)."""
     xs1 = ["one"] + [f"d{i}" for i in range(1, long_ar + 1)]
-    d = d.withColumn("one", F.lit(1.0))
+    d = differenced(series, key, time, value, long_ar).withColumn("one", F.lit(1.0))
     s1 = solve_by_key(gram_by_key(d, key, xs1, "d"), key, len(xs1))
     pred1 = sum((F.col("coef")[i] * F.col(c) for i, c in enumerate(xs1)), F.lit(0.0))
     w = Window.partitionBy(key).orderBy(time)
-    resid = (d.join(s1.select(key, "coef"), on=key).withColumn("e", F.col("d") - pred1)
-             .select(key, time, "d", "d1", "d2", "one", F.lag("e", 1).over(w).alias("e1"),
-                     F.lag("e", 2).over(w).alias("e2")))
+    with_e = d.join(s1.select(key, "coef"), on=key).withColumn("e", F.col("d") - pred1).drop("coef")
+    resid = with_e.select(key, time, "d", "d1", "d2", "one", F.lag("e", 1).over(w).alias("e1"),
+                          F.lag("e", 2).over(w).alias("e2"))
     xs2 = ["one", "d1", "d2", "e1", "e2"]
-    return solve_by_key(gram_by_key(resid, key, xs2, "d"), key, len(xs2))
+    return with_e, solve_by_key(gram_by_key(resid, key, xs2, "d"), key, len(xs2))
 
 
 def forecast_arma(series: DataFrame, key: str = "station", time: str = "datetime",
@@ -157,15 +161,10 @@ def forecast_arma(series: DataFrame, key: str = "station", time: str = "datetime
     Future innovations are 0; the last two differences and residuals seed the recursion.
     """
     check_horizon(horizon)
-    coefs = fit_arma(series, key, time, value, long_ar)
-    d = differenced(series, key, time, value, long_ar).withColumn("one", F.lit(1.0))
-    xs1 = ["one"] + [f"d{i}" for i in range(1, long_ar + 1)]
-    # residuals of the final model, needed for the two most recent steps only
-    stage1 = solve_by_key(gram_by_key(d, key, xs1, "d"), key, len(xs1))
-    pred1 = sum((F.col("coef")[i] * F.col(c) for i, c in enumerate(xs1)), F.lit(0.0))
+    with_e, coefs = _fit_arma_stages(series, key, time, value, long_ar)
     w = Window.partitionBy(key).orderBy(F.col(time).desc())
-    tail = (d.join(stage1.select(key, "coef"), on=key)
-            .withColumn("e", F.coalesce(F.col("d") - pred1, F.lit(0.0)))
+    # the two most recent steps seed the recursion (top-2 per key, limited map-side)
+    tail = (with_e.withColumn("e", F.coalesce(F.col("e"), F.lit(0.0)))
             .withColumn("_rk", F.row_number().over(w)).filter(F.col("_rk") <= 2))
     seed = tail.groupBy(key).agg(
         F.max_by(value, F.when(F.col("_rk") == 1, F.lit(1))).alias("level"),
