@@ -48,3 +48,10 @@ def r6(c) -> Column:
 
 def _sql_name(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
+
+
+def one_row(stats) -> Column:
+    """A one-row statistics DataFrame as ONE scalar subquery returning a struct; read its
+    fields with ``s[name]``. Every field reference reuses the same subquery (computed
+    once, inlined as a value), so there is no join and no repeated scan."""
+    return stats.select(F.struct(*[F.col(f"`{c}`") for c in stats.columns]).alias("s")).scalar()

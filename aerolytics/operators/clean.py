@@ -1,8 +1,8 @@
 """Cleaning operators (B1-B12, B18, C5-C9, D1) as lazy DataFrame transforms.
 
 Statistics needed by an operator (counts, medians, means, min/max) are computed by one
-aggregate. A global aggregate is a single row, so crossing it onto the data is a
-broadcast of one row; per-key statistics are joined on the key and AQE turns the join
+aggregate. A global aggregate is a single row, used through scalar subqueries (computed
+once, inlined as values); per-key statistics are joined on the key and AQE turns the join
 into a broadcast only when the runtime size is small.
 """
 
@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from aerolytics.constants import (AQI_CATEGORIES, NUMERIC, POLLUTANTS, SENSOR_SENTINEL,
                                   UCI_TIME_FORMAT)
 from aerolytics.functions.aqi import category_to_code
-from aerolytics.functions.scalar import clip, coerce_double, decimal_comma_double
+from aerolytics.functions.scalar import clip, coerce_double, decimal_comma_double, one_row
 from aerolytics.operators.features import forward_fill
 from aerolytics.operators.keyed import median_by_key
 
@@ -147,10 +147,10 @@ def impute_median(df: DataFrame, cols=None, approx: bool = False) -> DataFrame:
     else:
         med = medians_wide(df, [], cols).select(
             *[F.col(_q(c)).alias(f"__med_{i}") for i, c in enumerate(cols)])
-    joined = df.crossJoin(F.broadcast(med))  # exactly one row: a broadcast scalar
-    out = [F.coalesce(F.col(_q(c)), F.col(f"__med_{cols.index(c)}")).alias(c) if c in cols
-           else F.col(_q(c)) for c in df.columns]
-    return joined.select(*out)
+    s = one_row(med)
+    out = [F.coalesce(F.col(_q(c)), s[f"__med_{cols.index(c)}"]).alias(c)
+           if c in cols else F.col(_q(c)) for c in df.columns]
+    return df.select(*out)
 
 
 def medians_wide(df: DataFrame, keys: list[str], cols) -> DataFrame:
@@ -215,16 +215,16 @@ def scale_standard(df: DataFrame, cols) -> DataFrame:
     z = {c: F.coalesce(F.col(_q(c)).cast("double"), F.lit(0.0)) for c in cols}
     stats = df.agg(*[x for c in cols for x in (F.avg(z[c]).alias(f"__mu_{c}"),
                                                 F.stddev_pop(z[c]).alias(f"__sd_{c}"))])
-    j = df.crossJoin(F.broadcast(stats))  # exactly one row
+    s = one_row(stats)
     out = []
     for c in df.columns:
         if c in cols:
-            sd = F.col(f"__sd_{c}")
-            out.append(((z[c] - F.col(f"__mu_{c}")) /
+            sd = s[f"__sd_{c}"]
+            out.append(((z[c] - s[f"__mu_{c}"]) /
                         F.when(sd == 0, F.lit(1.0)).otherwise(sd)).alias(c))
         else:
             out.append(F.col(_q(c)))
-    return j.select(*out)
+    return df.select(*out)
 
 
 def scale_minmax(df: DataFrame, cols) -> DataFrame:
@@ -232,16 +232,16 @@ def scale_minmax(df: DataFrame, cols) -> DataFrame:
     z = {c: F.coalesce(F.col(_q(c)).cast("double"), F.lit(0.0)) for c in cols}
     stats = df.agg(*[x for c in cols for x in (F.min(z[c]).alias(f"__lo_{c}"),
                                                 F.max(z[c]).alias(f"__hi_{c}"))])
-    j = df.crossJoin(F.broadcast(stats))  # exactly one row
+    s = one_row(stats)
     out = []
     for c in df.columns:
         if c in cols:
-            rng = F.col(f"__hi_{c}") - F.col(f"__lo_{c}")
-            out.append(F.when(rng == 0, F.lit(0.0))
-                       .otherwise((z[c] - F.col(f"__lo_{c}")) / rng).alias(c))
+            lo = s[f"__lo_{c}"]
+            rng = s[f"__hi_{c}"] - lo
+            out.append(F.when(rng == 0, F.lit(0.0)).otherwise((z[c] - lo) / rng).alias(c))
         else:
             out.append(F.col(_q(c)))
-    return j.select(*out)
+    return df.select(*out)
 
 
 # --- composite cleaning of the three source families --------------------------------

@@ -20,7 +20,7 @@ from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from aerolytics.constants import (CLUSTER_DESCRIPTIONS, DBSCAN_EPS, DBSCAN_MIN_POINTS,
@@ -31,58 +31,69 @@ def with_vector(df: DataFrame, cols, out: str = "features") -> DataFrame:
     return VectorAssembler(inputCols=list(cols), outputCol=out, handleInvalid="keep").transform(df)
 
 
-def _sqdist(cols, a_prefix="", b_prefix="c_"):
-    return sum(((F.col(f"{a_prefix}{c}") - F.col(f"{b_prefix}{c}")) ** 2 for c in cols), F.lit(0.0))
+def _sqdist_to(cols, centre) -> Column:
+    return sum(((F.col(c) - F.lit(float(v))) ** 2 for c, v in zip(cols, centre)), F.lit(0.0))
+
+
+def cluster_stats(points: DataFrame, cols, label: str):
+    """Per-cluster count, mean vector and mean squared norm: k rows, collected (bounded by
+    the number of clusters, a model parameter)."""
+    x2 = sum((F.col(c) * F.col(c) for c in cols), F.lit(0.0))
+    rows = points.groupBy(label).agg(F.count(F.lit(1)).alias("_n"), F.avg(x2).alias("_y2"),
+                                     *[F.avg(c).alias(f"_mu_{i}") for i, c in enumerate(cols)]
+                                     ).collect()
+    return [(r[label], r["_n"], r["_y2"], [r[f"_mu_{i}"] for i in range(len(cols))]) for r in rows]
 
 
 def assign_nearest(points: DataFrame, centres: DataFrame, cols, key: str,
                    centre_key: str = "cluster") -> DataFrame:
     """Nearest centre by squared Euclidean distance; ties -> smaller centre id.
 
-    ``centres`` has k rows (k is a model parameter), so broadcasting it is bounded.
+    The k centres (a model parameter) become literals, so scoring is one projection with
+    no join, like ``KMeansModel.transform``.
     """
-    c = centres.select(F.col(centre_key).alias("_cid"), *[F.col(x).alias(f"c_{x}") for x in cols])
-    j = points.crossJoin(F.broadcast(c)).withColumn("_d", _sqdist(cols))
-    best = j.groupBy(key).agg(F.min(F.struct("_d", "_cid")).alias("_b"))
-    return best.select(key, F.col("_b._cid").alias(centre_key))
+    cs = centres.select(centre_key, *cols).collect()
+    best = F.least(*[F.struct(_sqdist_to(cols, [r[c] for c in cols]).alias("d"),
+                              F.lit(r[centre_key]).alias("id")) for r in cs])
+    return points.select(key, best["id"].alias(centre_key))
 
 
 def silhouette_sq(points: DataFrame, cols, key: str, label: str = "cluster") -> DataFrame:
-    """Mean silhouette with squared Euclidean distance, exact via cluster aggregates."""
+    """Mean silhouette with squared Euclidean distance, exact from cluster aggregates:
+    one aggregate for the k cluster statistics, one pass over the points."""
+    stats = cluster_stats(points, cols, label)
     x2 = sum((F.col(c) * F.col(c) for c in cols), F.lit(0.0))
-    stats = points.groupBy(label).agg(
-        F.count(F.lit(1)).alias("n_c"), F.avg(x2).alias("y2_c"),
-        *[F.avg(c).alias(f"mu_{c}") for c in cols])
-    k = stats.select(F.col(label).alias("_other"), "n_c", "y2_c",
-                     *[F.col(f"mu_{c}") for c in cols])
-    pts = points.select(key, label, *cols, x2.alias("_x2"))
-    dot = sum((F.col(c) * F.col(f"mu_{c}") for c in cols), F.lit(0.0))
-    j = pts.crossJoin(F.broadcast(k)).withColumn("_m", F.col("_x2") - 2 * dot + F.col("y2_c"))
-    own = F.col(label) == F.col("_other")
-    per = j.groupBy(key, label).agg(
-        # own cluster: exclude the point itself (its distance to itself is 0)
-        F.max(F.when(own, F.col("_m") * F.col("n_c") / (F.col("n_c") - 1))).alias("a"),
-        F.max(F.when(own, F.col("n_c"))).alias("n_own"),
-        F.min(F.when(~own, F.col("_m"))).alias("b"))
-    s = F.when(F.col("n_own") <= 1, F.lit(0.0)).otherwise(
-        (F.col("b") - F.col("a")) / F.greatest(F.col("a"), F.col("b")))
-    return per.agg(F.avg(s).alias("silhouette"))
+
+    def mean_sq(mu, y2):  # mean squared distance from the point to all members
+        return x2 - 2 * sum((F.col(c) * F.lit(float(m)) for c, m in zip(cols, mu)), F.lit(0.0)) \
+            + F.lit(float(y2))
+
+    own_n = F.lit(None).cast("long")
+    a = F.lit(None).cast("double")
+    others = []
+    for lab, n, y2, mu in stats:
+        is_own = F.col(label) == F.lit(lab)
+        own_n = F.when(is_own, F.lit(n)).otherwise(own_n)
+        a = F.when(is_own, mean_sq(mu, y2) * n / max(n - 1, 1)).otherwise(a)
+        others.append(F.when(~is_own, mean_sq(mu, y2)))
+    b = F.least(*others) if len(others) > 1 else F.lit(None).cast("double")
+    s = F.when(own_n <= 1, F.lit(0.0)).otherwise((b - a) / F.greatest(a, b))
+    return points.agg(F.avg(s).alias("silhouette"))
 
 
 def calinski_harabasz(points: DataFrame, cols, label: str = "cluster") -> DataFrame:
-    """Between / within dispersion ratio, from per-cluster and global sums."""
-    g = points.agg(F.count(F.lit(1)).alias("n"), *[F.avg(c).alias(f"g_{c}") for c in cols])
-    per = points.groupBy(label).agg(F.count(F.lit(1)).alias("n_c"),
-                                    *[F.avg(c).alias(f"m_{c}") for c in cols])
-    k = per.agg(F.count(F.lit(1)).alias("k"))
-    between = per.crossJoin(F.broadcast(g)).agg(
-        F.sum(F.col("n_c") * sum(((F.col(f"m_{c}") - F.col(f"g_{c}")) ** 2 for c in cols),
-                                 F.lit(0.0))).alias("B"))
-    within = points.join(F.broadcast(per), on=label).agg(  # k rows: bounded
-        F.sum(sum(((F.col(c) - F.col(f"m_{c}")) ** 2 for c in cols), F.lit(0.0))).alias("W"))
-    return (between.crossJoin(within).crossJoin(g.select("n")).crossJoin(k)
-            .select(((F.col("B") / (F.col("k") - 1)) / (F.col("W") / (F.col("n") - F.col("k"))))
-                    .alias("calinski_harabasz")))
+    """Between / within dispersion ratio from the k cluster statistics and one pass."""
+    stats = cluster_stats(points, cols, label)
+    n = sum(r[1] for r in stats)
+    k = len(stats)
+    g = [sum(r[1] * r[3][i] for r in stats) / n for i in range(len(cols))]
+    between = sum(r[1] * sum((m - gi) ** 2 for m, gi in zip(r[3], g)) for r in stats)
+    own = None
+    for lab, _, _, mu in stats:
+        d = _sqdist_to(cols, mu)
+        own = F.when(F.col(label) == F.lit(lab), d) if own is None else own.when(F.col(label) == F.lit(lab), d)
+    within = F.sum(own)
+    return points.agg(((F.lit(between) / (k - 1)) / (within / (n - k))).alias("calinski_harabasz"))
 
 
 def kmeans_select(points: DataFrame, cols, k_range=KMEANS_K_RANGE,

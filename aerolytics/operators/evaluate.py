@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from aerolytics.constants import GATE_MAX_RMSE, GATE_MIN_ACCURACY
+from aerolytics.functions.scalar import one_row
 
 MODEL_RUNS_SCHEMA = "task string, model string, trained_order int, metric string, value double"
 
@@ -39,20 +40,22 @@ def classification_metrics(df: DataFrame, truth: str = "y", pred: str = "p", by=
     """Accuracy and macro F1 over the union of true and predicted classes (0 on 0/0)."""
     by = list(by)
     conf = confusion_matrix(df, truth, pred, by)
-    classes = (conf.select(*by, F.col("label").alias("c"))
-               .union(conf.select(*by, F.col("prediction").alias("c"))).distinct())
-    j = classes.join(conf, on=by, how="inner") if by else classes.crossJoin(conf)
-    per = j.groupBy(*by, "c").agg(
-        F.sum(F.when((F.col("label") == F.col("c")) & (F.col("prediction") == F.col("c")),
-                     F.col("count")).otherwise(0)).alias("tp"),
-        F.sum(F.when(F.col("label") == F.col("c"), F.col("count")).otherwise(0)).alias("st"),
-        F.sum(F.when(F.col("prediction") == F.col("c"), F.col("count")).otherwise(0)).alias("sp"))
+    # every confusion cell counts once for its true class and once for its predicted
+    # class: per class true positives (tp), true support (st), predicted support (sp);
+    # the classes are the union of both sides
+    hit = F.when(F.col("label") == F.col("prediction"), F.col("count")).otherwise(F.lit(0))
+    sides = F.explode(F.array(
+        F.struct(F.col("label").alias("c"), hit.alias("tp"), F.col("count").alias("st"),
+                 F.lit(0).cast("long").alias("sp")),
+        F.struct(F.col("prediction").alias("c"), F.lit(0).cast("long").alias("tp"),
+                 F.lit(0).cast("long").alias("st"), F.col("count").alias("sp"))))
+    per = (conf.select(*by, sides.alias("e")).select(*by, "e.*")
+           .groupBy(*by, "c").agg(F.sum("tp").alias("tp"), F.sum("st").alias("st"),
+                                  F.sum("sp").alias("sp")))
     f1 = F.when(F.col("st") + F.col("sp") == 0, F.lit(0.0)) \
         .otherwise(2.0 * F.col("tp") / (F.col("st") + F.col("sp")))
-    macro = per.groupBy(*by).agg(F.avg(f1).alias("f1_macro"))
-    acc_aggs = [F.avg((F.col(truth) == F.col(pred)).cast("double")).alias("accuracy")]
-    acc = df.groupBy(*by).agg(*acc_aggs) if by else df.agg(*acc_aggs)
-    return acc.join(macro, on=by, how="inner") if by else acc.crossJoin(macro)
+    aggs = [(F.sum("tp") / F.sum("st")).alias("accuracy"), F.avg(f1).alias("f1_macro")]
+    return per.groupBy(*by).agg(*aggs) if by else per.agg(*aggs)
 
 
 def metrics_to_runs(metrics: DataFrame, task: str, model_col: str = "model",
@@ -101,12 +104,11 @@ def moments(df: DataFrame, x: str = "residual") -> DataFrame:
     """Mean, sample std, population skewness and excess kurtosis, written out from central
     moments (engines disagree on the built-in corrections)."""
     n = F.count(F.col(x)).cast("double")
-    mu = F.avg(F.col(x))
-    base = df.agg(n.alias("_n"), mu.alias("_mu"))
-    j = df.select(x).crossJoin(F.broadcast(base))  # one row
-    d = F.col(x) - F.col("_mu")
-    m = j.agg(F.first("_n").alias("n"), F.first("_mu").alias("mean"),
-              F.avg(d * d).alias("m2"), F.avg(d * d * d).alias("m3"), F.avg(d * d * d * d).alias("m4"))
+    base = df.agg(n.alias("_n"), F.avg(F.col(x)).alias("_mu"))
+    mu = one_row(base)["_mu"]
+    d = F.col(x) - mu
+    m = df.agg(F.count(F.col(x)).cast("double").alias("n"), F.avg(F.col(x)).alias("mean"),
+               F.avg(d * d).alias("m2"), F.avg(d * d * d).alias("m3"), F.avg(d * d * d * d).alias("m4"))
     return m.select(
         F.col("n").cast("long").alias("n"), "mean",
         F.sqrt(F.col("m2") * F.col("n") / (F.col("n") - 1)).alias("std"),
@@ -117,7 +119,8 @@ def moments(df: DataFrame, x: str = "residual") -> DataFrame:
 def histogram(df: DataFrame, x: str = "residual", bins: int = 10) -> DataFrame:
     """Equal-width histogram between min and max: bin, lower edge, upper edge, count."""
     rng = df.agg(F.min(x).alias("_lo"), F.max(x).alias("_hi"))
-    j = df.select(x).filter(F.col(x).isNotNull()).crossJoin(F.broadcast(rng))  # one row
+    s = one_row(rng)
+    j = df.select(x).filter(F.col(x).isNotNull()).select(x, s["_lo"].alias("_lo"), s["_hi"].alias("_hi"))
     width = (F.col("_hi") - F.col("_lo")) / bins
     b = F.when(width == 0, F.lit(0)).otherwise(
         F.least(F.floor((F.col(x) - F.col("_lo")) / width), F.lit(bins - 1))).cast("int")

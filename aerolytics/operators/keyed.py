@@ -171,7 +171,7 @@ def running_totals(df: DataFrame, keys: list[str], order: str, cols: list[str],
     # one row per key; AQE broadcasts it from the measured stage size or splits a hot
     # key's partition (skew join), so no key is pulled into one task by this join
     bucketed = (df.join(bounds, on=keys, how="inner") if keys
-                else df.crossJoin(F.broadcast(bounds))) \
+                else df.withColumn("_bounds", bounds.select("_bounds").scalar())) \
         .withColumn(BUCKET, b).drop("_bounds")
     in_bucket = Window.partitionBy(*key_cols, F.col(BUCKET)).orderBy(order) \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)

@@ -112,9 +112,11 @@ MEAN_COLS = [f"{m}_mean" for m in _MEASURES]
 
 
 def scaled_profile(spark, sf_dir, cols=PROFILE_COLS):
+    """Standardised per-supplier profile. One row per entity, so it is cached: the
+    multi-pass cluster statistics then read it instead of re-scanning the fact table."""
     li = table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("station"), *_MEASURES)
     prof = station_profile(li, "station", _MEASURES).select("station", *cols)
-    return scale_standard(prof, list(cols))
+    return scale_standard(prof, list(cols)).cache()
 
 
 def _profile_sql(cols) -> str:
