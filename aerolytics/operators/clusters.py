@@ -35,6 +35,10 @@ def _sqdist_to(cols, centre) -> Column:
     return sum(((F.col(c) - F.lit(float(v))) ** 2 for c, v in zip(cols, centre)), F.lit(0.0))
 
 
+def _least(cols):
+    return cols[0] if len(cols) == 1 else F.least(*cols)
+
+
 def cluster_stats(points: DataFrame, cols, label: str):
     """Per-cluster count, mean vector and mean squared norm: k rows, collected (bounded by
     the number of clusters, a model parameter)."""
@@ -53,11 +57,31 @@ def assign_nearest(points: DataFrame, centres: DataFrame, cols, key: str,
     no join, like ``KMeansModel.transform``.
     """
     cs = centres.select(centre_key, *cols).collect()
-    best = F.least(*[F.struct(_sqdist_to(cols, [r[c] for c in cols]).alias("d"),
-                              F.lit(r[centre_key]).alias("id")) for r in cs])
+    best = _least([F.struct(_sqdist_to(cols, [r[c] for c in cols]).alias("d"),
+                            F.lit(r[centre_key]).alias("id")) for r in cs])
     return points.select(key, best["id"].alias(centre_key))
 
 
+def assign_profile(centres, rows: DataFrame, features, key: str, mean, std,
+                   pad: bool = False) -> DataFrame:
+    """Cluster assignment of raw profile rows (H20): standardise with the training
+    statistics, then the nearest of the model's centres (``KMeansModel.clusterCenters()``).
+
+    The complete profile is required; ``pad=True`` reproduces the reference's scoring,
+    where absent profile columns count as 0 before scaling.
+    """
+    missing = [c for c in features if c not in rows.columns]
+    if missing and not pad:
+        raise ValueError(f"profile columns missing: {missing}")
+    scaled = rows.select(key, *[
+        ((F.coalesce(F.col(c), F.lit(0.0)) if c in rows.columns else F.lit(0.0)) - F.lit(float(m)))
+        / F.lit(float(s) if s else 1.0) for c, m, s in zip(features, mean, std)])
+    scaled = scaled.toDF(key, *features)
+    best = _least([F.struct(_sqdist_to(features, list(c)).alias("d"), F.lit(i).alias("id"))
+                   for i, c in enumerate(centres)])
+    return scaled.select(key, best["id"].alias("cluster"))
+
+
 def silhouette_sq(points: DataFrame, cols, key: str, label: str = "cluster") -> DataFrame:
     """Mean silhouette with squared Euclidean distance, exact from cluster aggregates:
     one aggregate for the k cluster statistics, one pass over the points."""

@@ -204,7 +204,9 @@ FOURIER = (("daily", 1.0, 4), ("weekly", 7.0, 3), ("yearly", 365.25, 10))
 
 def fourier_columns(time: str, terms=FOURIER):
     """sin/cos(2 pi k t / P) with t in days since the epoch, for each (name, P, K)."""
-    t = F.unix_micros(F.col(time).cast("timestamp")) / F.lit(DAY_S * 1e6)
+    # wall-clock days since 1970-01-01 of a naive timestamp: independent of the session zone
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    t = F.timestamp_diff("MICROSECOND", epoch, F.col(time)).cast("double") / F.lit(DAY_S * 1e6)
     cols = []
     for name, period, order in terms:
         for k in range(1, order + 1):

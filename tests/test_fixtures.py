@@ -132,3 +132,30 @@ def test_silhouette_and_ch_match_numpy(spark):
     wsum = sum(((pts[lab == c] - pts[lab == c].mean(0)) ** 2).sum() for c in range(3))
     ch = clusters.calinski_harabasz(df, ["x", "y"]).first()[0]
     assert ch == pytest.approx((bsum / 2) / (wsum / (45 - 3)), rel=1e-9)
+
+
+def test_model_save_load_and_profile_assignment(spark, tmp_path):
+    from pyspark.ml.clustering import KMeans
+    from aerolytics.operators import clusters, models
+    df = spark.createDataFrame([(i, float(i % 3) * 10 + 0.1 * i, float(i % 3)) for i in range(30)],
+                               "id int, a double, b double")
+    pipe = models._pipeline(["a"], models.regressors("b", 0.0)[2][1])
+    m = pipe.fit(df)
+    models.save_model(m, str(tmp_path / "m"))
+    back = models.load_model(str(tmp_path / "m"))
+    assert back is not None and models.load_model(str(tmp_path / "none")) is None
+    a = sorted(r.prediction for r in m.transform(df).collect())
+    b = sorted(r.prediction for r in back.transform(df).collect())
+    assert a == pytest.approx(b)
+    stats = df.agg(F.avg("a"), F.stddev_pop("a"), F.avg("b"), F.stddev_pop("b")).first()
+    mean, std = [stats[0], stats[2]], [stats[1], stats[3]]
+    from aerolytics.operators.clean import scale_standard
+    z = clusters.with_vector(scale_standard(df, ["a", "b"]), ["a", "b"])
+    km = KMeans(k=3, seed=1).fit(z)
+    got = clusters.assign_profile([c.tolist() for c in km.clusterCenters()], df, ["a", "b"], "id", mean, std)
+    want = km.transform(z).select("id", F.col("prediction").alias("cluster"))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    with pytest.raises(ValueError):
+        clusters.assign_profile([[0, 0]], df.select("id", "a"), ["a", "b"], "id", mean, std)
+    padded = clusters.assign_profile([[0, 0]], df.select("id", "a"), ["a", "b"], "id", mean, std, pad=True)
+    assert padded.count() == 30
