@@ -17,7 +17,7 @@ from aerolytics.constants import (AQI_CATEGORIES, NUMERIC, POLLUTANTS, SENSOR_SE
 from aerolytics.functions.aqi import category_to_code
 from aerolytics.functions.scalar import clip, coerce_double, decimal_comma_double, one_row
 from aerolytics.operators.features import forward_fill
-from aerolytics.operators.keyed import median_by_key
+from aerolytics.operators.keyed import POS, group_positions, median_by_key
 
 NUMERIC_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
                  T.DoubleType, T.DecimalType)
@@ -196,15 +196,19 @@ def label_encode(df: DataFrame, col: str, out: str | None = None,
                  null_as: str | None = None) -> DataFrame:
     """Code = position in the sorted distinct values (``LabelEncoder``).
 
-    The dictionary is the distinct values (pre-aggregated), ranked in one small window and
-    joined back; AQE broadcasts it when it is small at runtime.
+    The dictionary is the distinct values (pre-aggregated), ranked without a single-task
+    sort and joined back; AQE broadcasts it when it is small at runtime. NULL stays NULL
+    unless ``null_as`` names its replacement.
     """
     out = out or f"{col}_encoded"
     src = F.coalesce(F.col(col), F.lit(null_as)) if null_as is not None else F.col(col)
     keyed = df.withColumn("__lbl", src)
-    dictionary = (keyed.select("__lbl").distinct()
-                  .select("__lbl", (F.dense_rank().over(Window.orderBy("__lbl")) - 1)
-                          .cast("int").alias(out)))
+    # exact rank of each distinct value: ranked inside 2-character prefix buckets (prefix
+    # order agrees with binary string order) plus the counts of earlier buckets
+    values = keyed.select("__lbl").distinct().filter(F.col("__lbl").isNotNull())
+    ranked = group_positions(values, [], F.substr(F.col("__lbl"), F.lit(1), F.lit(2)),
+                             [F.col("__lbl")], with_size=False)
+    dictionary = ranked.select("__lbl", F.col(POS).cast("int").alias(out))
     return keyed.join(dictionary, on="__lbl", how="left").drop("__lbl")
 
 
