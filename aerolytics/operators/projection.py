@@ -65,3 +65,12 @@ def pca_projection(df: DataFrame, cols, keep=(), variance: float = PCA_VARIANCE_
     scaled = scale_standard(complete, list(cols))
     comps, ratio, n_comp = fit_pca(scaled, list(cols), variance)
     return project(scaled, list(cols), comps, 2, keep=keep), ratio, n_comp
+
+
+def variance_table(spark, ratio, n_comp: int):
+    """Explained variance per component (from the d x d eigen-problem): component,
+    ratio, cumulative ratio, kept (within the first ``n_comp``)."""
+    import numpy as _np
+    cum = _np.cumsum(ratio)
+    rows = [(i + 1, float(r), float(c), i < n_comp) for i, (r, c) in enumerate(zip(ratio, cum))]
+    return spark.createDataFrame(rows, "component int, variance_ratio double, cumulative double, kept boolean")

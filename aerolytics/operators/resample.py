@@ -78,3 +78,13 @@ def resample_weekly(df: DataFrame, key: str = "station", time: str = "datetime",
     return (grid.join(wk, on=[key, "_week"], how="left")
             .select(key, F.date_format("_week", "yyyy-MM-dd").alias("week_end"),
                     F.round(F.coalesce(F.col("_mean"), F.lit(0.0)), places).alias("mean")))
+
+
+def station_weekly_series(df: DataFrame, station: str, allowed, key: str = "station",
+                          time: str = "datetime", value: str = "pm25") -> DataFrame:
+    """Weekly series of one requested station (§3.3). The name must be on the allow-list
+    (a path-like or unknown name is rejected before any data is read); the filter on the
+    key reaches the scan, or prunes partitions when the table is stored by station."""
+    if station not in set(allowed):
+        raise ValueError(f"unknown station {station!r}")
+    return resample_weekly(df.filter(F.col(key) == F.lit(station)), key, time, value)

@@ -264,6 +264,15 @@ def q_pca_project(spark, sf_dir):
     return _projection(spark, sf_dir)
 
 
+@register("pca_variance")
+def q_pca_variance(spark, sf_dir):
+    """Explained variance ratio of every component of the standardised measures and the
+    number of components reaching 95%."""
+    li = table(spark, sf_dir, "lineitem").select(*_MEASURES).na.drop(how="any")
+    comps, ratio, n_comp = projection.fit_pca(scale_standard(li, _MEASURES), _MEASURES)
+    return projection.variance_table(spark, ratio, n_comp)
+
+
 @register("projection_points")
 def q_projection_points(spark, sf_dir):
     """Projection table written to the shared checkpoint folder and read back; numeric

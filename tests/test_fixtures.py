@@ -159,3 +159,28 @@ def test_model_save_load_and_profile_assignment(spark, tmp_path):
         clusters.assign_profile([[0, 0]], df.select("id", "a"), ["a", "b"], "id", mean, std)
     padded = clusters.assign_profile([[0, 0]], df.select("id", "a"), ["a", "b"], "id", mean, std, pad=True)
     assert padded.count() == 30
+
+
+def test_station_request_allow_list(spark):
+    rows = [("Aotizhongxin", dt.datetime(2024, 1, 1, 3), 5.0), ("Dongsi", dt.datetime(2024, 1, 1, 3), 9.0)]
+    df = spark.createDataFrame(rows, "station string, datetime timestamp_ntz, pm25 double")
+    from aerolytics.constants import STATIONS
+    got = resample.station_weekly_series(df, "Aotizhongxin", STATIONS).collect()
+    assert [(r.station, r.week_end, r.mean) for r in got] == [("Aotizhongxin", "2024-01-07", 5.0)]
+    with pytest.raises(ValueError):
+        resample.station_weekly_series(df, "../../etc/passwd", STATIONS)
+
+
+def test_pca_variance_and_signs(spark):
+    from aerolytics.operators import projection
+    rng = np.random.default_rng(5)
+    base = rng.normal(size=(300, 1))
+    x = np.hstack([base, 2 * base + rng.normal(scale=0.1, size=(300, 1)), rng.normal(size=(300, 1))])
+    df = spark.createDataFrame([tuple(map(float, r)) for r in x], "a double, b double, c double")
+    z = (x - x.mean(0)) / x.std(0)
+    vals = np.sort(np.linalg.eigvalsh(np.cov(z.T)))[::-1]
+    comps, ratio, n = projection.fit_pca(clean.scale_standard(df, ["a", "b", "c"]), ["a", "b", "c"])
+    assert ratio == pytest.approx(vals / vals.sum(), rel=1e-9)
+    assert n == int(np.searchsorted(np.cumsum(vals / vals.sum()), 0.95, side="right") + 1)
+    for k in range(3):
+        assert comps[np.argmax(np.abs(comps[:, k])), k] > 0
