@@ -8,14 +8,13 @@ into a broadcast only when the runtime size is small.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from aerolytics.constants import (AQI_CATEGORIES, NUMERIC, POLLUTANTS, SENSOR_SENTINEL,
-                                  UCI_TIME_FORMAT)
+from aerolytics.constants import NUMERIC, POLLUTANTS, SENSOR_SENTINEL, UCI_TIME_FORMAT
 from aerolytics.functions.aqi import category_to_code
-from aerolytics.functions.scalar import clip, coerce_double, decimal_comma_double, one_row
+from aerolytics.functions.scalar import clip, coerce_double, one_row
 from aerolytics.operators.features import forward_fill
 from aerolytics.operators.keyed import POS, group_positions, median_by_key
 
@@ -281,5 +280,3 @@ def clean_sensor(raw: DataFrame, date_col: str = "Date", time_col: str = "Time")
     df = impute_median(df, numeric_columns(df))
     return drop_columns(df, [date_col, time_col])
 
-
-CATEGORY_NAMES = AQI_CATEGORIES

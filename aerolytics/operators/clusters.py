@@ -206,7 +206,6 @@ def dbscan(points: DataFrame, cols, key: str, eps: float = DBSCAN_EPS,
            max_rounds: int = 100) -> DataFrame:
     """DBSCAN labels: cluster = smallest key of its connected core component; border
     points take the smallest adjacent cluster; noise = -1."""
-    spark = points.sparkSession
     pairs = neighbour_pairs(points, cols, key, eps, grid_dims).checkpoint()
     core = (pairs.groupBy("a").agg(F.count(F.lit(1)).alias("n"))
             .filter(F.col("n") >= min_points).select(F.col("a").alias("node")))
@@ -234,7 +233,6 @@ def dbscan(points: DataFrame, cols, key: str, eps: float = DBSCAN_EPS,
            .join(labels, "node", "left").join(border, "node", "left")
            .select(F.col("node").alias(key),
                    F.coalesce("label", "border_label", F.lit(-1)).cast("long").alias("cluster_dbscan")))
-    del spark
     return out
 
 
