@@ -57,8 +57,9 @@ def assign_nearest(points: DataFrame, centres: DataFrame, cols, key: str,
     no join, like ``KMeansModel.transform``.
     """
     cs = centres.select(centre_key, *cols).collect()
+    id_type = centres.schema[centre_key].dataType
     best = _least([F.struct(_sqdist_to(cols, [r[c] for c in cols]).alias("d"),
-                            F.lit(r[centre_key]).alias("id")) for r in cs])
+                            F.lit(r[centre_key]).cast(id_type).alias("id")) for r in cs])
     return points.select(key, best["id"].alias(centre_key))
 
 

@@ -157,7 +157,7 @@ def q_scale_minmax(spark, sf_dir):
 
 @register("pad_features", oracle=f"""
 SELECT c_custkey, {R6('CAST(c_acctbal AS DOUBLE)')} AS c_acctbal, {R6('CAST(c_nationkey AS DOUBLE)')} AS c_nationkey,
-  0.0 AS c_rating
+  CAST(0.0 AS DOUBLE) AS c_rating
 FROM customer
 """)
 def q_pad_features(spark, sf_dir):
