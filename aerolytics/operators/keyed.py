@@ -62,12 +62,28 @@ class KeyedFrame:
         return F.col(f"_carry_{value}") if self.chunked else None
 
 
+_CHECKS: dict = {}
+
+
+def _memo(kind: str, df: DataFrame, keys, compute):
+    """Remember a strategy check per input plan (semantic hash). A check only chooses
+    between two plans that give identical results, so a stale answer costs time, never
+    correctness."""
+    k = (kind, df.semanticHash(), tuple(keys))
+    if k not in _CHECKS:
+        _CHECKS[k] = compute()
+    return _CHECKS[k]
+
+
+def _largest_key(df: DataFrame, keys: list[str]) -> int:
+    if keys:
+        return df.groupBy(*keys).count().agg(F.max("count").alias("m")).first()["m"] or 0
+    return df.count()
+
+
 def choose_chunked(df: DataFrame, keys: list[str], max_rows_per_task: int) -> bool:
     """One small aggregate: is any key larger than what one task should sort?"""
-    if keys:
-        biggest = (df.groupBy(*keys).count().agg(F.max("count").alias("m")).first()["m"])
-    else:
-        biggest = df.count()
+    biggest = _memo("rows", df, keys, lambda: _largest_key(df, keys))
     return bool(biggest and biggest > max_rows_per_task)
 
 
@@ -199,7 +215,9 @@ def median_by_key(df: DataFrame, keys: list[str], col: str, out: str = "median",
     per key (HyperLogLog); the built-in exact ``median`` aggregate is used when they fit
     one buffer, the distributed form otherwise.
     """
-    if mode == "aggregate" or (mode == "auto" and _max_distinct(df, keys, col) <= max_distinct):
+    if mode == "aggregate" or (mode == "auto" and _memo(f"distinct:{col}", df, keys,
+                                                        lambda: _max_distinct(df, keys, col))
+                               <= max_distinct):
         # checked: every key's distinct values fit one aggregation buffer
         agg = [F.median(F.col(col)).cast("double").alias(out)]
         return df.groupBy(*keys).agg(*agg) if keys else df.agg(*agg)
