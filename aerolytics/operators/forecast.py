@@ -39,7 +39,8 @@ def check_horizon(h: int) -> int:
 
 # --- Gram aggregate and per-key solve --------------------------------------------------
 
-def gram_by_key(df: DataFrame, key: str, x_cols, y_col: str) -> DataFrame:
+def gram_by_key(df: DataFrame, key: str, x_cols, y_col: str,
+                max_open_keys: int = 4096) -> DataFrame:
     """Per key: n, X'X (row-major p*p), X'y (p), y'y — rows with NULLs are skipped.
 
     Partial sums per task (numpy), then one shuffle of p*p+p+2 numbers per key per task.
@@ -48,7 +49,14 @@ def gram_by_key(df: DataFrame, key: str, x_cols, y_col: str) -> DataFrame:
     p = len(x_cols)
     key_type = df.schema[key].dataType.simpleString()
 
+    def emit(acc):
+        for k, vec in acc.items():
+            yield pd.DataFrame({key: [k] * len(vec), "idx": np.arange(len(vec), dtype=np.int32),
+                                "v": vec})
+
     def partial(batches):
+        # per-task partial sums; flushed when many keys are open, so task memory stays
+        # bounded by max_open_keys * p^2 whatever the number of keys in the partition
         acc: dict = {}
         for pdf in batches:
             pdf = pdf.dropna()
@@ -58,9 +66,10 @@ def gram_by_key(df: DataFrame, key: str, x_cols, y_col: str) -> DataFrame:
                 cur = acc.get(k)
                 vec = np.concatenate([(x.T @ x).ravel(), x.T @ y, [y @ y, len(y)]])
                 acc[k] = vec if cur is None else cur + vec
-        for k, vec in acc.items():
-            yield pd.DataFrame({key: [k] * len(vec), "idx": np.arange(len(vec), dtype=np.int32),
-                                "v": vec})
+            if len(acc) >= max_open_keys:
+                yield from emit(acc)
+                acc = {}
+        yield from emit(acc)
 
     parts = df.select(key, *x_cols, y_col).mapInPandas(
         partial, schema=f"{key} {key_type}, idx int, v double")
