@@ -167,12 +167,47 @@ def forecast_arma(series: DataFrame, key: str = "station", time: str = "datetime
                   long_ar: int = AR_LONG) -> DataFrame:
     """Recursive ``horizon``-step forecast of the level, clipped at 0: key, step, time, yhat.
 
-    Future innovations are 0; the last two differences and residuals seed the recursion.
+    Future innovations are 0; the last two differences and residuals seed the recursion,
+    which runs as a JVM higher-order function (:func:`arma_recursion`).
     """
     check_horizon(horizon)
+    state = arma_state(series, key, time, value, long_ar)
+    out = arma_recursion(state, key, horizon)
+    return out.withColumnRenamed("datetime", time) if time != "datetime" else out
+
+
+def arma_recursion(state: DataFrame, key: str, horizon: int) -> DataFrame:
+    """h-step recursion from a per-key state (coef, level, last_time, dl1, dl2, el1, el2):
+    ``aggregate(sequence(1, h), ...)`` over a struct accumulator, a JVM higher-order
+    function (no Python), then ``posexplode`` into (key, step, datetime, yhat)."""
+    check_horizon(horizon)
+    c = [F.col("coef")[i] for i in range(5)]
+    z = F.lit(0.0)
+    init = F.struct(F.coalesce(F.col("dl1"), z).alias("d1"), F.coalesce(F.col("dl2"), z).alias("d2"),
+                    F.coalesce(F.col("el1"), z).alias("e1"), F.coalesce(F.col("el2"), z).alias("e2"),
+                    F.col("level").cast("double").alias("level"),
+                    F.array().cast("array<double>").alias("preds"))
+
+    def step(acc, _):
+        dh = c[0] + c[1] * acc["d1"] + c[2] * acc["d2"] + c[3] * acc["e1"] + c[4] * acc["e2"]
+        level = acc["level"] + dh
+        return F.struct(dh.alias("d1"), acc["d1"].alias("d2"), z.alias("e1"), acc["e1"].alias("e2"),
+                        level.alias("level"),
+                        F.concat(acc["preds"], F.array(F.greatest(level, z))).alias("preds"))
+
+    preds = F.aggregate(F.sequence(F.lit(1), F.lit(horizon)), init, step)["preds"]
+    return (state.select(key, "last_time", F.posexplode(preds).alias("pos", "yhat"))
+            .select(key, (F.col("pos") + 1).alias("step"),
+                    F.timestamp_add("HOUR", F.col("pos") + 1, F.col("last_time")).alias("datetime"),
+                    "yhat"))
+
+
+def arma_state(series: DataFrame, key: str = "station", time: str = "datetime",
+               value: str = "pm25", long_ar: int = AR_LONG) -> DataFrame:
+    """Per-key forecasting state (coefficients + last level, differences, residuals), the
+    table a serving job keeps to answer any horizon without refitting."""
     with_e, coefs = _fit_arma_stages(series, key, time, value, long_ar)
     w = Window.partitionBy(key).orderBy(F.col(time).desc())
-    # the two most recent steps seed the recursion (top-2 per key, limited map-side)
     tail = (with_e.withColumn("e", F.coalesce(F.col("e"), F.lit(0.0)))
             .withColumn("_rk", F.row_number().over(w)).filter(F.col("_rk") <= 2))
     seed = tail.groupBy(key).agg(
@@ -182,28 +217,15 @@ def forecast_arma(series: DataFrame, key: str = "station", time: str = "datetime
         F.max(F.when(F.col("_rk") == 2, F.col("d"))).alias("dl2"),
         F.max(F.when(F.col("_rk") == 1, F.col("e"))).alias("el1"),
         F.max(F.when(F.col("_rk") == 2, F.col("e"))).alias("el2"))
-    j = seed.join(coefs.select(key, "coef"), on=key)
-    key_type = series.schema[key].dataType.simpleString()
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        rows = []
-        for _, r in pdf.iterrows():
-            c, p1, p2, t1, t2 = (list(r["coef"]) + [0.0] * 5)[:5]
-            d1, d2 = float(np.nan_to_num(r["dl1"])), float(np.nan_to_num(r["dl2"]))
-            e1, e2 = float(np.nan_to_num(r["el1"])), float(np.nan_to_num(r["el2"]))
-            level = float(r["level"])
-            for h in range(1, horizon + 1):
-                dh = c + p1 * d1 + p2 * d2 + t1 * e1 + t2 * e2
-                level += dh
-                rows.append({key: r[key], "step": h,
-                             "datetime": r["last_time"] + pd.Timedelta(hours=h),
-                             "yhat": max(level, 0.0)})
-                d1, d2, e1, e2 = dh, d1, 0.0, e1
-        return pd.DataFrame(rows, columns=[key, "step", "datetime", "yhat"])
-
-    out = j.groupBy(key).applyInPandas(
-        run, schema=f"{key} {key_type}, step int, datetime timestamp_ntz, yhat double")
-    return out.withColumnRenamed("datetime", time) if time != "datetime" else out
+    return seed.join(coefs.select(key, "coef"), on=key)
+
+
+def serve_forecast(state: DataFrame, horizon: int, key: str = "station",
+                   station: str | None = None) -> DataFrame:
+    """Forecast request (H17): horizon 1..72 from the saved state, for one station or all."""
+    if station is not None:
+        state = state.filter(F.col(key) == F.lit(station))
+    return arma_recursion(state, key, horizon)
 
 
 # --- additive model -------------------------------------------------------------------

@@ -17,7 +17,9 @@ SERIES_SQL = interp_sql(hourly_sql(READINGS_TYPE))
 
 
 def hourly_series(spark, sf_dir):
-    return resample.prepare_series(readings(spark, sf_dir).drop("event_id"))
+    """Hourly series per station (one row per station-hour, bounded by the time span),
+    cached: every forecaster reads it in several stages, the raw table is scanned once."""
+    return resample.prepare_series(readings(spark, sf_dir).drop("event_id")).cache()
 
 
 @register("forecast_seasonal", oracle=f"""

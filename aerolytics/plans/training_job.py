@@ -87,6 +87,8 @@ def run(spark: SparkSession, src_root: str, out_dir: str, small: bool = False) -
 
     series = prepare_series(readings.select("station", "datetime", "pm25")).cache()
     runs_t = _forecast_runs(series)
+    # serving state refitted on the full series (evaluation held out the last 24 hours)
+    files.write_table(forecast.arma_state(series), os.path.join(out_dir, "forecast_state"))
 
     scaled = clean.scale_standard(profile, prof_cols).cache()
     km, k, sil, _ = clusters.kmeans_select(scaled, prof_cols, restarts=restarts)

@@ -126,3 +126,10 @@ def test_training_job_end_to_end(spark, tmp_path):
     assert spark.read.parquet(out + "/features").select("station").distinct().count() == 5
     assert spark.read.parquet(out + "/safety_profile").count() == 5 * 24
     assert os.path.exists(out + "/models/regressor") and os.path.exists(out + "/models/classifier")
+    from aerolytics.operators import forecast
+    state = spark.read.parquet(out + "/forecast_state")
+    one = forecast.serve_forecast(state, 72, station=STATIONS[0]).collect()
+    assert len(one) == 72 and all(r.yhat >= 0 for r in one)
+    assert forecast.serve_forecast(state, 1).count() == 5
+    with pytest.raises(ValueError):
+        forecast.serve_forecast(state, 0)
