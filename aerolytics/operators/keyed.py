@@ -7,7 +7,9 @@ frames only look back a bounded number of rows (``halo``), so the work splits ex
 
 1. ``pos`` = global row number of each row inside its key, computed without a global
    sort: row_number inside (key, time bucket) plus the running count of earlier buckets
-   (a small pre-aggregated table, one row per (key, bucket)).
+   (a small pre-aggregated table, one row per (key, bucket)). Buckets are per-key
+   approximate time quantiles, so they stay balanced even if a third of a key's rows
+   fall on one day.
 2. ``chunk = pos div chunk_rows``; the last ``halo`` rows of every chunk are copied into
    the next chunk as ghost rows, so a frame of up to ``halo`` preceding rows is complete.
 3. The feature window runs on ``partitionBy(key, chunk).orderBy(pos)``; ghosts are
@@ -89,7 +91,7 @@ def choose_chunked(df: DataFrame, keys: list[str], max_rows_per_task: int) -> bo
 
 def keyed_frame(df: DataFrame, keys: list[str], order: list[str], halo: int,
                 mode: str = "auto", chunk_rows: int = DEFAULT_CHUNK_ROWS,
-                bucket_unit: str = "day", carry: list[str] | None = None,
+                groups: int = 16, carry: list[str] | None = None,
                 max_rows_per_task: int = DEFAULT_MAX_ROWS_PER_TASK) -> KeyedFrame:
     """Prepare ``df`` for windows ordered by ``order`` within ``keys``.
 
@@ -105,8 +107,9 @@ def keyed_frame(df: DataFrame, keys: list[str], order: list[str], halo: int,
     if chunk_rows < halo:
         raise ValueError("chunk_rows must be at least the halo")
 
-    positioned = group_positions(df, keys, F.date_trunc(bucket_unit, F.col(order[0])),
-                                 [F.col(o) for o in order], with_size=False)
+    bounded = with_time_bounds(df, keys, order[0], groups)
+    positioned = group_positions(bounded, keys, time_bucket(order[0], groups),
+                                 [F.col(o) for o in order], with_size=False).drop("_bounds")
     base_chunk = F.floor(F.col(POS) / F.lit(chunk_rows)).cast("long")
     in_halo = (F.col(POS) % F.lit(chunk_rows)) >= F.lit(chunk_rows - halo)
     shift = F.explode(F.when(in_halo, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
@@ -131,6 +134,28 @@ def keyed_frame(df: DataFrame, keys: list[str], order: list[str], halo: int,
     return KeyedFrame(ghosted, keys, order, True, helpers)
 
 
+def _micros(time: str) -> Column:
+    """Zone-independent microseconds of a timestamp (naive or not) for bucketing."""
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.timestamp_diff("MICROSECOND", epoch, F.col(time).cast("timestamp_ntz"))
+
+
+def with_time_bounds(df: DataFrame, keys: list[str], time: str, groups: int = 16) -> DataFrame:
+    """Add ``_bounds``: ``groups**2 - 1`` approximate quantiles of each key's times (one
+    bounded aggregate per key; joined on the key, AQE broadcasts it when small)."""
+    n = groups * groups
+    fracs = F.array(*[F.lit(i / n) for i in range(1, n)])
+    bounds = df.groupBy(*keys).agg(F.percentile_approx(_micros(time), fracs, 10_000).alias("_bounds"))
+    if keys:
+        return df.join(bounds, on=keys, how="inner")
+    return df.withColumn("_bounds", bounds.select("_bounds").scalar())
+
+
+def time_bucket(time: str, groups: int = 16) -> Column:
+    """Balanced, monotone time bucket from ``_bounds`` (see :func:`with_time_bounds`)."""
+    return bucket_of(F.col("_bounds"), _micros(time), groups)
+
+
 def group_positions(df: DataFrame, keys: list[str], bucket: Column, order: list[Column],
                     with_size: bool = True) -> DataFrame:
     """Add ``_pos`` (0-based rank of each row inside its key by ``order``) and, optionally,
