@@ -46,3 +46,16 @@ def hour_window_label(hour) -> Column:
     """``HH:00 – HH:00`` label; hour 23 ends at ``24:00``."""
     h = _col(hour).cast("int")
     return F.format_string("%02d:00 – %02d:00", h, h + 1)
+
+
+def ntz_to_instant(ts) -> Column:
+    """Naive wall-clock -> instant, read as UTC whatever the session zone (for watermarks
+    and event-time windows, which need TIMESTAMP)."""
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", epoch, _col(ts)))
+
+
+def instant_to_ntz(ts) -> Column:
+    """Inverse of :func:`ntz_to_instant` (UTC wall-clock, session-zone independent)."""
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.timestamp_add("MICROSECOND", F.unix_micros(_col(ts)), epoch)

@@ -7,8 +7,9 @@
   values (bounded state) carried across micro-batches by ``applyInPandasWithState``.
   A row older than the newest time already in state is counted and dropped.
 
-``withWatermark`` needs a ``timestamp`` (not ``timestamp_ntz``), so event time is cast
-with the session zone pinned to UTC.
+``withWatermark`` needs a ``timestamp`` (not ``timestamp_ntz``), so naive event time is
+read as UTC wall-clock with zone-free conversions (windows align with wall-clock hours in
+any session zone).
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
 from aerolytics.constants import PM25_LAGS, ROLLING_WINDOWS
+from aerolytics.functions.calendar import instant_to_ntz, ntz_to_instant
 from aerolytics.session import ensure_checkpoint_dir
 
 
@@ -44,10 +46,11 @@ def scratch(spark: SparkSession, name: str) -> str:
 def hourly_mean_stream(stream: DataFrame, key: str = "station", time: str = "datetime",
                        value: str = "pm25", delay: str = "1 hour") -> DataFrame:
     """Watermarked tumbling-hour mean per key (append mode)."""
-    t = F.col(time).cast("timestamp")
+    t = ntz_to_instant(time) if stream.schema[time].dataType.simpleString() == "timestamp_ntz" \
+        else F.col(time)
     s = stream.select(F.col(key), t.alias("_t"), F.col(value)).withWatermark("_t", delay)
     agg = s.groupBy(F.window("_t", "1 hour").alias("_w"), F.col(key)).agg(F.avg(value).alias(value))
-    return agg.select(key, F.col("_w.start").cast("timestamp_ntz").alias(time), value)
+    return agg.select(key, instant_to_ntz(F.col("_w.start")).alias(time), value)
 
 
 def run_to_table(spark: SparkSession, df: DataFrame, name: str, mode: str = "append") -> DataFrame:
@@ -79,20 +82,22 @@ def lag_state_stream(stream: DataFrame, key: str = "station", time: str = "datet
         out_cols += [f"{value}_roll_mean{w}", f"{value}_roll_std{w}"]
     out_schema = (f"{id_col} long, {key} {key_type}, {time} timestamp_ntz, {value} double, "
                   + ", ".join(f"{c} double" for c in out_cols) + ", late_dropped long")
-    state_schema = "last_time timestamp, vals array<double>"
+    # last event time as naive microseconds: no zone conversion between Arrow, pandas and state
+    state_schema = "last_us long, vals array<double>"
 
     def step(k, batches, state):
         if state.exists:
-            last_time, vals = state.get
+            last_us, vals = state.get
             vals = list(vals)
         else:
-            last_time, vals = None, []
+            last_us, vals = None, []
         pdf = pd.concat(list(batches), ignore_index=True).sort_values([time, id_col])
+        us = pdf[time].astype("datetime64[us]").astype("int64")
         late = 0
-        if last_time is not None:
-            mask = pdf[time] > pd.Timestamp(last_time).tz_localize(None)
+        if last_us is not None:
+            mask = (us > last_us).to_numpy()
             late = int((~mask).sum())
-            pdf = pdf[mask]
+            pdf, us = pdf[mask], us[mask]
         hist = np.array(vals, dtype=float)
         cur = pdf[value].to_numpy(dtype=float)
         allv = np.concatenate([hist, cur])
@@ -111,8 +116,7 @@ def lag_state_stream(stream: DataFrame, key: str = "station", time: str = "datet
                             time: pdf[time].to_numpy(), value: cur, **res})
         out["late_dropped"] = late
         if len(pdf):
-            state.update((pd.Timestamp(pdf[time].iloc[-1]).to_pydatetime(),
-                          [float(x) for x in allv[-depth:]]))
+            state.update((int(us.iloc[-1]), [float(x) for x in allv[-depth:]]))
         yield out
 
     src = stream.select(id_col, key, time, value)
