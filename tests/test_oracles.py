@@ -40,3 +40,18 @@ def test_entry_smoke(spark):
     rows = df.collect()
     assert len(rows) > 0
     assert df.columns == ["station", "rank", "hour", "time_label", "safety_score", "advice"]
+
+
+ZONE_SENSITIVE = ["build_features", "resample_hourly", "resample_weekly", "stream_hourly_mean",
+                  "fourier_features", "parse_timestamp", "split_time", "assemble_timestamp"]
+
+
+@pytest.mark.parametrize("name", ZONE_SENSITIVE)
+def test_results_do_not_depend_on_session_zone(spark, con, name):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")
+    try:
+        ok, res = compare(name, QUERIES[name](spark, SF01), ORACLES[name], con)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert ok, res
