@@ -87,8 +87,9 @@ def q_forecast_additive(spark, sf_dir):
 def q_forecast_holdout(spark, sf_dir):
     """Last 24 hours of every station held out; RMSE / MAE of the three forecasters as
     model_runs rows (task time_series)."""
-    series = hourly_series(spark, sf_dir).cache()
+    series = hourly_series(spark, sf_dir)
     flagged, _ = sampling.holdout_tail(series, "station", "datetime", 24)
+    flagged = flagged.cache()  # one split read by three forecasters (hourly-series size)
     train = flagged.filter(~F.col("is_test")).drop("is_test")
     test = flagged.filter(F.col("is_test")).drop("is_test")
     runs = None

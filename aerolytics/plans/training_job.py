@@ -32,6 +32,7 @@ CHOICE = {"classification": "f1_macro", "regression": "rmse", "time_series": "rm
 
 def _forecast_runs(series: DataFrame) -> DataFrame:
     flagged, rejected = sampling.holdout_tail(series, "station", "datetime", 24)
+    flagged = flagged.cache()  # one split read by three forecasters (hourly-series size)
     train = flagged.filter(~F.col("is_test")).drop("is_test")
     test = flagged.filter(F.col("is_test")).drop("is_test")
     runs = None
