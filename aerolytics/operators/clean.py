@@ -8,7 +8,7 @@ into a broadcast only when the runtime size is small.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,7 +16,8 @@ from aerolytics.constants import NUMERIC, POLLUTANTS, SENSOR_SENTINEL, UCI_TIME_
 from aerolytics.functions.aqi import category_to_code
 from aerolytics.functions.scalar import clip, coerce_double, one_row
 from aerolytics.operators.features import forward_fill
-from aerolytics.operators.keyed import POS, group_positions, median_by_key
+from aerolytics.operators.keyed import (POS, group_positions, keyed_frame, max_distinct_per_key,
+                                       median_by_key)
 
 NUMERIC_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
                  T.DoubleType, T.DecimalType)
@@ -168,25 +169,45 @@ def medians_wide(df: DataFrame, keys: list[str], cols) -> DataFrame:
 
 def impute_ffill_median(df: DataFrame, cols=None, key: str = "station",
                         time: str = "datetime", clip_cols=None, mode: str = "auto",
-                        chunk_rows: int | None = None) -> DataFrame:
+                        chunk_rows: int | None = None,
+                        max_distinct: int = 2_000_000) -> DataFrame:
     """Per-key forward fill, then the key's median of the originally non-null values,
-    then clip at 0 (D1, C6). Negatives therefore enter the median, as in the reference."""
+    then clip at 0 (D1, C6). Negatives therefore enter the median, as in the reference.
+
+    When every key fits one task and one aggregation buffer (both checked), the median is
+    a window aggregate over the same partition as the fill: one shuffle, no join.
+    Otherwise the fill runs chunked and the medians come from the distributed form.
+    """
     cols = [c for c in (cols if cols is not None else NUMERIC) if c in df.columns]
     clip_cols = [c for c in (clip_cols if clip_cols is not None else POLLUTANTS) if c in cols]
+
+    def finish(filled_cols):
+        out = []
+        for c in df.columns:
+            if c in cols:
+                e = filled_cols[c]
+                out.append((clip(e, 0.0) if c in clip_cols else e).alias(c))
+            else:
+                out.append(F.col(_q(c)))
+        return out
+
+    kf = keyed_frame(df, [key], [time], halo=0, mode=mode, carry=cols,
+                     **({"chunk_rows": chunk_rows} if chunk_rows else {}))
+    if not kf.chunked and (mode == "plain" or all(
+            max_distinct_per_key(df, [key], c) <= max_distinct for c in cols)):
+        run = kf.window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        whole = Window.partitionBy(key)  # same partitioning: no extra exchange
+        filled = {c: F.coalesce(F.last(F.col(c), ignorenulls=True).over(run),
+                                F.median(F.col(c)).over(whole)) for c in cols}
+        return df.select(*finish(filled))
     # exact, distributed per-key medians of all columns in one pass
     med = medians_wide(df, [key], cols).select(key, *[F.col(c).alias(f"__med_{c}") for c in cols])
-    filled = forward_fill(df, cols, key=key, time=time, mode=mode, chunk_rows=chunk_rows)
+    filled = forward_fill(df, cols, key=key, time=time, mode="chunked" if kf.chunked else "plain",
+                          chunk_rows=chunk_rows)
     # per-key statistics: AQE broadcasts them from the measured stage size, or splits
     # a skewed key's partition (skewJoin); counting first would recompute the aggregate
     joined = filled.join(med, on=key, how="left")
-    out = []
-    for c in df.columns:
-        if c in cols:
-            e = F.coalesce(F.col(c), F.col(f"__med_{c}"))
-            out.append((clip(e, 0.0) if c in clip_cols else e).alias(c))
-        else:
-            out.append(F.col(_q(c)))
-    return joined.select(*out)
+    return joined.select(*finish({c: F.coalesce(F.col(c), F.col(f"__med_{c}")) for c in cols}))
 
 
 # --- C7: label encoding -----------------------------------------------------------

@@ -289,3 +289,8 @@ def _max_distinct(df: DataFrame, keys: list[str], col: str) -> int:
     row = (df.groupBy(*keys).agg(est.alias("_d")).agg(F.max("_d").alias("m")) if keys
            else df.agg(est.alias("m"))).first()
     return int(1.1 * (row["m"] or 0))
+
+
+def max_distinct_per_key(df: DataFrame, keys: list[str], col: str) -> int:
+    """Memoised upper estimate of the distinct values of ``col`` in the largest key."""
+    return _memo(f"distinct:{col}", df, keys, lambda: _max_distinct(df, keys, col))

@@ -43,3 +43,16 @@ def test_row_index_exact(spark):
     df = spark.range(0, 5000, numPartitions=7).withColumnRenamed("id", "x")
     got = sorted((r.row_index, r.x) for r in with_row_index(df).collect())
     assert got == [(i, i) for i in range(5000)]
+
+
+def test_impute_ffill_median_paths_agree(spark):
+    from aerolytics.operators import clean
+    from aerolytics.sources.tables import with_missing
+    r = with_missing(readings(spark, SF01).withColumn("pm25", F.col("pm25") - 20), "pm25")
+    a = clean.impute_ffill_median(r, ["pm25"], clip_cols=["pm25"], mode="plain")
+    b = clean.impute_ffill_median(r, ["pm25"], clip_cols=["pm25"], mode="chunked", chunk_rows=97)
+    ra = {x.event_id: x.pm25 for x in a.collect()}
+    rb = {x.event_id: x.pm25 for x in b.collect()}
+    assert ra.keys() == rb.keys() and len(ra) == 10000
+    for k in ra:
+        assert rb[k] == pytest.approx(ra[k], abs=1e-9)
