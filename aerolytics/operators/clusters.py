@@ -23,6 +23,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from aerolytics.operators.storage import sized_cache
 from aerolytics.constants import (CLUSTER_DESCRIPTIONS, DBSCAN_EPS, DBSCAN_MIN_POINTS,
                                   KMEANS_K_RANGE, KMEANS_RESTARTS, SEED, UNKNOWN_CLUSTER_TEXT)
 
@@ -126,7 +127,7 @@ def kmeans_select(points: DataFrame, cols, k_range=KMEANS_K_RANGE,
     """k-means over ``k_range`` x ``restarts`` seeds: lowest cost per k, best squared
     silhouette across k (ties -> smaller k). Returns (best model, k, silhouette, table of
     (k, silhouette))."""
-    data = with_vector(points, cols).cache()
+    data = sized_cache(with_vector(points, cols))  # read by every k and restart
     n = data.count()  # profile rows (one per entity)
     ev = ClusteringEvaluator(featuresCol="features", predictionCol="prediction")
     best = None

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from aerolytics.operators import forecast, resample, sampling
 from aerolytics.plans.feature_queries import READINGS_TYPE
+from aerolytics.operators.storage import sized_cache
 from aerolytics.plans.registry import R6, register, round_doubles
 from aerolytics.plans.series_queries import hourly_sql, interp_sql
 from aerolytics.sources.tables import readings
@@ -19,7 +20,7 @@ SERIES_SQL = interp_sql(hourly_sql(READINGS_TYPE))
 def hourly_series(spark, sf_dir):
     """Hourly series per station (one row per station-hour, bounded by the time span),
     cached: every forecaster reads it in several stages, the raw table is scanned once."""
-    return resample.prepare_series(readings(spark, sf_dir).drop("event_id")).cache()
+    return sized_cache(resample.prepare_series(readings(spark, sf_dir).drop("event_id")))
 
 
 @register("forecast_seasonal", oracle=f"""
@@ -89,7 +90,7 @@ def q_forecast_holdout(spark, sf_dir):
     model_runs rows (task time_series)."""
     series = hourly_series(spark, sf_dir)
     flagged, _ = sampling.holdout_tail(series, "station", "datetime", 24)
-    flagged = flagged.cache()  # one split read by three forecasters (hourly-series size)
+    flagged = sized_cache(flagged)  # one split read by three forecasters (hourly-series size)
     train = flagged.filter(~F.col("is_test")).drop("is_test")
     test = flagged.filter(F.col("is_test")).drop("is_test")
     runs = None

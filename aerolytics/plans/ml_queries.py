@@ -18,6 +18,7 @@ from aerolytics.plans.feature_queries import (PM25_LAGS, ROLLING_WINDOWS, READIN
                                               features_by_user, sql_calendar, sql_code,
                                               sql_lags, sql_rolling)
 from aerolytics.plans.registry import R6, register, round_doubles
+from aerolytics.operators.storage import sized_cache
 from aerolytics.session import ensure_checkpoint_dir
 from aerolytics.sources.tables import table
 
@@ -63,7 +64,7 @@ def q_train_classify(spark, sf_dir):
     """Random forest and one-vs-rest boosted trees on a time split; metrics as model_runs."""
     data = _split_features(spark, sf_dir)
     inp, feats = models.model_input(data, CLASSIFIER_FEATURES, "aqi_label", keep=["is_test"])
-    inp = inp.cache()
+    inp = sized_cache(inp)
     _, runs = models.train_classifiers(inp.filter(~F.col("is_test")), inp.filter(F.col("is_test")),
                                        feats, "aqi_label", **SMALL)
     return runs
@@ -75,7 +76,7 @@ def q_train_regress(spark, sf_dir):
     data = _split_features(spark, sf_dir)
     inp, feats = models.model_input(data, [c for c in REGRESSOR_FEATURES if c != "pm25"],
                                     "pm25", keep=["is_test"])
-    inp = inp.cache()
+    inp = sized_cache(inp)
     _, runs = models.train_regressors(inp.filter(~F.col("is_test")), inp.filter(F.col("is_test")),
                                       feats, "pm25", **SMALL_REG)
     return runs
@@ -116,7 +117,7 @@ def scaled_profile(spark, sf_dir, cols=PROFILE_COLS):
     multi-pass cluster statistics then read it instead of re-scanning the fact table."""
     li = table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("station"), *_MEASURES)
     prof = station_profile(li, "station", _MEASURES).select("station", *cols)
-    return scale_standard(prof, list(cols)).cache()
+    return sized_cache(scale_standard(prof, list(cols)))
 
 
 def _profile_sql(cols) -> str:
@@ -207,7 +208,7 @@ def q_cluster_dbscan(spark, sf_dir):
 
 
 def _kmeans(spark, sf_dir):
-    z = scaled_profile(spark, sf_dir).cache()
+    z = scaled_profile(spark, sf_dir)
     model, k, sil, _ = clusters.kmeans_select(z, PROFILE_COLS, restarts=3)
     return z, model
 

@@ -21,6 +21,7 @@ from aerolytics.operators import clean, clusters, evaluate, forecast, models, pr
 from aerolytics.operators.features import build_features
 from aerolytics.operators.projection import pca_projection
 from aerolytics.operators.resample import prepare_series
+from aerolytics.operators.storage import sized_cache
 from aerolytics.session import ensure_checkpoint_dir
 from aerolytics.sources import files
 
@@ -32,7 +33,7 @@ CHOICE = {"classification": "f1_macro", "regression": "rmse", "time_series": "rm
 
 def _forecast_runs(series: DataFrame) -> DataFrame:
     flagged, rejected = sampling.holdout_tail(series, "station", "datetime", 24)
-    flagged = flagged.cache()  # one split read by three forecasters (hourly-series size)
+    flagged = sized_cache(flagged)  # one split read by three forecasters (hourly-series size)
     train = flagged.filter(~F.col("is_test")).drop("is_test")
     test = flagged.filter(F.col("is_test")).drop("is_test")
     runs = None
@@ -74,7 +75,7 @@ def run(spark: SparkSession, src_root: str, out_dir: str, small: bool = False) -
     profile = profiles.station_profile(feats, "station", POLLUTANTS)
     prof_cols = [c for c in profile.columns if c != "station"]
 
-    split = sampling.split_time(feats, "station", "datetime", 0.2).cache()
+    split = sized_cache(sampling.split_time(feats, "station", "datetime", 0.2))
     train, test = split.filter(~F.col("is_test")), split.filter(F.col("is_test"))
 
     cls_in = models.available(feats, CLASSIFIER_FEATURES)
@@ -86,12 +87,12 @@ def run(spark: SparkSession, src_root: str, out_dir: str, small: bool = False) -
         models.pad_features(train, reg_in, keep=["pm25"]),
         models.pad_features(test, reg_in, keep=["pm25"]), reg_in, "pm25", **params_r)
 
-    series = prepare_series(readings.select("station", "datetime", "pm25")).cache()
+    series = sized_cache(prepare_series(readings.select("station", "datetime", "pm25")))
     runs_t = _forecast_runs(series)
     # serving state refitted on the full series (evaluation held out the last 24 hours)
     files.write_table(forecast.arma_state(series), os.path.join(out_dir, "forecast_state"))
 
-    scaled = clean.scale_standard(profile, prof_cols).cache()
+    scaled = sized_cache(clean.scale_standard(profile, prof_cols))
     km, k, sil, _ = clusters.kmeans_select(scaled, prof_cols, restarts=restarts)
     db = clusters.dbscan(scaled, prof_cols, "station")
     labelled = (profile.join(clusters.kmeans_labels(km, scaled, prof_cols, "station"), "station")
