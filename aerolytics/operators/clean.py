@@ -16,7 +16,7 @@ from aerolytics.constants import NUMERIC, POLLUTANTS, SENSOR_SENTINEL, UCI_TIME_
 from aerolytics.functions.aqi import category_to_code
 from aerolytics.functions.scalar import clip, coerce_double, one_row
 from aerolytics.operators.features import forward_fill
-from aerolytics.operators.keyed import (POS, group_positions, keyed_frame, max_distinct_per_key,
+from aerolytics.operators.keyed import (POS, group_positions, keyed_frame, max_distinct_many,
                                        median_by_key)
 
 NUMERIC_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
@@ -194,7 +194,7 @@ def impute_ffill_median(df: DataFrame, cols=None, key: str = "station",
     kf = keyed_frame(df, [key], [time], halo=0, mode=mode, carry=cols,
                      **({"chunk_rows": chunk_rows} if chunk_rows else {}))
     if not kf.chunked and (mode == "plain" or all(
-            max_distinct_per_key(df, [key], c) <= max_distinct for c in cols)):
+            v <= max_distinct for v in max_distinct_many(df, [key], cols).values())):
         run = kf.window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
         whole = Window.partitionBy(key)  # same partitioning: no extra exchange
         filled = {c: F.coalesce(F.last(F.col(c), ignorenulls=True).over(run),

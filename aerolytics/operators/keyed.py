@@ -294,3 +294,19 @@ def _max_distinct(df: DataFrame, keys: list[str], col: str) -> int:
 def max_distinct_per_key(df: DataFrame, keys: list[str], col: str) -> int:
     """Memoised upper estimate of the distinct values of ``col`` in the largest key."""
     return _memo(f"distinct:{col}", df, keys, lambda: _max_distinct(df, keys, col))
+
+
+def max_distinct_many(df: DataFrame, keys: list[str], cols) -> dict[str, int]:
+    """Upper estimates for several columns from ONE aggregate (memoised per plan)."""
+    cols = list(cols)
+
+    def compute():
+        est = [F.approx_count_distinct(F.col(c), 0.05).alias(f"_d{i}") for i, c in enumerate(cols)]
+        if keys:
+            per = df.groupBy(*keys).agg(*est)
+            row = per.agg(*[F.max(f"_d{i}").alias(f"_d{i}") for i in range(len(cols))]).first()
+        else:
+            row = df.agg(*est).first()
+        return {c: int(1.1 * (row[f"_d{i}"] or 0)) for i, c in enumerate(cols)}
+
+    return _memo("distinct-many:" + ",".join(cols), df, keys, compute)

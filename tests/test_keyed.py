@@ -56,3 +56,14 @@ def test_impute_ffill_median_paths_agree(spark):
     assert ra.keys() == rb.keys() and len(ra) == 10000
     for k in ra:
         assert rb[k] == pytest.approx(ra[k], abs=1e-9)
+
+
+def test_sized_cache_compacts_small_tables(spark):
+    from aerolytics.operators.storage import sized_cache
+    df = spark.range(0, 1000, numPartitions=50)
+    small = sized_cache(df, rows_per_partition=400)
+    assert small.rdd.getNumPartitions() == 3 and small.count() == 1000
+    big = sized_cache(spark.range(0, 1000, numPartitions=2), rows_per_partition=100)
+    assert big.rdd.getNumPartitions() == 2
+    small.unpersist()
+    big.unpersist()
