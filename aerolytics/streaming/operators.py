@@ -100,23 +100,21 @@ def lag_state_stream(stream: DataFrame, key: str = "station", time: str = "datet
             pdf, us = pdf[mask], us[mask]
         hist = np.array(vals, dtype=float)
         cur = pdf[value].to_numpy(dtype=float)
-        allv = np.concatenate([hist, cur])
+        allv = pd.Series(np.concatenate([hist, cur]))
         off = len(hist)
-        res = {c: [] for c in out_cols}
-        for i in range(len(cur)):
-            j = off + i
-            for lg in lags:
-                res[f"{value}_lag{lg}"].append(allv[j - lg] if j - lg >= 0 else np.nan)
-            for w in windows:
-                win = allv[max(0, j - w):j]
-                win = win[~np.isnan(win)]
-                res[f"{value}_roll_mean{w}"].append(win.mean() if len(win) else np.nan)
-                res[f"{value}_roll_std{w}"].append(win.std(ddof=1) if len(win) > 1 else 0.0)
+        # vectorised over history + batch: lag k = shift(k); previous-row frames =
+        # shift(1).rolling(w, min_periods=1); std of fewer than two values -> 0
+        res = {f"{value}_lag{lg}": allv.shift(lg).to_numpy()[off:] for lg in lags}
+        prev = allv.shift(1)
+        for w in windows:
+            roll = prev.rolling(w, min_periods=1)
+            res[f"{value}_roll_mean{w}"] = roll.mean().to_numpy()[off:]
+            res[f"{value}_roll_std{w}"] = roll.std(ddof=1).fillna(0.0).to_numpy()[off:]
         out = pd.DataFrame({id_col: pdf[id_col].to_numpy(), key: [k[0]] * len(pdf),
                             time: pdf[time].to_numpy(), value: cur, **res})
         out["late_dropped"] = late
         if len(pdf):
-            state.update((int(us.iloc[-1]), [float(x) for x in allv[-depth:]]))
+            state.update((int(us.iloc[-1]), [float(x) for x in allv.to_numpy()[-depth:]]))
         yield out
 
     src = stream.select(id_col, key, time, value)
