@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from aerolytics.constants import AQI_CATEGORIES
-from aerolytics.operators.keyed import running_totals
+from aerolytics.operators.keyed import max_distinct_per_key, running_totals
 
 
 def require_columns(df: DataFrame, required) -> list[str]:
@@ -107,17 +107,26 @@ def drift_ks(long_df: DataFrame, side: str = "is_test") -> DataFrame:
 
 
 def drift_psi(long_df: DataFrame, side: str = "is_test", bins: int = 10,
-              floor: float = 1e-4) -> DataFrame:
-    """Population stability index per feature over equal-width bins of the reference
-    (training) range; empty shares are floored at ``floor``."""
-    ref = (long_df.filter(~F.col(side)).groupBy("feature")
-           .agg(F.min("value").alias("_lo"), F.max("value").alias("_hi")))
+              floor: float = 1e-4, max_distinct: int = 2_000_000) -> DataFrame:
+    """Population stability index per feature over shared quantile bins: the bin edges
+    are the reference (training) side's ``1/bins .. (bins-1)/bins`` quantiles, applied to
+    both sides; empty shares are floored at ``floor``.
+
+    The quantiles are exact (``percentile``) when each feature's distinct values are
+    checked to fit one aggregation buffer, ``percentile_approx`` otherwise.
+    """
+    valued = long_df.filter(F.col("value").isNotNull())
+    ref_side = valued.filter(~F.col(side))
+    fracs = [i / bins for i in range(1, bins)]
+    if max_distinct_per_key(ref_side, ["feature"], "value") <= max_distinct:
+        q = F.percentile(F.col("value"), F.array(*[F.lit(f) for f in fracs]))
+    else:
+        q = F.percentile_approx(F.col("value"), fracs, 10_000)
+    edges = ref_side.groupBy("feature").agg(q.alias("_q"))
     # one row per feature of a fixed feature list: a bounded broadcast
-    j = long_df.filter(F.col("value").isNotNull()).join(F.broadcast(ref), on="feature", how="inner")
-    width = (F.col("_hi") - F.col("_lo")) / bins
-    b = F.when(width == 0, F.lit(0)).otherwise(
-        F.least(F.greatest(F.floor((F.col("value") - F.col("_lo")) / width), F.lit(0)),
-                F.lit(bins - 1))).cast("int")
+    j = valued.join(F.broadcast(edges), on="feature", how="inner")
+    b = sum((F.when(F.col("value") > F.col("_q")[i], 1).otherwise(0) for i in range(bins - 1)),
+            F.lit(0))
     per_bin = j.groupBy("feature", b.alias("bin")).agg(
         F.count_if(~F.col(side)).alias("c1"), F.count_if(F.col(side)).alias("c2"))
     tot = Window.partitionBy("feature")

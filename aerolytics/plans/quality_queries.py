@@ -294,9 +294,8 @@ def q_drift_ks(spark, sf_dir):
 
 @register("drift_psi", oracle=f"""
 WITH {_LONG},
-ref AS (SELECT feature, min(value) AS lo, max(value) AS hi FROM l WHERE NOT is_test GROUP BY 1),
-b AS (SELECT l.feature, is_test, CASE WHEN (hi - lo) / 10 = 0 THEN 0
-        ELSE least(greatest(floor((value - lo) / ((hi - lo) / 10)), 0), 9) END AS bin
+ref AS (SELECT feature, quantile_cont(value, [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]) AS q FROM l WHERE NOT is_test AND value IS NOT NULL GROUP BY 1),
+b AS (SELECT l.feature, is_test, CASE WHEN value > q[1] THEN 1 ELSE 0 END + CASE WHEN value > q[2] THEN 1 ELSE 0 END + CASE WHEN value > q[3] THEN 1 ELSE 0 END + CASE WHEN value > q[4] THEN 1 ELSE 0 END + CASE WHEN value > q[5] THEN 1 ELSE 0 END + CASE WHEN value > q[6] THEN 1 ELSE 0 END + CASE WHEN value > q[7] THEN 1 ELSE 0 END + CASE WHEN value > q[8] THEN 1 ELSE 0 END + CASE WHEN value > q[9] THEN 1 ELSE 0 END AS bin
       FROM l JOIN ref USING (feature) WHERE value IS NOT NULL),
 pb AS (SELECT feature, bin, count(*) FILTER (WHERE NOT is_test) AS c1, count(*) FILTER (WHERE is_test) AS c2 FROM b GROUP BY 1, 2),
 t AS (SELECT feature, greatest(c1 / sum(c1) OVER (PARTITION BY feature), 1e-4) AS e,

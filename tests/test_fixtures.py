@@ -184,3 +184,16 @@ def test_pca_variance_and_signs(spark):
     assert n == int(np.searchsorted(np.cumsum(vals / vals.sum()), 0.95, side="right") + 1)
     for k in range(3):
         assert comps[np.argmax(np.abs(comps[:, k])), k] > 0
+
+
+def test_psi_and_ks_detect_shift(spark):
+    from aerolytics.operators import quality
+    rng = np.random.default_rng(9)
+    base = rng.normal(size=4000)
+    rows = [("x", float(v), i >= 2000) for i, v in enumerate(base)]
+    rows += [("y", float(v) + (1.0 if i >= 2000 else 0.0), i >= 2000) for i, v in enumerate(base)]
+    df = spark.createDataFrame(rows, "feature string, value double, is_test boolean")
+    psi = {r.feature: r.psi for r in quality.drift_psi(df).collect()}
+    ks = {r.feature: r.ks for r in quality.drift_ks(df).collect()}
+    assert psi["x"] < 0.05 < 0.5 < psi["y"]
+    assert ks["x"] < 0.06 and ks["y"] > 0.3
