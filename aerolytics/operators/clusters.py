@@ -15,6 +15,7 @@
 from __future__ import annotations
 
 import itertools
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
@@ -123,7 +124,8 @@ def calinski_harabasz(points: DataFrame, cols, label: str = "cluster") -> DataFr
 
 
 def kmeans_select(points: DataFrame, cols, k_range=KMEANS_K_RANGE,
-                  restarts: int = KMEANS_RESTARTS, seed: int = SEED, max_iter: int = 20):
+                  restarts: int = KMEANS_RESTARTS, seed: int = SEED, max_iter: int = 20,
+                  parallel_fits: int = 4):
     """k-means over ``k_range`` x ``restarts`` seeds: lowest cost per k, best squared
     silhouette across k (ties -> smaller k). Returns (best model, k, silhouette, table of
     (k, silhouette))."""
@@ -132,9 +134,15 @@ def kmeans_select(points: DataFrame, cols, k_range=KMEANS_K_RANGE,
     ev = ClusteringEvaluator(featuresCol="features", predictionCol="prediction")
     best = None
     scores = []
-    for k in [k for k in k_range if 2 <= k <= n - 1]:  # silhouette needs 2 <= k <= n-1
-        models = [KMeans(k=k, seed=seed + r, maxIter=max_iter, featuresCol="features").fit(data)
-                  for r in range(restarts)]
+    ks = [k for k in k_range if 2 <= k <= n - 1]  # silhouette needs 2 <= k <= n-1
+    # the k x restarts fits are independent, latency-bound jobs on a small cached table:
+    # submit them from a few driver threads so the scheduler runs them side by side
+    specs = [(k, seed + r) for k in ks for r in range(restarts)]
+    with ThreadPoolExecutor(max_workers=max(1, min(parallel_fits, len(specs)))) as pool:
+        fitted = list(pool.map(lambda ks_: KMeans(k=ks_[0], seed=ks_[1], maxIter=max_iter,
+                                                  featuresCol="features").fit(data), specs))
+    for k in ks:
+        models = [m for (kk, _), m in zip(specs, fitted) if kk == k]
         m = min(models, key=lambda mm: mm.summary.trainingCost)
         pred = m.transform(data)
         if pred.select("prediction").distinct().count() < 2:
