@@ -32,7 +32,9 @@ def model_input(df: DataFrame, wanted, label: str, keep=()) -> tuple[DataFrame,
     return out, feats
 
 
-def _pipeline(features: list[str], estimator, scale: bool = True) -> Pipeline:
+def make_pipeline(features: list[str], estimator, scale: bool = True) -> Pipeline:
+    """Assemble (NULL kept as NaN is never reached: inputs are padded), standardise with
+    statistics of the data the pipeline is fitted on, then the estimator."""
     stages = [VectorAssembler(inputCols=features, outputCol="_raw", handleInvalid="keep")]
     if scale:
         stages.append(StandardScaler(inputCol="_raw", outputCol="features", withMean=True,
@@ -67,7 +69,7 @@ def train_classifiers(train: DataFrame, test: DataFrame, features, label: str =
     """Fit every classifier on ``train``; return fitted models and ``model_runs`` rows."""
     fitted, runs = [], None
     for order, (name, est) in enumerate(classifiers(label, **params), start=1):
-        model = _pipeline(features, est).fit(train)
+        model = make_pipeline(features, est).fit(train)
         pred = model.transform(test).select(F.col(label).cast("int").alias("y"),
                                             F.col("prediction").cast("int").alias("p"))
         m = evaluate.classification_metrics(pred).select(
@@ -105,7 +107,7 @@ def train_regressors(train: DataFrame, test: DataFrame, features, label: str = "
     reg_param = ridge_reg_param(train, label, alpha)
     fitted, runs = [], None
     for order, (name, est) in enumerate(regressors(label, reg_param, **params), start=1):
-        model = _pipeline(features, est).fit(train)
+        model = make_pipeline(features, est).fit(train)
         pred = model.transform(test).select(F.col(label).alias("y"), F.col("prediction").alias("p"))
         m = evaluate.regression_metrics(pred).select(
             F.lit(name).alias("model"), F.lit(order).alias("trained_order"), "rmse", "mae", "r2")

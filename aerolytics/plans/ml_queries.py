@@ -91,7 +91,7 @@ def q_score_batch(spark, sf_dir):
     inp, feats = models.model_input(data, wanted, "pm25", keep=["event_id", "is_test"])
     train = inp.filter(~F.col("is_test"))
     reg = models.ridge_reg_param(train, "pm25")
-    model = models._pipeline(feats, models.regressors("pm25", reg)[2][1]).fit(train)
+    model = models.make_pipeline(feats, models.regressors("pm25", reg)[2][1]).fit(train)
     batch = data.filter(F.col("is_test")).select("event_id", "pm25_lag1", "pm25_lag3", "hour_sin")
     return models.score_regression(model, batch, feats, keep=["event_id"])
 
@@ -101,7 +101,7 @@ def q_score_classify(spark, sf_dir):
     data = _split_features(spark, sf_dir)
     inp, feats = models.model_input(data, CLASSIFIER_FEATURES, "aqi_label", keep=["event_id", "is_test"])
     est = models.classifiers("aqi_label", **SMALL)[0][1]
-    model = models._pipeline(feats, est).fit(inp.filter(~F.col("is_test")))
+    model = models.make_pipeline(feats, est).fit(inp.filter(~F.col("is_test")))
     return models.score_classification(model, inp.filter(F.col("is_test")), feats, keep=["event_id"])
 
 

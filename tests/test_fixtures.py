@@ -139,7 +139,7 @@ def test_model_save_load_and_profile_assignment(spark, tmp_path):
     from aerolytics.operators import clusters, models
     df = spark.createDataFrame([(i, float(i % 3) * 10 + 0.1 * i, float(i % 3)) for i in range(30)],
                                "id int, a double, b double")
-    pipe = models._pipeline(["a"], models.regressors("b", 0.0)[2][1])
+    pipe = models.make_pipeline(["a"], models.regressors("b", 0.0)[2][1])
     m = pipe.fit(df)
     models.save_model(m, str(tmp_path / "m"))
     back = models.load_model(str(tmp_path / "m"))

@@ -55,7 +55,7 @@ def test_stream_scoring_matches_batch(spark, tmp_path):
     r = readings(spark, SF01, "user_id")
     f = feat.build_features(r)
     inp, feats = models.model_input(f, ["pm25_lag1", "pm25_lag3", "hour_sin"], "pm25", keep=["event_id"])
-    model = models._pipeline(feats, models.regressors("pm25", 0.0)[2][1]).fit(inp)
+    model = models.make_pipeline(feats, models.regressors("pm25", 0.0)[2][1]).fit(inp)
     src = str(tmp_path / "in")
     f.select("event_id", *feats).write.parquet(src)
     stream = read_stream(spark, src, spark.read.parquet(src).schema)
