@@ -33,8 +33,8 @@ def model_input(df: DataFrame, wanted, label: str, keep=()) -> tuple[DataFrame,
 
 
 def make_pipeline(features: list[str], estimator, scale: bool = True) -> Pipeline:
-    """Assemble (NULL kept as NaN is never reached: inputs are padded), standardise with
-    statistics of the data the pipeline is fitted on, then the estimator."""
+    """Assemble the feature columns (inputs are padded, so there are no NULLs), standardise
+    with the statistics of the data the pipeline is fitted on, then the estimator."""
     stages = [VectorAssembler(inputCols=features, outputCol="_raw", handleInvalid="keep")]
     if scale:
         stages.append(StandardScaler(inputCol="_raw", outputCol="features", withMean=True,
