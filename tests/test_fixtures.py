@@ -197,3 +197,12 @@ def test_psi_and_ks_detect_shift(spark):
     ks = {r.feature: r.ks for r in quality.drift_ks(df).collect()}
     assert psi["x"] < 0.05 < 0.5 < psi["y"]
     assert ks["x"] < 0.06 and ks["y"] > 0.3
+
+
+def test_label_encode_literal_and_ranked_paths_agree(spark):
+    from aerolytics.sources.tables import table
+    from tests.conftest import SF01
+    o = table(spark, SF01, "orders").select("o_orderkey", "o_orderpriority")
+    a = {r.o_orderkey: r.code for r in clean.label_encode(o, "o_orderpriority", "code").collect()}
+    b = {r.o_orderkey: r.code for r in clean.label_encode(o, "o_orderpriority", "code", max_literal=2).collect()}
+    assert a == b and set(a.values()) == {0, 1, 2, 3, 4}
