@@ -87,7 +87,9 @@ def q_fill_constant(spark, sf_dir):
 
 
 @register("drop_null_subset", oracle=f"""
-SELECT event_id, {R6('value')} AS value FROM events WHERE event_id % 7 <> 0
+SELECT event_id, {R6('v')} AS value
+FROM (SELECT event_id, CASE WHEN event_id % 7 = 0 THEN NULL ELSE value END AS v FROM events) t
+WHERE v IS NOT NULL
 """)
 def q_drop_null_subset(spark, sf_dir):
     ev = table(spark, sf_dir, "events").select("event_id", "value")

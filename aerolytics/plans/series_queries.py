@@ -166,21 +166,30 @@ def _supplier_counts(spark, sf_dir):
 
 
 def _station_list(spark, sf_dir):
-    s = table(spark, sf_dir, "supplier")
-    return s.filter(F.col("s_nationkey") % 2 == 0).select(F.col("s_suppkey").alias("l_suppkey"))
+    """Allow-list: the suppliers of the AMERICA and ASIA regions (a dimension join)."""
+    s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    n = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("s_nationkey"), "n_regionkey")
+    r = (table(spark, sf_dir, "region").filter(F.col("r_name").isin("AMERICA", "ASIA"))
+         .select(F.col("r_regionkey").alias("n_regionkey")))
+    listed = s.join(joins.bounded_broadcast(n), "s_nationkey").join(joins.bounded_broadcast(r), "n_regionkey")
+    return listed.select(F.col("s_suppkey").alias("l_suppkey"))
 
 
-@register("allowed_stations", oracle="""
+_LISTED = ("SELECT s_suppkey FROM supplier JOIN nation ON s_nationkey = n_nationkey "
+           "JOIN region ON n_regionkey = r_regionkey WHERE r_name IN ('AMERICA', 'ASIA')")
+
+
+@register("allowed_stations", oracle=f"""
 SELECT l_suppkey, count(*) AS n_rows FROM lineitem
-WHERE l_suppkey IN (SELECT s_suppkey FROM supplier WHERE s_nationkey % 2 = 0) GROUP BY 1
+WHERE l_suppkey IN ({_LISTED}) GROUP BY 1
 """)
 def q_allowed_stations(spark, sf_dir):
     return joins.allowed(_supplier_counts(spark, sf_dir), _station_list(spark, sf_dir), "l_suppkey")
 
 
-@register("rejected_stations", oracle="""
+@register("rejected_stations", oracle=f"""
 SELECT l_suppkey, count(*) AS n_rows FROM lineitem
-WHERE l_suppkey NOT IN (SELECT s_suppkey FROM supplier WHERE s_nationkey % 2 = 0) GROUP BY 1
+WHERE l_suppkey NOT IN ({_LISTED}) GROUP BY 1
 """)
 def q_rejected_stations(spark, sf_dir):
     return joins.rejected(_supplier_counts(spark, sf_dir), _station_list(spark, sf_dir), "l_suppkey")
