@@ -206,3 +206,18 @@ def test_label_encode_literal_and_ranked_paths_agree(spark):
     a = {r.o_orderkey: r.code for r in clean.label_encode(o, "o_orderpriority", "code").collect()}
     b = {r.o_orderkey: r.code for r in clean.label_encode(o, "o_orderpriority", "code", max_literal=2).collect()}
     assert a == b and set(a.values()) == {0, 1, 2, 3, 4}
+
+
+def test_map_points_nulls_radius_and_quirk(spark):
+    from aerolytics.operators import maps
+    df = spark.createDataFrame([(None, "C", 1.0, 2.0, "300", "Hazardous"),
+                                ("X", "C", 0.0, 2.0, "20", "Good"),
+                                ("Y", None, 3.0, None, None, None)],
+                               "City string, Country string, lat double, lng double, `AQI Value` string, `AQI Category` string")
+    pts = maps.map_points(df, mappable_only=False).orderBy("lat").collect()
+    assert [p.city for p in pts] == ["X", "Unknown", "Y"]
+    assert [p.radius for p in pts] == [4.0, 15.0, 4.0]  # clamp(aqi / 10, 4, 15)
+    assert pts[2].aqi_category == "Unknown" and pts[2].lng == 0.0
+    assert maps.map_points(df, text_null="0").first().city == "0"  # reference quirk, opt-in
+    s = maps.map_summary(maps.map_points(df, mappable_only=False)).first()
+    assert (s.total_points, s.mappable_points, s.hazardous_points) == (3, 1, 1)
