@@ -104,7 +104,9 @@ def silhouette_sq(points: DataFrame, cols, key: str, label: str = "cluster") ->
         a = F.when(is_own, mean_sq(mu, y2) * n / max(n - 1, 1)).otherwise(a)
         others.append(F.when(~is_own, mean_sq(mu, y2)))
     b = F.least(*others) if len(others) > 1 else F.lit(None).cast("double")
-    s = F.when(own_n <= 1, F.lit(0.0)).otherwise((b - a) / F.greatest(a, b))
+    denom = F.greatest(a, b)
+    s = (F.when((own_n <= 1) | (denom == 0), F.lit(0.0))  # singleton or coincident points
+         .otherwise((b - a) / denom))
     return points.agg(F.avg(s).alias("silhouette"))
 
 
