@@ -182,13 +182,16 @@ def describe_clusters(labels: DataFrame, profile: DataFrame, key: str, label: st
 # --- density clustering ------------------------------------------------------------
 
 def neighbour_pairs(points: DataFrame, cols, key: str, eps: float = DBSCAN_EPS,
-                    grid_dims: int = 3) -> DataFrame:
+                    grid_dims: int | None = None) -> DataFrame:
     """All (a, b) with distance <= eps, self pairs included, via a grid equi-join.
 
-    Each point is keyed by its cell on the first ``grid_dims`` dimensions; it is probed
-    against the 3^g neighbouring cells, then the exact distance filter runs.
+    Each point is keyed by its cell on the first ``grid_dims`` dimensions (default: up to
+    4); it is probed against the 3^g neighbouring cells, then the exact distance filter
+    runs. More bucketed dimensions mean more probe copies of each (profile) row but fewer
+    candidate pairs in dense regions (on the sf0.1 supplier profile: 130K candidates for
+    13K true pairs with 4 dimensions, 219K with 3).
     """
-    g = list(cols)[:grid_dims]
+    g = list(cols)[:grid_dims or min(len(cols), 4)]
     cell = [F.floor(F.col(c) / eps).cast("long").alias(f"_g{i}") for i, c in enumerate(g)]
     base = points.select(key, *cols, *cell)
     offsets = list(itertools.product((-1, 0, 1), repeat=len(g)))
@@ -206,7 +209,7 @@ def neighbour_pairs(points: DataFrame, cols, key: str, eps: float = DBSCAN_EPS,
 
 
 def dbscan_neighbours(points: DataFrame, cols, key: str, eps: float = DBSCAN_EPS,
-                      min_points: int = DBSCAN_MIN_POINTS, grid_dims: int = 3) -> DataFrame:
+                      min_points: int = DBSCAN_MIN_POINTS, grid_dims: int | None = None) -> DataFrame:
     pairs = neighbour_pairs(points, cols, key, eps, grid_dims)
     counts = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("n_neighbours"))
     return counts.select(F.col("a").alias(key), "n_neighbours",
@@ -214,7 +217,7 @@ def dbscan_neighbours(points: DataFrame, cols, key: str, eps: float = DBSCAN_EPS
 
 
 def dbscan(points: DataFrame, cols, key: str, eps: float = DBSCAN_EPS,
-           min_points: int = DBSCAN_MIN_POINTS, grid_dims: int = 3,
+           min_points: int = DBSCAN_MIN_POINTS, grid_dims: int | None = None,
            max_rounds: int = 100) -> DataFrame:
     """DBSCAN labels: cluster = smallest key of its connected core component; border
     points take the smallest adjacent cluster; noise = -1."""
