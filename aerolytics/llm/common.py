@@ -11,6 +11,9 @@ import os
 import uuid
 from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -71,3 +74,62 @@ def byte_slices(batch_column, max_bytes: int = 8 << 20) -> Iterator[tuple[int, i
         held += n
     if start < len(batch_column):
         yield start, len(batch_column)
+
+
+def coded_words(texts: pa.Array, spaces_only: bool = False, lower: bool = False):
+    """Words of an Arrow column as codes: ``(codes, dictionary, cuts)``.
+
+    ``codes[cuts[i]:cuts[i + 1]]`` are the words of row ``i`` as indices into the
+    dictionary, so Python touches every distinct word of the column once. Words are split
+    at white space (see :data:`BLANKS`), or with ``spaces_only`` at single spaces, where
+    empty words stay. Null counts as empty.
+    """
+    texts = pc.fill_null(texts, "")
+    if lower:
+        texts = pc.ascii_lower(texts)
+    parts = pc.split_pattern(texts, " ") if spaces_only else pc.ascii_split_whitespace(texts)
+    coded = parts.values.slice(parts.offsets[0].as_py(), parts.offsets[-1].as_py() - parts.offsets[0].as_py())
+    coded = coded.dictionary_encode()
+    codes = coded.indices.to_numpy(zero_copy_only=False)
+    cuts = parts.offsets.to_numpy().astype(np.int64)
+    cuts = cuts - cuts[0]
+    if not spaces_only:                                  # blank ends of a text make empty words
+        empty = pc.index(coded.dictionary, "").as_py()
+        if empty >= 0:
+            real = codes != empty
+            cuts = np.concatenate([[0], np.cumsum(real)])[cuts]
+            codes = codes[real]
+    return codes, coded.dictionary, cuts
+
+
+class RecentCache(dict):
+    """A dictionary of two generations, each of at most ``limit`` entries: when the young
+    one is full it becomes the old one, and what is asked for again moves over."""
+
+    def __init__(self, limit: int):
+        super().__init__()
+        self.limit, self.old = limit, {}
+
+    def lookup(self, key):
+        v = self.get(key)
+        if v is None and (v := self.old.get(key)) is not None:
+            self.put(key, v)
+        return v
+
+    def put(self, key, value) -> None:
+        if len(self) >= self.limit:
+            self.old = dict(self)
+            self.clear()
+        self[key] = value
+
+
+def ragged(values: list[np.ndarray], codes: np.ndarray, cuts: np.ndarray):
+    """Concatenate ``values[c]`` for all codes; returns it and the cuts of the rows in it."""
+    sizes = np.fromiter(map(len, values), np.int64, len(values))
+    flat = np.concatenate(values) if values else np.zeros(0, np.uint32)
+    first = np.cumsum(sizes) - sizes
+    n = sizes[codes]
+    ends = np.cumsum(n)
+    total = int(ends[-1]) if len(ends) else 0
+    at = np.repeat((first[codes] - (ends - n)), n) + np.arange(total)
+    return flat[at], np.concatenate([[0], ends])[cuts]

@@ -19,11 +19,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aerolytics.llm.common import byte_slices, ship
+from aerolytics.llm.common import RecentCache, byte_slices, coded_words, ragged, ship
 
 SEQUENCE_TOKENS = 4096
 BUFFER_TOKENS = 1 << 20
@@ -47,8 +48,7 @@ class WordEncoder:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")   # Spark owns the cores
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
-        self.cache: dict[str, bytes] = {"": b""}
-        self.max_words = max_words
+        self.cache = RecentCache(max_words)
 
     @classmethod
     def get(cls, path: str) -> WordEncoder:
@@ -57,24 +57,18 @@ class WordEncoder:
             cls._open[path] = cls(path)
         return cls._open[path]
 
-    def ids(self, text: str) -> bytes:
-        """The ids as little-endian unsigned 32-bit values."""
-        chunks = text.replace("\n", " ").split(" ")
-        cache = self.cache
-        out = []
-        # long texts are joined in blocks so that the cache may be emptied in between
-        for at in range(0, len(chunks), 100_000):
-            block = chunks[at:at + 100_000]
-            missing = list({c for c in block if c not in cache})
-            if missing:
-                if len(cache) + len(missing) > self.max_words:
-                    cache.clear()
-                    cache[""] = b""
-                    missing = list(set(block) - {""})
-                for c, e in zip(missing, self.tok.encode_batch_fast(missing, add_special_tokens=False)):
-                    cache[c] = np.asarray(e.ids, dtype="<u4").tobytes()
-            out.append(b"".join([cache[c] for c in block]))
-        return b"".join(out)
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids (little-endian unsigned 32-bit) and where each text ends in them."""
+        codes, names, cuts = coded_words(pc.replace_substring(pc.fill_null(texts, ""), "\n", " "), spaces_only=True)
+        names = names.to_pylist()
+        values = [self.cache.lookup(w) for w in names]
+        missing = [i for i, v in enumerate(values) if v is None]
+        new = self.tok.encode_batch_fast([names[i] for i in missing], add_special_tokens=False)
+        for i, e in zip(missing, new):
+            values[i] = np.asarray(e.ids, dtype="<u4")
+            if len(names[i]) <= 64:
+                self.cache.put(names[i], values[i])
+        return ragged(values, codes, cuts)
 
 
 def capacities(total: int, full: int) -> list[int]:
@@ -113,20 +107,20 @@ def pack(lengths: list[int], full: int, linear: float, quadratic: float):
 
 def _pack_batches(batches, path, end_id, full, linear, quadratic, buffer_tokens):
     encoder = WordEncoder.get(path)
-    end = np.asarray([end_id], dtype="<u4").tobytes()
+    end = np.asarray([end_id], dtype="<u4")
     base = TaskContext.get().partitionId() << 32       # ids stay unique over tasks
-    ids: list[bytes] = []
+    ids: list[np.ndarray] = []
     keys: list = []
 
     def flush():
         nonlocal base
-        lengths = [len(x) // 4 for x in ids]
+        lengths = [len(x) for x in ids]
         pieces, cost, size = pack(lengths, full, linear, quadratic)
         cols = list(zip(*pieces))
         out = pa.RecordBatch.from_arrays([
             pa.array([keys[d] for d in cols[0]], pa.int64()),
             pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int64()),
-            pa.array([zlib.crc32(memoryview(ids[d])[4 * s:4 * (s + n)])
+            pa.array([zlib.crc32(ids[d][s:s + n])
                       for d, s, n, _, _ in pieces], pa.int64()),
             pa.array([lengths[d] for d in cols[0]], pa.int64()),
             pa.array([base + k for k in cols[3]], pa.int64()),
@@ -143,16 +137,16 @@ def _pack_batches(batches, path, end_id, full, linear, quadratic, buffer_tokens)
     held = 0
     for batch in batches:
         texts = batch.column(1)
-        for lo, hi in byte_slices(texts):
-            for key, text in zip(batch.column(0).slice(lo, hi - lo).to_pylist(),
-                                 texts.slice(lo, hi - lo).to_pylist()):
-                x = encoder.ids(text or "") + end
-                if ids and held + len(x) // 4 > buffer_tokens:
+        for lo, hi in byte_slices(texts, 16 << 20):
+            flat, cuts = encoder.encode(texts.slice(lo, hi - lo))
+            for i, key in enumerate(batch.column(0).slice(lo, hi - lo).to_pylist()):
+                x = np.concatenate([flat[cuts[i]:cuts[i + 1]], end])
+                if ids and held + len(x) > buffer_tokens:
                     yield flush()
                     held = 0
                 ids.append(x)
                 keys.append(key)
-                held += len(x) // 4
+                held += len(x)
     if ids:
         yield flush()
 

@@ -6,7 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerolytics.llm import (html_extract, packing, secrets, token_counts, toxicity, url_filter)
+from aerolytics.llm import (html_extract, ngram_join, packing, quality, secrets, token_counts, toxicity,
+                            url_filter)
 from aerolytics.llm.common import table
 
 
@@ -64,10 +65,63 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "host", "path", "rule", "verdict", F.round("score", 9).alias("score"))
 
 
+def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.link_components(table(spark, sf_dir, "documents"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_filter(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept")
+
+
 QUERIES = {f.__name__: f for f in (op1_secrets, op3_token_counts, op5_main_text, op6_toxicity,
-                                   op7_url_filter, op9_packing)}
-ORACLES: dict[str, str] = {}
+                                   op7_url_filter, op8_ngram_join, op9_packing, op10_quality)}
+#: the same rules in DuckDB: measures, bucket counts, merged quartiles, fences
+OP10_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, lang, source, coalesce(text, '') AS text FROM documents),
+w AS (SELECT r, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w,
+             list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM d),
+pos AS (SELECT r, w, unnest(range(len(w) - 2)) AS i FROM w WHERE len(w) >= 3),
+tri AS (SELECT r, i, w[i + 1] AS a, w[i + 2] AS b, w[i + 3] AS c FROM pos),
+again AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, a, b, c) AS n FROM tri) WHERE n > 1),
+covered AS (SELECT r, count(DISTINCT j) AS n FROM (SELECT r, i + unnest([0, 1, 2]) AS j FROM again) GROUP BY r),
+m AS (SELECT d.r, d.doc_id, d.lang, d.source, len(w.w)::BIGINT AS n_words,
+             coalesce(list_sum(list_transform(w.w, lambda x: length(x))), 0)::BIGINT AS word_chars,
+             (length(d.text) - length(regexp_replace(d.text, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+             len(w.l)::BIGINT AS n_lines, (len(w.l) - len(list_distinct(w.l)))::BIGINT AS n_dup_lines,
+             coalesce(covered.n, 0)::BIGINT AS n_repeat_words
+      FROM d JOIN w USING (r) LEFT JOIN covered USING (r)),
+f AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+             least(coalesce(n_symbols * 1000 // n_words, 0), 8000) AS v1,
+             least(coalesce(word_chars * 100 // n_words, 0), 20000) AS v2,
+             least(coalesce(n_dup_lines * 1000 // n_lines, 0), 1000) AS v3,
+             least(coalesce(n_repeat_words * 1000 // n_words, 0), 1000) AS v4 FROM m),
+x AS (SELECT lang, source, unnest([1, 2, 3, 4]) AS k, unnest([v1, v2, v3, v4]) AS v FROM f WHERE NOT base_failed),
+lv AS (SELECT 3 AS level, lang, source, k, v FROM x UNION ALL SELECT 2, lang, NULL, k, v FROM x
+       UNION ALL SELECT 1, NULL, NULL, k, v FROM x),
+rk AS (SELECT *, row_number() OVER (PARTITION BY level, lang, source, k ORDER BY v) AS n,
+              count(*) OVER (PARTITION BY level, lang, source, k) AS al FROM lv),
+qt AS (SELECT level, lang, source, k, max(al) AS docs, min(CASE WHEN 4 * n >= al THEN v END) AS q1,
+              min(CASE WHEN 4 * n >= 3 * al THEN v END) AS q3 FROM rk GROUP BY ALL),
+fe AS (SELECT level, lang, source, k, docs, q3 + 3 * greatest(q3 - q1, s) AS high,
+              CASE WHEN k = 2 THEN q1 - 3 * greatest(q3 - q1, s) ELSE -1 END AS low
+       FROM qt JOIN (VALUES (1, 50), (2, 60), (3, 200), (4, 150)) t(k, s) USING (k)),
+th AS (SELECT a.lang, a.source, a.k,
+              CASE WHEN a.docs >= 200 THEN a.low WHEN b.docs >= 200 THEN b.low ELSE c.low END AS low,
+              CASE WHEN a.docs >= 200 THEN a.high WHEN b.docs >= 200 THEN b.high ELSE c.high END AS high
+       FROM (SELECT * FROM fe WHERE level = 3) a
+       JOIN (SELECT * FROM fe WHERE level = 2) b ON a.lang IS NOT DISTINCT FROM b.lang AND a.k = b.k
+       JOIN (SELECT * FROM fe WHERE level = 1) c ON a.k = c.k),
+bad AS (SELECT DISTINCT f.r FROM f JOIN th ON f.lang IS NOT DISTINCT FROM th.lang AND f.source IS NOT DISTINCT FROM th.source
+        WHERE NOT CASE th.k WHEN 1 THEN f.v1 WHEN 2 THEN f.v2 WHEN 3 THEN f.v3 ELSE f.v4 END BETWEEN th.low AND th.high)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND bad.r IS NULL AS kept
+FROM f LEFT JOIN bad USING (r)
+"""
+
+ORACLES: dict[str, str] = {"op10_quality": OP10_SQL}

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from aerolytics.llm.common import byte_slices, ship
+from aerolytics.llm.common import WORD, byte_slices, coded_words, ship
 
 BUCKETS = 1 << 18
 FOLDS = 5
@@ -32,7 +32,7 @@ MAX_TRAIN_TOXIC = 2000
 MAX_TRAIN_CLEAN = 4000
 WINDOW = 64
 CACHE_WORDS = 300_000
-TOKEN = re.compile(r"\S+")
+TOKEN = re.compile(WORD)
 EDGES = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum()) + "«»“”„’‘…–—¡¿"
 
 
@@ -137,19 +137,14 @@ class Scorer:
             self.own[i] = self.m.own[b].sum()
             self.prev[i], self.next[i] = self.m.prev[b[0]], self.m.next[b[0]]
 
-    def ids(self, words: list[str]) -> np.ndarray:
-        missing = list({w for w in words if w not in self.at})
-        if missing:
-            self._add(missing)
-        return np.fromiter(map(self.at.__getitem__, words), np.int32, len(words))
-
-    def score(self, texts: list[str]):
+    def score(self, texts: pa.Array):
         """Marginals of all tokens, and the first token of each text (and the end)."""
         if len(self.at) > CACHE_WORDS:
             self.reset()
-        ids = [self.ids(t.split()) for t in texts]
-        cut = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int64)
-        seq = np.concatenate(ids) if ids else np.zeros(0, np.int32)
+        codes, names, cut = coded_words(texts)
+        names = names.to_pylist()
+        self._add([w for w in names if w not in self.at])
+        seq = np.fromiter(map(self.at.__getitem__, names), np.int32, len(names))[codes]
         starts = np.zeros(len(seq), bool)
         starts[cut[:-1][cut[:-1] < cut[1:]]] = True
         e = self.m.bias + self.own[seq]
@@ -230,7 +225,7 @@ def train(rows: list[tuple[str, int]], weights: dict[int, float] | None = None,
     if not len(rows) or toxic.min() == toxic.max():
         return Model(zero, zero, zero, 0.0, np.zeros((2, 2)), 0.0, np.zeros(4), labelled=False)
     vocab: dict[str, int] = {}
-    seqs = [np.fromiter((vocab.setdefault(w, len(vocab)) for w in t.split()), np.int64) for t, _ in rows]
+    seqs = [np.fromiter((vocab.setdefault(w, len(vocab)) for w in TOKEN.findall(t)), np.int64) for t, _ in rows]
     names = [features(w) for w in vocab]
     if not names:
         return Model(zero, zero, zero, 0.0, np.zeros((2, 2)), 0.0, np.zeros(4), labelled=False)
@@ -304,7 +299,7 @@ def train(rows: list[tuple[str, int]], weights: dict[int, float] | None = None,
     scorer = Scorer(model)
     feats = []
     for s in range(0, len(rows), 200):
-        feats.append(aggregates(*scorer.score([t for t, _ in rows[s:s + 200]])))
+        feats.append(aggregates(*scorer.score(pa.array([t for t, _ in rows[s:s + 200]], pa.string()))))
     weight = np.array([(weights or {}).get(int(v), 1.0) for v in toxic])
     model.layer = fit_layer(np.concatenate(feats), toxic.astype(float), weight)
     return model
@@ -358,21 +353,21 @@ def score_documents(docs: DataFrame, model: Model, id_col: str = "doc_id", text_
         span = pa.struct([("start", pa.int64()), ("end", pa.int64())])
         for batch in batches:
             for lo, hi in byte_slices(batch.column(1), 4 << 20):
-                texts = [t or "" for t in batch.column(1).slice(lo, hi - lo).to_pylist()]
+                texts = batch.column(1).slice(lo, hi - lo)
                 if m.labelled:
                     p, cut = scorer.score(texts)
                     s = _sigmoid(aggregates(p, cut) @ m.layer)
                 else:
                     p, cut, s = np.zeros(0), np.zeros(len(texts) + 1, int), np.zeros(len(texts))
                 spans = []
-                for i, t in enumerate(texts):
+                for i in range(len(texts)):
                     hit = np.flatnonzero(p[cut[i]:cut[i + 1]] >= 0.5)
                     if not len(hit):
                         spans.append([])
                         continue
                     want = set(hit.tolist())
                     spans.append([{"start": x.start(), "end": x.end()}
-                                  for k, x in enumerate(TOKEN.finditer(t)) if k in want])
+                                  for k, x in enumerate(TOKEN.finditer(texts[i].as_py())) if k in want])
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(lo, hi - lo), pa.array(s, pa.float64()),
                      pa.array((s >= threshold).astype(np.int32), pa.int32()),
