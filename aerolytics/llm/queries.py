@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerolytics.llm import (html_extract, ngram_join, packing, quality, secrets, token_counts, toxicity,
+from aerolytics.llm import (decontaminate, html_extract, line_dedup, ngram_join, packing, quality, secrets, token_counts, toxicity,
                             url_filter)
 from aerolytics.llm.common import table
 
@@ -38,12 +38,22 @@ def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
                         count("random"))
 
 
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")) \
+        .withColumn("similarity", F.round("similarity", 9))
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     lengths = token_counts.token_lengths(table(spark, sf_dir, "documents"),
                                          vocabulary("byte_bpe_50k.tiktoken"), split_pattern())
     return token_counts.length_histogram(lengths)
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = line_dedup.row_keys(table(spark, sf_dir, "documents"), "doc_id")
+    return line_dedup.find_duplicate_lines(docs).drop("row")
+
+
 def op5_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (html_extract.extract_main_text(table(spark, sf_dir, "pages"))
             .withColumn("n_chars", F.length("text").cast("long")))
@@ -79,7 +89,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "base_failed", "kept")
 
 
-QUERIES = {f.__name__: f for f in (op1_secrets, op3_token_counts, op5_main_text, op6_toxicity,
+QUERIES = {f.__name__: f for f in (op1_secrets, op2_decontaminate, op3_token_counts, op4_line_dedup, op5_main_text, op6_toxicity,
                                    op7_url_filter, op8_ngram_join, op9_packing, op10_quality)}
 #: the same rules in DuckDB: measures, bucket counts, merged quartiles, fences
 OP10_SQL = r"""
