@@ -123,13 +123,35 @@ class RecentCache(dict):
         self[key] = value
 
 
-def ragged(values: list[np.ndarray], codes: np.ndarray, cuts: np.ndarray):
-    """Concatenate ``values[c]`` for all codes; returns it and the cuts of the rows in it."""
-    sizes = np.fromiter(map(len, values), np.int64, len(values))
-    flat = np.concatenate(values) if values else np.zeros(0, np.uint32)
+def ragged(values: list[bytes], codes: np.ndarray, cuts: np.ndarray):
+    """Concatenate the 32-bit values ``values[c]`` for all codes; returns them and the cuts
+    of the rows in them."""
+    sizes = np.fromiter(map(len, values), np.int64, len(values)) // 4
+    flat = np.frombuffer(b"".join(values), "<u4")
     first = np.cumsum(sizes) - sizes
     n = sizes[codes]
     ends = np.cumsum(n)
     total = int(ends[-1]) if len(ends) else 0
     at = np.repeat((first[codes] - (ends - n)), n) + np.arange(total)
     return flat[at], np.concatenate([[0], ends])[cuts]
+
+
+SIEVE_WORDS = 1 << 16
+
+
+def sieve(df: DataFrame, wanted: DataFrame, col: str, n_words: int = SIEVE_WORDS) -> DataFrame:
+    """Rows of ``df`` whose ``col`` may occur in ``wanted``: a bitmap of fixed size
+    (``n_words`` 64-bit words) drops most others before a join that decides exactly, so that
+    wide rows are not shuffled for nothing. A full bitmap lets everything through."""
+    def shift(name, x, k):
+        return F.call_function(name, x, k)
+
+    spot = F.pmod(F.xxhash64(col), F.lit(n_words * 64))
+    zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
+    at, bit = shift("shiftright", spot, F.lit(6)), spot.bitwiseAND(F.lit(63)).cast("int")
+    bits = (wanted.select(at.alias("w"), shift("shiftleft", one, bit).alias("v"))
+            .unionAll(df.sparkSession.range(n_words).select(F.col("id").alias("w"), zero.alias("v")))
+            .groupBy("w").agg(F.bit_or("v").alias("v"))
+            .agg(F.transform(F.sort_array(F.collect_list(F.struct("w", "v"))), lambda s: s["v"]).alias("s")))
+    word = F.get(bits.scalar(), at.cast("int"))
+    return df.where(shift("shiftrightunsigned", word, bit).bitwiseAND(one) == 1)

@@ -333,6 +333,32 @@ def fit(docs: DataFrame, labels: DataFrame, max_toxic: int = MAX_TRAIN_TOXIC,
     return train([(t, k) for _, t, k in rows], {c: 1.0 / s for c, s in share.items() if s > 0})
 
 
+def toxic_scores(docs: DataFrame, model: Model, text_col: str = "text") -> Column:
+    """A column with the score of each text of ``docs`` (see :func:`score_documents`), for
+    filters that keep all columns of the table in place."""
+    spark = docs.sparkSession
+    ship(spark)
+    shared = spark.sparkContext.broadcast(model)        # a fixed number of buckets
+
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        m = shared.value
+        scorer = Scorer(m)
+        for texts in batches:
+            parts = [block_scores(m, scorer, texts.slice(lo, hi - lo))[0]
+                     for lo, hi in byte_slices(texts, 4 << 20)]
+            yield pa.array(np.concatenate(parts) if parts else np.zeros(0), pa.float64())
+
+    return F.arrow_udf(run, "double", F.ArrowUDFType.SCALAR_ITER)(F.col(text_col))
+
+
+def block_scores(m: Model, scorer: Scorer, texts: pa.Array):
+    """Scores, marginals and cuts of a block of texts."""
+    if not m.labelled:
+        return np.zeros(len(texts)), np.zeros(0), np.zeros(len(texts) + 1, int)
+    p, cut = scorer.score(texts)
+    return _sigmoid(aggregates(p, cut) @ m.layer), p, cut
+
+
 def score_documents(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text",
                     threshold: float = 0.5) -> DataFrame:
     """One row per document: id, score (0 to 1), predicted (1 from ``threshold``) and spans,
@@ -354,11 +380,7 @@ def score_documents(docs: DataFrame, model: Model, id_col: str = "doc_id", text_
         for batch in batches:
             for lo, hi in byte_slices(batch.column(1), 4 << 20):
                 texts = batch.column(1).slice(lo, hi - lo)
-                if m.labelled:
-                    p, cut = scorer.score(texts)
-                    s = _sigmoid(aggregates(p, cut) @ m.layer)
-                else:
-                    p, cut, s = np.zeros(0), np.zeros(len(texts) + 1, int), np.zeros(len(texts))
+                s, p, cut = block_scores(m, scorer, texts)
                 spans = []
                 for i in range(len(texts)):
                     hit = np.flatnonzero(p[cut[i]:cut[i + 1]] >= 0.5)
