@@ -8,15 +8,19 @@ their Jaccard similarity reaches the threshold. The search works on inverted lis
    least ``l``. Only these go into the inverted lists, ``l`` about a twentieth of the set.
 2. Lists of one row are dropped, and so is every set with fewer than ``l`` lists left:
    documents that only share some passage with others end here.
-3. DivideSkip: of the ``N`` lists of a set that must be met ``l`` times, its ``l - 1``
+3. DivideSkip on these lists: of the ``N`` lists of a set that must be met ``l`` times, its ``l - 1``
    longest are set aside. A partner is met in at least one of the others, the short
    lists; these are merged by Spark's sorted shuffle on the list key (the heap of a single
    machine). Long lists are probed later by binary search in the sorted set.
 4. Candidates are verified exactly: binary probes of one sorted set in the other.
 
-Only components are asked for, so the pairs of a group of copies are never spelled out:
-equal sets are one node; a few rounds compare the members of a list with one leader only;
-what is still unconnected is then compared with everything in its list, exactly.
+Only components are asked for, so the pairs of a group of copies are never spelled out.
+Equal sets are one node. One round compares every node with the leader (the set with the
+most popular shingles) of its lists. Lists of one leader then form a block; the nodes of a
+block that are not in its largest component yet search the block's index, in pieces of
+bounded size, by DivideSkip inside the task: the postings of the short lists are merged,
+what reaches the count that is left is probed in the long ones by binary search. Within a
+task links already known are not searched for again.
 """
 
 from __future__ import annotations
@@ -28,11 +32,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from aerolytics.llm.common import byte_slices, coded_words, scratch, ship
+from aerolytics.llm.common import byte_slices, coded_words, scratch, ship, sieve
 
 WORDS = 5
 PERCENT = 80
-LEADER_ROUNDS = 3
+CHUNK_SHINGLES = 500_000         # of a piece of a block's index
+MU = 0.05                        # weight of a probe against a merge when lists are divided
 SPARE = 20                       # one more shared list is asked for per so many shingles
 
 _C1 = np.uint64(0x9E3779B97F4A7C15)
@@ -123,6 +128,83 @@ def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
+class BlockIndex:
+    """Inverted lists of the sets of one piece of a block, and what is linked already."""
+
+    def __init__(self, nodes: list[int], comps: list[int], sets: list[np.ndarray], percent: int):
+        self.nodes, self.sets, self.percent = nodes, sets, percent
+        self.sizes = np.array([len(x) for x in sets])
+        flat = np.concatenate(sets)
+        order = np.argsort(flat, kind="stable")
+        self.posts = np.repeat(np.arange(len(sets)), self.sizes)[order]
+        self.keys, first = np.unique(flat[order], return_index=True)
+        self.ends = np.append(first, len(flat))
+        self.at = {v: i for i, v in enumerate(nodes)}
+        self.root: dict[int, int] = {}
+        self.comp = comps
+
+    def find(self, c: int) -> int:
+        while (p := self.root.get(c, c)) != c:
+            self.root[c] = self.root.get(p, p)
+            c = p
+        return c
+
+    def search(self, node: int, comp: int, x: np.ndarray) -> Iterator[int]:
+        """Nodes that ``x`` links with, one for each component not linked with it yet."""
+        n, pc = len(x), self.percent
+        least = -(-pc * (n + least_overlap(n, pc)) // (100 + pc))        # for the smallest partner
+        k = np.searchsorted(self.keys, x)
+        k = k[(k < len(self.keys)) & (self.keys[np.minimum(k, len(self.keys) - 1)] == x)]
+        if len(k) < least:
+            return
+        size = self.ends[k + 1] - self.ends[k]
+        order = np.argsort(size, kind="stable")
+        n_long = min(least - 1, int(least / (MU * np.log2(int(size.max()) + 1) + 1)))
+        short, long = k[order[:len(k) - n_long]], np.sort(k[order[len(k) - n_long:]])
+        met = np.bincount(np.concatenate([self.posts[self.ends[i]:self.ends[i + 1]] for i in short]),
+                          minlength=len(self.nodes))
+        need = -(-pc * (n + self.sizes) // (100 + pc))
+        cand = np.flatnonzero((met > 0) & (met >= need - n_long)
+                              & (100 * np.minimum(n, self.sizes) >= pc * np.maximum(n, self.sizes)))
+        probes = self.keys[long]
+        for c in cand[np.argsort(-met[cand], kind="stable")].tolist():
+            mine, theirs = self.find(comp), self.find(self.comp[c])
+            if self.nodes[c] == node or mine == theirs:
+                continue
+            y = self.sets[c]
+            at = np.minimum(np.searchsorted(y, probes), len(y) - 1)
+            if met[c] + int((y[at] == probes).sum()) >= need[c]:
+                self.root[max(mine, theirs)] = min(mine, theirs)
+                yield self.nodes[c]
+
+
+def search_blocks(rows: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) found in rows (block, piece, query, node, comp, part) that come sorted:
+    the sets of a piece, then its queries."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        here, index, held = None, None, ([], [], [])
+        for t in batches:
+            a, b = [], []
+            cols = [t.column(i).to_pylist() for i in range(5)]
+            for i, (block, piece, query, node, comp) in enumerate(zip(*cols)):
+                x = np.frombuffer(t.column(5)[i].as_buffer(), np.int64)
+                if (block, piece) != here:
+                    here, index, held = (block, piece), None, ([], [], [])
+                if not query:
+                    held[0].append(node)
+                    held[1].append(comp)
+                    held[2].append(x.copy())
+                elif held[0]:
+                    if index is None:
+                        index = BlockIndex(*held, percent)
+                    for other in index.search(node, comp, x):
+                        a.append(node)
+                        b.append(other)
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    return rows.mapInArrow(run, "a long, b long")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """node, comp of every node of an edge. Each round maps every node to the neighbour (or
     itself) of least random priority and contracts; the graph shrinks by a constant factor,
@@ -163,7 +245,7 @@ def _short_lists(base: DataFrame, percent: int) -> DataFrame:
     length = lists.groupBy("key").agg(F.count(F.lit(1)).alias("len")).where("len > 1")
     w = F.row_number().over(Window.partitionBy("node").orderBy(F.col("len").desc(), F.col("key").desc()))
     return (lists.join(length, "key").withColumn("from_longest", w)
-            .where(F.col("from_longest") >= F.col("need")).select("key", "node", "n"))
+            .where(F.col("from_longest") >= F.col("need")).select("key", "node", "n", "len"))
 
 
 def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = WORDS,
@@ -181,47 +263,44 @@ def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     lists = scratch(_short_lists(base, percent), "ngram-short")
 
     # whole sets of the nodes that are left, from one document each
-    nodes = base.join(lists.select("node").distinct(), "node", "left_semi") \
-        .groupBy("node").agg(F.min("doc_id").alias("rep"))
-    reps = nodes.select("rep", "node")
-    sets = scratch(_sets(d.join(reps.select("rep").distinct(), F.col("doc_id").eqNullSafe(F.col("rep")), "left_semi"),
-                         k, percent, True).select("node", "part").dropDuplicates(["node"]), "ngram-sets")
-
-    edges, comps = None, None
-    for r in range(LEADER_ROUNDS + 1):
-        if comps is None:
-            cl = lists.withColumn("comp", F.col("node"))
-        else:
-            cl = lists.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-        # the largest component of each list, and the rest of the list
-        per = cl.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("c"),
-                                            F.min(F.struct(F.xxhash64("node", F.lit(r)).alias("p"), "node", "n")).alias("lead"))
-        most = per.groupBy("key").agg(F.max_by(F.struct("comp", "lead.node", "lead.n"), F.struct("c", "comp")).alias("m"),
-                                      F.count(F.lit(1)).alias("comps")).where("comps > 1")
-        rest = cl.join(most, "key").where(F.col("comp") != F.col("m.comp"))
-        if r < LEADER_ROUNDS:
-            pairs = rest.where(_close(F.col("n"), F.col("m.n"), percent)) \
-                .groupBy(F.col("node").alias("a"), F.col("m.node").alias("b")).agg(F.count(F.lit(1)).alias("met"))
-            # the leader met most often
-            pairs = pairs.groupBy("a").agg(F.max_by("b", F.struct("met", "b")).alias("b"))
-        else:
-            x = rest.select("key", F.col("node").alias("a"), F.col("n").alias("na"), F.col("comp").alias("ca"))
-            y = cl.select("key", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("comp").alias("cb"))
-            pairs = x.join(y, "key").where((F.col("ca") != F.col("cb")) & _close(F.col("na"), F.col("nb"), percent)) \
-                .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        found = scratch(verify(pairs, sets, percent), f"ngram-edges-{r}")
-        if not found.isEmpty():
-            edges = found if edges is None else edges.unionAll(found)
-            comps = components(edges)
+    nodes = scratch(lists.groupBy("node").agg(F.avg("len").alias("score")), "ngram-nodes")
+    reps = scratch(base.join(nodes.select("node"), "node", "left_semi")
+                   .groupBy("node").agg(F.min("doc_id").alias("doc_id")), "ngram-reps").select("doc_id").distinct()
+    some = sieve(d, reps, "doc_id").join(reps.withColumnRenamed("doc_id", "rep"),
+                                         F.col("doc_id").eqNullSafe(F.col("rep")), "left_semi")
+    sets = scratch(_sets(some, k, percent, True).join(nodes.select("node"), "node", "left_semi")
+                   .dropDuplicates(["node"]).select("node", "part"), "ngram-sets")
+
+    # every node against the leader of its lists that it meets most often
+    lead = lists.join(nodes, "node").groupBy("key").agg(F.max(F.struct("score", "node", "n")).alias("m"))
+    led = scratch(lists.join(lead.select("key", F.col("m.node").alias("block"), F.col("m.n").alias("bn")), "key")
+                  .groupBy("block", "bn", "node", "n").agg(F.count(F.lit(1)).alias("met")), "ngram-led")
+    pairs = led.where((F.col("node") != F.col("block")) & _close(F.col("n"), F.col("bn"), percent)) \
+        .groupBy(F.col("node").alias("a")).agg(F.max_by("block", F.struct("met", "block")).alias("b"))
+    edges = scratch(verify(pairs, sets, percent), "ngram-edges")
+    comps = scratch(components(edges), "ngram-comps")
+
+    # what is not in the largest component of a block searches the block
+    cl = led.select("block", "node", "n").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    per = cl.groupBy("block", "comp").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("s"))
+    most = per.groupBy("block").agg(F.max_by("comp", F.struct("c", "comp")).alias("largest"),
+                                    F.count(F.lit(1)).alias("comps"), F.sum("s").alias("s")).where("comps > 1")
+    most = most.select("block", "largest", F.ceil(F.col("s") / CHUNK_SHINGLES).cast("int").alias("pieces"))
+    rows = scratch(cl.join(most, "block"), "ngram-blocks")
+    piece = F.pmod(F.xxhash64("node", F.lit(3)), F.col("pieces")).cast("int")
+    index = rows.select("block", piece.alias("piece"), F.lit(0).alias("query"), "node", "comp")
+    query = rows.where("comp <> largest").select(
+        "block", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("piece"), F.lit(1).alias("query"), "node", "comp")
+    both = index.unionAll(query).join(sets, "node").select("block", "piece", "query", "node", "comp", "part") \
+        .repartition("block", "piece").sortWithinPartitions("block", "piece", "query", "node")
+    more = scratch(search_blocks(both, percent), "ngram-more")
+    comps = components(edges.unionAll(more)) if not more.isEmpty() else comps
 
     # smallest document of each component, by node
     low = base.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("low"))
-    if comps is not None:
-        low = low.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-        low = low.select("node", "comp", "low").join(
-            low.groupBy("comp").agg(F.min("low").alias("component_id")), "comp").select("node", "component_id")
-    else:
-        low = low.select("node", F.col("low").alias("component_id"))
+    low = low.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    low = low.select("node", "comp", "low").join(
+        low.groupBy("comp").agg(F.min("low").alias("component_id")), "comp").select("node", "component_id")
     low = low.withColumn("has", F.lit(1))
     return base.select("doc_id", "n", "node").withColumn("has", F.when(F.col("n") > 0, 1).otherwise(0)) \
         .join(low, ["node", "has"], "left") \
