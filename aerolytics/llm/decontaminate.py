@@ -39,17 +39,21 @@ def _shingles(w: Column, start: Column, stop: Column) -> Column:
         F.sequence(start, stop - WORDS), lambda i: _hash(w, i))).otherwise(F.array().cast("array<bigint>"))
 
 
-def _fingerprint(s: Column, salt: int) -> Column:
-    """64 bits: bit j is the sign of the summed votes of the shingles' hashes."""
+def _with_fingerprints(df: DataFrame, shingles: str, names: list[str]) -> DataFrame:
+    """Add 64 bits for each name: bit j is the sign of the summed votes of the shingles'
+    hashes (each occurrence votes; every name salts the hash)."""
     def bit(x: Column, j: Column) -> Column:
-        return F.expr("0") + F.call_function("shiftrightunsigned", x, j).bitwiseAND(F.lit(1)).cast("int")
+        return F.call_function("shiftrightunsigned", x, j).bitwiseAND(F.lit(1)).cast("int")
 
-    votes = F.transform(s, lambda x: F.xxhash64(x, F.lit(salt)))
-    ones = F.transform(F.sequence(F.lit(0), F.lit(63)),
-                       lambda j: F.aggregate(votes, F.lit(0), lambda a, x: a + bit(x, j)))
-    return F.aggregate(F.transform(ones, lambda n, j: F.when(2 * n > F.size(s), F.call_function(
-        "shiftleft", F.lit(1).cast("long"), j)).otherwise(F.lit(0).cast("long"))),
-        F.lit(0).cast("long"), lambda a, x: a.bitwiseOR(x))
+    for salt, name in enumerate(names):
+        # columns of their own: a lambda evaluates what it holds for every element
+        df = df.withColumn("__votes", F.transform(shingles, lambda x, s=salt: F.xxhash64(x, F.lit(s + 1))))
+        df = df.withColumn("__ones", F.transform(F.sequence(F.lit(0), F.lit(63)), lambda j: F.aggregate(
+            "__votes", F.lit(0), lambda a, x: a + bit(x, j))))
+        df = df.withColumn(name, F.aggregate(F.transform("__ones", lambda n, j: F.when(
+            2 * n > F.size(shingles), F.call_function("shiftleft", F.lit(1).cast("long"), j)).otherwise(
+                F.lit(0).cast("long"))), F.lit(0).cast("long"), lambda a, x: a.bitwiseOR(x)))
+    return df.drop("__votes", "__ones")
 
 
 def _blocks(*prints: Column) -> Column:
@@ -79,7 +83,7 @@ def benchmark_items(benchmark: DataFrame, id_col: str = "item_id", text_col: str
     b = benchmark.select(F.col(id_col).alias("item_id"), words(F.lower(text_col)).alias("w"))
     b = b.where(F.size("w") >= WORDS).select("item_id", F.size("w").alias("len"),
                                              _shingles(F.col("w"), F.lit(0), F.size("w")).alias("item"))
-    return b.select("*", _fingerprint(F.col("item"), 1).alias("i1"), _fingerprint(F.col("item"), 2).alias("i2"))
+    return _with_fingerprints(b, "item", ["i1", "i2"])
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -111,8 +115,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     wins = (p.select("doc_id", "t", "w", F.explode(starts).alias("x"))
             .select("doc_id", "t", F.col("x.len").alias("len"), first.alias("start"), (last - first).alias("n"),
                     _shingles(F.col("w"), first, last).alias("win")))
-    wins = scratch(wins.dropDuplicates(["doc_id", "t", "len", "start", "n"])
-                   .select("*", _fingerprint(F.col("win"), 1).alias("f1"), _fingerprint(F.col("win"), 2).alias("f2")),
+    wins = scratch(_with_fingerprints(wins.dropDuplicates(["doc_id", "t", "len", "start", "n"]), "win", ["f1", "f2"]),
                    "benchmark-windows")
 
     w = wins.select("doc_id", "t", "len", "start", "n", "f1", "f2", _blocks(F.col("f1"), F.col("f2")).alias("b"))

@@ -34,13 +34,6 @@ MIN_DOCS = 200
 SMALL = 64
 
 
-def _repeated(h: Column) -> Column:
-    """Distinct values that occur twice or more in an array of hashes."""
-    s = F.sort_array(h)
-    return F.when(F.size(F.array_distinct(h)) == F.size(h), F.array().cast("array<bigint>")).otherwise(
-        F.array_distinct(F.filter(s, lambda x, i: x == F.get(s, i + 1))))
-
-
 def text_metrics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  lang_col: str = "lang", source_col: str = "source") -> DataFrame:
     """One row per document: doc_id, lang, source, n_words, word_chars, n_symbols,
@@ -62,7 +55,11 @@ def text_metrics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                  F.size(w).cast("long").alias("n_words"), F.size("lines").cast("long").alias("n_lines"),
                  (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
                  F.when(F.size(w) >= 3, windows).otherwise(F.array().cast("array<bigint>")).alias("h"))
-    d = d.withColumn("again", _repeated(h))
+    # values that occur twice: neighbours in the sorted hashes (a column of its own, as a
+    # lambda evaluates what it holds for every element)
+    d = d.withColumn("s", F.when(F.size(F.array_distinct(h)) < F.size(h), F.sort_array(h)).otherwise(
+        F.array().cast("array<bigint>")))
+    d = d.withColumn("again", F.array_distinct(F.filter("s", lambda x, i: x == F.get("s", i + 1))))
     # places of repeated windows in order: few repeated values are looked up, many are sorted
     few = F.filter(F.sequence(F.lit(0), F.size(h) - 1), lambda i: F.array_contains(again, F.get(h, i)))
     d = d.withColumn("pairs", F.when(F.size(again) > SMALL, F.sort_array(
