@@ -23,10 +23,10 @@ SYMBOLS = "#*$%&|<>"
 #: measure: expression over the metrics, largest bucket, least spread of the fences
 #: (per mille of the words or lines; hundredths of a character for the word length)
 MEASURES = {
-    "symbols": ("n_symbols * 1000 div n_words", 8000, 50),
-    "word_length": ("word_chars * 100 div n_words", 20000, 60),
-    "dup_lines": ("n_dup_lines * 1000 div n_lines", 1000, 200),
-    "repeats": ("n_repeat_words * 1000 div n_words", 1000, 150),
+    "symbols": ("n_symbols * 1000 div nullif(n_words, 0)", 8000, 50),
+    "word_length": ("word_chars * 100 div nullif(n_words, 0)", 20000, 60),
+    "dup_lines": ("n_dup_lines * 1000 div nullif(n_lines, 0)", 1000, 200),
+    "repeats": ("n_repeat_words * 1000 div nullif(n_words, 0)", 1000, 150),
 }
 TWO_SIDED = ("word_length",)
 FENCE = 3
