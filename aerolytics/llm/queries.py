@@ -39,8 +39,8 @@ def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")) \
-        .withColumn("similarity", F.round("similarity", 9))
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).select(
+        "doc_id", "item_id", F.round("similarity", 9).alias("similarity"), "start_word", "n_words")
 
 
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -51,7 +51,8 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = line_dedup.row_keys(table(spark, sf_dir, "documents"), "doc_id")
-    return line_dedup.find_duplicate_lines(docs).drop("row")
+    # which of several earlier lines is named as the match may depend on the partitioning
+    return line_dedup.find_duplicate_lines(docs).select("doc_id", "line_no", "n_words")
 
 
 def op5_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -134,4 +135,57 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM f LEFT JOIN bad USING (r)
 """
 
-ORACLES: dict[str, str] = {"op10_quality": OP10_SQL}
+#: item-sized windows on every alignment of a shared shingle, compared as multisets
+OP2_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(lower(text), '[^\x20\x09-\x0D]+') AS w
+           FROM documents),
+b AS (SELECT item_id, regexp_extract_all(lower(text), '[^\x20\x09-\x0D]+') AS w FROM benchmark),
+g AS (SELECT r, p, array_to_string(w[p + 1:p + 5], ' ') AS s
+      FROM (SELECT r, w, unnest(range(len(w) - 4)) AS p FROM d WHERE len(w) >= 5)),
+i AS (SELECT item_id, l, q, array_to_string(w[q + 1:q + 5], ' ') AS s
+      FROM (SELECT item_id, w, len(w) AS l, unnest(range(len(w) - 4)) AS q FROM b WHERE len(w) >= 5)),
+x AS (SELECT DISTINCT r, item_id, l, p - q AS off0 FROM g JOIN i USING (s)),
+win AS (SELECT DISTINCT x.r, item_id, l, greatest(off0, 0) AS a, least(off0 + l, len(w)) AS z FROM x JOIN d USING (r)),
+ws AS (SELECT win.r, win.item_id, l, a, z, g.s, count(*) AS c FROM win JOIN g ON g.r = win.r AND g.p >= a AND g.p <= z - 5
+       GROUP BY ALL),
+ic AS (SELECT item_id, s, count(*) AS c FROM i GROUP BY ALL),
+o AS (SELECT r, item_id, l, a, z, sum(least(ws.c, ic.c)) AS o FROM ws JOIN ic USING (item_id, s) GROUP BY ALL),
+sim AS (SELECT r, item_id, a, z - a AS n, o / (z - a - 4 + l - 4 - o) AS j FROM o),
+best AS (SELECT doc_id, item_id, j, a, n, row_number() OVER (PARTITION BY doc_id, item_id ORDER BY j DESC, a, n) AS k
+         FROM sim JOIN d USING (r) WHERE j >= 0.8)
+SELECT doc_id, item_id, round(j, 9)::DOUBLE AS similarity, a::INTEGER AS start_word, n::INTEGER AS n_words
+FROM best WHERE k = 1
+"""
+
+#: all pairs of distinct line sets of compatible sizes
+OP4_SQL = r"""
+WITH d AS (SELECT doc_id, string_split(lower(text), chr(10)) AS l FROM documents),
+ln AS (SELECT doc_id, i - 1 AS line_no, list_sort(list_distinct(regexp_extract_all(l[i], '[^\x20\x09-\x0D]+'))) AS s
+       FROM (SELECT doc_id, l, unnest(range(1, len(l) + 1)) AS i FROM d)),
+t AS (SELECT doc_id, line_no, s, len(s) AS n,
+             row_number() OVER (PARTITION BY s ORDER BY doc_id, line_no) AS k FROM ln WHERE len(s) > 0),
+c AS (SELECT * FROM t WHERE k = 1),
+near AS (SELECT DISTINCT b.doc_id, b.line_no FROM c a JOIN c b
+         ON (a.doc_id, a.line_no) < (b.doc_id, b.line_no) AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+         AND 180 * len(list_intersect(a.s, b.s)) >= 80 * (a.n + b.n))
+SELECT doc_id, line_no::INTEGER AS line_no, n::INTEGER AS n_words FROM t
+WHERE k > 1 OR (doc_id, line_no) IN (SELECT (doc_id, line_no) FROM near)
+"""
+
+#: shared shingles of all pairs, then the reachable documents
+OP8_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+g AS (SELECT DISTINCT r, CASE WHEN len(w) >= 5 THEN array_to_string(w[p:p + 4], ' ') ELSE array_to_string(w, ' ') END AS s
+      FROM (SELECT r, w, unnest(range(1, greatest(len(w) - 3, 2))) AS p FROM d WHERE len(w) > 0)),
+n AS (SELECT r, count(*) AS n FROM g GROUP BY r),
+o AS (SELECT a.r AS a, b.r AS b, count(*) AS o FROM g a JOIN g b ON a.s = b.s AND a.r <> b.r GROUP BY ALL),
+e AS (SELECT a, b FROM o JOIN n x ON x.r = a JOIN n y ON y.r = b WHERE 100 * o >= 80 * (x.n + y.n - o)),
+reach AS (SELECT r, r AS m FROM d UNION SELECT reach.r, e.b FROM reach JOIN e ON e.a = reach.m),
+low AS (SELECT reach.r, min(d.doc_id) AS component_id FROM reach JOIN d ON d.r = reach.m GROUP BY reach.r)
+SELECT doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, component_id FROM d JOIN low USING (r) LEFT JOIN n USING (r)
+"""
+
+ORACLES: dict[str, str] = {"op2_decontaminate": OP2_SQL, "op4_line_dedup": OP4_SQL, "op8_ngram_join": OP8_SQL,
+                           "op10_quality": OP10_SQL}
