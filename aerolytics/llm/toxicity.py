@@ -28,8 +28,9 @@ from aerolytics.llm.common import WORD, byte_slices, coded_words, ship
 
 BUCKETS = 1 << 18
 FOLDS = 5
-MAX_TRAIN_TOXIC = 2000
-MAX_TRAIN_CLEAN = 4000
+MAX_TRAIN_TOXIC = 1500
+MAX_TRAIN_CLEAN = 3000
+TRAIN_BLOCK = 4096              # windows of tokens that are evaluated at once
 WINDOW = 64
 CACHE_WORDS = 300_000
 TOKEN = re.compile(WORD)
@@ -213,6 +214,41 @@ def mark_words(feats: list[list[str]], pairs: list[np.ndarray], n_docs: list[int
     return np.bincount(owner, good[flat], len(feats)) > 0
 
 
+def _block_gradient(ids, y, mask, word, par, total, grad) -> None:
+    """Add one block's gradient of the negative log likelihood: per word (own, before,
+    behind) to ``total``, of the other parameters to ``grad``."""
+    size, V = len(ids), len(total[0])
+    pair = mask[:, 1:] & mask[:, :-1]
+    e = par["bias"] + word[0][ids]
+    e[:, 1:] += word[1][ids[:, :-1]]
+    e[:, :-1] += np.where(mask[:, 1:], word[2][ids[:, 1:]], 0.0)
+    x = np.where(mask, np.exp(np.clip(e, -30, 30)), 1.0)
+    t = np.exp(par["trans"])
+    fwd, back = np.empty((WINDOW, size)), np.ones((WINDOW, size))
+    fwd[0] = x[:, 0] * np.exp(par["first"])
+    for k in range(1, WINDOW):
+        fwd[k] = x[:, k] * (t[0, 1] + fwd[k - 1] * t[1, 1]) / (t[0, 0] + fwd[k - 1] * t[1, 0])
+    for k in range(WINDOW - 2, -1, -1):
+        z = x[:, k + 1] * back[k + 1]
+        back[k] = np.where(mask[:, k + 1], (t[1, 0] + t[1, 1] * z) / (t[0, 0] + t[0, 1] * z), 1.0)
+    fwd, back = fwd.T, back.T
+    p = fwd * back
+    d = np.where(mask, p / (1 + p) - y, 0.0)
+    # expected less observed transitions
+    z, f = (x[:, 1:] * back[:, 1:])[pair], fwd[:, :-1][pair]
+    j = [[np.full_like(z, t[0, 0]), t[0, 1] * z], [t[1, 0] * f, t[1, 1] * f * z]]
+    norm = 1.0 / (j[0][0] + j[0][1] + j[1][0] + j[1][1])
+    a, b = y[:, :-1], y[:, 1:]
+    seen = np.array([[(pair & ~a & ~b).sum(), (pair & ~a & b).sum()],
+                     [(pair & a & ~b).sum(), (pair & a & b).sum()]], float)
+    grad["trans"] += np.array([[float(v @ norm) for v in row] for row in j]) - seen
+    grad["bias"] += d.sum()
+    grad["first"] += d[:, 0].sum()
+    total[0] += np.bincount(ids[mask], d[mask], V)
+    total[1] += np.bincount(ids[:, :-1][pair], d[:, 1:][pair], V)
+    total[2] += np.bincount(ids[:, 1:][pair], d[:, :-1][pair], V)
+
+
 def train(rows: list[tuple[str, int]], weights: dict[int, float] | None = None, rounds: int = 30,
           rate: float = 0.5, l2: float = 0.02) -> Model:
     """Fit the field and the document layer on ``(text, toxic)`` rows in memory.
@@ -241,55 +277,29 @@ def train(rows: list[tuple[str, int]], weights: dict[int, float] | None = None,
     owner = np.repeat(np.arange(len(feats)), [len(f) for f in feats])
     flat = np.array([b for f in feats for b in f])
 
-    # windows of tokens as one padded matrix
+    # windows of tokens as padded matrices, block by block
     cuts = [(i, s) for i, x in enumerate(seqs) for s in range(0, len(x), WINDOW)]
-    B = len(cuts)
-    ids = np.zeros((B, WINDOW), np.int64)
-    y = np.zeros((B, WINDOW), bool)
-    mask = np.zeros((B, WINDOW), bool)
+    ids = np.zeros((len(cuts), WINDOW), np.int32)
+    gold = np.zeros((len(cuts), WINDOW), bool)
+    full = np.zeros((len(cuts), WINDOW), bool)
     for r, (i, s) in enumerate(cuts):
         x = seqs[i][s:s + WINDOW]
-        ids[r, :len(x)], y[r, :len(x)], mask[r, :len(x)] = x, bad[x] & bool(toxic[i]), True
-    pair = mask[:, 1:] & mask[:, :-1]
+        ids[r, :len(x)], gold[r, :len(x)], full[r, :len(x)] = x, bad[x] & bool(toxic[i]), True
     V = len(vocab)
     par = {"own": np.zeros(BUCKETS), "prev": np.zeros(BUCKETS), "next": np.zeros(BUCKETS),
            "bias": np.full(1, -3.0), "trans": np.zeros((2, 2)), "first": np.zeros(1)}
     acc = {k: np.full_like(v, 1e-8) for k, v in par.items()}
-    n_tok = float(mask.sum())
+    n_tok = float(full.sum())
     for _ in range(rounds):
-        own = np.bincount(owner, par["own"][flat], V)
-        e = par["bias"] + own[ids]
-        e[:, 1:] += par["prev"][first][ids[:, :-1]]
-        e[:, :-1] += np.where(mask[:, 1:], par["next"][first][ids[:, 1:]], 0.0)
-        x = np.where(mask, np.exp(np.clip(e, -30, 30)), 1.0)
-        t = np.exp(par["trans"])
-        fwd, back = np.empty((WINDOW, B)), np.ones((WINDOW, B))
-        fwd[0] = x[:, 0] * np.exp(par["first"])
-        for k in range(1, WINDOW):
-            fwd[k] = x[:, k] * (t[0, 1] + fwd[k - 1] * t[1, 1]) / (t[0, 0] + fwd[k - 1] * t[1, 0])
-        for k in range(WINDOW - 2, -1, -1):
-            z = x[:, k + 1] * back[k + 1]
-            back[k] = np.where(mask[:, k + 1], (t[1, 0] + t[1, 1] * z) / (t[0, 0] + t[0, 1] * z), 1.0)
-        fwd, back = fwd.T, back.T
-        p = fwd * back / (1 + fwd * back)
-        d = np.where(mask, p - y, 0.0)
-        # expected and observed transitions
-        z = (x[:, 1:] * back[:, 1:])[pair]
-        f = fwd[:, :-1][pair]
-        j = [[np.full_like(z, t[0, 0]), t[0, 1] * z], [t[1, 0] * f, t[1, 1] * f * z]]
-        norm = 1.0 / (j[0][0] + j[0][1] + j[1][0] + j[1][1])
-        j = np.array([[float(v @ norm) for v in row] for row in j])
-        a, b = y[:, :-1], y[:, 1:]
-        o = np.array([[(pair & ~a & ~b).sum(), (pair & ~a & b).sum()],
-                      [(pair & a & ~b).sum(), (pair & a & b).sum()]], float)
-        by_word = np.bincount(ids[mask], d[mask], V)
-        by_prev = np.bincount(ids[:, :-1][pair], d[:, 1:][pair], V)
-        by_next = np.bincount(ids[:, 1:][pair], d[:, :-1][pair], V)
-        grad = {"own": np.bincount(flat, by_word[owner], BUCKETS) + l2 * par["own"],
-                "prev": np.bincount(first, by_prev, BUCKETS) + l2 * par["prev"],
-                "next": np.bincount(first, by_next, BUCKETS) + l2 * par["next"],
-                "bias": np.array([d.sum()]), "trans": j - o,
-                "first": np.array([d[:, 0].sum()])}
+        word = [np.bincount(owner, par["own"][flat], V), par["prev"][first], par["next"][first]]
+        total = [np.zeros(V) for _ in range(3)]
+        grad = {"bias": np.zeros(1), "trans": np.zeros((2, 2)), "first": np.zeros(1)}
+        for at in range(0, len(cuts), TRAIN_BLOCK):
+            _block_gradient(ids[at:at + TRAIN_BLOCK], gold[at:at + TRAIN_BLOCK], full[at:at + TRAIN_BLOCK],
+                            word, par, total, grad)
+        grad["own"] = np.bincount(flat, total[0][owner], BUCKETS) + l2 * par["own"]
+        grad["prev"] = np.bincount(first, total[1], BUCKETS) + l2 * par["prev"]
+        grad["next"] = np.bincount(first, total[2], BUCKETS) + l2 * par["next"]
         for k, g in grad.items():
             g = g / max(1.0, n_tok ** 0.5)
             acc[k] += g * g
