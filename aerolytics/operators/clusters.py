@@ -23,6 +23,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from aerolytics.operators.storage import sized_cache
 from aerolytics.constants import (CLUSTER_DESCRIPTIONS, DBSCAN_EPS, DBSCAN_MIN_POINTS,
@@ -115,6 +116,8 @@ def calinski_harabasz(points: DataFrame, cols, label: str = "cluster") -> DataFr
     stats = cluster_stats(points, cols, label)
     n = sum(r[1] for r in stats)
     k = len(stats)
+    if k < 2 or n <= k:                                  # not defined
+        return points.agg(F.lit(None).cast("double").alias("calinski_harabasz"))
     g = [sum(r[1] * r[3][i] for r in stats) / n for i in range(len(cols))]
     between = sum(r[1] * sum((m - gi) ** 2 for m, gi in zip(r[3], g)) for r in stats)
     own = None
@@ -218,16 +221,20 @@ def dbscan_neighbours(points: DataFrame, cols, key: str, eps: float = DBSCAN_EPS
 
 def dbscan(points: DataFrame, cols, key: str, eps: float = DBSCAN_EPS,
            min_points: int = DBSCAN_MIN_POINTS, grid_dims: int | None = None,
-           max_rounds: int = 100) -> DataFrame:
-    """DBSCAN labels: cluster = smallest key of its connected core component; border
-    points take the smallest adjacent cluster; noise = -1."""
+           max_rounds: int | None = None) -> DataFrame:
+    """DBSCAN labels: cluster = smallest key of its connected core component (integer keys;
+    other keys: the rank of that key among the clusters, from 0); border points take the
+    smallest adjacent cluster; noise = -1. Labels spread until nothing changes;
+    ``max_rounds`` makes an unfinished spread an error."""
     pairs = neighbour_pairs(points, cols, key, eps, grid_dims).checkpoint()
     core = (pairs.groupBy("a").agg(F.count(F.lit(1)).alias("n"))
             .filter(F.col("n") >= min_points).select(F.col("a").alias("node")))
     core_edges = (pairs.join(core.withColumnRenamed("node", "a"), "a", "left_semi")
                   .join(core.withColumnRenamed("node", "b"), "b", "left_semi")).checkpoint()
     labels = core.select("node", F.col("node").alias("label"))
-    for _ in range(max_rounds):
+    for done in itertools.count():
+        if max_rounds is not None and done >= max_rounds:
+            raise RuntimeError(f"labels still change after {max_rounds} rounds")
         # every core node takes the smallest label among itself and its core neighbours ...
         prop = (core_edges.join(labels.withColumnRenamed("node", "b"), "b")
                 .groupBy(F.col("a").alias("node")).agg(F.min("label").alias("cand")))
@@ -246,9 +253,14 @@ def dbscan(points: DataFrame, cols, key: str, eps: float = DBSCAN_EPS,
               .groupBy(F.col("a").alias("node")).agg(F.min("label").alias("border_label")))
     out = (points.select(F.col(key).alias("node"))
            .join(labels, "node", "left").join(border, "node", "left")
-           .select(F.col("node").alias(key),
-                   F.coalesce("label", "border_label", F.lit(-1)).cast("long").alias("cluster_dbscan")))
-    return out
+           .select("node", F.coalesce("label", "border_label").alias("label")))
+    if not isinstance(points.schema[key].dataType, T.IntegralType):
+        # one row per cluster is ranked
+        rank = (labels.select("label").distinct()
+                .select("label", (F.row_number().over(Window.orderBy("label")) - 1).alias("rank")))
+        out = out.join(rank, "label", "left").select("node", F.col("rank").alias("label"))
+    return out.select(F.col("node").alias(key),
+                      F.coalesce(F.col("label").cast("long"), F.lit(-1).cast("long")).alias("cluster_dbscan"))
 
 
 def vector_columns(df: DataFrame, vec: str, names) -> DataFrame:

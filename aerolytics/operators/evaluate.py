@@ -22,12 +22,18 @@ HIGHER_IS_BETTER = {"f1_macro": True, "accuracy": True, "silhouette": True, "r2"
 
 
 def regression_metrics(df: DataFrame, truth: str = "y", pred: str = "p", by=()) -> DataFrame:
-    """RMSE, MAE and R^2 (``1 - SSE / (n * var_pop(y))``) in one aggregate."""
+    """RMSE, MAE and R^2 (``1 - SSE / (n * var_pop(y))``) in one aggregate.
+
+    Only rows with both values count. With a constant truth R^2 is 1 for exact predictions
+    and 0 otherwise; without a complete row all three are NULL.
+    """
     e = F.col(pred) - F.col(truth)
-    n = F.count(F.lit(1))
+    n = F.count(e)
     sse = F.sum(e * e)
-    aggs = [F.sqrt(sse / n).alias("rmse"), F.avg(F.abs(e)).alias("mae"),
-            (F.lit(1.0) - sse / (n * F.var_pop(F.col(truth)))).alias("r2")]
+    spread = n * F.var_pop(F.when(F.col(pred).isNotNull(), F.col(truth)))
+    aggs = [F.sqrt(F.try_divide(sse, n)).alias("rmse"), F.avg(F.abs(e)).alias("mae"),
+            F.when(spread > 0, F.lit(1.0) - F.try_divide(sse, spread))
+            .when(sse == 0, F.lit(1.0)).when(sse > 0, F.lit(0.0)).alias("r2")]
     return df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
 
 
@@ -54,7 +60,7 @@ def classification_metrics(df: DataFrame, truth: str = "y", pred: str = "p", by=
                                   F.sum("sp").alias("sp")))
     f1 = F.when(F.col("st") + F.col("sp") == 0, F.lit(0.0)) \
         .otherwise(2.0 * F.col("tp") / (F.col("st") + F.col("sp")))
-    aggs = [(F.sum("tp") / F.sum("st")).alias("accuracy"), F.avg(f1).alias("f1_macro")]
+    aggs = [F.try_divide(F.sum("tp"), F.sum("st")).alias("accuracy"), F.avg(f1).alias("f1_macro")]
     return per.groupBy(*by).agg(*aggs) if by else per.agg(*aggs)
 
 
@@ -111,9 +117,10 @@ def moments(df: DataFrame, x: str = "residual") -> DataFrame:
                F.avg(d * d).alias("m2"), F.avg(d * d * d).alias("m3"), F.avg(d * d * d * d).alias("m4"))
     return m.select(
         F.col("n").cast("long").alias("n"), "mean",
-        F.sqrt(F.col("m2") * F.col("n") / (F.col("n") - 1)).alias("std"),
-        (F.col("m3") / F.pow(F.col("m2"), 1.5)).alias("skewness"),
-        (F.col("m4") / (F.col("m2") * F.col("m2")) - 3).alias("kurtosis"))
+        F.sqrt(F.try_divide(F.col("m2") * F.col("n"), F.col("n") - 1)).alias("std"),
+        # NULL where all values are equal
+        F.try_divide(F.col("m3"), F.pow(F.col("m2"), F.lit(1.5))).alias("skewness"),
+        (F.try_divide(F.col("m4"), F.col("m2") * F.col("m2")) - 3).alias("kurtosis"))
 
 
 def histogram(df: DataFrame, x: str = "residual", bins: int = 10) -> DataFrame:

@@ -23,6 +23,16 @@ def lookup_join(big: DataFrame, small: DataFrame, on, how: str = "left",
     return big.join(bounded_broadcast(small, max_rows), on=on, how=how)
 
 
+def null_safe_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+    """Equi-join in which NULL keys match NULL keys; the key columns are those of ``left``."""
+    names = {k: f"_right_{k}" for k in on}
+    right = right.select(*[F.col(c).alias(names.get(c, c)) for c in right.columns])
+    same = F.lit(True)
+    for k, r in names.items():
+        same = same & F.col(k).eqNullSafe(F.col(r))
+    return left.join(right, same, how).drop(*names.values())
+
+
 def allowed(df: DataFrame, stations: DataFrame, key: str, station_key: str | None = None,
             max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """Rows whose key is in the station list (left semi join)."""

@@ -27,6 +27,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from aerolytics.operators.joins import null_safe_join
+
 POS = "_pos"
 CHUNK = "_chunk"
 GHOST = "_ghost"
@@ -129,7 +131,7 @@ def keyed_frame(df: DataFrame, keys: list[str], order: list[str], halo: int,
         carries = last_in_chunk.select(*keys, CHUNK, *[
             F.last(F.col(f"_last_{c}"), ignorenulls=True).over(prev_w).alias(f"_carry_{c}")
             for c in carry])
-        ghosted = ghosted.join(carries, on=[*keys, CHUNK], how="left")
+        ghosted = null_safe_join(ghosted, carries, [*keys, CHUNK], "left")
         helpers += [f"_carry_{c}" for c in carry]
     return KeyedFrame(ghosted, keys, order, True, helpers)
 
@@ -147,7 +149,7 @@ def with_time_bounds(df: DataFrame, keys: list[str], time: str, groups: int = 16
     fracs = F.array(*[F.lit(i / n) for i in range(1, n)])
     bounds = df.groupBy(*keys).agg(F.percentile_approx(_micros(time), fracs, 10_000).alias("_bounds"))
     if keys:
-        return df.join(bounds, on=keys, how="inner")
+        return null_safe_join(df, bounds, keys)
     return df.withColumn("_bounds", bounds.select("_bounds").scalar())
 
 
@@ -177,8 +179,7 @@ def group_positions(df: DataFrame, keys: list[str], bucket: Column, order: list[
         *([F.sum("_bn").over(by_key.rowsBetween(Window.unboundedPreceding,
                                                 Window.unboundedFollowing)).alias("_n")]
           if with_size else []))
-    return (bucketed.withColumn("_rn", F.row_number().over(rn_w))
-            .join(offsets, on=[*keys, BUCKET], how="inner")
+    return (null_safe_join(bucketed.withColumn("_rn", F.row_number().over(rn_w)), offsets, [*keys, BUCKET])
             .withColumn(POS, F.col("_off") + F.col("_rn") - 1)
             .drop("_rn", "_off", BUCKET))
 
@@ -211,7 +212,7 @@ def running_totals(df: DataFrame, keys: list[str], order: str, cols: list[str],
     b = bucket_of(F.col("_bounds"), F.col(order), groups)
     # one row per key; AQE broadcasts it from the measured stage size or splits a hot
     # key's partition (skew join), so no key is pulled into one task by this join
-    bucketed = (df.join(bounds, on=keys, how="inner") if keys
+    bucketed = (null_safe_join(df, bounds, keys) if keys
                 else df.withColumn("_bounds", bounds.select("_bounds").scalar())) \
         .withColumn(BUCKET, b).drop("_bounds")
     in_bucket = Window.partitionBy(*key_cols, F.col(BUCKET)).orderBy(order) \
@@ -224,7 +225,7 @@ def running_totals(df: DataFrame, keys: list[str], order: str, cols: list[str],
             F.coalesce(F.sum(f"_b_{c}").over(before), F.lit(0)).alias(f"_off_{c}"),
             F.sum(f"_b_{c}").over(whole).alias(f"tot_{c}"))])
     running = bucketed.select("*", *[F.sum(c).over(in_bucket).alias(f"_run_{c}") for c in cols])
-    out = running.join(offsets, on=[*keys, BUCKET], how="inner")
+    out = null_safe_join(running, offsets, [*keys, BUCKET])
     return out.select(*df.columns, *[(F.col(f"_off_{c}") + F.col(f"_run_{c}")).alias(f"cum_{c}")
                                      for c in cols], *[f"tot_{c}" for c in cols])
 

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from aerolytics.constants import AQI_CATEGORIES
-from aerolytics.operators.keyed import max_distinct_per_key, running_totals
+from aerolytics.operators.keyed import running_totals
 
 
 def require_columns(df: DataFrame, required) -> list[str]:
@@ -101,28 +101,38 @@ def drift_ks(long_df: DataFrame, side: str = "is_test") -> DataFrame:
               .groupBy("feature", "value")
               .agg(F.count_if(~F.col(side)).alias("c1"), F.count_if(F.col(side)).alias("c2")))
     run = running_totals(counts, ["feature"], "value", ["c1", "c2"])
-    cdf = run.select("feature", (F.col("cum_c1") / F.col("tot_c1")).alias("f1"),
-                     (F.col("cum_c2") / F.col("tot_c2")).alias("f2"))
+    cdf = run.select("feature", F.try_divide("cum_c1", "tot_c1").alias("f1"),
+                     F.try_divide("cum_c2", "tot_c2").alias("f2"))
     return cdf.groupBy("feature").agg(F.max(F.abs(F.col("f1") - F.col("f2"))).alias("ks"))
 
 
 def drift_psi(long_df: DataFrame, side: str = "is_test", bins: int = 10,
-              floor: float = 1e-4, max_distinct: int = 2_000_000) -> DataFrame:
+              floor: float = 1e-4, approximate: bool = False) -> DataFrame:
     """Population stability index per feature over shared quantile bins: the bin edges
     are the reference (training) side's ``1/bins .. (bins-1)/bins`` quantiles, applied to
     both sides; empty shares are floored at ``floor``.
 
-    The quantiles are exact (``percentile``) when each feature's distinct values are
-    checked to fit one aggregation buffer, ``percentile_approx`` otherwise.
+    The quantiles are exact: read at their ranks from running sums of value counts, spread
+    over buckets, however many values a feature has. ``approximate`` asks for mergeable
+    sketches instead (``percentile_approx``). A feature without rows on a side has NULL.
     """
     valued = long_df.filter(F.col("value").isNotNull())
     ref_side = valued.filter(~F.col(side))
     fracs = [i / bins for i in range(1, bins)]
-    if max_distinct_per_key(ref_side, ["feature"], "value") <= max_distinct:
-        q = F.percentile(F.col("value"), F.array(*[F.lit(f) for f in fracs]))
+    if approximate:
+        edges = ref_side.groupBy("feature").agg(F.percentile_approx(F.col("value"), fracs, 10_000).alias("_q"))
     else:
-        q = F.percentile_approx(F.col("value"), fracs, 10_000)
-    edges = ref_side.groupBy("feature").agg(q.alias("_q"))
+        counts = ref_side.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("_c"))
+        run = running_totals(counts, ["feature"], "value", ["_c"])
+
+        def at(f: float):                                # linear between the two ranks around f
+            place = (F.col("tot__c") - 1) * F.lit(f)
+            lo, hi = (F.min(F.when(F.col("cum__c") >= k + 1, F.col("value")))
+                      for k in (F.floor(place), F.ceil(place)))
+            share = F.max(place - F.floor(place))
+            return lo + (hi - lo) * share
+
+        edges = run.groupBy("feature").agg(F.array(*[at(f) for f in fracs]).alias("_q"))
     # one row per feature of a fixed feature list: a bounded broadcast
     j = valued.join(F.broadcast(edges), on="feature", how="inner")
     b = sum((F.when(F.col("value") > F.col("_q")[i], 1).otherwise(0) for i in range(bins - 1)),
@@ -130,8 +140,8 @@ def drift_psi(long_df: DataFrame, side: str = "is_test", bins: int = 10,
     per_bin = j.groupBy("feature", b.alias("bin")).agg(
         F.count_if(~F.col(side)).alias("c1"), F.count_if(F.col(side)).alias("c2"))
     tot = Window.partitionBy("feature")
-    e = F.greatest(F.col("c1") / F.sum("c1").over(tot), F.lit(floor))
-    a = F.greatest(F.col("c2") / F.sum("c2").over(tot), F.lit(floor))
+    sides = [F.try_divide(F.col(c), F.sum(c).over(tot)) for c in ("c1", "c2")]
+    e, a = (F.when(x.isNotNull(), F.greatest(x, F.lit(floor))) for x in sides)
     return (per_bin.select("feature", ((a - e) * F.log(a / e)).alias("_t"))
             .groupBy("feature").agg(F.sum("_t").alias("psi")))
 

@@ -1,10 +1,9 @@
 """Calendar regularisation (C3, C4, D5): hourly / weekly means on complete calendars and
 linear interpolation of gaps, for all keys in one job.
 
-The mean is a partial + final hash aggregate on (key, period); the calendar is generated
-per key from its (min, max) with ``sequence`` + ``explode`` and left-joined on (key,
-period). Both sides of that join hash on the same columns, so the aggregate's exchange
-is reused.
+The mean is a partial + final hash aggregate on (key, period). Gaps are filled from
+``lead()``: every period also emits the empty ones before the next, so the input is read
+and aggregated once and no calendar is joined or held per key.
 """
 
 from __future__ import annotations
@@ -28,10 +27,16 @@ def resample_hourly(df: DataFrame, key: str = "station", time: str = "datetime",
     hourly = (df.filter(F.col(value).isNotNull())
               .groupBy(key, trunc_ntz("hour", time).alias(time))
               .agg(F.avg(value).alias(value)))
-    bounds = hourly.groupBy(key).agg(F.min(time).alias("_lo"), F.max(time).alias("_hi"))
-    grid = bounds.select(key, F.explode(F.sequence("_lo", "_hi", F.expr("INTERVAL 1 HOUR")))
-                         .alias(time))
-    return grid.join(hourly, on=[key, time], how="left")
+    return _fill_gaps(hourly, key, time, value, "INTERVAL 1 HOUR")
+
+
+def _fill_gaps(df: DataFrame, key: str, time: str, value: str, step: str) -> DataFrame:
+    """Rows on a regular grid per key plus a NULL row for each step missing in between."""
+    step = F.expr(step)
+    following = F.lead(time).over(Window.partitionBy(key).orderBy(time))
+    d = df.withColumn("_until", F.coalesce(following - step, F.col(time)))
+    d = d.select(key, time, value, F.posexplode(F.sequence(F.col(time), F.col("_until"), step)).alias("_i", "_t"))
+    return d.select(key, F.col("_t").alias(time), F.when(F.col("_i") == 0, F.col(value)).alias(value))
 
 
 def interpolate_linear(df: DataFrame, key: str = "station", time: str = "datetime",
@@ -43,12 +48,15 @@ def interpolate_linear(df: DataFrame, key: str = "station", time: str = "datetim
     """
     w = Window.partitionBy(key).orderBy(time)
     back = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ahead = w.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    # the next known value is the last one met from the other end: a growing frame, linear
+    # in the rows of a key
+    ahead = Window.partitionBy(key).orderBy(F.col(time).desc()).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
     known_t = F.when(F.col(value).isNotNull(), F.col(time))
     pv = F.last(F.col(value), ignorenulls=True).over(back)
     pt = F.last(known_t, ignorenulls=True).over(back)
-    nv = F.first(F.col(value), ignorenulls=True).over(ahead)
-    nt = F.first(known_t, ignorenulls=True).over(ahead)
+    nv = F.last(F.col(value), ignorenulls=True).over(ahead)
+    nt = F.last(known_t, ignorenulls=True).over(ahead)
     step = df.select("*", pv.alias("_pv"), pt.alias("_pt"), nv.alias("_nv"), nt.alias("_nt"))
     frac = (F.timestamp_diff("SECOND", F.col("_pt"), F.col(time)).cast("double")
             / F.timestamp_diff("SECOND", F.col("_pt"), F.col("_nt")).cast("double"))
@@ -72,10 +80,7 @@ def resample_weekly(df: DataFrame, key: str = "station", time: str = "datetime",
     wk = (df.select(key, week_ending_sunday(time).alias("_week"),
                     clip(value, 0.0).alias("_v"))
           .groupBy(key, "_week").agg(F.avg("_v").alias("_mean")))
-    bounds = wk.groupBy(key).agg(F.min("_week").alias("_lo"), F.max("_week").alias("_hi"))
-    grid = bounds.select(key, F.explode(F.sequence("_lo", "_hi", F.expr("INTERVAL 7 DAYS")))
-                         .alias("_week"))
-    return (grid.join(wk, on=[key, "_week"], how="left")
+    return (_fill_gaps(wk, key, "_week", "_mean", "INTERVAL 7 DAYS")
             .select(key, F.date_format("_week", "yyyy-MM-dd").alias("week_end"),
                     F.round(F.coalesce(F.col("_mean"), F.lit(0.0)), places).alias("mean")))
 

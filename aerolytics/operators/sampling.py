@@ -12,6 +12,7 @@ from fractions import Fraction
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from aerolytics.operators.joins import null_safe_join
 from aerolytics.operators.keyed import POS, group_positions
 
 
@@ -69,7 +70,7 @@ def split_time(df: DataFrame, key: str, time: str, test_fraction: float = 0.2) -
     cut = F.timestamp_add("MICROSECOND", F.floor(offset).cast("long"), F.col("_lo"))
     # per-key statistics: AQE broadcasts them from the measured stage size, or splits
     # a skewed key's partition (skewJoin); counting first would recompute the aggregate
-    return (df.join(b, on=key, how="inner")
+    return (null_safe_join(df, b, [key])
             .withColumn("is_test", F.col(time) > cut).drop("_lo", "_hi"))
 
 
@@ -82,14 +83,16 @@ def holdout_tail(df: DataFrame, key: str, time: str, horizon: int = 24,
     first time is the cutoff joined back on the key.
     """
     min_points = min_points if min_points is not None else 2 * horizon
-    w = Window.partitionBy(key).orderBy(F.col(time).desc())
+    # a total order (ties in time by a hash of the row): exactly ``horizon`` rows are test
+    last = F.struct(F.col(time), F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
+    w = Window.partitionBy(key).orderBy(last.desc())
     tail = df.withColumn("_rk", F.row_number().over(w)).filter(F.col("_rk") <= horizon)
-    cut = tail.groupBy(key).agg(F.min(time).alias("_cut"))
+    cut = tail.groupBy(key).agg(F.min(last).alias("_cut"))
     sizes = df.groupBy(key).agg(F.count(F.lit(1)).alias("n_points"))
-    ok = sizes.filter(F.col("n_points") >= min_points).join(cut, on=key)
+    ok = null_safe_join(sizes.filter(F.col("n_points") >= min_points), cut, [key])
     # per-key statistics: AQE broadcasts them from the measured stage size, or splits
     # a skewed key's partition (skewJoin); counting first would recompute the aggregate
-    flagged = (df.join(ok, on=key, how="inner")
-               .withColumn("is_test", F.col(time) >= F.col("_cut")).drop("_cut", "n_points"))
+    flagged = (null_safe_join(df, ok, [key])
+               .withColumn("is_test", last >= F.col("_cut")).drop("_cut", "n_points"))
     rejected = sizes.filter(F.col("n_points") < min_points)
     return flagged, rejected

@@ -44,7 +44,10 @@ def to_internal(df: DataFrame, cols=None) -> DataFrame:
 
 
 def _exists(path: str) -> bool:
-    return not path.startswith(("/", "file:")) or os.path.exists(path.replace("file:", ""))
+    """Through the file system of the path (HDFS, object store, local)."""
+    spark = SparkSession.getActiveSession()
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
 def station_paths(root: str, stations=STATIONS) -> list[str]:
@@ -61,16 +64,40 @@ def station_paths(root: str, stations=STATIONS) -> list[str]:
     return paths
 
 
+def read_by_name(spark: SparkSession, paths, schema: T.StructType, **options: str) -> DataFrame:
+    """CSV files with a header, columns found by name whatever their order.
+
+    The header of every file is read first (one line each); files with one header share a
+    scan. Columns of ``schema`` that a file lacks are NULL, others are not read, and values
+    are cast after reading (unparsable: NULL).
+    """
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    by_header: dict[tuple, list[str]] = {}
+    for p in paths:
+        header = tuple(spark.read.option("header", True).options(**options).csv(p).columns)
+        by_header.setdefault(header, []).append(p)
+    parts = []
+    for header, same in sorted(by_header.items(), key=lambda x: x[1][0]):
+        text = T.StructType([T.StructField(c, T.StringType()) for c in header])
+        raw = spark.read.schema(text).option("header", True).option("enforceSchema", True).options(**options).csv(same)
+        parts.append(raw.select(*[
+            (F.col(f"`{f.name}`").try_cast(f.dataType) if f.name in header else F.lit(None).cast(f.dataType)).alias(f.name)
+            for f in schema]))
+    out = parts[0]
+    for x in parts[1:]:
+        out = out.unionAll(x)
+    return out
+
+
 def read_readings(spark: SparkSession, root: str, stations=STATIONS) -> DataFrame:
-    """A1: all station CSVs in one scan, union by name through the fixed schema."""
-    raw = (spark.read.schema(READINGS_SCHEMA).option("header", True).option("nullValue", "NA")
-           .option("mode", "PERMISSIVE").csv(station_paths(root, stations)))
-    return to_internal(raw)
+    """A1: all station CSVs in one scan per header, union by name through the fixed schema."""
+    return to_internal(read_by_name(spark, station_paths(root, stations), READINGS_SCHEMA, nullValue="NA"))
 
 
 def read_global_aqi(spark: SparkSession, path: str) -> DataFrame:
-    """A2: country-level AQI CSV (values kept as text until coerced by the cleaner)."""
-    return spark.read.schema(GLOBAL_AQI_SCHEMA).option("header", True).csv(path)
+    """A2: country-level AQI CSV, by column name (values kept as text until coerced by the
+    cleaner); further columns are not read."""
+    return read_by_name(spark, path, GLOBAL_AQI_SCHEMA)
 
 
 def read_sensor(spark: SparkSession, path: str) -> DataFrame:
@@ -97,12 +124,18 @@ def load_all(spark: SparkSession, root: str, aqi_file: str = "AQI and Lat Long o
 
 def read_batch_csv(spark: SparkSession, path: str, known_features) -> DataFrame:
     """A5: ad-hoc batch CSV; unparsable or empty input is an error, and at least one known
-    feature column is required. Row index 0..n-1 follows the file order."""
-    df = (spark.read.option("header", True).option("mode", "FAILFAST")
-          .option("inferSchema", True).csv(path))
-    present = [c for c in df.columns if c in set(known_features)]
-    if not present:
+    feature column is required, by its name or by the raw one (``PM2.5`` for ``pm25``). Row
+    index 0..n-1 follows the file order."""
+    known = set(known_features)
+    header = spark.read.option("header", True).csv(path).columns
+    text = T.StructType([T.StructField(c, T.StringType()) for c in header])
+    raw = spark.read.schema(text).option("header", True).option("mode", "FAILFAST").csv(path)
+    names = {c: c if c in known else internal_name(c) for c in header}
+    if not known & set(names.values()):
         raise ValueError("batch has none of the model's feature columns")
+    # features are doubles (a value that is none fails the batch), other columns stay text
+    df = raw.select(*[F.col(f"`{c}`").cast("double").alias(names[c]) if names[c] in known
+                      else F.col(f"`{c}`") for c in header])
     if df.limit(1).count() == 0:
         raise ValueError("batch is empty")
     return with_row_index(df)
