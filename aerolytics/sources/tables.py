@@ -48,13 +48,13 @@ def with_text_numbers(df: DataFrame, col: str = "value", id_col: str = "event_id
                          .otherwise(F.col(col).cast("string")))
 
 
-def with_hourly_gaps(df: DataFrame, time: str = "datetime") -> DataFrame:
-    """Drop the hours where ``hour % 5 = 0``."""
-    return df.filter(F.hour(F.col(time)) % 5 != 0)
+def with_hourly_gaps(df: DataFrame, time: str = "datetime", value: str = "pm25") -> DataFrame:
+    """NULL readings in the hours where ``hour % 5 = 0``."""
+    return df.withColumn(value, F.when(F.hour(F.col(time)) % 5 != 0, F.col(value)))
 
 
-def with_empty_weeks(df: DataFrame, time: str = "datetime") -> DataFrame:
-    """Keep only rows before 2024-01-08 or from 2024-01-22."""
+def with_empty_weeks(df: DataFrame, time: str = "datetime", value: str = "pm25") -> DataFrame:
+    """NULL readings from 2024-01-08 to before 2024-01-22."""
     t = F.col(time)
-    return df.filter((t < F.lit("2024-01-08").cast("timestamp_ntz"))
-                     | (t >= F.lit("2024-01-22").cast("timestamp_ntz")))
+    return df.withColumn(value, F.when((t < F.lit("2024-01-08").cast("timestamp_ntz"))
+                                       | (t >= F.lit("2024-01-22").cast("timestamp_ntz")), F.col(value)))
