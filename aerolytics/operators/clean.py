@@ -18,6 +18,7 @@ from aerolytics.functions.scalar import clip, coerce_double, one_row
 from aerolytics.operators.features import forward_fill
 from aerolytics.operators.keyed import (POS, group_positions, keyed_frame, max_distinct_many,
                                        median_by_key)
+from aerolytics.session import ensure_checkpoint_dir
 
 NUMERIC_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
                  T.DoubleType, T.DecimalType)
@@ -213,32 +214,22 @@ def impute_ffill_median(df: DataFrame, cols=None, key: str = "station",
 # --- C7: label encoding -----------------------------------------------------------
 
 def label_encode(df: DataFrame, col: str, out: str | None = None,
-                 null_as: str | None = None, max_literal: int = 10_000) -> DataFrame:
-    """Code = position in the sorted distinct values (``LabelEncoder``).
-
-    The dictionary is the distinct values (pre-aggregated). When it is checked to hold at
-    most ``max_literal`` entries, it is collected once and applied as a literal map (a
-    projection: no join). Larger dictionaries are ranked without a single-task sort and
-    joined back (AQE broadcasts them when small at runtime). NULL stays NULL unless
-    ``null_as`` names its replacement.
+                 null_as: str | None = None) -> DataFrame:
+    """Code = position in the sorted distinct values (``LabelEncoder``), of any orderable type.
+
+    The dictionary is the distinct values (pre-aggregated), dealt out by ranges and ranked
+    inside each range plus the counts of earlier ones, so it is never sorted in one task. It
+    is written to the checkpoint folder (both uses must see the same ranges) and joined back
+    (AQE broadcasts it when small at runtime). NULL stays NULL unless ``null_as`` names its
+    replacement.
     """
     out = out or f"{col}_encoded"
     src = F.coalesce(F.col(col), F.lit(null_as)) if null_as is not None else F.col(col)
     keyed = df.withColumn("__lbl", src)
     values = keyed.select("__lbl").distinct().filter(F.col("__lbl").isNotNull())
-    small = values.limit(max_literal + 1).collect()
-    if len(small) <= max_literal:
-        # UTF-8 byte order, the order Spark sorts strings in
-        ordered = sorted((r["__lbl"] for r in small),
-                         key=lambda v: v.encode("utf-8") if isinstance(v, str) else v)
-        pairs = [x for i, v in enumerate(ordered) for x in (F.lit(v), F.lit(i))]
-        mapping = F.create_map(*pairs) if pairs else F.create_map().cast("map<string,int>")
-        return keyed.withColumn(out, F.try_element_at(mapping, F.col("__lbl")).cast("int")) \
-            .drop("__lbl")
-    # exact rank of each distinct value: ranked inside 2-character prefix buckets (prefix
-    # order agrees with binary string order) plus the counts of earlier buckets
-    ranked = group_positions(values, [], F.substr(F.col("__lbl"), F.lit(1), F.lit(2)),
-                             [F.col("__lbl")], with_size=False)
+    ensure_checkpoint_dir(df.sparkSession)
+    ranged = values.repartitionByRange("__lbl").withColumn("__part", F.spark_partition_id()).checkpoint()
+    ranked = group_positions(ranged, [], F.col("__part"), [F.col("__lbl")], with_size=False)
     dictionary = ranked.select("__lbl", F.col(POS).cast("int").alias(out))
     return keyed.join(dictionary, on="__lbl", how="left").drop("__lbl")
 

@@ -139,6 +139,14 @@ def q_label_encode(spark, sf_dir):
     return clean.label_encode(o, "o_orderpriority", "code").select("o_orderkey", "o_orderpriority", "code")
 
 
+@register("label_encode_int", oracle="""
+SELECT o_orderkey, o_custkey, CAST(dense_rank() OVER (ORDER BY o_custkey) - 1 AS INTEGER) AS code FROM orders
+""")
+def q_label_encode_int(spark, sf_dir):
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    return clean.label_encode(o, "o_custkey", "code").select("o_orderkey", "o_custkey", "code")
+
+
 @register("scale_standard", oracle=f"""
 SELECT c_custkey, {R6('(c_acctbal - avg(c_acctbal) OVER ()) / CASE WHEN stddev_pop(c_acctbal) OVER () = 0 THEN 1 ELSE stddev_pop(c_acctbal) OVER () END')} AS scaled
 FROM customer
