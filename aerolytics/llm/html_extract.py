@@ -1,6 +1,6 @@
 """Main text of web pages by minimum-cut labelling.
 
-A page becomes its blocks of text. A small classifier turns each block into two costs
+A page becomes its blocks of text. A small classifier, trained on a bounded sample, turns each block into two costs
 (of calling it content, of calling it boilerplate); these are the terminal capacities of
 a graph whose smoothness edges join neighbouring blocks and blocks of one container. The
 minimum cut, found by maximum flow, is the cheapest labelling of all blocks at once.
@@ -14,6 +14,7 @@ from collections import deque
 from collections.abc import Iterator
 from html import unescape
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -186,25 +187,67 @@ def blocks(html: str) -> list[Block]:
     return out
 
 
-#: fixed values: weights of the block classifier (log odds of content)
-WEIGHTS = {"bias": -0.6, "words": 0.9, "link": -4.0, "stops": 0.8, "heading": 0.8, "inside": 6.0,
-           "paragraph": 0.8, "item": -0.6}
+#: prior log odds of content by structure: inside <article> or <main> where a page has one
+#: (else against), headings, paragraphs, list items
+INSIDE, HEADING, PARAGRAPH, ITEM = 6.0, 0.8, 0.8, -0.6
+TEXT_LIMIT = 4.0                 # most the text says either way: structure that is there wins
 HARD = 1e6
+#: text weights (bias, words, link share, sentence end) where there is nothing to learn from
+DEFAULT_WEIGHTS = (-0.6, 0.9, -4.0, 0.8)
+MAX_TRAIN_PAGES = 400
+MAX_TRAIN_BLOCKS = 64            # of a training page
+LEAST_TRAIN_BLOCKS = 20          # of each label
 
 
-def costs(b: Block, any_inside: bool) -> tuple[float, float]:
+def text_features(b: Block) -> tuple[float, float, float, float]:
+    n = b.text.count(" ") + 1
+    return 1.0, math.log2(1 + n) / 2, b.link, float(b.text[-1] in ".!?:;\"'»”…")
+
+
+def costs(b: Block, any_inside: bool, weights) -> tuple[float, float]:
     """Cost of the label boilerplate and of the label content: negative log probabilities."""
     if b.banned:
         return 0.0, HARD
-    n = b.text.count(" ") + 1
-    z = (WEIGHTS["bias"] + WEIGHTS["words"] * math.log2(1 + n) / 2 + WEIGHTS["link"] * b.link
-         + WEIGHTS["stops"] * (b.text[-1] in ".!?:;\"'»”…")
-         + WEIGHTS["heading"] * (len(b.tag) == 2 and b.tag[0] == "h")
-         + WEIGHTS["paragraph"] * (b.tag in ("p", "pre", "blockquote", "td"))
-         + WEIGHTS["item"] * (b.tag in ("li", "dt", "option")))
+    z = sum(w * x for w, x in zip(weights, text_features(b)))
+    z = max(-TEXT_LIMIT, min(TEXT_LIMIT, z))
+    z += (HEADING * (len(b.tag) == 2 and b.tag[0] == "h") + PARAGRAPH * (b.tag in ("p", "pre", "blockquote", "td"))
+          + ITEM * (b.tag in ("li", "dt", "option")))
     if any_inside:
-        z += WEIGHTS["inside"] if b.inside else -WEIGHTS["inside"]
-    return math.log1p(math.exp(min(z, 50.0))), math.log1p(math.exp(min(-z, 50.0)))
+        z += INSIDE if b.inside else -INSIDE
+    return math.log1p(math.exp(z)), math.log1p(math.exp(-z))
+
+
+def fit_weights(pages: DataFrame, id_col: str = "page_id", html_col: str = "html",
+                max_pages: int = MAX_TRAIN_PAGES) -> tuple[float, ...]:
+    """Train the text weights on blocks whose structure names their label: inside <article> or
+    <main> (content), or in menus, footers, adverts and the like (boilerplate).
+
+    The sample is bounded: about ``max_pages`` pages drawn by a hash of the id, and at most
+    ``MAX_TRAIN_BLOCKS`` evenly spaced blocks of each. Without enough blocks of both labels
+    the default weights are returned.
+    """
+    from aerolytics.llm.toxicity import fit_layer
+    ship(pages.sparkSession)
+    n = pages.count()
+    part = F.pmod(F.xxhash64(F.col(id_col).cast("long"), F.lit(11)), F.lit(1_000_003)) / 1_000_003.0
+    some = pages.where(part < min(1.0, max_pages / max(1, n))).select(F.col(html_col).alias("html"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for html in batch.column(0).to_pylist():
+                page = [b for b in blocks(html or "") if b.banned or b.inside]
+                step = -(-len(page) // MAX_TRAIN_BLOCKS) or 1
+                rows += [(float(b.inside and not b.banned), *text_features(b)) for b in page[::step]]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, pa.float64()) for c in (zip(*rows) if rows else [[]] * 5)], names=list("yabcd"))
+
+    rows = np.array(sorted(map(tuple, some.mapInArrow(run, "y double, a double, b double, c double, d double").collect())))
+    if not len(rows) or min((rows[:, 0] == k).sum() for k in (0.0, 1.0)) < LEAST_TRAIN_BLOCKS:
+        return DEFAULT_WEIGHTS
+    y = rows[:, 0]
+    share = {k: len(y) / (2.0 * (y == k).sum()) for k in (0.0, 1.0)}
+    return tuple(float(w) for w in fit_layer(rows[:, 1:], y, np.where(y == 1, share[1.0], share[0.0])))
 
 
 class MaxFlow:
@@ -269,7 +312,7 @@ class MaxFlow:
         return [x >= 0 for x in self.levels(s)]
 
 
-def label(page: list[Block], near: float = 0.7, same: float = 0.4) -> list[bool]:
+def label(page: list[Block], weights=DEFAULT_WEIGHTS, near: float = 0.7, same: float = 0.4) -> list[bool]:
     """True for the blocks on the content side of the minimum cut."""
     if not page:
         return []
@@ -279,7 +322,7 @@ def label(page: list[Block], near: float = 0.7, same: float = 0.4) -> list[bool]
     s, t = n, n + 1
     last: dict[int, int] = {}
     for i, b in enumerate(page):
-        boiler, content = costs(b, inside)
+        boiler, content = costs(b, inside, weights)
         g.edge(s, i, boiler)                            # cut when i is labelled boilerplate
         g.edge(i, t, content)                           # cut when i is labelled content
         if i and not b.banned and not page[i - 1].banned and b.inside == page[i - 1].inside:
@@ -292,13 +335,13 @@ def label(page: list[Block], near: float = 0.7, same: float = 0.4) -> list[bool]
     return g.run(s, t)[:n]
 
 
-def main_text(html: str | None) -> str:
+def main_text(html: str | None, weights=DEFAULT_WEIGHTS) -> str:
     page = blocks(html or "")
-    return "\n\n".join(b.text for b, keep in zip(page, label(page)) if keep)
+    return "\n\n".join(b.text for b, keep in zip(page, label(page, weights)) if keep)
 
 
 def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
-                      html_col: str = "html") -> DataFrame:
+                      html_col: str = "html", weights=DEFAULT_WEIGHTS) -> DataFrame:
     """One row per page: id, url, text (blocks joined by two line feeds; empty if none).
 
     Null or empty html gives an empty text; null ids, null urls and repeated rows are
@@ -309,7 +352,7 @@ def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for lo, hi in byte_slices(b.column(2)):
-                text = [main_text(h) for h in b.column(2).slice(lo, hi - lo).to_pylist()]
+                text = [main_text(h, weights) for h in b.column(2).slice(lo, hi - lo).to_pylist()]
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0).slice(lo, hi - lo), b.column(1).slice(lo, hi - lo),
                      pa.array(text, pa.string())], names=["page_id", "url", "text"])

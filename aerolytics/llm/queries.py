@@ -56,7 +56,8 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return (html_extract.extract_main_text(table(spark, sf_dir, "pages"))
+    pages = table(spark, sf_dir, "pages")
+    return (html_extract.extract_main_text(pages, weights=html_extract.fit_weights(pages))
             .withColumn("n_chars", F.length("text").cast("long")))
 
 

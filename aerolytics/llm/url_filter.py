@@ -50,6 +50,9 @@ LABELLED_URLS = [
     ("http://crypto-giveaway.example.net/double", 1), ("https://click-here-now.example.com/offer", 1),
     ("http://clickbait-ads.example.org/popup/7", 1), ("https://malware-host.example.com/setup.exe", 1),
     ("http://phishing-login.example.net/verify-account", 1), ("https://fake-news-farm.example.com/viral/9", 1),
+    ("https://ads-server.example.com/banner/1", 1), ("http://track-pixel.example.org/click?id=1", 1),
+    ("https://casino-jackpot.example.net/win", 1), ("http://win-casino.example.com/play/8", 1),
+    ("https://adtrack.example.com/click/3", 1), ("http://popup-ads.example.net/track", 1),
     ("https://www.thther.example.org/en/12", 0), ("http://blog.thand.example.com/en/445", 0),
     ("https://m.theres.example.net/es/75", 0), ("https://ththing.example.com/fr/8?page=2&ref=x", 0),
     ("http://thered.example.org/de/300.html", 0), ("https://blog.inonha.example.com/en/91/", 0),

@@ -203,6 +203,14 @@ def test_op5_given_pages(spark):
         assert got[p]["text"] == want and got[p]["n_chars"] == len(want)
 
 
+def test_op5_weights_are_learned(spark):
+    pages = table(spark, "pages", SF01)
+    w = html_extract.fit_weights(pages)
+    assert w != html_extract.DEFAULT_WEIGHTS and w[1] > 0 > w[2]
+    assert html_extract.main_text(PAGE % ("article", "article"), w) == html_extract.main_text(PAGE % ("main", "main"))
+    assert html_extract.fit_weights(pages.limit(0)) == html_extract.DEFAULT_WEIGHTS
+
+
 def test_op5_cut_is_minimal():
     rnd = random.Random(2)
     for _ in range(40):
