@@ -16,7 +16,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerolytics.constants import CLASSIFIER_FEATURES, POLLUTANTS, REGRESSOR_FEATURES
+from aerolytics.constants import CLASSIFIER_FEATURES, POLLUTANTS, PROJECTION_FEATURES, REGRESSOR_FEATURES
 from aerolytics.operators import clean, clusters, evaluate, forecast, models, profiles, sampling
 from aerolytics.operators.features import build_features
 from aerolytics.operators.projection import pca_projection
@@ -110,8 +110,7 @@ def run(spark: SparkSession, src_root: str, out_dir: str, small: bool = False) -
 
     score = profiles.safety_score(feats, "station")
     files.write_table(score, os.path.join(out_dir, "safety_profile"))
-    proj, _, _ = pca_projection(feats, [c for c in ["pm25", "pm10", "so2", "no2", "co", "o3", "temp",
-                                                    "pres", "dewp", "wspm"] if c in feats.columns],
+    proj, _, _ = pca_projection(feats, [c for c in PROJECTION_FEATURES if c in feats.columns],
                                 keep=["station", "aqi_category"])
     files.write_table(proj, os.path.join(out_dir, "projections"))
 

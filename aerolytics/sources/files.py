@@ -180,6 +180,16 @@ def write_table(df: DataFrame, path: str, partition_by=None) -> None:
     w.parquet(path)
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """One small file through the file system of its path (HDFS, object store, local)."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = p.getFileSystem(spark._jsc.hadoopConfiguration()).create(p, True)
+    try:
+        out.write(bytearray(text, "utf-8"))
+    finally:
+        out.close()
+
+
 def write_summary(runs: DataFrame, best: DataFrame, path: str) -> dict:
     """Nested summary per task {best_model, metrics, all} from the (small) model_runs
     table; also returned as a dict."""
@@ -192,8 +202,7 @@ def write_summary(runs: DataFrame, best: DataFrame, path: str) -> dict:
         if r["model"] == t["best_model"]:
             t["metrics"][r["metric"]] = r["value"]
     if path:
-        with open(path, "w") as fh:
-            json.dump(summary, fh, indent=2)
+        write_text(runs.sparkSession, path, json.dumps(summary, indent=2))
     return summary
 
 

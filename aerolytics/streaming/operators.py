@@ -83,19 +83,20 @@ def lag_state_stream(stream: DataFrame, key: str = "station", time: str = "datet
     out_schema = (f"{id_col} long, {key} {key_type}, {time} timestamp_ntz, {value} double, "
                   + ", ".join(f"{c} double" for c in out_cols) + ", late_dropped long")
     # last event time as naive microseconds: no zone conversion between Arrow, pandas and state
-    state_schema = "last_us long, vals array<double>"
+    state_schema = "last_us long, last_id long, vals array<double>"
 
     def step(k, batches, state):
         if state.exists:
-            last_us, vals = state.get
+            last_us, last_id, vals = state.get
             vals = list(vals)
         else:
-            last_us, vals = None, []
+            last_us, last_id, vals = None, None, []
         pdf = pd.concat(list(batches), ignore_index=True).sort_values([time, id_col])
         us = pdf[time].astype("datetime64[us]").astype("int64")
         late = 0
         if last_us is not None:
-            mask = (us > last_us).to_numpy()
+            # rows are ordered by (time, id): a tie in time is late only behind its id
+            mask = ((us > last_us) | ((us == last_us) & (pdf[id_col] > last_id))).to_numpy()
             late = int((~mask).sum())
             pdf, us = pdf[mask], us[mask]
         hist = np.array(vals, dtype=float)
@@ -114,7 +115,7 @@ def lag_state_stream(stream: DataFrame, key: str = "station", time: str = "datet
                             time: pdf[time].to_numpy(), value: cur, **res})
         out["late_dropped"] = late
         if len(pdf):
-            state.update((int(us.iloc[-1]), [float(x) for x in allv.to_numpy()[-depth:]]))
+            state.update((int(us.iloc[-1]), int(pdf[id_col].iloc[-1]), [float(x) for x in allv.to_numpy()[-depth:]]))
         yield out
 
     src = stream.select(id_col, key, time, value)

@@ -98,3 +98,26 @@ def test_late_rows_dropped_by_watermark_and_state(spark, tmp_path):
     assert 4 not in rows  # older than the newest time already in state: dropped
     assert rows[5].pm25_lag1 == 30.0 and rows[5].late_dropped == 1
     assert rows[3].pm25_lag1 == 20.0 and rows[3].pm25_roll_mean3 == 15.0
+
+
+def test_lags_do_not_depend_on_batch_cuts(spark, tmp_path):
+    """Rows that share a time are kept whichever micro-batch they come in."""
+    from aerolytics.streaming import operators as so
+    rows = [(1, "a", "2020-01-01 00:00:00", 1.0), (2, "a", "2020-01-01 01:00:00", 2.0),
+            (3, "a", "2020-01-01 01:00:00", 3.0), (4, "a", "2020-01-01 02:00:00", 4.0)]
+    schema = "event_id long, station string, s string, pm25 double"
+    outs = []
+    for name, cuts in (("one", [rows]), ("two", [rows[:2], rows[2:]])):
+        src, out = tmp_path / name / "in", tmp_path / name / "out"
+        for i, part in enumerate(cuts):
+            (spark.createDataFrame(part, schema).withColumn("datetime", F.col("s").cast("timestamp_ntz")).drop("s")
+             .coalesce(1).write.mode("append").parquet(str(src)))
+            stream = spark.readStream.schema(spark.read.parquet(str(src)).schema).parquet(str(src))
+            q = (so.lag_state_stream(stream, key="station", time="datetime", value="pm25", id_col="event_id",
+                                     lags=(1,), windows=(3,))
+                 .writeStream.format("parquet").option("checkpointLocation", str(tmp_path / name / "ckpt"))
+                 .trigger(availableNow=True).start(str(out)))
+            q.awaitTermination(60)
+        outs.append(sorted((r["event_id"], r["pm25_lag1"]) for r in spark.read.parquet(str(out)).collect()
+                           if r["pm25_lag1"] == r["pm25_lag1"]))
+    assert outs[0] == outs[1] and [i for i, _ in outs[0]][-3:] == [2, 3, 4]
