@@ -7,6 +7,7 @@ Unicode version of an engine.
 
 from __future__ import annotations
 
+import ctypes
 import os
 import uuid
 from collections.abc import Iterator
@@ -38,17 +39,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def scratch(df: DataFrame, label: str) -> DataFrame:
+def scratch(df: DataFrame, label: str, hashes: bool = False) -> DataFrame:
     """Write ``df`` once below the shared checkpoint folder and read it back.
 
     Cuts the lineage with a table that every executor can reach, so a lost executor costs
     a reread instead of a recomputation; the small derived tables of this package use it
-    where a result is read more than once.
+    where a result is read more than once. ``hashes``: mostly random values, which no
+    dictionary makes smaller.
     """
     spark = df.sparkSession
     root = ensure_checkpoint_dir(spark)
     path = f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("parquet.enable.dictionary", str(not hashes).lower()).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -62,7 +64,16 @@ def words(col: Column) -> Column:
     return F.when(body == "", F.array().cast("array<string>")).otherwise(F.split(body, GAP))
 
 
-def byte_slices(batch_column, max_bytes: int = 8 << 20) -> Iterator[tuple[int, int]]:
+def release_memory() -> None:
+    """Give freed memory back to the system: reused workers of several stages share a machine."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):                    # a C library without it
+        pass
+
+
+def byte_slices(batch_column, max_bytes: int = 4 << 20) -> Iterator[tuple[int, int]]:
     """Row ranges of an Arrow column whose values hold at most ``max_bytes`` together
     (a single larger value is a range of its own)."""
     start = held = 0
@@ -74,6 +85,7 @@ def byte_slices(batch_column, max_bytes: int = 8 << 20) -> Iterator[tuple[int, i
         held += n
     if start < len(batch_column):
         yield start, len(batch_column)
+    release_memory()
 
 
 def coded_words(texts: pa.Array, spaces_only: bool = False, lower: bool = False):
@@ -139,10 +151,9 @@ def ragged(values: list[bytes], codes: np.ndarray, cuts: np.ndarray):
 SIEVE_WORDS = 1 << 16
 
 
-def sieve(df: DataFrame, wanted: DataFrame, col: str, n_words: int = SIEVE_WORDS) -> DataFrame:
-    """Rows of ``df`` whose ``col`` may occur in ``wanted``: a bitmap of fixed size
-    (``n_words`` 64-bit words) drops most others before a join that decides exactly, so that
-    wide rows are not shuffled for nothing. A full bitmap lets everything through."""
+def may_occur(wanted: DataFrame, col: str, n_words: int = SIEVE_WORDS) -> Column:
+    """False only where ``col`` does not occur in ``wanted``: a bitmap of fixed size
+    (``n_words`` 64-bit words). The values that pass still need a join that decides."""
     def shift(name, x, k):
         return F.call_function(name, x, k)
 
@@ -150,8 +161,14 @@ def sieve(df: DataFrame, wanted: DataFrame, col: str, n_words: int = SIEVE_WORDS
     zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
     at, bit = shift("shiftright", spot, F.lit(6)), spot.bitwiseAND(F.lit(63)).cast("int")
     bits = (wanted.select(at.alias("w"), shift("shiftleft", one, bit).alias("v"))
-            .unionAll(df.sparkSession.range(n_words).select(F.col("id").alias("w"), zero.alias("v")))
+            .unionAll(wanted.sparkSession.range(n_words).select(F.col("id").alias("w"), zero.alias("v")))
             .groupBy("w").agg(F.bit_or("v").alias("v"))
             .agg(F.transform(F.sort_array(F.collect_list(F.struct("w", "v"))), lambda s: s["v"]).alias("s")))
     word = F.get(bits.scalar(), at.cast("int"))
-    return df.where(shift("shiftrightunsigned", word, bit).bitwiseAND(one) == 1)
+    return F.coalesce(shift("shiftrightunsigned", word, bit).bitwiseAND(one), one) == 1
+
+
+def sieve(df: DataFrame, wanted: DataFrame, col: str, n_words: int = SIEVE_WORDS) -> DataFrame:
+    """Rows of ``df`` whose ``col`` may occur in ``wanted``: drops most others before a join,
+    so that wide rows are not shuffled for nothing. A full bitmap lets everything through."""
+    return df.where(may_occur(wanted, col, n_words))

@@ -2,13 +2,15 @@
 
 A line is the set of its lower-cased words. Equal sets are one class. Between classes the
 join is a prefix filter: words are ordered by rarity, and two sets of Jaccard similarity
-``t`` share a word among the first ``n - ceil(t * n) + 1`` of both. Candidates pass the
-length filter and the positional filter (what can still follow the first shared word),
-then a bitmap bound on the symmetric difference, and are verified on the whole sets. A
-line goes if an earlier line (smaller doc_id, then earlier in the document) matches it.
+``t`` share ``l`` words among the first ``n - ceil(t * n) + l`` of both; ``l`` is one for
+short lines and grows with long ones. Candidates pass the length filter and the positional
+filter (what can still follow a shared word) and a bitmap bound on the words that differ
+(lines of fewer than ``BITMAP`` words), must share ``l`` words, and are verified on the
+whole sets. A line goes if an earlier line (smaller doc_id, then earlier in the
+document) matches it.
 
 Rarity comes from word counts over all lines, kept in a fixed number of hash buckets: the
-ranks of the buckets do not grow with the data, every fixed order is exact, and frequent
+levels of the buckets do not grow with the data, every fixed order is exact, and frequent
 words still come last. Lists of a word longer than ``LONG`` are first compared with one
 leader; only members without an earlier match are compared further, so a large group of
 near copies is not spelled out pair by pair. Only DataFrame functions are used.
@@ -19,12 +21,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from aerolytics.llm.common import BLANKS, GAP, scratch
+from aerolytics.llm.common import BLANKS, GAP, may_occur, scratch, sieve, words
 
 PERCENT = 80
-RARITY_BITS = 15                 # low bits of a word's hash that name its bucket
-SIEVE_WORDS = 1 << 16            # 64-bit words of the sieve of wanted lines (512 KB)
+RARITY_BITS = 20                 # low bits of a word's hash that name its bucket
 LONG = 64
+BITMAP = 64                      # from so many words on a bitmap of 64 bits says little
+SPARE = 25                       # one more shared prefix word is asked for per so many words
 NO_ID = (1 << 63) - 1
 
 
@@ -42,27 +45,28 @@ def row_keys(docs: DataFrame, id_col: str) -> DataFrame:
 
 
 def line_sets(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """row, doc (the id, nulls last), no, lid, n, sig, bits, h of every line with a word."""
+    """row, doc (the id, nulls last), no, h (hashes of the words) of every line with a word."""
     d = docs.select(F.col("__row").alias("row"), F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("doc"),
                     F.posexplode(F.split(F.lower(text_col), "\n", -1)).alias("no", "line"))
     d = d.select("row", "doc", "no", F.btrim("line", F.lit(BLANKS)).alias("line")).where(F.col("line") != "")
-    d = d.select("row", "doc", "no", F.array_distinct(
+    return d.select("row", "doc", "no", F.array_distinct(
         F.transform(F.split("line", GAP), lambda x: F.xxhash64(x))).alias("h"))
-    bits = F.aggregate("h", F.lit(0).cast("long"), lambda a, x: a.bitwiseOR(
-        _shift("shiftleft", F.lit(1).cast("long"), _shift("shiftrightunsigned", x, 58).cast("int"))))
-    return d.select("row", "doc", "no", F.monotonically_increasing_id().alias("lid"), F.size("h").alias("n"),
-                    F.xxhash64(F.sort_array("h")).alias("sig"), bits.alias("bits"), "h")
 
 
-def rarity_ranks(lines: DataFrame) -> Column:
-    """The rank of each bucket of words by its count over all lines (rarest 0), as a literal
-    array: ``2 ** RARITY_BITS`` counts pass through the driver, whatever the input."""
+def rarity_levels(docs: DataFrame, text_col: str) -> Column:
+    """Levels 0 (rarest) to 15 of the buckets of words by their counts over all texts, four
+    bits each in a literal array: ``2 ** RARITY_BITS`` buckets are half a megabyte, whatever the input."""
     n = 1 << RARITY_BITS
-    rows = (lines.select(F.explode("h").alias("x")).groupBy(F.col("x").bitwiseAND(F.lit(n - 1)).alias("b"))
-            .agg(F.count(F.lit(1)).alias("c")).collect())
-    count = {r["b"]: r["c"] for r in rows}
-    rank = {b: i for i, b in enumerate(sorted(range(n), key=lambda b: (count.get(b, 0), b)))}
-    return F.split(F.lit(",".join(str(rank[b]) for b in range(n))), ",").cast("array<int>")
+    word = docs.select(F.explode(words(F.lower(text_col))).alias("x"))
+    counts = word.groupBy(F.xxhash64("x").bitwiseAND(F.lit(n - 1)).alias("b")).agg(F.count(F.lit(1)).alias("c"))
+    level = F.least(F.floor(0.75 * F.log2(F.col("c") + 1)), F.lit(15)).cast("long")
+    packed = (counts.select(_shift("shiftright", F.col("b"), 4).alias("w"), _shift(
+                  "shiftleft", level, (4 * F.col("b").bitwiseAND(F.lit(15))).cast("int")).alias("v"))
+              .unionAll(docs.sparkSession.range(n >> 4).select(F.col("id").alias("w"), F.lit(0).cast("long").alias("v")))
+              .groupBy("w").agg(F.bit_or("v").alias("v")))
+    text = (packed.agg(F.sort_array(F.collect_list(F.struct("w", "v"))).alias("a"))
+            .select(F.array_join(F.transform("a", lambda x: x["v"].cast("string")), ",").alias("s")).first()["s"])
+    return F.split(F.lit(text), ",").cast("array<long>")
 
 
 def _need(a: Column, b: Column, percent: int) -> Column:
@@ -70,38 +74,39 @@ def _need(a: Column, b: Column, percent: int) -> Column:
     return F.ceil((a + b) * percent / (100 + percent))
 
 
-def _candidates(a: DataFrame, b: DataFrame, percent: int, extra: Column | None = None) -> DataFrame:
-    """Distinct pairs (x < y) of lines that share a prefix word and pass the filters."""
-    a, b = a.alias("a"), b.alias("b")
-    na, nb = F.col("a.n"), F.col("b.n")
-    cond = ((F.col("a.word") == F.col("b.word")) & (100 * F.least(na, nb) >= percent * F.greatest(na, nb))
-            & (F.least(na - F.col("a.pos"), nb - F.col("b.pos")) >= _need(na, nb, percent)))
-    if extra is not None:
-        cond = cond & extra
-    return a.join(b, cond).select(F.least("a.lid", "b.lid").alias("x"),
-                                  F.greatest("a.lid", "b.lid").alias("y")).distinct()
-
-
-def _verified(pairs: DataFrame, lines: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose whole sets match."""
-    small = lines.select("lid", "n", "bits")
-    for side in ("x", "y"):
-        pairs = pairs.join(small.select(F.col("lid").alias(side), F.col("n").alias(f"n{side}"),
-                                        F.col("bits").alias(f"b{side}")), side)
-    apart = F.col("nx") + F.col("ny") - 2 * _need(F.col("nx"), F.col("ny"), percent)
-    pairs = scratch(pairs.where(F.bit_count(F.col("bx").bitwiseXOR(F.col("by"))) <= apart).select("x", "y"), "line-pairs")
-    # a sieve of fixed size keeps most other lines out of the join with the sets
-    wanted = pairs.select(F.explode(F.array("x", "y")).alias("lid"))
-    spot = F.pmod(F.xxhash64("lid"), F.lit(SIEVE_WORDS * 64))
-    sieve = (wanted.select(_shift("shiftright", spot, 6).alias("w"),
-                           _shift("shiftleft", F.lit(1).cast("long"), spot.bitwiseAND(F.lit(63)).cast("int")).alias("v"))
-             .unionAll(lines.sparkSession.range(SIEVE_WORDS).select(F.col("id").alias("w"), F.lit(0).cast("long").alias("v")))
-             .groupBy("w").agg(F.bit_or("v").alias("v"))
-             .agg(F.transform(F.sort_array(F.collect_list(F.struct("w", "v"))), lambda s: s["v"]).alias("s")))
-    s = sieve.scalar()
-    sets = lines.withColumn("spot", spot).where(
-        _shift("shiftrightunsigned", F.get(s, _shift("shiftright", F.col("spot"), 6).cast("int")),
-               F.col("spot").bitwiseAND(F.lit(63)).cast("int")).bitwiseAND(F.lit(1)) == 1).select("lid", "h")
+def _shared(n: Column) -> Column:
+    """Prefix words that a set shares at least with one it matches, by its size."""
+    return F.lit(1) + F.floor(n / SPARE).cast("int")
+
+
+def _candidates(a: DataFrame, b: DataFrame, percent: int, extra: Column) -> DataFrame:
+    """Pairs (x < y) of lines that share enough prefix words and pass the filters; ``np``
+    holds the size of a set and the place of the word in it."""
+    def parts(side: str):
+        np = F.col(f"{side}.np")
+        return _shift("shiftright", np, 32), np.bitwiseAND(F.lit((1 << 32) - 1))
+
+    (na, pa), (nb, pb) = parts("a"), parts("b")
+    asked = _shared(F.least(na, nb))
+    apart = F.bit_count(F.col("a.bits").bitwiseXOR(F.col("b.bits"))) <= na + nb - 2 * _need(na, nb, percent)
+    cond = ((F.col("a.word") == F.col("b.word")) & extra & ((F.greatest(na, nb) >= BITMAP) | apart) & (100 * F.least(na, nb) >= percent * F.greatest(na, nb))
+            & (F.least(na - pa, nb - pb) > _need(na, nb, percent) - asked))
+    return (a.alias("a").join(b.alias("b"), cond)
+            .groupBy(F.least("a.lid", "b.lid").alias("x"), F.greatest("a.lid", "b.lid").alias("y"))
+            .agg(F.count(F.lit(1)).alias("met"), F.max(asked).alias("asked"))
+            .where("met >= asked").select("x", "y"))
+
+
+def _verified(pairs: DataFrame, lines: DataFrame, docs: DataFrame, percent: int, id_col: str,
+              text_col: str) -> DataFrame:
+    """The (written) pairs whose whole sets match. The sets are made anew from the texts of
+    the documents that hold the lines, which is cheaper than keeping those of all lines."""
+    some = pairs.select(F.explode(F.array("x", "y")).alias("lid"))
+    where = scratch(sieve(lines.select("lid", "row", "no"), some, "lid").join(some.distinct(), "lid"), "line-places")
+    sets = line_sets(sieve(docs, where.select(F.col("row").alias("__row")), "__row"), id_col, text_col)
+    spot = F.xxhash64("row", "no").alias("spot")
+    sets = sieve(sets.select("row", "no", "h", spot), where.select(spot), "spot").drop("spot")
+    sets = scratch(sets.join(where, ["row", "no"]).select("lid", "h"), "line-words", hashes=True)
     for side in ("x", "y"):
         pairs = pairs.join(sets.select(F.col("lid").alias(side), F.col("h").alias(f"h{side}")), side)
     both = F.size(F.array_intersect("hx", "hy"))
@@ -112,54 +117,73 @@ def find_duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str
                          percent: int = PERCENT) -> DataFrame:
     """One row per line that goes: row (see :func:`row_keys`), doc_id, line_no (from 0, of
     the ``\\n``-split text), n_words (distinct), match_doc_id and match_line_no: the first
-    line of an equal set, or else the earliest line that is similar.
+    line of an equal set, or else an earlier line that is similar (the earliest that the
+    search met).
 
     ``docs`` must have been through :func:`row_keys`. Null and empty texts and lines
     without words have nothing to remove. Null ids come last in the order; rows with one
     id are told apart and ordered as they were numbered. Equal lines inside a document
     count like any others. An empty table gives no rows; other columns are not read.
     """
-    lines = scratch(line_sets(docs, id_col, text_col), "line-sets")
+    docs = docs.select("__row", id_col, text_col)
+    levels = rarity_levels(docs, text_col)
+
+    def key(x: Column) -> Column:
+        """Level first, then 40 bits of the hash: words that share a key cost a look, no match."""
+        at = _shift("shiftright", x.bitwiseAND(F.lit((1 << RARITY_BITS) - 1)), 4).cast("int")
+        level = _shift("shiftrightunsigned", F.get(levels, at), x.bitwiseAND(F.lit(15)).cast("int") * 4)
+        return _shift("shiftleft", level.bitwiseAND(F.lit(15)), 40).bitwiseOR(_shift("shiftrightunsigned", x, 24))
+
+    n = F.size("h")
+    size = F.least(n, n - F.floor((n * percent + 99) / 100).cast("int") + _shared(n))
+    lines = line_sets(docs, id_col, text_col)
+    bits = F.when(n < BITMAP, F.aggregate("h", F.lit(0).cast("long"), lambda a, x: a.bitwiseOR(
+        _shift("shiftleft", F.lit(1).cast("long"), _shift("shiftrightunsigned", x, 58).cast("int"))))).otherwise(F.lit(0).cast("long"))
+    lines = scratch(lines.select("row", "doc", "no", F.monotonically_increasing_id().alias("lid"), n.alias("n"),
+                                 bits.alias("bits"),
+                                 F.xxhash64(F.sort_array("h")).alias("sig"),
+                                 F.slice(F.sort_array(F.transform("h", key)), F.lit(1), size).alias("p")),
+                    "lines", hashes=True)
     order = F.struct("doc", "row", "no", "lid", "n")
     classes = scratch(lines.groupBy("sig").agg(F.min(order).alias("o"), F.count(F.lit(1)).alias("c")), "line-classes")
+    first = classes.select(F.col("o.lid").alias("lid"), "o")
+
+    # lines of an equal set behind the first
+    many = classes.where("c > 1").select("sig", "o")
+    copies = scratch(sieve(lines.select("sig", "lid", order.alias("l")), many, "sig").join(many, "sig")
+                     .where(F.col("lid") != F.col("o.lid")).select("lid", "l", "o"), "line-copies")
 
     # prefixes of one line of each class, by word
-    ranks = rarity_ranks(lines)
-    low = F.lit((1 << RARITY_BITS) - 1)
-
-    def key(x: Column) -> Column:                        # rank first, then what is left of the hash
-        return _shift("shiftleft", F.get(ranks, x.bitwiseAND(low).cast("int")).cast("long"), 63 - RARITY_BITS) \
-            .bitwiseOR(_shift("shiftrightunsigned", x, RARITY_BITS + 1))
-
-    n = F.col("n")
-    size = n - F.floor((n * percent + 99) / 100).cast("int") + 1
-    pre = lines.select("lid", "n", F.slice(F.sort_array(F.transform("h", key)), F.lit(1), size).alias("p"))
-    pre = pre.join(classes.select(F.col("o.lid").alias("lid")), "lid", "left_semi")
-    pre = pre.select("lid", "n", F.posexplode("p").alias("pos", "word")).repartition("word")
-    lists = pre.withColumn("len", F.count(F.lit(1)).over(Window.partitionBy("word"))).where("len > 1")
-    short = lists.where(F.col("len") <= LONG)
+    pre = lines.select("lid", "n", "bits", "p")
+    maybe = may_occur(copies, "lid")
+    pre = pre.where(~maybe).unionAll(pre.where(maybe).join(copies.select("lid"), "lid", "left_anti"))
+    pre = pre.select("lid", "n", "bits", F.posexplode("p").alias("pos", "word")).select(
+        "word", "lid", "bits", _shift("shiftleft", F.col("n").cast("long"), 32).bitwiseOR(F.col("pos").cast("long")).alias("np"))
+    lists = pre.repartition("word").withColumn("len", F.count(F.lit(1)).over(Window.partitionBy("word"))).where("len > 1")
+    short, long = lists.where(F.col("len") <= LONG), lists.where(F.col("len") > LONG)
     pairs = _candidates(short, short, percent, F.col("a.lid") < F.col("b.lid"))
-    found = scratch(_verified(pairs, lines, percent), "line-matches")
-
-    first = classes.select(F.col("o.lid").alias("lid"), "o")
-    long = scratch(lists.where(F.col("len") > LONG).select("lid", "n", "pos", "word"), "line-long-lists")
-    if not long.isEmpty():
-        member = scratch(long.join(first, "lid"), "line-long-members")
-        lead = member.groupBy("word").agg(F.min(F.struct("o", "pos")).alias("m")).select(
-            "word", F.col("m.o.lid").alias("lid"), F.col("m.o.n").alias("n"), F.col("m.pos").alias("pos"))
-        led = scratch(_verified(_candidates(lead, long, percent, F.col("a.lid") != F.col("b.lid")), lines, percent),
-                      "line-led")
-        found = found.unionAll(led)
+    # candidates and long lists leave one job, which deals the prefixes out once
+    none = F.lit(None).cast("long")
+    both = scratch(pairs.select("x", "y", none.alias("np"), none.alias("bits"))
+                   .unionAll(long.select("lid", "word", "np", "bits")), "line-pairs")
+    long = both.where("np is not null").select(F.col("x").alias("lid"), F.col("y").alias("word"), "np", "bits")
+    pairs = both.where("np is null").select("x", "y")
+
+    some_long = not long.isEmpty()
+    if some_long:
+        lead = long.groupBy("word").agg(F.min(F.struct("lid", "np", "bits")).alias("m")).select("word", "m.*")
+        pairs = scratch(pairs.unionAll(_candidates(lead, long, percent, F.col("a.lid") != F.col("b.lid"))).distinct(),
+                        "line-pairs")
+    found = scratch(_verified(pairs, lines, docs, percent, id_col, text_col), "line-matches")
+    if some_long:
         done = _earlier(found, first).select("lid").distinct()
-        rest = member.join(done, "lid", "left_anti")
-        more = _candidates(rest, member, percent, F.col("b.o") < F.col("a.o"))
-        found = found.unionAll(scratch(_verified(more, lines, percent), "line-rest"))
+        rest = long.join(done, "lid", "left_anti")
+        more = scratch(_candidates(rest, long, percent, F.col("a.lid") != F.col("b.lid")), "line-pairs")
+        found = found.unionAll(scratch(_verified(more, lines, docs, percent, id_col, text_col), "line-rest"))
 
     near = _earlier(found, first).groupBy("lid").agg(F.min("match").alias("match"))
     gone = (near.join(first, "lid").select("o", "match")
-            .unionAll(lines.select("sig", F.struct("doc", "row", "no", "lid", "n").alias("l"))
-                      .join(classes.where("c > 1").select("sig", "o"), "sig").where(F.col("l.lid") != F.col("o.lid"))
-                      .select(F.col("l").alias("o"), F.col("o").alias("match"))))
+            .unionAll(copies.select(F.col("l").alias("o"), F.col("o").alias("match"))))
     return gone.select(F.col("o.row").alias("row"), F.nullif(F.col("o.doc"), F.lit(NO_ID)).alias("doc_id"),
                        F.col("o.no").alias("line_no"), F.col("o.n").alias("n_words"),
                        F.nullif(F.col("match.doc"), F.lit(NO_ID)).alias("match_doc_id"),
