@@ -29,7 +29,7 @@ from aerolytics.llm.common import RecentCache, byte_slices, coded_words, ragged,
 
 SEQUENCE_TOKENS = 4096
 BUFFER_TOKENS = 1 << 20
-CACHE_WORDS = 500_000
+CACHE_WORDS = 150_000
 
 SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
           "sequence_id long, `offset` long, sequence_length long, sequence_cost double")

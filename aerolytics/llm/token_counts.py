@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from aerolytics.llm.common import RecentCache, byte_slices, coded_words, scratch, ship
 
 BLOCK = 1024
-CACHE_PIECES = 400_000
+CACHE_PIECES = 150_000
 
 
 class PieceCounter:

@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -24,15 +25,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from aerolytics.llm.common import WORD, byte_slices, coded_words, ship
+from aerolytics.llm.common import WORD, byte_slices, coded_words, release_memory, ship
 
 BUCKETS = 1 << 18
 FOLDS = 5
-MAX_TRAIN_TOXIC = 1500
-MAX_TRAIN_CLEAN = 3000
+MAX_TRAIN_TOXIC = 1000
+MAX_TRAIN_CLEAN = 2000
 TRAIN_BLOCK = 4096              # windows of tokens that are evaluated at once
 WINDOW = 64
-CACHE_WORDS = 300_000
+CACHE_WORDS = 150_000
 TOKEN = re.compile(WORD)
 EDGES = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum()) + "«»“”„’‘…–—¡¿"
 
@@ -192,26 +193,20 @@ def fit_layer(x: np.ndarray, y: np.ndarray, weight: np.ndarray, l2: float = 1.0)
     return w
 
 
-def mark_words(feats: list[list[str]], pairs: list[np.ndarray], n_docs: list[int],
-               odds: float = 6.0, strength: float = 10.0) -> np.ndarray:
-    """True for the words that mark toxic tokens: those with a word or prefix feature that is
-    ``odds`` times likelier in toxic than in clean documents, by enough evidence.
+def mark_words(owner: np.ndarray, hashes: np.ndarray, n_words: int, pairs: list[np.ndarray],
+               n_docs: list[int], odds: float = 6.0, strength: float = 10.0) -> np.ndarray:
+    """True for the words that mark toxic tokens: those with a feature that is ``odds`` times
+    likelier in toxic than in clean documents, by enough evidence.
 
-    ``pairs`` holds, for clean and toxic documents, the distinct (word before, word) pairs:
+    ``owner`` and ``hashes`` hold the word and prefix features of all words; ``pairs``, for
+    clean and toxic documents, the second words of the distinct (word before, word) pairs:
     an occurrence in a copied passage counts once, however many copies there are.
     """
-    names: dict[str, int] = {}
-    owner, flat = [], []
-    for i, fs in enumerate(feats):
-        for f in fs:
-            if f[0] == "w" or f[0] == "p" and len(f) > 4:
-                owner.append(i)
-                flat.append(names.setdefault(f, len(names)))
-    owner, flat = np.array(owner, dtype=np.int64), np.array(flat, dtype=np.int64)
-    seen = [np.bincount(flat, np.bincount(p, minlength=len(feats))[owner], len(names)) for p in pairs]
+    names, flat = np.unique(hashes, return_inverse=True)
+    seen = [np.bincount(flat, np.bincount(p, minlength=n_words)[owner], len(names)) for p in pairs]
     ratio = (seen[1] / n_docs[1]) / ((seen[0] + 0.5) / n_docs[0])
     good = (ratio >= odds) & (np.log(np.maximum(ratio, 1e-9)) * np.sqrt(seen[1]) >= strength)
-    return np.bincount(owner, good[flat], len(feats)) > 0
+    return np.bincount(owner, good[flat], n_words) > 0
 
 
 def _block_gradient(ids, y, mask, word, par, total, grad) -> None:
@@ -262,8 +257,7 @@ def train(rows: list[tuple[str, int]], weights: dict[int, float] | None = None,
         return Model(zero, zero, zero, 0.0, np.zeros((2, 2)), 0.0, np.zeros(4), labelled=False)
     vocab: dict[str, int] = {}
     seqs = [np.fromiter((vocab.setdefault(w, len(vocab)) for w in TOKEN.findall(t)), np.int64) for t, _ in rows]
-    names = [features(w) for w in vocab]
-    if not names:
+    if not vocab:
         return Model(zero, zero, zero, 0.0, np.zeros((2, 2)), 0.0, np.zeros(4), labelled=False)
     pairs = []
     for k in (0, 1):
@@ -271,11 +265,20 @@ def train(rows: list[tuple[str, int]], weights: dict[int, float] | None = None,
                 if v == k and len(x)]
         code = np.unique(np.concatenate(code)) if code else np.zeros(0, np.int64)
         pairs.append(code % (len(vocab) + 1))
-    bad = mark_words(names, pairs, [max(1, int((toxic == k).sum())) for k in (0, 1)])
-    feats = [[bucket(f) for f in fs] for fs in names]
-    first = np.array([f[0] for f in feats])
-    owner = np.repeat(np.arange(len(feats)), [len(f) for f in feats])
-    flat = np.array([b for f in feats for b in f])
+    # hashes of the features of all words; the first of a word is the word itself
+    hashes, marks, count = array("I"), array("B"), array("B")
+    for w in vocab:
+        fs = features(w)
+        hashes.extend(zlib.crc32(f.encode("utf-8", "replace")) for f in fs)
+        marks.extend(f[0] == "w" or f[0] == "p" and len(f) > 4 for f in fs)
+        count.append(len(fs))
+    count = np.frombuffer(count, np.uint8).astype(np.int64)
+    owner = np.repeat(np.arange(len(vocab), dtype=np.int32), count)
+    hashes, marks = np.frombuffer(hashes, np.uint32), np.frombuffer(marks, np.uint8) > 0
+    bad = mark_words(owner[marks], hashes[marks], len(vocab), pairs,
+                     [max(1, int((toxic == k).sum())) for k in (0, 1)])
+    flat = (hashes % BUCKETS).astype(np.int32)
+    first = flat[np.cumsum(count) - count]
 
     # windows of tokens as padded matrices, block by block
     cuts = [(i, s) for i, x in enumerate(seqs) for s in range(0, len(x), WINDOW)]
@@ -340,7 +343,10 @@ def fit(docs: DataFrame, labels: DataFrame, max_toxic: int = MAX_TRAIN_TOXIC,
     rows = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
             .join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "toxic").collect())
     rows = sorted({(r["doc_id"], r["text"], r["toxic"]) for r in rows})
-    return train([(t, k) for _, t, k in rows], {c: 1.0 / s for c, s in share.items() if s > 0})
+    model = train([(t, k) for _, t, k in rows], {c: 1.0 / s for c, s in share.items() if s > 0})
+    del rows
+    release_memory()
+    return model
 
 
 def toxic_scores(docs: DataFrame, model: Model, text_col: str = "text") -> Column:
