@@ -79,9 +79,10 @@ def _shared(n: Column) -> Column:
     return F.lit(1) + F.floor(n / SPARE).cast("int")
 
 
-def _candidates(a: DataFrame, b: DataFrame, percent: int, extra: Column) -> DataFrame:
+def _candidates(a: DataFrame, b: DataFrame, percent: int, extra: Column, best: bool = False) -> DataFrame:
     """Pairs (x < y) of lines that share enough prefix words and pass the filters; ``np``
-    holds the size of a set and the place of the word in it."""
+    holds the size of a set and the place of the word in it. ``best``: for each line of ``b``
+    the one of ``a`` that shares most words, however few."""
     def parts(side: str):
         np = F.col(f"{side}.np")
         return _shift("shiftright", np, 32), np.bitwiseAND(F.lit((1 << 32) - 1))
@@ -91,10 +92,14 @@ def _candidates(a: DataFrame, b: DataFrame, percent: int, extra: Column) -> Data
     apart = F.bit_count(F.col("a.bits").bitwiseXOR(F.col("b.bits"))) <= na + nb - 2 * _need(na, nb, percent)
     cond = ((F.col("a.word") == F.col("b.word")) & extra & ((F.greatest(na, nb) >= BITMAP) | apart) & (100 * F.least(na, nb) >= percent * F.greatest(na, nb))
             & (F.least(na - pa, nb - pb) > _need(na, nb, percent) - asked))
-    return (a.alias("a").join(b.alias("b"), cond)
-            .groupBy(F.least("a.lid", "b.lid").alias("x"), F.greatest("a.lid", "b.lid").alias("y"))
-            .agg(F.count(F.lit(1)).alias("met"), F.max(asked).alias("asked"))
-            .where("met >= asked").select("x", "y"))
+    joined = a.alias("a").join(b.alias("b"), cond)
+    if best:
+        met = joined.groupBy(F.col("a.lid").alias("l"), F.col("b.lid").alias("m")).agg(F.count(F.lit(1)).alias("met"))
+        met = met.groupBy("m").agg(F.max_by("l", F.struct("met", "l")).alias("l"))
+        return met.select(F.least("l", "m").alias("x"), F.greatest("l", "m").alias("y"))
+    pairs = (joined.groupBy(F.least("a.lid", "b.lid").alias("x"), F.greatest("a.lid", "b.lid").alias("y"))
+             .agg(F.count(F.lit(1)).alias("met"), F.max(asked).alias("asked")))
+    return pairs.where("met >= asked").select("x", "y")
 
 
 def _verified(pairs: DataFrame, lines: DataFrame, docs: DataFrame, percent: int, id_col: str,
@@ -171,14 +176,19 @@ def find_duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str
 
     some_long = not long.isEmpty()
     if some_long:
-        lead = long.groupBy("word").agg(F.min(F.struct("lid", "np", "bits")).alias("m")).select("word", "m.*")
-        pairs = scratch(pairs.unionAll(_candidates(lead, long, percent, F.col("a.lid") != F.col("b.lid"))).distinct(),
-                        "line-pairs")
+        # near copies mostly have one size and keep the word in its place: the earliest leads
+        long = scratch(long.join(first, "lid"), "line-members")
+        lead = (long.groupBy("word", "np")
+                .agg(F.min(F.struct("o", "bits")).alias("m"), F.count(F.lit(1)).alias("c")).where("c > 1")
+                .select("word", "np", F.col("m.o.lid").alias("lid"), F.col("m.bits").alias("bits")))
+        pairs = scratch(pairs.unionAll(_candidates(
+            lead, long, percent, (F.col("a.np") == F.col("b.np")) & (F.col("a.lid") != F.col("b.lid")),
+            best=True)).distinct(), "line-pairs")
     found = scratch(_verified(pairs, lines, docs, percent, id_col, text_col), "line-matches")
     if some_long:
         done = _earlier(found, first).select("lid").distinct()
         rest = long.join(done, "lid", "left_anti")
-        more = scratch(_candidates(rest, long, percent, F.col("a.lid") != F.col("b.lid")), "line-pairs")
+        more = scratch(_candidates(rest, long, percent, F.col("b.o") < F.col("a.o")), "line-pairs")
         found = found.unionAll(scratch(_verified(more, lines, docs, percent, id_col, text_col), "line-rest"))
 
     near = _earlier(found, first).groupBy("lid").agg(F.min("match").alias("match"))
