@@ -6,7 +6,9 @@ join is a prefix filter: words are ordered by rarity, and two sets of Jaccard si
 short lines and grows with long ones. Candidates pass the length filter and the positional
 filter (what can still follow a shared word) and a bitmap bound on the words that differ
 (lines of fewer than ``BITMAP`` words), must share ``l`` words, and are verified on the
-whole sets. A line goes if an earlier line (smaller doc_id, then earlier in the
+whole sets. Short and long lists of lines are searched apart: a pair that meets in a short
+list may have the rest of its ``l`` words in long ones, so there it has to meet only as
+often as the words of its prefixes that may be in long lists do not make up for. A line goes if an earlier line (smaller doc_id, then earlier in the
 document) matches it.
 
 Rarity comes from word counts over all lines, kept in a fixed number of hash buckets: the
@@ -18,6 +20,8 @@ near copies is not spelled out pair by pair. Only DataFrame functions are used.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,6 +32,8 @@ RARITY_BITS = 20                 # low bits of a word's hash that name its bucke
 LONG = 64
 BITMAP = 64                      # from so many words on a bitmap of 64 bits says little
 SPARE = 25                       # one more shared prefix word is asked for per so many words
+PLACE = 28                       # bits of the place of a word, and of the size of a set, in ``np``
+MANY = 127                       # so many frequent prefix words or more: no bound
 NO_ID = (1 << 63) - 1
 
 
@@ -79,16 +85,29 @@ def _shared(n: Column) -> Column:
     return F.lit(1) + F.floor(n / SPARE).cast("int")
 
 
-def _candidates(a: DataFrame, b: DataFrame, percent: int, extra: Column, best: bool = False) -> DataFrame:
+def _least_level(long: int) -> int:
+    """Least rarity level of a word in more than ``long`` lines (its bucket counts as many)."""
+    return min(15, math.floor(0.75 * math.log2(long + 2) - 1e-9))
+
+
+def _candidates(a: DataFrame, b: DataFrame, percent: int, extra: Column, best: bool = False,
+                short: bool = False) -> DataFrame:
     """Pairs (x < y) of lines that share enough prefix words and pass the filters; ``np``
-    holds the size of a set and the place of the word in it. ``best``: for each line of ``b``
-    the one of ``a`` that shares most words, however few."""
+    holds the frequent words of the prefix (up to ``MANY``), the size of a set and the place
+    of the word in it. ``best``: for each line of ``b`` the one of ``a`` that shares most
+    words, however few. ``short``: the lists are short ones only, and shared words may be
+    missing that are frequent in both lines."""
     def parts(side: str):
-        np = F.col(f"{side}.np")
-        return _shift("shiftright", np, 32), np.bitwiseAND(F.lit((1 << 32) - 1))
+        np, low = F.col(f"{side}.np"), F.lit((1 << PLACE) - 1)
+        return (_shift("shiftright", np, PLACE).bitwiseAND(low), np.bitwiseAND(low),
+                _shift("shiftright", np, 2 * PLACE))
 
-    (na, pa), (nb, pb) = parts("a"), parts("b")
+    (na, pa, fa), (nb, pb, fb) = parts("a"), parts("b")
     asked = _shared(F.least(na, nb))
+    meet = asked
+    if short:
+        frequent = F.least(fa, fb)
+        meet = F.when(frequent >= MANY, F.lit(1)).otherwise(F.greatest(F.lit(1).cast("long"), asked - frequent))
     apart = F.bit_count(F.col("a.bits").bitwiseXOR(F.col("b.bits"))) <= na + nb - 2 * _need(na, nb, percent)
     cond = ((F.col("a.word") == F.col("b.word")) & extra & ((F.greatest(na, nb) >= BITMAP) | apart) & (100 * F.least(na, nb) >= percent * F.greatest(na, nb))
             & (F.least(na - pa, nb - pb) > _need(na, nb, percent) - asked))
@@ -98,7 +117,7 @@ def _candidates(a: DataFrame, b: DataFrame, percent: int, extra: Column, best: b
         met = met.groupBy("m").agg(F.max_by("l", F.struct("met", "l")).alias("l"))
         return met.select(F.least("l", "m").alias("x"), F.greatest("l", "m").alias("y"))
     pairs = (joined.groupBy(F.least("a.lid", "b.lid").alias("x"), F.greatest("a.lid", "b.lid").alias("y"))
-             .agg(F.count(F.lit(1)).alias("met"), F.max(asked).alias("asked")))
+             .agg(F.count(F.lit(1)).alias("met"), F.max(meet).alias("asked")))
     return pairs.where("met >= asked").select("x", "y")
 
 
@@ -162,15 +181,18 @@ def find_duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str
     pre = lines.select("lid", "n", "bits", "p")
     maybe = may_occur(copies, "lid")
     pre = pre.where(~maybe).unionAll(pre.where(maybe).join(copies.select("lid"), "lid", "left_anti"))
-    pre = pre.select("lid", "n", "bits", F.posexplode("p").alias("pos", "word")).select(
-        "word", "lid", "bits", _shift("shiftleft", F.col("n").cast("long"), 32).bitwiseOR(F.col("pos").cast("long")).alias("np"))
+    often = F.least(F.size(F.filter("p", lambda x: x >= F.lit(_least_level(LONG) << 40))), F.lit(MANY))
+    pre = pre.select("lid", _shift("shiftleft", often.cast("long"), PLACE).bitwiseOR(F.col("n").cast("long")).alias("fn"),
+                     "bits", F.posexplode("p").alias("pos", "word")).select(
+        "word", "lid", "bits", _shift("shiftleft", F.col("fn"), PLACE).bitwiseOR(F.col("pos").cast("long")).alias("np"))
     lists = pre.repartition("word").withColumn("len", F.count(F.lit(1)).over(Window.partitionBy("word"))).where("len > 1")
     short, long = lists.where(F.col("len") <= LONG), lists.where(F.col("len") > LONG)
-    pairs = _candidates(short, short, percent, F.col("a.lid") < F.col("b.lid"))
+    pairs = _candidates(short, short, percent, F.col("a.lid") < F.col("b.lid"), short=True)
     # candidates and long lists leave one job, which deals the prefixes out once
     none = F.lit(None).cast("long")
     both = scratch(pairs.select("x", "y", none.alias("np"), none.alias("bits"))
-                   .unionAll(long.select("lid", "word", "np", "bits")), "line-pairs")
+                   .unionAll(long.select("lid", "word", F.col("np").bitwiseAND(F.lit((1 << 2 * PLACE) - 1)).alias("np"), "bits")),
+                   "line-pairs")
     long = both.where("np is not null").select(F.col("x").alias("lid"), F.col("y").alias("word"), "np", "bits")
     pairs = both.where("np is null").select("x", "y")
 
