@@ -2,8 +2,10 @@
 
 Random strings compress badly under a byte-level BPE vocabulary that was made for text:
 a key has one to two characters a token, words have four or more. Candidate strings
-(long runs of key characters) whose ratio falls below a threshold are reported as kind
-``random``, unless they are known digests or identifiers or lie inside a pattern's span.
+(long runs of key characters, less what a pattern's span covers) whose ratio falls below a
+threshold are reported as kind ``random``, unless they are known digests or identifiers.
+Where the ratio of a whole run does not, every window of ``WINDOW`` characters of it is
+tested: a key behind a name or a path is found by itself.
 """
 
 from __future__ import annotations
@@ -28,14 +30,20 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")              # 20 characters or more
 HEX = re.compile(r"[0-9a-f]{24,}")
 
 # candidates of the method, and the shapes it leaves alone
-CANDIDATE = re.compile(r"(?<![\w+/=-])[A-Za-z0-9+/_=-]{20,}(?![\w])")
+CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
+WINDOW = 20
 DIGEST_LENGTHS = (32, 40, 48, 56, 64, 96, 128)
 DIGEST = re.compile(r"(?:[0-9a-f]+|[0-9A-F]+)\Z")
 IDENTIFIER = re.compile(
     r"(?:[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}"  # UUID
     r"|[0-9_+/=-]+"                                                          # numbers, dates
     r"|(.)\1+"                                                               # rules
-    r"|[A-Za-z]+(?:[/_-]+[A-Za-z]+)*[/_-]*[0-9]{0,4})\Z")                    # words, paths
+    r"|[A-Za-z](?:[/_-]+[A-Za-z])*)\Z")                                      # spelled out
+#: inside a run: what no window reaches into (UUIDs, numbers and dates, rules)
+APART = re.compile(
+    r"(?<![A-Za-z0-9])[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}(?![A-Za-z0-9])"
+    r"|(?<![A-Za-z0-9])[0-9]+(?:[/_+=-]+[0-9]+)+(?![A-Za-z0-9])|[+/_=-]{3,}")
+PART = re.compile(r"[A-Za-z0-9]+")
 
 SCHEMA = "doc_id long, spans array<struct<kind:string,start:long,`end`:long>>"
 
@@ -61,6 +69,14 @@ class TokenCounter:
         n = sum(len(self.enc.encode_ordinary(s[i:i + block])) for i in range(0, len(s), block))
         return len(s) / n
 
+    def bounds(self, s: str, block: int = 1000) -> list[int]:
+        """Where the tokens of an ASCII string begin, and its length."""
+        out = [0]
+        for i in range(0, len(s), block):
+            for token in self.enc.encode_ordinary(s[i:i + block]):
+                out.append(out[-1] + len(self.enc.decode_single_token_bytes(token)))
+        return out
+
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """``(start, kind, end)`` of the three patterns, code points."""
@@ -77,18 +93,68 @@ def known(s: str, digests: frozenset[str]) -> bool:
             or bool(IDENTIFIER.match(s)))
 
 
+def window_spans(v: str, counter: TokenCounter, max_ratio: float,
+                 digests: frozenset[str]) -> list[tuple[int, int]]:
+    """Parts of a run in which windows of whole tokens, ``WINDOW`` characters or just more,
+    have few characters a token; widened to the letters and digits they cut."""
+    apart = [m.span() for m in APART.finditer(v)]
+    apart += [m.span() for m in PART.finditer(v) if m.end() - m.start() >= WINDOW and known(m.group(), digests)]
+    out: list[tuple[int, int]] = []
+    for lo, hi in left_over(0, len(v), apart):
+        at = counter.bounds(v[lo:hi])
+        j, found = 0, []
+        for i in range(len(at)):
+            while j < len(at) and at[j] - at[i] < WINDOW:
+                j += 1
+            if j == len(at):
+                break
+            if at[j] - at[i] <= max_ratio * (j - i):
+                if found and at[i] <= found[-1][1]:
+                    found[-1][1] = at[j]
+                else:
+                    found.append([at[i], at[j]])
+        for s, e in found:
+            s, e = s + lo, e + lo
+            while s > lo and v[s].isalnum() and v[s - 1].isalnum():
+                s -= 1
+            while e < hi and v[e].isalnum() and v[e - 1].isalnum():
+                e += 1
+            while not v[s].isalnum():
+                s += 1
+            if out and s < out[-1][1]:
+                out[-1] = (out[-1][0], max(e, out[-1][1]))
+            else:
+                out.append((s, e))
+    return out
+
+
+def left_over(s: int, e: int, spans) -> list[tuple[int, int]]:
+    """What of ``s`` to ``e`` no span covers, if long enough for a candidate."""
+    out = []
+    for lo, hi in sorted(spans):
+        if lo >= e:
+            break
+        if lo - s >= WINDOW:
+            out.append((s, lo))
+        s = max(s, hi)
+    if e - s >= WINDOW:
+        out.append((s, e))
+    return out
+
+
 def random_spans(text: str, base, counter: TokenCounter, max_ratio: float,
                  digests: frozenset[str]) -> list[tuple[int, int, int]]:
     out = []
     for m in CANDIDATE.finditer(text):
-        s, e = m.span()
-        if any(b[0] < e and s < b[2] for b in base):   # a pattern has it already
-            continue
-        v = m.group().rstrip("=")
-        if known(v, digests):
-            continue
-        if counter.chars_per_token(v) <= max_ratio:
-            out.append((s, 3, e))
+        # a pattern's span is cut out, the rest is tested
+        for s, e in left_over(*m.span(), [(b[0], b[2]) for b in base if b[0] < m.end() and b[2] > m.start()]):
+            v = text[s:e].rstrip("=")
+            if known(v, digests):
+                continue
+            if counter.chars_per_token(v) <= max_ratio:
+                out.append((s, 3, e))
+            else:
+                out += [(s + a, 3, s + b) for a, b in window_spans(v, counter, max_ratio, digests)]
     return out
 
 

@@ -1,8 +1,38 @@
 """Cases in which an operator did less than its whole job."""
 
-from aerolytics.llm import line_dedup
+import random
+import string
+
+import pytest
+
+from aerolytics.llm import line_dedup, secrets
+from aerolytics.llm import queries as Q
 from tests.llm.llm_data import documents
 
+LETTERS, BASE62 = string.ascii_letters, string.ascii_letters + string.digits
+
+
+# 1 ----------------------------------------------------------------------------------------
+@pytest.mark.parametrize("before, alphabet, n, after", [
+    ("", LETTERS, 32, ""), ("", BASE62, 32, ""), ("session_authorization=", BASE62, 32, ""),
+    ("services/webhooks/incoming/", BASE62, 32, ""), ("\u5bc6", BASE62, 32, "\u94a5"), ("", BASE62, 32, "-token=abcdefgh")])
+def test_op1_random_strings_behind_names_and_beside_patterns(before, alphabet, n, after):
+    counter = secrets.TokenCounter.get(Q.vocabulary("byte_bpe_50k.tiktoken"), Q.split_pattern())
+    rnd = random.Random(3)
+    for _ in range(100):
+        key = "".join(rnd.choice(alphabet) for _ in range(n))
+        text = f"use {before}{key}{after} x"
+        found = secrets.random_spans(text, secrets.base_spans(text), counter, 1.9, frozenset())
+        at = text.index(key)
+        assert any(s <= at and at + n <= e for s, _, e in found)
+
+
+def test_op1_names_paths_and_identifiers_stay():
+    counter = secrets.TokenCounter.get(Q.vocabulary("byte_bpe_50k.tiktoken"), Q.split_pattern())
+    for text in ("getElementsByTagNameAndClassNameList", "a/b/c/d/e/f/g/h/i/j/k/l", "VeryLongJavaClassNameFactoryBeanImpl2",
+                 "usr/local/share/python3/site-packages/numpy", "https-www-example-com/en/2020/01/02/index"):
+        assert secrets.random_spans(text, [], counter, 1.9, frozenset()) == []
+
 
 # 4 ----------------------------------------------------------------------------------------
 def test_op4_shared_words_in_lists_of_both_kinds(spark, monkeypatch):
