@@ -43,8 +43,10 @@ SPACE = re.compile(r"\s+")
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|"
                    r"</([A-Za-z][^\s/>]*)[^>]*(?:>|\Z)|"
                    r"<([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.DOTALL)
-ATTR = re.compile(r"\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?",
-                  re.IGNORECASE)
+#: one attribute after the other: its whole name and its value
+ATTR = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+#: names that say which signs a part has or lacks, not what it is
+ABOUT = re.compile(r"(?:\A|(?<=[\s_-]))(?:has|have|no|not|with|without|hide|show)[_-]\S+", re.IGNORECASE)
 
 # elements whose start closes an open paragraph, and the scopes that end the search
 CLOSES_P = BLOCKS - set("body caption dd dt head html legend optgroup option tbody td tfoot th thead title tr".split()) \
@@ -55,17 +57,50 @@ PAIRS = {"dt": ("dt", "dd"), "dd": ("dt", "dd"), "td": ("td", "th"), "th": ("td"
 
 
 class Block:
-    __slots__ = ("text", "tag", "parent", "inside", "banned", "link", "depth")
+    __slots__ = ("text", "tag", "parent", "inside", "banned", "link", "depth", "signed", "marks", "outer")
 
-    def __init__(self, text, tag, parent, inside, banned, link, depth):
+    def __init__(self, text, tag, parent, inside, banned, link, depth, signed=False, marks=(), outer=0):
         self.text, self.tag, self.parent, self.inside = text, tag, parent, inside
-        self.banned, self.link, self.depth = banned, link, depth
+        self.banned, self.link, self.depth, self.signed = banned, link, depth, signed
+        self.marks, self.outer = marks, outer
+
+
+#: share of a page's words from which an element is no part beside the article
+WHOLE_PAGE = 0.75
+
+
+def weigh_marks(page: list[Block]) -> list[Block]:
+    """Set ``banned`` (menus, footers, forms and the like) and ``signed`` (named like what
+    surrounds an article) from the marked elements that hold a block. A mark does not count
+    on the way to the article of a page that has none without, nor where it holds nearly all
+    words of the page."""
+    if not any(b.marks for b in page):
+        return page
+    held: dict[int, int] = {}
+    total = 0
+    for b in page:
+        n = b.text.count(" ") + 1
+        total += n
+        for m in b.marks:
+            held[m] = held.get(m, 0) + n
+    none = {m for m, n in held.items() if n >= WHOLE_PAGE * total}
+    inside = [b for b in page if b.inside]
+    if inside:
+        outer = [sum(m not in none for m in b.marks[:b.outer]) for b in inside]
+        least = min(outer)
+        if least:
+            none = none.union(*(b.marks[:b.outer] for b, k in zip(inside, outer) if k == least))
+    for b in page:
+        b.banned = any(m < 0 and m not in none for m in b.marks)
+        b.signed = any(m > 0 and m not in none for m in b.marks)
+    return page
 
 
 def blocks(html: str) -> list[Block]:
     """The blocks of text of a page, in order, with their place in the tree."""
-    # an open element: name, number, banned, inside content, hidden, link
-    stack = [("", 0, False, False, False, False)]
+    # an open element: name, number, marked elements it is in (its number, negative for a
+    # menu or the like), inside content, hidden, link, marks down to that content
+    stack = [("", 0, (), False, False, False, 0)]
     out: list[Block] = []
     parts: list[str] = []
     linked = 0
@@ -79,8 +114,8 @@ def blocks(html: str) -> list[Block]:
                 own = next((x for x in reversed(stack) if x[0] in BLOCKS or not x[0]), stack[0])
                 k = stack.index(own)
                 parent = stack[max(0, k - 1)][1]
-                out.append(Block(text, own[0], parent, stack[-1][3], stack[-1][2],
-                                 min(1.0, linked / len(text)), k))
+                out.append(Block(text, own[0], parent, stack[-1][3], False, min(1.0, linked / len(text)), k,
+                                 marks=stack[-1][2], outer=stack[-1][6]))
             parts.clear()
             linked = 0
 
@@ -160,13 +195,14 @@ def blocks(html: str) -> list[Block]:
             at = end.end() if end else size
             continue
         top = stack[-1]
-        banned, inside, hidden, link = top[2], top[3], top[4], top[5]
+        marks, inside, hidden, link, outer = top[2:]
+        banned = signed = content = False
         if name in HIDDEN:
             hidden = True
         if name in NEVER or (name == "header" and not inside):
             banned = True
         if name in CONTENT:
-            inside = True
+            content = True
         if attrs:
             for a in ATTR.finditer(attrs):
                 key = a.group(1).lower()
@@ -175,16 +211,20 @@ def blocks(html: str) -> list[Block]:
                         or key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
                     hidden = True
                 elif key in ("class", "id", "role") and name not in ("html", "body", "main") \
-                        and SIGNS.search(value):
-                    banned = True
+                        and SIGNS.search(ABOUT.sub(" ", value)):
+                    signed = True
                 elif key == "role" and value.lower() in ("main", "article"):
-                    inside = True
+                    content = True
                 elif key == "role" and value.lower() in ("navigation", "banner", "dialog", "alert", "form", "search"):
                     banned = True
         numbers += 1
-        stack.append((name, numbers, banned, inside, hidden, link or name == "a"))
+        if banned or signed:
+            marks += (-numbers if banned else numbers,)
+        if content:
+            inside, outer = True, len(marks)
+        stack.append((name, numbers, marks, inside, hidden, link or name == "a", outer))
     flush()
-    return out
+    return weigh_marks(out)
 
 
 #: prior log odds of content by structure: inside <article> or <main> where a page has one
@@ -192,6 +232,7 @@ def blocks(html: str) -> list[Block]:
 INSIDE, HEADING, PARAGRAPH, ITEM = 6.0, 0.8, 0.8, -0.6
 TEXT_LIMIT = 4.0                 # most the text says either way: structure that is there wins
 HARD = 1e6
+SIGNED = 12.0                    # against content under a class or id sign
 #: text weights (bias, words, link share, sentence end) where there is nothing to learn from
 DEFAULT_WEIGHTS = (-0.6, 0.9, -4.0, 0.8)
 MAX_TRAIN_PAGES = 400
@@ -214,6 +255,8 @@ def costs(b: Block, any_inside: bool, weights) -> tuple[float, float]:
           + ITEM * (b.tag in ("li", "dt", "option")))
     if any_inside:
         z += INSIDE if b.inside else -INSIDE
+    if b.signed:
+        z -= SIGNED
     return math.log1p(math.exp(z)), math.log1p(math.exp(-z))
 
 
@@ -236,9 +279,9 @@ def fit_weights(pages: DataFrame, id_col: str = "page_id", html_col: str = "html
         for batch in batches:
             rows = []
             for html in batch.column(0).to_pylist():
-                page = [b for b in blocks(html or "") if b.banned or b.inside]
+                page = [b for b in blocks(html or "") if b.banned or b.signed or b.inside]
                 step = -(-len(page) // MAX_TRAIN_BLOCKS) or 1
-                rows += [(float(b.inside and not b.banned), *text_features(b)) for b in page[::step]]
+                rows += [(float(b.inside and not (b.banned or b.signed)), *text_features(b)) for b in page[::step]]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, pa.float64()) for c in (zip(*rows) if rows else [[]] * 5)], names=list("yabcd"))
 
@@ -316,7 +359,7 @@ def label(page: list[Block], weights=DEFAULT_WEIGHTS, near: float = 0.7, same: f
     """True for the blocks on the content side of the minimum cut."""
     if not page:
         return []
-    inside = any(b.inside and not b.banned for b in page)
+    inside = any(b.inside and not (b.banned or b.signed) for b in page)
     n = len(page)
     g = MaxFlow(n + 2)
     s, t = n, n + 1
@@ -325,10 +368,10 @@ def label(page: list[Block], weights=DEFAULT_WEIGHTS, near: float = 0.7, same: f
         boiler, content = costs(b, inside, weights)
         g.edge(s, i, boiler)                            # cut when i is labelled boilerplate
         g.edge(i, t, content)                           # cut when i is labelled content
-        if i and not b.banned and not page[i - 1].banned and b.inside == page[i - 1].inside:
+        if i and not b.banned and not page[i - 1].banned and (b.inside, b.signed) == (page[i - 1].inside, page[i - 1].signed):
             w = near / (1 + abs(b.depth - page[i - 1].depth))
             g.edge(i - 1, i, w, w)
-        if not b.banned:
+        if not b.banned and not b.signed:
             if b.parent in last and last[b.parent] != i - 1:
                 g.edge(last[b.parent], i, same, same)
             last[b.parent] = i

@@ -5,7 +5,7 @@ import string
 
 import pytest
 
-from aerolytics.llm import line_dedup, secrets
+from aerolytics.llm import html_extract, line_dedup, secrets
 from aerolytics.llm import queries as Q
 from tests.llm.llm_data import documents
 
@@ -50,3 +50,32 @@ def test_op4_shared_words_in_lists_of_both_kinds(spark, monkeypatch):
     d = documents(spark, [(i, t, "en", "a") for i, t in enumerate(rows, 1)])
     gone = line_dedup.find_duplicate_lines(line_dedup.row_keys(d, "doc_id")).collect()
     assert sorted(r["doc_id"] for r in gone) == want
+
+
+# 5 ----------------------------------------------------------------------------------------
+PARTS = ["A heading of the page", "A first paragraph that is long enough to be read as text of the article.",
+         "A second paragraph that is long enough to be read as text of the article."]
+BODY = "<h1>%s</h1><p>%s</p><p>%s</p>" % tuple(PARTS)
+
+
+@pytest.mark.parametrize("page", [
+    "<div class='layout has-sidebar'><article>%s</article></div>", "<div class='post no-comments'>%s</div>",
+    "<div class='sidebar-layout'><article>%s</article></div>", "<form id=whole><div><main>%s</main></div></form>",
+    "<div class='sidebar-layout'>%s</div>", "<article class='post social-story'>%s</article>"])
+def test_op5_wrappers_do_not_drop_the_article(page):
+    html = ("<body><nav><a href=/>Home</a></nav>" + page % BODY
+            + "<div class=comments><p>I liked it.</p></div><footer>Site</footer></body>")
+    assert html_extract.main_text(html) == "\n\n".join(PARTS)
+
+
+@pytest.mark.parametrize("attr", ['title="A hidden valley"', 'data-hidden="false"', 'data-overflow="hidden"',
+                                  'data-class="sidebar"', 'alt="style=display:none"'])
+def test_op5_attributes_by_their_own_names(attr):
+    assert html_extract.main_text(f"<body><article {attr}>{BODY}</article></body>") == "\n\n".join(PARTS)
+    assert html_extract.main_text(f"<body><article {attr} hidden>{BODY}</article></body>") == ""
+
+
+def test_op5_signs_beside_and_inside_the_article_stay_out():
+    html = (f"<body><article>{BODY}<div class=related><p>{PARTS[1]}</p></div></article><aside class=related>"
+            f"<article><p>{PARTS[2]}</p></article></aside><section id=comments><article><p>{PARTS[1]}</p></article></section>")
+    assert html_extract.main_text(html) == "\n\n".join(PARTS)
