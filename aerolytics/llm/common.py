@@ -15,6 +15,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,6 +55,16 @@ def scratch(df: DataFrame, label: str, hashes: bool = False) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def file_rows(df: DataFrame) -> DataFrame:
+    """``df`` with ``__file`` (name) and ``__row`` (place in it): a number of each row that a
+    retry cannot change. A table that is not read from Parquet files is written once first."""
+    place = [F.col("_metadata.file_name").alias("__file"), F.col("_metadata.row_index").alias("__row")]
+    try:
+        return df.select("*", *place)
+    except AnalysisException:                            # no file columns behind this plan
+        return scratch(df, "rows").select("*", *place)
+
+
 def lower_ascii(col: Column) -> Column:
     return F.translate(col, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 

@@ -6,8 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerolytics.llm import (decontaminate, html_extract, line_dedup, ngram_join, packing, quality, secrets, token_counts, toxicity,
-                            url_filter)
+from aerolytics.llm import (decontaminate, html_extract, importance, line_dedup, ngram_join, packing, quality, secrets, sharding,
+                            token_counts, toxicity, url_filter, vector_codes)
 from aerolytics.llm.common import table
 
 
@@ -91,8 +91,23 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "base_failed", "kept")
 
 
+def op11_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.coalesce("text", F.lit(""))
+    return sharding.shard_documents(table(spark, sf_dir, "documents")).select(
+        "doc_id", (F.octet_length(text) + 8).cast("long").alias("size"), F.crc32(text).alias("text_crc32"),
+        F.lit(sharding.LAW).alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress_vectors(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (op1_secrets, op2_decontaminate, op3_token_counts, op4_line_dedup, op5_main_text, op6_toxicity,
-                                   op7_url_filter, op8_ngram_join, op9_packing, op10_quality)}
+                                   op7_url_filter, op8_ngram_join, op9_packing, op10_quality, op11_importance, op12_sharding, op13_vector_codes)}
 #: the same rules in DuckDB: measures, bucket counts, merged quartiles, fences
 OP10_SQL = r"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, lang, source, coalesce(text, '') AS text FROM documents),
@@ -188,5 +203,35 @@ low AS (SELECT reach.r, min(d.doc_id) AS component_id FROM reach JOIN d ON d.r =
 SELECT doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, component_id FROM d JOIN low USING (r) LEFT JOIN n USING (r)
 """
 
-ORACLES: dict[str, str] = {"op2_decontaminate": OP2_SQL, "op4_line_dedup": OP4_SQL, "op8_ngram_join": OP8_SQL,
+def _op13_sql(rounds: int = 4, parts: int = 4, entries: int = 256) -> str:
+    """The rounds written out: distances of all parts to all entries, floored means."""
+    def nearest(name: str, book: str) -> str:
+        return f"""{name} AS MATERIALIZED (SELECT r, part, arg_min(entry, (d, entry)) AS entry, min(d) AS d FROM (
+  SELECT p.r, part, b.entry, list_sum(list_transform(range(1, len(p.v) + 1), lambda i: (p.v[i] - b.v[i]) * (p.v[i] - b.v[i])))::BIGINT AS d
+  FROM p JOIN {book} b USING (part)) GROUP BY r, part)"""
+
+    steps = []
+    for k in range(rounds):
+        steps.append(nearest(f"a{k}", f"b{k}"))
+        steps.append(f"""b{k + 1} AS MATERIALIZED (SELECT b.part, b.entry, coalesce(m.v, b.v) AS v FROM b{k} b LEFT JOIN (
+  SELECT part, entry, list(v ORDER BY i) AS v FROM (
+    SELECT a.part, a.entry, i, floor(sum(p.v[i])::DOUBLE / count(*))::BIGINT AS v
+    FROM a{k} a JOIN p USING (r, part), (SELECT unnest(range(1, len(p.v) + 1)) AS i) u GROUP BY ALL) GROUP BY ALL) m USING (part, entry))""")
+    steps.append(nearest("z", f"b{rounds}"))
+    return f"""
+WITH e AS (SELECT vec_id, label, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+n AS (SELECT *, row_number() OVER (ORDER BY vec_id NULLS LAST, v) AS r FROM e),
+p AS MATERIALIZED (SELECT r, part, v[part * len(v) // {parts} + 1:(part + 1) * len(v) // {parts}] AS v
+  FROM (SELECT r, v, unnest(range({parts})) AS part FROM n)),
+b0 AS MATERIALIZED (SELECT part, r - 1 AS entry, v FROM p WHERE r <= {entries}),
+{", ".join(steps)},
+c AS (SELECT r, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, sum(d)::BIGINT AS error FROM z GROUP BY r),
+s AS (SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY part, entry)) AS h FROM b{rounds})
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, h AS codebooks_sha256
+FROM c JOIN n USING (r), s
+"""
+
+
+ORACLES: dict[str, str] = {"op13_vector_codes": _op13_sql(), "op2_decontaminate": OP2_SQL, "op4_line_dedup": OP4_SQL, "op8_ngram_join": OP8_SQL,
                            "op10_quality": OP10_SQL}
