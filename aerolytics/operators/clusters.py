@@ -6,15 +6,12 @@
   from per-cluster aggregates — the mean squared distance from x to cluster C is
   ``|x|^2 - 2 x.mu_C + mean_C |y|^2`` — so it costs O(n k), never pairs.
 * Calinski-Harabasz from per-cluster sums.
-* Density clustering: neighbours by a grid-bucketed equi-join (cell width eps on the
-  first ``grid_dims`` dimensions; points within eps differ by at most one cell there),
-  core points, connected components of the core graph by iterated min-label joins with
-  ``checkpoint()`` every round, border points take the smallest adjacent cluster.
+* Density clustering: cells of mutual neighbours, boxes and a cell graph
+  (:mod:`aerolytics.operators.density`), without pairs of points.
 """
 
 from __future__ import annotations
 
-import itertools
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml.clustering import KMeans
@@ -25,9 +22,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from aerolytics.operators import density
+from aerolytics.operators.clean import label_encode
 from aerolytics.operators.storage import sized_cache
 from aerolytics.constants import (CLUSTER_DESCRIPTIONS, DBSCAN_EPS, DBSCAN_MIN_POINTS,
                                   KMEANS_K_RANGE, KMEANS_RESTARTS, SEED, UNKNOWN_CLUSTER_TEXT)
+from aerolytics.session import ensure_checkpoint_dir
 
 
 def with_vector(df: DataFrame, cols, out: str = "features") -> DataFrame:
@@ -184,38 +184,12 @@ def describe_clusters(labels: DataFrame, profile: DataFrame, key: str, label: st
 
 # --- density clustering ------------------------------------------------------------
 
-def neighbour_pairs(points: DataFrame, cols, key: str, eps: float = DBSCAN_EPS,
-                    grid_dims: int | None = None) -> DataFrame:
-    """All (a, b) with distance <= eps, self pairs included, via a grid equi-join.
-
-    Each point is keyed by its cell on the first ``grid_dims`` dimensions (default: up to
-    4); it is probed against the 3^g neighbouring cells, then the exact distance filter
-    runs. More bucketed dimensions mean more probe copies of each (profile) row but fewer
-    candidate pairs in dense regions (on the sf0.1 supplier profile: 130K candidates for
-    13K true pairs with 4 dimensions, 219K with 3).
-    """
-    g = list(cols)[:grid_dims or min(len(cols), 4)]
-    cell = [F.floor(F.col(c) / eps).cast("long").alias(f"_g{i}") for i, c in enumerate(g)]
-    base = points.select(key, *cols, *cell)
-    offsets = list(itertools.product((-1, 0, 1), repeat=len(g)))
-    probe = base.select(
-        F.col(key).alias("_a"), *[F.col(c).alias(f"a_{c}") for c in cols],
-        F.explode(F.array(*[F.array(*[F.lit(o) for o in off]) for off in offsets])).alias("_off"),
-        *[F.col(f"_g{i}") for i in range(len(g))])
-    probe = probe.select("_a", *[f"a_{c}" for c in cols],
-                         *[(F.col(f"_g{i}") + F.col("_off")[i]).alias(f"_g{i}") for i in range(len(g))])
-    build = base.select(F.col(key).alias("_b"), *[F.col(c).alias(f"b_{c}") for c in cols],
-                        *[f"_g{i}" for i in range(len(g))])
-    j = probe.join(build, on=[f"_g{i}" for i in range(len(g))], how="inner")
-    d2 = sum(((F.col(f"a_{c}") - F.col(f"b_{c}")) ** 2 for c in cols), F.lit(0.0))
-    return j.filter(d2 <= eps * eps).select(F.col("_a").alias("a"), F.col("_b").alias("b"))
-
-
 def dbscan_neighbours(points: DataFrame, cols, key: str, eps: float = DBSCAN_EPS,
                       min_points: int = DBSCAN_MIN_POINTS, grid_dims: int | None = None) -> DataFrame:
-    pairs = neighbour_pairs(points, cols, key, eps, grid_dims)
-    counts = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("n_neighbours"))
-    return counts.select(F.col("a").alias(key), "n_neighbours",
+    """Points within ``eps`` of each point (itself included) and whether it is a core point."""
+    ensure_checkpoint_dir(points.sparkSession)
+    counts = density.neighbour_counts(points, cols, key, eps, grid_dims)
+    return counts.select(F.col("id").alias(key), "n_neighbours",
                          (F.col("n_neighbours") >= min_points).alias("is_core"))
 
 
@@ -225,42 +199,15 @@ def dbscan(points: DataFrame, cols, key: str, eps: float = DBSCAN_EPS,
     """DBSCAN labels: cluster = smallest key of its connected core component (integer keys;
     other keys: the rank of that key among the clusters, from 0); border points take the
     smallest adjacent cluster; noise = -1. Labels spread until nothing changes;
-    ``max_rounds`` makes an unfinished spread an error."""
-    pairs = neighbour_pairs(points, cols, key, eps, grid_dims).checkpoint()
-    core = (pairs.groupBy("a").agg(F.count(F.lit(1)).alias("n"))
-            .filter(F.col("n") >= min_points).select(F.col("a").alias("node")))
-    core_edges = (pairs.join(core.withColumnRenamed("node", "a"), "a", "left_semi")
-                  .join(core.withColumnRenamed("node", "b"), "b", "left_semi")).checkpoint()
-    labels = core.select("node", F.col("node").alias("label"))
-    for done in itertools.count():
-        if max_rounds is not None and done >= max_rounds:
-            raise RuntimeError(f"labels still change after {max_rounds} rounds")
-        # every core node takes the smallest label among itself and its core neighbours ...
-        prop = (core_edges.join(labels.withColumnRenamed("node", "b"), "b")
-                .groupBy(F.col("a").alias("node")).agg(F.min("label").alias("cand")))
-        step = (labels.join(prop, "node", "left")
-                .select("node", F.col("label").alias("old"),
-                        F.least("label", F.coalesce("cand", "label")).alias("l1")))
-        # ... then jumps to its label's label (pointer jumping: long chains collapse fast)
-        jump = step.select(F.col("node").alias("l1"), F.col("l1").alias("l2"))
-        new = (step.join(jump, "l1", "left")
-               .select("node", "old", F.least("l1", F.coalesce("l2", "l1")).alias("label"))
-               .checkpoint())  # cut the lineage every round (survives lost executors)
-        labels = new.select("node", "label")
-        if new.filter(F.col("label") != F.col("old")).limit(1).count() == 0:
-            break
-    border = (pairs.join(labels.withColumnRenamed("node", "b"), "b")
-              .groupBy(F.col("a").alias("node")).agg(F.min("label").alias("border_label")))
-    out = (points.select(F.col(key).alias("node"))
-           .join(labels, "node", "left").join(border, "node", "left")
-           .select("node", F.coalesce("label", "border_label").alias("label")))
+    ``max_rounds`` makes an unfinished spread an error. See :mod:`aerolytics.operators.density`."""
+    ensure_checkpoint_dir(points.sparkSession)
+    labels = density.density_labels(points, cols, key, eps, min_points, grid_dims, max_rounds)
     if not isinstance(points.schema[key].dataType, T.IntegralType):
-        # one row per cluster is ranked
-        rank = (labels.select("label").distinct()
-                .select("label", (F.row_number().over(Window.orderBy("label")) - 1).alias("rank")))
-        out = out.join(rank, "label", "left").select("node", F.col("rank").alias("label"))
-    return out.select(F.col("node").alias(key),
-                      F.coalesce(F.col("label").cast("long"), F.lit(-1).cast("long")).alias("cluster_dbscan"))
+        # clusters are ranked like label codes: by ranges, never all in one task
+        labels = label_encode(labels, "label", "rank").select("id", F.col("rank").alias("label"))
+    labels = labels.select(F.col("id").alias("_node"), "label")
+    out = points.select(key).join(labels, F.col(key).eqNullSafe(F.col("_node")), "left")
+    return out.select(key, F.coalesce(F.col("label").cast("long"), F.lit(-1).cast("long")).alias("cluster_dbscan"))
 
 
 def vector_columns(df: DataFrame, vec: str, names) -> DataFrame:

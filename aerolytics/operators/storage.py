@@ -12,10 +12,13 @@ parallelism.
 from __future__ import annotations
 
 import math
+import uuid
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
+from aerolytics.session import ensure_checkpoint_dir
+
 DEFAULT_ROWS_PER_PARTITION = 1_000_000
 
 
@@ -30,3 +33,11 @@ def sized_cache(df: DataFrame, rows_per_partition: int = DEFAULT_ROWS_PER_PARTIT
     compact.count()
     cached.unpersist()
     return compact
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` once below the shared checkpoint folder and read it back: the lineage ends
+    there, and unlike ``checkpoint()`` the rows are computed once and stay columnar."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
