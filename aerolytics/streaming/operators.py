@@ -1,11 +1,10 @@
 """Structured Streaming forms of the row-at-a-time capabilities.
 
-* J1 continuous scoring: ``readStream`` -> ``PipelineModel.transform`` (stateless) -> sink.
+* J1 continuous scoring: ``readStream`` -> ``PipelineModel.transform`` (stateless) -> sink,
+  or ``foreachBatch`` with a stored model into one folder per epoch, which a replay replaces.
 * J2 hourly mean per station with a watermark; append mode emits a window once the
   watermark (max event time - delay) passes its end, later rows for it are dropped.
-* J3 lag / rolling features with per-station state: the last ``max(lags, windows)``
-  values (bounded state) carried across micro-batches by ``applyInPandasWithState``.
-  A row older than the newest time already in state is counted and dropped.
+* J3 lag / rolling features with per-station state (:mod:`aerolytics.streaming.lags`).
 
 ``withWatermark`` needs a ``timestamp`` (not ``timestamp_ntz``), so naive event time is
 read as UTC wall-clock with zone-free conversions (windows align with wall-clock hours in
@@ -17,13 +16,9 @@ from __future__ import annotations
 import os
 import uuid
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupStateTimeout
 
-from aerolytics.constants import PM25_LAGS, ROLLING_WINDOWS
 from aerolytics.functions.calendar import instant_to_ntz, ntz_to_instant
 from aerolytics.session import ensure_checkpoint_dir
 
@@ -71,53 +66,43 @@ def score_stream(stream: DataFrame, model, features, keep=()) -> DataFrame:
     return score_regression(model, stream, features, keep=keep)
 
 
-def lag_state_stream(stream: DataFrame, key: str = "station", time: str = "datetime",
-                     value: str = "pm25", lags=PM25_LAGS, windows=ROLLING_WINDOWS,
-                     id_col: str = "event_id") -> DataFrame:
-    """Per-key lags and previous-row rolling mean / std across micro-batches."""
-    depth = max([*lags, *windows])
-    key_type = stream.schema[key].dataType.simpleString()
-    out_cols = [f"{value}_lag{k}" for k in lags]
-    for w in windows:
-        out_cols += [f"{value}_roll_mean{w}", f"{value}_roll_std{w}"]
-    out_schema = (f"{id_col} long, {key} {key_type}, {time} timestamp_ntz, {value} double, "
-                  + ", ".join(f"{c} double" for c in out_cols) + ", late_dropped long")
-    # last event time as naive microseconds: no zone conversion between Arrow, pandas and state
-    state_schema = "last_us long, last_id long, vals array<double>"
-
-    def step(k, batches, state):
-        if state.exists:
-            last_us, last_id, vals = state.get
-            vals = list(vals)
-        else:
-            last_us, last_id, vals = None, None, []
-        pdf = pd.concat(list(batches), ignore_index=True).sort_values([time, id_col])
-        us = pdf[time].astype("datetime64[us]").astype("int64")
-        late = 0
-        if last_us is not None:
-            # rows are ordered by (time, id): a tie in time is late only behind its id
-            mask = ((us > last_us) | ((us == last_us) & (pdf[id_col] > last_id))).to_numpy()
-            late = int((~mask).sum())
-            pdf, us = pdf[mask], us[mask]
-        hist = np.array(vals, dtype=float)
-        cur = pdf[value].to_numpy(dtype=float)
-        allv = pd.Series(np.concatenate([hist, cur]))
-        off = len(hist)
-        # vectorised over history + batch: lag k = shift(k); previous-row frames =
-        # shift(1).rolling(w, min_periods=1); std of fewer than two values -> 0
-        res = {f"{value}_lag{lg}": allv.shift(lg).to_numpy()[off:] for lg in lags}
-        prev = allv.shift(1)
-        for w in windows:
-            roll = prev.rolling(w, min_periods=1)
-            res[f"{value}_roll_mean{w}"] = roll.mean().to_numpy()[off:]
-            res[f"{value}_roll_std{w}"] = roll.std(ddof=1).fillna(0.0).to_numpy()[off:]
-        out = pd.DataFrame({id_col: pdf[id_col].to_numpy(), key: [k[0]] * len(pdf),
-                            time: pdf[time].to_numpy(), value: cur, **res})
-        out["late_dropped"] = late
-        if len(pdf):
-            state.update((int(us.iloc[-1]), int(pdf[id_col].iloc[-1]), [float(x) for x in allv.to_numpy()[-depth:]]))
-        yield out
-
-    src = stream.select(id_col, key, time, value)
-    return src.groupBy(key).applyInPandasWithState(
-        step, out_schema, state_schema, "append", GroupStateTimeout.NoTimeout)
+def epoch_sink(model_path: str, features, path: str, keep=()):
+    """A ``foreachBatch`` function that scores a micro-batch with the stored model and
+    writes it to ``path/epoch=N``. A micro-batch that is run again after a failure has the
+    same number and rows, so it replaces its own folder: every row is in the table once."""
+    from aerolytics.operators.models import load_model, score_regression
+    held: list = []
+
+    def sink(batch: DataFrame, epoch: int) -> None:
+        if not held:                                     # loaded once a run, on the driver
+            model = load_model(model_path)
+            if model is None:
+                raise FileNotFoundError(f"no model at {model_path}")
+            held.append(model)
+        score_regression(held[0], batch, features, keep=keep).write.mode("overwrite").parquet(f"{path}/epoch={epoch}")
+
+    return sink
+
+
+def run_scoring(stream: DataFrame, sink, checkpoint: str) -> None:
+    """Score everything available, one micro-batch after the other, and wait."""
+    q = (stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+
+
+def arrive_in_batches(df: DataFrame, folder: str, time: str, batches: int, run) -> None:
+    """Append ``df`` to ``folder`` in ``batches`` ranges of ``time`` and call ``run()`` after each,
+    as files of a source that grows."""
+    lo, hi = df.agg(F.min(time), F.max(time)).first()
+    step = (hi - lo) / batches if lo is not None else None
+    for i in range(batches):
+        part = df
+        if i:
+            part = part.where(F.col(time) >= F.lit(lo + i * step))
+        if i + 1 < batches and lo is not None:
+            part = part.where(F.col(time) < F.lit(lo + (i + 1) * step))
+        part.write.mode("append").parquet(folder)
+        run()
+        if lo is None:
+            break

@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 from aerolytics.operators import features as feat
 from aerolytics.sources.tables import readings
-from aerolytics.streaming.operators import lag_state_stream, read_stream, run_to_table
+from aerolytics.streaming.lags import lag_state_stream
+from aerolytics.streaming.operators import read_stream, run_to_table
 from tests.conftest import SF01
 
 
@@ -102,7 +103,7 @@ def test_late_rows_dropped_by_watermark_and_state(spark, tmp_path):
 
 def test_lags_do_not_depend_on_batch_cuts(spark, tmp_path):
     """Rows that share a time are kept whichever micro-batch they come in."""
-    from aerolytics.streaming import operators as so
+    from aerolytics.streaming import lags as so
     rows = [(1, "a", "2020-01-01 00:00:00", 1.0), (2, "a", "2020-01-01 01:00:00", 2.0),
             (3, "a", "2020-01-01 01:00:00", 3.0), (4, "a", "2020-01-01 02:00:00", 4.0)]
     schema = "event_id long, station string, s string, pm25 double"
@@ -121,3 +122,84 @@ def test_lags_do_not_depend_on_batch_cuts(spark, tmp_path):
         outs.append(sorted((r["event_id"], r["pm25_lag1"]) for r in spark.read.parquet(str(out)).collect()
                            if r["pm25_lag1"] == r["pm25_lag1"]))
     assert outs[0] == outs[1] and [i for i, _ in outs[0]][-3:] == [2, 3, 4]
+
+
+def _stream_once(spark, base, **kw):
+    src = spark.read.parquet(f"{base}/in")
+    out = lag_state_stream(spark.readStream.schema(src.schema).parquet(f"{base}/in"), lags=(1, 2), windows=(3,), **kw)
+    (out.writeStream.format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/state")
+     .outputMode("append").trigger(availableNow=True).start().awaitTermination())
+
+
+def _hours(spark, rows, base):
+    rows = [(i, s, float(h), v) for i, s, h, v in rows]
+    (spark.createDataFrame(rows, "event_id long, station string, h double, pm25 double")
+     .selectExpr("event_id", "station", "timestampadd(SECOND, CAST(h * 3600 AS INT), timestamp_ntz'2024-01-01') AS datetime", "pm25")
+     .coalesce(1).write.mode("append").parquet(f"{base}/in"))
+
+
+def test_expired_keys_start_anew(spark, tmp_path):
+    """A silent key's state ends by its timer; a gap inside a micro-batch has the same effect, and
+    a gap of exactly the limit has none."""
+    base = str(tmp_path)
+    _hours(spark, [(1, "a", 0, 1.0), (2, "a", 1, 2.0), (3, "b", 0, 5.0), (4, "c", 0, 7.0)], base)
+    _stream_once(spark, base, expire="3 hours")
+    _hours(spark, [(5, "b", 3, 6.0), (6, "c", 20, 8.0), (7, "c", 24, 9.0)], base)
+    _stream_once(spark, base, expire="3 hours")
+    _hours(spark, [(8, "a", 30, 3.0), (9, "a", 31, 4.0)], base)
+    _stream_once(spark, base, expire="3 hours")
+    got = {r["event_id"]: (r["pm25_lag1"], r["pm25_lag2"], r["pm25_roll_mean3"])
+           for r in spark.read.parquet(f"{base}/out").collect()}
+    new = (None, None, None)
+    assert got == {1: new, 2: (1.0, None, 1.0), 3: new, 4: new, 5: (5.0, None, 5.0), 6: new, 7: new, 8: new,
+                   9: (3.0, None, 3.0)}
+
+
+def test_rows_beyond_memory_wait_in_state(spark, tmp_path):
+    """Unsorted rows of one hot key, more than are held at once: bucket after bucket, same result."""
+    import random
+    rows = [(i, "hot", (i // 3) * 0.4, float(i * 37 % 101)) for i in range(400)]
+    want = None
+    for name, chunk in (("memory", 10_000), ("state", 50)):
+        base = str(tmp_path / name)
+        random.Random(1).shuffle(rows)
+        _hours(spark, rows, base)
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "40")
+        try:
+            _stream_once(spark, base, chunk_rows=chunk)
+        finally:
+            spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+        got = sorted((tuple(r) for r in spark.read.parquet(f"{base}/out").collect()))
+        assert len(got) == 400 and all(b[4] == a[3] for a, b in zip(got, got[1:]))
+        want = want or got
+        assert got == want
+
+
+def test_scoring_survives_a_lost_commit(spark, tmp_path):
+    """A micro-batch whose commit is lost runs again and replaces its own rows."""
+    from aerolytics.operators import models
+    from aerolytics.streaming.operators import epoch_sink, run_scoring
+    train = spark.createDataFrame([(float(i), 2.0 * i + 1) for i in range(50)], "x double, pm25 double")
+    model = models.make_pipeline(["x"], models.regressors("pm25", 0.0)[2][1]).fit(train)
+    base = str(tmp_path)
+    models.save_model(model, f"{base}/model")
+    calls = []
+    inner = epoch_sink(f"{base}/model", ["x"], f"{base}/out", keep=["id"])
+
+    def sink(batch, epoch):
+        calls.append(epoch)
+        inner(batch, epoch)
+
+    for i in range(2):
+        spark.range(i * 10, i * 10 + 10).selectExpr("id", "CAST(id AS DOUBLE) AS x").write.mode("append").parquet(f"{base}/in")
+        run_scoring(read_stream(spark, f"{base}/in", "id long, x double"), sink, f"{base}/state")
+    for f in os.listdir(f"{base}/state/commits"):
+        if f.strip(".").startswith("1"):
+            os.remove(f"{base}/state/commits/{f}")
+    run_scoring(read_stream(spark, f"{base}/in", "id long, x double"), sink, f"{base}/state")
+    assert calls == [0, 1, 1]
+    out = {r["id"]: r["pm25_prediction"] for r in spark.read.parquet(f"{base}/out").collect()}
+    assert spark.read.parquet(f"{base}/out").count() == 20 and all(abs(v - (2 * i + 1)) < 0.01 for i, v in out.items())
+    with pytest.raises(Exception):
+        run_scoring(read_stream(spark, f"{base}/in", "id long, x double"),
+                    epoch_sink(f"{base}/none", ["x"], f"{base}/o2"), f"{base}/s2")
