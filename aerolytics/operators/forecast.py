@@ -21,11 +21,12 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from aerolytics.constants import FORECAST_HORIZON, MAX_FORECAST_HORIZON
 from aerolytics.functions.scalar import clip
+from aerolytics.operators.joins import null_safe_join
 
 AR_LONG = 10
 DAY_S = 86400.0
@@ -59,8 +60,9 @@ def gram_by_key(df: DataFrame, key: str, x_cols, y_col: str,
         # bounded by max_open_keys * p^2 whatever the number of keys in the partition
         acc: dict = {}
         for pdf in batches:
-            pdf = pdf.dropna()
-            for k, g in pdf.groupby(key, sort=False):
+            pdf = pdf.dropna(subset=[*x_cols, y_col])
+            for k, g in pdf.groupby(key, sort=False, dropna=False):
+                k = None if k != k else k                # one NULL key, whatever pandas calls it
                 x = g[x_cols].to_numpy(dtype=float)
                 y = g[y_col].to_numpy(dtype=float)
                 cur = acc.get(k)
@@ -84,20 +86,26 @@ def gram_by_key(df: DataFrame, key: str, x_cols, y_col: str,
 
 
 def solve_by_key(gram: DataFrame, key: str, p: int, ridge=None) -> DataFrame:
-    """Least squares per key from its Gram row: coef = (X'X + diag(ridge))^-1 X'y."""
+    """Least squares per key from its Gram row: coef = (X'X + diag(ridge))^-1 X'y, with the
+    inverse (row-major) and the residual variance ``s2`` (over n - p rows). Gram rows are
+    solved where they are, a batch of small matrices at a time."""
     key_type = gram.schema[key].dataType.simpleString()
-    pen = np.zeros(p) if ridge is None else np.asarray(ridge, dtype=float)
+    pen = np.diag(np.zeros(p) if ridge is None else np.asarray(ridge, dtype=float))
 
-    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        for _, r in pdf.iterrows():  # one row per key
-            a = np.asarray(r["xtx"], dtype=float).reshape(p, p) + np.diag(pen)
-            b = np.asarray(r["xty"], dtype=float)
-            coef = np.linalg.lstsq(a, b, rcond=None)[0]
-            out.append({key: r[key], "coef": coef.tolist(), "n": int(r["n"])})
-        return pd.DataFrame(out, columns=[key, "coef", "n"])
+    def solve(batches):
+        for pdf in batches:
+            if not len(pdf):
+                continue
+            xtx = np.stack([np.asarray(r, dtype=float).reshape(p, p) for r in pdf["xtx"]])
+            xty = np.stack([np.asarray(r, dtype=float) for r in pdf["xty"]])
+            n, yty = pdf["n"].to_numpy(), pdf["yty"].to_numpy(dtype=float)
+            inv = np.linalg.pinv(xtx + pen, hermitian=True)
+            coef = np.einsum("kij,kj->ki", inv, xty)
+            sse = yty - 2 * (coef * xty).sum(axis=1) + np.einsum("ki,kij,kj->k", coef, xtx, coef)
+            yield pd.DataFrame({key: pdf[key], "coef": list(coef), "n": n, "inv": list(inv.reshape(len(n), p * p)),
+                                "s2": np.maximum(sse, 0.0) / np.maximum(n - p, 1)})
 
-    return gram.groupBy(key).applyInPandas(solve, schema=f"{key} {key_type}, coef array<double>, n long")
+    return gram.mapInPandas(solve, schema=f"{key} {key_type}, coef array<double>, n long, inv array<double>, s2 double")
 
 
 # --- seasonal baseline (H16) -------------------------------------------------------
@@ -110,14 +118,41 @@ def future_hours(series: DataFrame, key: str, time: str, horizon: int) -> DataFr
 
 def forecast_seasonal(series: DataFrame, key: str = "station", time: str = "datetime",
                       value: str = "pm25", horizon: int = FORECAST_HORIZON) -> DataFrame:
-    """Mean by (key, weekday, hour) placed on the next ``horizon`` hours; clipped at 0."""
+    """Mean by (key, weekday, hour) placed on the next ``horizon`` hours; clipped at 0. A
+    weekday-hour without a reading takes the mean of its hour, else that of the series."""
     check_horizon(horizon)
-    prof = (series.groupBy(key, F.weekday(time).alias("_wd"), F.hour(time).alias("_h"))
-            .agg(F.avg(value).alias("_m")))
-    fut = (future_hours(series, key, time, horizon)
-           .withColumn("_wd", F.weekday(time)).withColumn("_h", F.hour(time)))
-    return (fut.join(prof, on=[key, "_wd", "_h"], how="left")
-            .select(key, "step", time, clip(F.col("_m"), 0.0).alias("yhat")))
+    state = seasonal_state(series, key, time, value)
+    return (state.select(key, F.explode(F.sequence(F.lit(1), F.lit(horizon))).alias("step"), "last_time", "cells")
+            .withColumn(time, F.timestamp_add("HOUR", F.col("step"), F.col("last_time")))
+            .select(key, "step", time, clip(_cell(time)["mean"], 0.0).alias("yhat")))
+
+
+def _cell(time: str) -> Column:
+    """The weekday-hour of ``time`` in a state's ``cells``."""
+    return F.get("cells", F.weekday(time) * 24 + F.hour(time))
+
+
+def seasonal_state(series: DataFrame, key: str = "station", time: str = "datetime", value: str = "pm25") -> DataFrame:
+    """Per key: ``last_time``, the mean and number of readings of the 168 weekday-hours (those
+    without one: of the hour, else of the series) and the residual variance ``s2``. Sums of
+    the weekday-hours are aggregated first, so a key's row is made of at most 168."""
+    sums = series.groupBy(key, F.weekday(time).alias("_wd"), F.hour(time).alias("_h")).agg(
+        F.count(value).alias("n"), F.avg(value).alias("m"), F.var_pop(value).alias("v"), F.max(time).alias("_last"))
+    packed = sums.groupBy(key).agg(
+        F.max("_last").alias("last_time"), F.collect_list(F.when(F.col("n") > 0, F.struct("_wd", "_h", "n", "m"))).alias("_c"),
+        (F.sum(F.col("v") * F.col("n")) / F.greatest(F.sum("n") - F.count(F.when(F.col("n") > 0, F.lit(1))), F.lit(1))).alias("s2"))
+
+    def pooled(rows):
+        n = F.aggregate(rows, F.lit(0).cast("long"), lambda a, c: a + c["n"])
+        total = F.aggregate(rows, F.lit(0.0), lambda a, c: a + c["m"] * c["n"])
+        return F.struct(F.when(n > 0, total / n).alias("mean"), n.alias("n"))
+
+    def cell(i):
+        same = F.filter("_c", lambda c: c["_wd"] * 24 + c["_h"] == i)
+        hour = F.filter("_c", lambda c: c["_h"] == F.pmod(i, F.lit(24)))
+        return F.when(F.size(same) > 0, pooled(same)).when(F.size(hour) > 0, pooled(hour)).otherwise(pooled(F.col("_c")))
+
+    return packed.select(key, "last_time", F.transform(F.sequence(F.lit(0), F.lit(167)), cell).alias("cells"), "s2")
 
 
 # --- ARIMA(2,1,2) via Hannan-Rissanen ------------------------------------------------
@@ -155,7 +190,7 @@ def _fit_arma_stages(series: DataFrame, key: str, time: str, value: str, long_ar
     s1 = solve_by_key(gram_by_key(d, key, xs1, "d"), key, len(xs1))
     pred1 = sum((F.col("coef")[i] * F.col(c) for i, c in enumerate(xs1)), F.lit(0.0))
     w = Window.partitionBy(key).orderBy(time)
-    with_e = d.join(s1.select(key, "coef"), on=key).withColumn("e", F.col("d") - pred1).drop("coef")
+    with_e = null_safe_join(d, s1.select(key, "coef"), [key]).withColumn("e", F.col("d") - pred1).drop("coef")
     resid = with_e.select(key, time, "d", "d1", "d2", "one", F.lag("e", 1).over(w).alias("e1"),
                           F.lag("e", 2).over(w).alias("e2"))
     xs2 = ["one", "d1", "d2", "e1", "e2"]
@@ -217,7 +252,7 @@ def arma_state(series: DataFrame, key: str = "station", time: str = "datetime",
         F.max(F.when(F.col("_rk") == 2, F.col("d"))).alias("dl2"),
         F.max(F.when(F.col("_rk") == 1, F.col("e"))).alias("el1"),
         F.max(F.when(F.col("_rk") == 2, F.col("e"))).alias("el2"))
-    return seed.join(coefs.select(key, "coef"), on=key)
+    return null_safe_join(seed, coefs.select(key, "coef", F.col("s2").alias("sigma2")), [key])
 
 
 def serve_forecast(state: DataFrame, horizon: int, key: str = "station",
@@ -258,7 +293,7 @@ def _design(df: DataFrame, key: str, time: str, n_changepoints: int, terms) -> D
     """Trend (scaled time, hinges at evenly spaced points of the first 80% of each key's
     span) and Fourier terms."""
     b = df.groupBy(key).agg(F.min(time).alias("_t0"), F.max(time).alias("_t1"))
-    j = df.join(b, on=key)
+    j = null_safe_join(df, b, [key])
     span = F.greatest(F.timestamp_diff("SECOND", F.col("_t0"), F.col("_t1")).cast("double"), F.lit(1.0))
     s = F.timestamp_diff("SECOND", F.col("_t0"), F.col(time)).cast("double") / span
     cols = [F.lit(1.0).alias("one"), s.alias("trend")]
@@ -284,7 +319,7 @@ def forecast_additive(series: DataFrame, key: str = "station", time: str = "date
            + [1.0 / season_prior ** 2] * len(fourier_names(terms)))
     coefs = solve_by_key(gram_by_key(x, key, names, value), key, len(names), pen)
     fitted = sum((F.col("coef")[i] * F.col(c) for i, c in enumerate(names)), F.lit(0.0))
-    resid = x.join(coefs.select(key, "coef"), on=key).select(key, (F.col(value) - fitted).alias("r"))
+    resid = null_safe_join(x, coefs.select(key, "coef"), [key]).select(key, (F.col(value) - fitted).alias("r"))
     lo_q, hi_q = (1 - interval) / 2, 1 - (1 - interval) / 2
     band = resid.groupBy(key).agg(F.percentile_approx("r", [lo_q, hi_q], 10000).alias("_q"))
     b = series.groupBy(key).agg(F.min(time).alias("_t0"), F.max(time).alias("_t1"))
@@ -296,7 +331,7 @@ def forecast_additive(series: DataFrame, key: str = "station", time: str = "date
                      *[F.greatest(s - F.lit(0.8 * i / (n_changepoints + 1)), F.lit(0.0)).alias(f"cp{i}")
                        for i in range(1, n_changepoints + 1)],
                      *fourier_columns(time, terms))
-    pred = fut.join(coefs.select(key, "coef"), on=key).join(band, on=key)
+    pred = null_safe_join(null_safe_join(fut, coefs.select(key, "coef"), [key]), band, [key])
     return pred.select(key, "step", time, clip(fitted, 0.0).alias("yhat"),
                        clip(fitted + F.col("_q")[0], 0.0).alias("yhat_lower"),
                        clip(fitted + F.col("_q")[1], 0.0).alias("yhat_upper"))
@@ -305,6 +340,6 @@ def forecast_additive(series: DataFrame, key: str = "station", time: str = "date
 def holdout_metrics(actual: DataFrame, forecast: DataFrame, key: str = "station",
                     time: str = "datetime", value: str = "pm25") -> DataFrame:
     """RMSE and MAE per key of a forecast against the held-out actual values."""
-    j = forecast.join(actual.select(key, time, value), on=[key, time], how="inner")
+    j = null_safe_join(forecast, actual.select(key, time, value), [key, time])
     e = F.col("yhat") - F.col(value)
     return j.groupBy(key).agg(F.sqrt(F.avg(e * e)).alias("rmse"), F.avg(F.abs(e)).alias("mae"))
