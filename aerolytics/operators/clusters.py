@@ -77,13 +77,16 @@ def assign_profile(centres, rows: DataFrame, features, key: str, mean, std,
     missing = [c for c in features if c not in rows.columns]
     if missing and not pad:
         raise ValueError(f"profile columns missing: {missing}")
-    scaled = rows.select(key, *[
-        ((F.coalesce(F.col(c), F.lit(0.0)) if c in rows.columns else F.lit(0.0)) - F.lit(float(m)))
-        / F.lit(float(s) if s else 1.0) for c, m, s in zip(features, mean, std)])
-    scaled = scaled.toDF(key, *features)
-    best = _least([F.struct(_sqdist_to(features, list(c)).alias("d"), F.lit(i).alias("id"))
-                   for i, c in enumerate(centres)])
-    return scaled.select(key, best["id"].alias("cluster"))
+    return rows.select(key, nearest_of(centres, rows, features, mean, std).alias("cluster"))
+
+
+def nearest_of(centres, rows: DataFrame, features, mean, std) -> Column:
+    """Number of the centre nearest to the standardised features; absent or NULL ones count as
+    0 before scaling, ties go to the smaller number."""
+    scaled = [((F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(0.0)) if c in rows.columns else F.lit(0.0)) - F.lit(float(m)))
+              / F.lit(float(s) if s else 1.0) for c, m, s in zip(features, mean, std)]
+    return _least([F.struct(sum(((x - F.lit(float(v))) ** 2 for x, v in zip(scaled, c)), F.lit(0.0)).alias("d"),
+                            F.lit(i).alias("id")) for i, c in enumerate(centres)])["id"]
 
 
 def silhouette_sq(points: DataFrame, cols, key: str, label: str = "cluster") -> DataFrame:

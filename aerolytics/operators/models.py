@@ -23,6 +23,8 @@ from aerolytics.functions.aqi import aqi_category, code_to_category
 from aerolytics.functions.scalar import nonneg
 from aerolytics.operators import evaluate
 from aerolytics.operators.clean import available, pad_features
+from aerolytics.operators.stages import PadStage
+from aerolytics.sources import files
 
 
 def model_input(df: DataFrame, wanted, label: str, keep=()) -> tuple[DataFrame, list[str]]:
@@ -134,7 +136,8 @@ def score_classification(model: PipelineModel, df: DataFrame, features, keep=())
     One-vs-rest models have no probability column, so their raw per-class scores go
     through a softmax.
     """
-    padded = pad_features(df, features, keep=keep)
+    # absent calendar cosines count as 1 (the angle 0), other features as 0
+    padded = PadStage(features=features).transform(df).select(*[F.col(f"`{c}`") for c in dict.fromkeys([*keep, *features])])
     pred = model.transform(padded)
     if "probability" in pred.columns:
         conf = F.array_max(vector_to_array(F.col("probability")))
@@ -148,13 +151,43 @@ def score_classification(model: PipelineModel, df: DataFrame, features, keep=())
                        F.round(conf, 3).alias("confidence"))
 
 
+def full_pipeline(model: PipelineModel, features, *stages) -> PipelineModel:
+    """The artifact to save: raw-column stages, the feature list, then the fitted model."""
+    return PipelineModel(stages=[*stages, PadStage(features=list(features)), *model.stages])
+
+
+def pipeline_inputs(model: PipelineModel) -> tuple[list[str], list[str]]:
+    """(features, text columns) that a saved pipeline reads."""
+    features: list[str] = []
+    text: list[str] = []
+    for stage in model.stages:
+        if isinstance(stage, PadStage):
+            features += stage.getOrDefault(stage.features)
+        elif hasattr(stage, "inputs"):
+            text += stage.inputs()
+    return features, text
+
+
+def score_csv(spark, path, model_path: str, keep=("row_index",)) -> DataFrame:
+    """An uploaded CSV to predictions: the stored pipeline says which columns are read, codes,
+    calendar, padding and scaling are those of training; predictions and category as in
+    :func:`score_regression`, with the index of the row in the file."""
+    model = load_model(model_path)
+    if model is None:
+        raise FileNotFoundError(f"no model at {model_path}")
+    features, text = pipeline_inputs(model)
+    batch = files.read_batch_csv(spark, path, features, text)
+    pred = model.transform(batch)
+    return pred.select(*keep, F.round(nonneg(F.col("prediction")), 2).alias("pm25_prediction"),
+                       aqi_category(F.col("prediction")).alias("aqi_category"))
+
+
 def save_model(model: PipelineModel, path: str) -> None:
     model.write().overwrite().save(path)
 
 
 def load_model(path: str) -> PipelineModel | None:
-    """Missing artifacts are tolerated: ``None`` instead of an error."""
-    try:
-        return PipelineModel.load(path)
-    except Exception:  # noqa: BLE001 - absent or unreadable model folder
+    """A missing artifact is tolerated: ``None`` instead of an error. An unreadable one is not."""
+    if not files.exists(path):
         return None
+    return PipelineModel.load(path)

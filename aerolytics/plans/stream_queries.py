@@ -67,17 +67,24 @@ def q_stream_lags(spark, sf_dir):
 
 
 _RIDGE = ["pm25_lag1", "hour_sin"]
-# ridge with penalty 1 on two standardised columns, solved by Cramer's rule
-_RIDGE_SQL = f"""
-f AS (SELECT event_id, pm25 AS y, lag(pm25, 1) OVER w AS x1, sin(2 * pi() * hour(datetime) / 24) AS x2, lag(pm25, 24) OVER w AS x24
-      FROM ({READINGS_USER}) r WINDOW w AS (PARTITION BY station ORDER BY datetime)),
-t AS (SELECT * FROM f WHERE x1 IS NOT NULL AND x24 IS NOT NULL),
+
+
+def ridge_sql(rows: str) -> str:
+    """CTEs up to p(id, p): ridge with penalty 1 of y on two standardised columns (x1, x2) of
+    ``rows``, solved by Cramer's rule."""
+    return f"""
+t AS ({rows}),
 m AS (SELECT avg(y) AS my, avg(x1) AS m1, avg(x2) AS m2, stddev_samp(x1) AS s1, stddev_samp(x2) AS s2 FROM t),
 z AS (SELECT event_id, y - my AS y, (x1 - m1) / s1 AS z1, (x2 - m2) / s2 AS z2, my FROM t, m),
 g AS (SELECT sum(z1 * z1) + 1 AS a, sum(z1 * z2) AS b, sum(z2 * z2) + 1 AS c, sum(z1 * y) AS u, sum(z2 * y) AS v FROM z),
 p AS (SELECT event_id, my + (u * c - b * v) / (a * c - b * b) * z1 + (a * v - b * u) / (a * c - b * b) * z2 AS p FROM z, g)"""
 
 
+_LAGGED = f"""SELECT * FROM (
+  SELECT event_id, pm25 AS y, lag(pm25, 1) OVER w AS x1, sin(2 * pi() * hour(datetime) / 24) AS x2, lag(pm25, 24) OVER w AS x24
+  FROM ({READINGS_USER}) r WINDOW w AS (PARTITION BY station ORDER BY datetime)) f WHERE x1 IS NOT NULL AND x24 IS NOT NULL"""
+
+
 def stored_ridge(spark, feats, base: str):
     """Ridge on two features, fitted on the feature table and saved; returns the model's path."""
     inp, names = models.model_input(feats, _RIDGE, "pm25")
@@ -90,7 +97,7 @@ def stored_ridge(spark, feats, base: str):
 
 
 @register("stream_score", oracle=f"""
-WITH {_RIDGE_SQL}
+WITH {ridge_sql(_LAGGED)}
 SELECT event_id, round(greatest(p, 0), 2) AS pm25_prediction, {sql_category('p')} AS aqi_category FROM p
 """)
 def q_stream_score(spark, sf_dir):

@@ -17,43 +17,37 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aerolytics.constants import CLASSIFIER_FEATURES, POLLUTANTS, PROJECTION_FEATURES, REGRESSOR_FEATURES
-from aerolytics.operators import clean, clusters, evaluate, forecast, models, profiles, sampling
+from aerolytics.operators import clean, clusters, evaluate, models, profiles, sampling, serving, stages
 from aerolytics.operators.features import build_features
-from aerolytics.operators.projection import pca_projection
+from aerolytics.operators.projection import fit_pca
 from aerolytics.operators.resample import prepare_series
-from aerolytics.operators.storage import sized_cache
+from aerolytics.operators.storage import sized_cache, stored
 from aerolytics.session import ensure_checkpoint_dir
 from aerolytics.sources import files
 
 log = logging.getLogger(__name__)
 
 CHOICE = {"classification": "f1_macro", "regression": "rmse", "time_series": "rmse",
-          "clustering": "silhouette"}
-
-
-def _forecast_runs(series: DataFrame) -> DataFrame:
-    flagged, rejected = sampling.holdout_tail(series, "station", "datetime", 24)
-    flagged = sized_cache(flagged)  # one split read by three forecasters (hourly-series size)
-    train = flagged.filter(~F.col("is_test")).drop("is_test")
-    test = flagged.filter(F.col("is_test")).drop("is_test")
-    runs = None
-    for order, (name, fn) in enumerate((("seasonal", forecast.forecast_seasonal),
-                                        ("arima", forecast.forecast_arma),
-                                        ("additive", forecast.forecast_additive)), start=1):
+          "clustering": "silhouette", "projection": "variance_2d"}
+
+
+def _forecast_runs(series: DataFrame) -> tuple[DataFrame, DataFrame, dict]:
+    """``model_runs`` rows of the forecasters that work, their winners per station, and themselves;
+    one that fails is tolerated as long as another works."""
+    scores, working = None, {}
+    for order, (name, pair) in enumerate(serving.FORECASTERS.items(), start=1):
         try:
-            m = forecast.holdout_metrics(test, fn(train)).agg(
-                F.avg("rmse").alias("rmse"), F.avg("mae").alias("mae"))
-            r = evaluate.metrics_to_runs(
-                m.select(F.lit(name).alias("model"), F.lit(order).alias("trained_order"), "rmse", "mae"),
-                "time_series").cache()
-            r.count()
+            one, _ = serving.holdout_scores(series, forecasters={name: pair})
+            one = stored(one.withColumn("trained_order", F.lit(order)), f"holdout-{name}")
         except Exception as exc:  # noqa: BLE001 - one failing forecaster is tolerated
             log.warning("forecaster %s failed: %s", name, exc)
             continue
-        runs = r if runs is None else runs.unionByName(r)
-    if runs is None:
+        working[name] = pair
+        scores = one if scores is None else scores.unionAll(one)
+    if scores is None:
         raise RuntimeError("all forecasters failed")
-    return runs
+    means = scores.groupBy("model", "trained_order").agg(F.avg("rmse").alias("rmse"), F.avg("mae").alias("mae"))
+    return evaluate.metrics_to_runs(means, "time_series"), serving.choose(scores), working
 
 
 def run(spark: SparkSession, src_root: str, out_dir: str, small: bool = False) -> dict:
@@ -88,10 +82,13 @@ def run(spark: SparkSession, src_root: str, out_dir: str, small: bool = False) -
         models.pad_features(test, reg_in, keep=["pm25"]), reg_in, "pm25", **params_r)
 
     series = sized_cache(prepare_series(readings.select("station", "datetime", "pm25")))
-    runs_t = _forecast_runs(series)
-    # serving state refitted on the full series (evaluation held out the last 24 hours)
-    files.write_table(forecast.arma_state(series), os.path.join(out_dir, "forecast_state"))
+    runs_t, winners, forecasters = _forecast_runs(series)
+    rejected = sampling.holdout_tail(series, "station", "datetime", 24)[1]
+    files.write_table(rejected, os.path.join(out_dir, "forecast_rejected"))
+    # each station's winner refitted on its whole series (evaluation held out the last 24 hours)
+    serving.save_states(series, winners, os.path.join(out_dir, "forecast_state"), forecasters=forecasters)
 
+    prof_mean, prof_std = stages.standard_stats(profile, prof_cols)
     scaled = sized_cache(clean.scale_standard(profile, prof_cols))
     km, k, sil, _ = clusters.kmeans_select(scaled, prof_cols, restarts=restarts)
     db = clusters.dbscan(scaled, prof_cols, "station")
@@ -104,28 +101,45 @@ def run(spark: SparkSession, src_root: str, out_dir: str, small: bool = False) -
         db_sil = clusters.silhouette_sq(
             scaled.join(db.withColumnRenamed("cluster_dbscan", "cluster"), "station"),
             prof_cols, "station").first()["silhouette"]
+    km_labels = clusters.kmeans_labels(km, scaled, prof_cols, "station").withColumnRenamed("cluster_kmeans", "cluster")
+    ch = clusters.calinski_harabasz(scaled.join(km_labels, "station"), prof_cols).first()["calinski_harabasz"]
     runs_k = spark.createDataFrame(
         [("clustering", "kmeans", 1, "silhouette", float(sil)),
+         ("clustering", "kmeans", 1, "calinski_harabasz", float("nan") if ch is None else float(ch)),
          ("clustering", "dbscan", 2, "silhouette", float(db_sil))], evaluate.MODEL_RUNS_SCHEMA)
 
     score = profiles.safety_score(feats, "station")
     files.write_table(score, os.path.join(out_dir, "safety_profile"))
-    proj, _, _ = pca_projection(feats, [c for c in PROJECTION_FEATURES if c in feats.columns],
-                                keep=["station", "aqi_category"])
-    files.write_table(proj, os.path.join(out_dir, "projections"))
-
-    runs = runs_c.unionByName(runs_r).unionByName(runs_t).unionByName(runs_k)
+    proj_in = [c for c in PROJECTION_FEATURES if c in feats.columns]
+    complete = feats.na.drop(how="any", subset=proj_in)
+    pca_mean, pca_std = stages.standard_stats(complete, proj_in)
+    comps, ratio, n_comp = fit_pca(clean.scale_standard(complete, proj_in), proj_in)
+    projection = stages.ProjectionStage(features=proj_in, mean=pca_mean, std=pca_std, outputCols=["pca_x", "pca_y"],
+                                        components=[float(v) for k in range(2) for v in comps[:, k]])
+    files.write_table(projection.transform(complete).select("station", "aqi_category", "pca_x", "pca_y"),
+                      os.path.join(out_dir, "projections"))
+    runs_p = spark.createDataFrame(
+        [("projection", "pca", 1, "variance_2d", float(sum(ratio[:2]))),
+         ("projection", "pca", 1, "components", float(n_comp))], evaluate.MODEL_RUNS_SCHEMA)
+
+    runs = runs_c.unionByName(runs_r).unionByName(runs_t).unionByName(runs_k).unionByName(runs_p)
     files.write_table(runs, os.path.join(out_dir, "model_runs"))
     runs = spark.read.parquet(os.path.join(out_dir, "model_runs"))
     best = evaluate.best_model(runs, CHOICE)
     best_names = {r["task"]: r["model"] for r in best.collect()}
-    for fit in fitted_c:
-        if fit.name == best_names.get("classification"):
-            models.save_model(fit.model, os.path.join(out_dir, "models", "classifier"))
-    for fit in fitted_r:
-        if fit.name == best_names.get("regression"):
-            models.save_model(fit.model, os.path.join(out_dir, "models", "regressor"))
+    # artifacts score raw rows: wind dictionary, calendar, feature list, scaler and model in one
+    raw_stages = [stages.CalendarStage(timeCol="datetime")]
+    if "wd" in src["readings"].columns:
+        raw_stages.append(stages.TextCoder(inputCol="wd", outputCol="wd_encoded", nullAs="N").fit(src["readings"]))
+    for task, fitted, names, folder in (("classification", fitted_c, cls_in, "classifier"), ("regression", fitted_r, reg_in, "regressor")):
+        for fit in fitted:
+            if fit.name == best_names.get(task):
+                models.save_model(models.full_pipeline(fit.model, names, *raw_stages), os.path.join(out_dir, "models", folder))
     km.write().overwrite().save(os.path.join(out_dir, "models", "kmeans"))
+    centres = [float(v) for c in km.clusterCenters() for v in c]
+    for name, stage in (("clusterer", stages.ProfileAssigner(features=prof_cols, mean=prof_mean, std=prof_std, centres=centres)),
+                        ("projection", projection)):
+        stage.write().overwrite().save(os.path.join(out_dir, "models", name))
     split.unpersist()
     series.unpersist()
     scaled.unpersist()

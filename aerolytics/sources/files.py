@@ -11,12 +11,14 @@ import json
 import logging
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from aerolytics.constants import RAW_POLLUTANTS, RAW_WEATHER, STATION_FILE_PATTERN, STATIONS
 from aerolytics.functions.scalar import decimal_comma_double
+from aerolytics.operators.storage import stored
 
 log = logging.getLogger(__name__)
 
@@ -43,7 +45,7 @@ def to_internal(df: DataFrame, cols=None) -> DataFrame:
                        for c in df.columns])
 
 
-def _exists(path: str) -> bool:
+def exists(path: str) -> bool:
     """Through the file system of the path (HDFS, object store, local)."""
     spark = SparkSession.getActiveSession()
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -55,7 +57,7 @@ def station_paths(root: str, stations=STATIONS) -> list[str]:
     paths = []
     for s in stations:
         p = os.path.join(root, STATION_FILE_PATTERN.format(station=s))
-        if _exists(p):
+        if exists(p):
             paths.append(p)
         else:
             log.warning("station file not found: %s", p)
@@ -117,46 +119,55 @@ def load_all(spark: SparkSession, root: str, aqi_file: str = "AQI and Lat Long o
     for name, fname, fn in (("global_aqi", aqi_file, read_global_aqi),
                             ("sensor", sensor_file, read_sensor)):
         p = os.path.join(root, fname)
-        if _exists(p):
+        if exists(p):
             out[name] = fn(spark, p)
     return out
 
 
-def read_batch_csv(spark: SparkSession, path: str, known_features) -> DataFrame:
-    """A5: ad-hoc batch CSV; unparsable or empty input is an error, and at least one known
-    feature column is required, by its name or by the raw one (``PM2.5`` for ``pm25``). Row
-    index 0..n-1 follows the file order."""
-    known = set(known_features)
+def read_batch_csv(spark: SparkSession, path, known_features, known_text=()) -> DataFrame:
+    """A5: ad-hoc batch CSV (one or several files of one header); unparsable or empty input is
+    an error, and at least one known column is required, by its name or by the raw one
+    (``PM2.5`` for ``pm25``). Row index 0..n-1 follows the order of the files and their rows."""
+    known, text_cols = set(known_features), set(known_text)
     header = spark.read.option("header", True).csv(path).columns
     text = T.StructType([T.StructField(c, T.StringType()) for c in header])
     raw = spark.read.schema(text).option("header", True).option("mode", "FAILFAST").csv(path)
-    names = {c: c if c in known else internal_name(c) for c in header}
-    if not known & set(names.values()):
+    names = {c: c if c in known | text_cols else internal_name(c) for c in header}
+    if not (known | text_cols) & set(names.values()):
         raise ValueError("batch has none of the model's feature columns")
     # features are doubles (a value that is none fails the batch), other columns stay text
     df = raw.select(*[F.col(f"`{c}`").cast("double").alias(names[c]) if names[c] in known
-                      else F.col(f"`{c}`") for c in header])
+                      else F.col(f"`{c}`").alias(names[c] if names[c] in text_cols else c) for c in header])
     if df.limit(1).count() == 0:
         raise ValueError("batch is empty")
     return with_row_index(df)
 
 
 def with_row_index(df: DataFrame, out: str = "row_index") -> DataFrame:
-    """Exact 0..n-1 index in scan order without a sort or a single-task window.
+    """Exact 0..n-1 index in the order of the files and their rows (F11), however the files are
+    split over tasks; a table that is not read from files is numbered in partition order.
 
-    ``monotonically_increasing_id`` is (partition id << 33) + position in the partition;
-    a per-partition count table (one row per partition, so bounded) gives each
-    partition's offset. For a single input file the scan order is the file order.
+    The rows are written once with their split (file and first byte) and a number that grows
+    inside the split, so nothing is evaluated twice. A split's offset is the count of earlier
+    files plus that of the file's earlier splits; no task orders more than the files, or the
+    splits of one file.
     """
-    mono = df.withColumn("_mono", F.monotonically_increasing_id())
-    part = F.shiftright(F.col("_mono"), 33)
-    counts = mono.groupBy(part.alias("_pid")).agg(F.count(F.lit(1)).alias("_n"))
-    from pyspark.sql import Window
-    offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(
-        Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
-    local = F.col("_mono") - F.shiftleft(F.col("_pid"), 33)
-    return (mono.withColumn("_pid", part).join(F.broadcast(offsets), "_pid")
-            .withColumn(out, F.col("_off") + local).drop("_mono", "_pid", "_off"))
+    number = F.monotonically_increasing_id().alias("__number")
+    try:
+        placed = df.select("*", F.col("_metadata.file_path").alias("__file"),
+                           F.col("_metadata.file_block_start").alias("__block"), number)
+    except AnalysisException:                            # no files behind this plan
+        placed = df.select("*", F.lit("").alias("__file"), F.spark_partition_id().cast("long").alias("__block"), number)
+    held = stored(placed, "row-index")
+    splits = held.groupBy("__file", "__block").agg(F.min("__number").alias("__first"), F.count(F.lit(1)).alias("__n"))
+    earlier = F.coalesce(F.sum("__n").over(Window.partitionBy("__file").orderBy("__block")
+                                           .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    whole = splits.groupBy("__file").agg(F.sum("__n").alias("__n"))
+    before = F.coalesce(F.sum("__n").over(Window.orderBy("__file").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    offsets = splits.withColumn("__in", earlier).drop("__n") \
+        .join(whole.select("__file", before.alias("__before")), "__file")
+    index = (F.col("__before") + F.col("__in") + F.col("__number") - F.col("__first")).alias(out)
+    return held.join(offsets, ["__file", "__block"]).select(*[F.col(f"`{c}`") for c in df.columns], index)
 
 
 def read_projection_points(spark: SparkSession, path: str) -> DataFrame:

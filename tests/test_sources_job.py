@@ -120,16 +120,31 @@ def test_training_job_end_to_end(spark, tmp_path):
     make_station_csvs(spark, src, SF01, n=5)
     out = str(tmp_path / "out")
     summary = training_job.run(spark, src, out, small=True)
-    assert set(summary) == {"classification", "regression", "time_series", "clustering"}
+    assert set(summary) == {"classification", "regression", "time_series", "clustering", "projection"}
+    assert {"silhouette", "calinski_harabasz"} <= set(summary["clustering"]["all"]["kmeans"])
     for t in summary.values():
         assert t["best_model"] and t["metrics"]
     assert spark.read.parquet(out + "/features").select("station").distinct().count() == 5
     assert spark.read.parquet(out + "/safety_profile").count() == 5 * 24
     assert os.path.exists(out + "/models/regressor") and os.path.exists(out + "/models/classifier")
-    from aerolytics.operators import forecast
-    state = spark.read.parquet(out + "/forecast_state")
-    one = forecast.serve_forecast(state, 72, station=STATIONS[0]).collect()
-    assert len(one) == 72 and all(r.yhat >= 0 for r in one)
-    assert forecast.serve_forecast(state, 1).count() == 5
+    from aerolytics.operators import models, serving, stages
+    one = serving.forecast_request(spark, out + "/forecast_state", 72, station=STATIONS[0]).collect()
+    assert len(one) == 72 and all(0 <= r.lower <= r.prediction <= r.upper for r in one)
+    assert serving.forecast_request(spark, out + "/forecast_state", 1).count() == 5
     with pytest.raises(ValueError):
-        forecast.serve_forecast(state, 0)
+        serving.forecast_request(spark, out + "/forecast_state", 0)
+    # the saved pipeline scores a raw file, the saved clusterer and projection raw profiles and rows
+    up = tmp_path / "upload.csv"
+    up.write_text("datetime,wd,PM10,pm25_lag1\n2020-01-01 05:00:00,NE,50,40\n2020-01-01 06:00:00,,,\n")
+    scored = models.score_csv(spark, str(up), out + "/models/regressor").orderBy("row_index").collect()
+    assert [r.row_index for r in scored] == [0, 1] and all(r.pm25_prediction >= 0 for r in scored)
+    feats = spark.read.parquet(out + "/features")
+    model = models.load_model(out + "/models/classifier")
+    coded = model.stages[1].transform(feats.select("wd", "wd_encoded").withColumnRenamed("wd_encoded", "before"))
+    assert coded.where("before <> wd_encoded").count() == 0
+    table = spark.read.parquet(out + "/station_clusters")
+    cols = [c for c in table.columns if not c.startswith("cluster_")]
+    again = stages.ProfileAssigner.load(out + "/models/clusterer").transform(table.select(*cols))
+    assert again.join(table, "station").where("cluster <> cluster_kmeans").count() == 0
+    points = stages.ProjectionStage.load(out + "/models/projection").transform(feats).where("pca_x is not null")
+    assert points.count() == spark.read.parquet(out + "/projections").count()
