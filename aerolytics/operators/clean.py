@@ -16,9 +16,10 @@ from aerolytics.constants import NUMERIC, POLLUTANTS, SENSOR_SENTINEL, UCI_TIME_
 from aerolytics.functions.aqi import category_to_code
 from aerolytics.functions.scalar import clip, coerce_double, one_row
 from aerolytics.operators.features import forward_fill
+from aerolytics.operators.joins import null_safe_join
 from aerolytics.operators.keyed import (POS, group_positions, keyed_frame, max_distinct_many,
                                        median_by_key)
-from aerolytics.session import ensure_checkpoint_dir
+from aerolytics.operators.storage import stored
 
 NUMERIC_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
                  T.DoubleType, T.DecimalType)
@@ -207,7 +208,7 @@ def impute_ffill_median(df: DataFrame, cols=None, key: str = "station",
                           chunk_rows=chunk_rows)
     # per-key statistics: AQE broadcasts them from the measured stage size, or splits
     # a skewed key's partition (skewJoin); counting first would recompute the aggregate
-    joined = filled.join(med, on=key, how="left")
+    joined = null_safe_join(filled, med, [key], "left")
     return joined.select(*finish({c: F.coalesce(F.col(c), F.col(f"__med_{c}")) for c in cols}))
 
 
@@ -227,8 +228,7 @@ def label_encode(df: DataFrame, col: str, out: str | None = None,
     src = F.coalesce(F.col(col), F.lit(null_as)) if null_as is not None else F.col(col)
     keyed = df.withColumn("__lbl", src)
     values = keyed.select("__lbl").distinct().filter(F.col("__lbl").isNotNull())
-    ensure_checkpoint_dir(df.sparkSession)
-    ranged = values.repartitionByRange("__lbl").withColumn("__part", F.spark_partition_id()).checkpoint()
+    ranged = stored(values.repartitionByRange("__lbl").withColumn("__part", F.spark_partition_id()), "labels")
     ranked = group_positions(ranged, [], F.col("__part"), [F.col("__lbl")], with_size=False)
     dictionary = ranked.select("__lbl", F.col(POS).cast("int").alias(out))
     return keyed.join(dictionary, on="__lbl", how="left").drop("__lbl")

@@ -1,7 +1,7 @@
 """Clustering of entity profiles.
 
-* k-means: MLlib ``KMeans`` for each k with several seeds, lowest cost per k, best
-  silhouette across k.
+* k-means: Lloyd's iterations for every k and seed in the same scans, until nothing moves;
+  lowest cost per k, best silhouette across k.
 * silhouette: squared Euclidean (MLlib's ``ClusteringEvaluator`` default). It is exact
   from per-cluster aggregates — the mean squared distance from x to cluster C is
   ``|x|^2 - 2 x.mu_C + mean_C |y|^2`` — so it costs O(n k), never pairs.
@@ -12,10 +12,8 @@
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
-
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.evaluation import ClusteringEvaluator
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, Window
@@ -24,6 +22,7 @@ from pyspark.sql import types as T
 
 from aerolytics.operators import density
 from aerolytics.operators.clean import label_encode
+from aerolytics.operators.joins import null_safe_join
 from aerolytics.operators.storage import sized_cache
 from aerolytics.constants import (CLUSTER_DESCRIPTIONS, DBSCAN_EPS, DBSCAN_MIN_POINTS,
                                   KMEANS_K_RANGE, KMEANS_RESTARTS, SEED, UNKNOWN_CLUSTER_TEXT)
@@ -89,7 +88,7 @@ def nearest_of(centres, rows: DataFrame, features, mean, std) -> Column:
                             F.lit(i).alias("id")) for i, c in enumerate(centres)])["id"]
 
 
-def silhouette_sq(points: DataFrame, cols, key: str, label: str = "cluster") -> DataFrame:
+def silhouette_sq(points: DataFrame, cols, key: str | None = None, label: str = "cluster") -> DataFrame:
     """Mean silhouette with squared Euclidean distance, exact from cluster aggregates:
     one aggregate for the k cluster statistics, one pass over the points."""
     stats = cluster_stats(points, cols, label)
@@ -131,52 +130,136 @@ def calinski_harabasz(points: DataFrame, cols, label: str = "cluster") -> DataFr
     return points.agg(((F.lit(between) / (k - 1)) / (within / (n - k))).alias("calinski_harabasz"))
 
 
+DRIVER_NUMBERS = 100_000         # partial sums of a scan that the driver adds itself
+KMEANS_TOL = 1e-4                # squared move of a centre below which a fit has settled
+
+
+def _kmeans_starts(points: DataFrame, cols, specs, sample: int) -> list[np.ndarray]:
+    """k-means++ centres per (k, seed) from at most ``sample`` points, drawn by a hash of the
+    point (a bound, not a share: only where the iterations start depends on it)."""
+    rows = points.select(*cols).orderBy(F.xxhash64(*cols), *cols).limit(sample).collect()
+    x = np.array([[float(v) for v in r] for r in rows], dtype=float)
+    out = []
+    for k, seed in specs:
+        rng = np.random.default_rng(seed)
+        centres = [x[rng.integers(len(x))]]
+        d = ((x - centres[0]) ** 2).sum(axis=1)
+        while len(centres) < k:
+            total = d.sum()
+            centres.append(x[rng.choice(len(x), p=d / total) if total > 0 else rng.integers(len(x))])
+            d = np.minimum(d, ((x - centres[-1]) ** 2).sum(axis=1))
+        out.append(np.array(centres))
+    return out
+
+
+def _lloyd_scan(points: DataFrame, cols, centre_sets: list[np.ndarray], tasks: int | None = None):
+    """One scan for all centre sets: (sums, counts, cost) of each. Tasks leave one number per
+    centre and dimension; these are added by one aggregate and are all that is collected. The
+    numbers of a few known ``tasks`` are added by the driver instead, which saves the shuffle."""
+    d = len(cols)
+    size = sum(len(c) for c in centre_sets) * (d + 2)
+
+    def partial(batches):
+        total = [np.zeros((len(c), d + 2)) for c in centre_sets]
+        for batch in batches:
+            x = np.stack([col.to_numpy(zero_copy_only=False).astype(float) for col in batch.columns], axis=1)
+            for lo in range(0, len(x), 8192):
+                part = x[lo:lo + 8192]
+                for c, t in zip(centre_sets, total):
+                    gap = np.stack([((part - m) ** 2).sum(axis=1) for m in c], axis=1)
+                    at = gap.argmin(axis=1)
+                    for j in range(d):
+                        t[:, j] += np.bincount(at, part[:, j], len(c))
+                    t[:, d] += np.bincount(at, minlength=len(c))
+                    t[:, d + 1] += np.bincount(at, gap[np.arange(len(part)), at], len(c))
+        flat = np.concatenate([t.ravel() for t in total])
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat))), pa.array(flat)], names=["i", "v"])
+
+    parts = points.mapInArrow(partial, "i long, v double")
+    if tasks is None or tasks * size > DRIVER_NUMBERS:
+        parts = parts.groupBy("i").agg(F.sum("v").alias("v"))
+    sums = parts.toArrow()
+    flat = np.bincount(sums.column("i").to_numpy(), sums.column("v").to_numpy(), size)
+    out, at = [], 0
+    for c in centre_sets:
+        t = flat[at:at + len(c) * (d + 2)].reshape(len(c), d + 2)
+        at += t.size
+        out.append((t[:, :d], t[:, d], float(t[:, d + 1].sum())))
+    return out
+
+
+def kmeans_fit(points: DataFrame, cols, specs, max_iter: int = 300, tol: float = KMEANS_TOL,
+               sample: int = 4096, tasks: int | None = None) -> list[tuple[np.ndarray, float]]:
+    """Lloyd's iterations for all (k, seed) at once: every scan moves the centres of all fits
+    that still move by more than ``tol`` (squared). Returns (centres, cost) per fit; an empty
+    cluster keeps its centre. Fits that do not settle within ``max_iter`` scans are an error."""
+    data = points.select(*[F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(0.0)).alias(c) for c in cols])
+    centres = _kmeans_starts(data, cols, specs, sample)
+    cost = [0.0] * len(specs)
+    moving = list(range(len(specs)))
+    for _ in range(max_iter):
+        still = []
+        for i, (sums, counts, c) in zip(moving, _lloyd_scan(data, cols, [centres[i] for i in moving], tasks)):
+            new = np.where(counts[:, None] > 0, sums / np.maximum(counts, 1)[:, None], centres[i])
+            gone = ((new - centres[i]) ** 2).sum(axis=1).max()
+            cost[i] = c
+            if gone > tol:
+                centres[i] = new
+                still.append(i)
+        moving = still
+        if not moving:
+            return list(zip(centres, cost))
+    raise RuntimeError(f"{len(moving)} fits still move after {max_iter} scans")
+
+
+class Centres:
+    """A chosen k-means model: its centres, in standardised columns."""
+
+    def __init__(self, cols, centres: np.ndarray):
+        self.cols, self.centres = list(cols), centres
+
+    def clusterCenters(self) -> list[np.ndarray]:
+        return list(self.centres)
+
+    def cluster(self, df: DataFrame) -> Column:
+        return nearest_of(self.centres, df, self.cols, [0.0] * len(self.cols), [1.0] * len(self.cols))
+
+
 def kmeans_select(points: DataFrame, cols, k_range=KMEANS_K_RANGE,
-                  restarts: int = KMEANS_RESTARTS, seed: int = SEED, max_iter: int = 20,
-                  parallel_fits: int = 4):
-    """k-means over ``k_range`` x ``restarts`` seeds: lowest cost per k, best squared
-    silhouette across k (ties -> smaller k). Returns (best model, k, silhouette, table of
-    (k, silhouette))."""
-    data = sized_cache(with_vector(points, cols))  # read by every k and restart
-    n = data.count()  # profile rows (one per entity)
-    ev = ClusteringEvaluator(featuresCol="features", predictionCol="prediction")
-    best = None
-    scores = []
-    ks = [k for k in k_range if 2 <= k <= n - 1]  # silhouette needs 2 <= k <= n-1
-    # the k x restarts fits are independent, latency-bound jobs on a small cached table:
-    # submit them from a few driver threads so the scheduler runs them side by side
-    specs = [(k, seed + r) for k in ks for r in range(restarts)]
-    with ThreadPoolExecutor(max_workers=max(1, min(parallel_fits, len(specs)))) as pool:
-        fitted = list(pool.map(lambda ks_: KMeans(k=ks_[0], seed=ks_[1], maxIter=max_iter,
-                                                  featuresCol="features").fit(data), specs))
-    for k in ks:
-        models = [m for (kk, _), m in zip(specs, fitted) if kk == k]
-        m = min(models, key=lambda mm: mm.summary.trainingCost)
-        pred = m.transform(data)
-        if pred.select("prediction").distinct().count() < 2:
-            continue
-        s = ev.evaluate(pred)
-        scores.append((k, s))
-        if best is None or s > best[2]:
-            best = (m, k, s)
-    if best is None:
-        k0 = max(1, min(k_range[0], n))
-        m = KMeans(k=k0, seed=seed, maxIter=max_iter, featuresCol="features").fit(data)
-        best = (m, k0, -1.0)
+                  restarts: int = KMEANS_RESTARTS, seed: int = SEED, max_iter: int = 300):
+    """k-means over ``k_range`` x ``restarts`` seeds, all in the same scans: lowest cost per k,
+    best squared silhouette across k (ties -> smaller k). Returns (model, k, silhouette, table
+    of (k, silhouette)); too few points for a silhouette give the smallest k that fits."""
+    data = sized_cache(points.select(*cols))             # read by every scan
+    n = data.count()
+    if not n:
+        raise ValueError("no points to cluster")
+    ks = [k for k in k_range if 2 <= k <= n - 1]
+    specs = [(k, seed + r) for k in ks or [max(1, min(k_range[0], n))] for r in range(restarts)]
+    fits = kmeans_fit(data, cols, specs, max_iter, tasks=data.rdd.getNumPartitions())
+    best, scores = None, []
+    for k in dict.fromkeys(k for k, _ in specs):
+        centres, _ = min((f for (kk, _), f in zip(specs, fits) if kk == k), key=lambda f: f[1])
+        model = Centres(cols, centres)
+        labelled = data.withColumn("cluster", model.cluster(data))
+        s = silhouette_sq(labelled, cols, None).first()["silhouette"] if ks else None
+        if s is not None:
+            scores.append((k, s))
+        if best is None or (s is not None and s > best[2]):
+            best = (model, k, -1.0 if s is None else s)
     data.unpersist()
     return best[0], best[1], best[2], scores
 
 
 def kmeans_labels(model, points: DataFrame, cols, key: str) -> DataFrame:
-    return (model.transform(with_vector(points, cols))
-            .select(key, F.col("prediction").cast("int").alias("cluster_kmeans")))
+    return points.select(key, model.cluster(points).alias("cluster_kmeans"))
 
 
 def describe_clusters(labels: DataFrame, profile: DataFrame, key: str, label: str,
                       rank_by: str) -> DataFrame:
     """Cluster text tied to the cluster's rank by mean ``rank_by`` (cleanest first)."""
     texts = F.array(*[F.lit(t) for t in CLUSTER_DESCRIPTIONS])
-    means = (labels.join(profile.select(key, rank_by), on=key)
+    means = (null_safe_join(labels, profile.select(key, rank_by), [key])
              .groupBy(label).agg(F.avg(rank_by).alias("_m")))
     # one row per cluster (k rows): a global window over k rows is bounded
     ranked = means.select(label, (F.dense_rank().over(Window.orderBy("_m")) - 1).alias("_r"))

@@ -18,7 +18,7 @@ from aerolytics.plans.feature_queries import (PM25_LAGS, ROLLING_WINDOWS, READIN
                                               features_by_user, sql_calendar, sql_code,
                                               sql_lags, sql_rolling)
 from aerolytics.plans.registry import R6, register, round_doubles
-from aerolytics.operators.storage import sized_cache
+from aerolytics.operators.storage import sized_cache, stored
 from aerolytics.session import ensure_checkpoint_dir
 from aerolytics.sources.tables import table
 
@@ -89,10 +89,11 @@ def q_score_batch(spark, sf_dir):
     data = _split_features(spark, sf_dir)
     wanted = [c for c in REGRESSOR_FEATURES if c != "pm25"]
     inp, feats = models.model_input(data, wanted, "pm25", keep=["event_id", "is_test"])
+    inp = stored(inp, "score-input")                     # the feature windows run once
     train = inp.filter(~F.col("is_test"))
     reg = models.ridge_reg_param(train, "pm25")
     model = models.make_pipeline(feats, models.regressors("pm25", reg)[2][1]).fit(train)
-    batch = data.filter(F.col("is_test")).select("event_id", "pm25_lag1", "pm25_lag3", "hour_sin")
+    batch = inp.filter(F.col("is_test")).select("event_id", "pm25_lag1", "pm25_lag3", "hour_sin")
     return models.score_regression(model, batch, feats, keep=["event_id"])
 
 
@@ -100,6 +101,7 @@ def q_score_batch(spark, sf_dir):
 def q_score_classify(spark, sf_dir):
     data = _split_features(spark, sf_dir)
     inp, feats = models.model_input(data, CLASSIFIER_FEATURES, "aqi_label", keep=["event_id", "is_test"])
+    inp = stored(inp, "score-input")
     est = models.classifiers("aqi_label", **SMALL)[0][1]
     model = models.make_pipeline(feats, est).fit(inp.filter(~F.col("is_test")))
     return models.score_classification(model, inp.filter(F.col("is_test")), feats, keep=["event_id"])
@@ -209,7 +211,7 @@ def q_cluster_dbscan(spark, sf_dir):
 
 def _kmeans(spark, sf_dir):
     z = scaled_profile(spark, sf_dir)
-    model, k, sil, _ = clusters.kmeans_select(z, PROFILE_COLS, restarts=3)
+    model, k, sil, _ = clusters.kmeans_select(z, PROFILE_COLS)
     return z, model
 
 
@@ -220,15 +222,34 @@ def q_cluster_kmeans(spark, sf_dir):
     return clusters.kmeans_labels(model, z, PROFILE_COLS, "station")
 
 
+@register("kmeans_fixpoint", oracle="""
+SELECT count(DISTINCT l_suppkey) AS points, CAST(0 AS BIGINT) AS misplaced, CAST(0 AS BIGINT) AS centres_off FROM lineitem
+""")
+def q_kmeans_fixpoint(spark, sf_dir):
+    """What makes the chosen model one: no point is nearer to another centre than to its own, and
+    no centre is further from the mean of its points than a settled fit may be."""
+    z, model = _kmeans(spark, sf_dir)
+    labelled = z.join(clusters.kmeans_labels(model, z, PROFILE_COLS, "station"), "station")
+    means = {r["cluster_kmeans"]: r for r in labelled.groupBy("cluster_kmeans").agg(*[F.avg(c).alias(c) for c in PROFILE_COLS]).collect()}
+    off = sum(sum((means[i][c] - v) ** 2 for c, v in zip(PROFILE_COLS, m)) > clusters.KMEANS_TOL if i in means else 1
+              for i, m in enumerate(model.clusterCenters()))
+    gaps = F.array(*[sum(((F.col(c) - float(v)) ** 2 for c, v in zip(PROFILE_COLS, m)), F.lit(0.0)) for m in model.clusterCenters()])
+    away = F.array_min(gaps) < F.get(gaps, F.col("cluster_kmeans")) - 1e-9
+    return labelled.agg(F.count(F.lit(1)).alias("points"), F.count(F.when(away, 1)).alias("misplaced"),
+                        F.lit(off).cast("long").alias("centres_off"))
+
+
 @register("station_clusters")
 def q_station_clusters(spark, sf_dir):
-    """Profile with both label sets attached (k-means on all columns, density on means)."""
+    """Profile with both label sets attached (k-means on all columns, density on means); the
+    profile is aggregated once."""
     ensure_checkpoint_dir(spark)
-    z, model = _kmeans(spark, sf_dir)
-    km = clusters.kmeans_labels(model, z, PROFILE_COLS, "station")
-    db = clusters.dbscan(scaled_profile(spark, sf_dir, MEAN_COLS), MEAN_COLS, "station", 0.8, 2)
     li = table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("station"), *_MEASURES)
-    prof = station_profile(li, "station", _MEASURES)
+    prof = stored(station_profile(li, "station", _MEASURES), "profile")
+    z = sized_cache(scale_standard(prof.select("station", *PROFILE_COLS), PROFILE_COLS))
+    model = clusters.kmeans_select(z, PROFILE_COLS)[0]
+    km = clusters.kmeans_labels(model, z, PROFILE_COLS, "station")
+    db = clusters.dbscan(z.select("station", *MEAN_COLS), MEAN_COLS, "station", 0.8, 2)
     return prof.join(km, "station").join(db, "station")
 
 

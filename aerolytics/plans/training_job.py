@@ -135,7 +135,6 @@ def run(spark: SparkSession, src_root: str, out_dir: str, small: bool = False) -
         for fit in fitted:
             if fit.name == best_names.get(task):
                 models.save_model(models.full_pipeline(fit.model, names, *raw_stages), os.path.join(out_dir, "models", folder))
-    km.write().overwrite().save(os.path.join(out_dir, "models", "kmeans"))
     centres = [float(v) for c in km.clusterCenters() for v in c]
     for name, stage in (("clusterer", stages.ProfileAssigner(features=prof_cols, mean=prof_mean, std=prof_std, centres=centres)),
                         ("projection", projection)):
