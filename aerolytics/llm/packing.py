@@ -12,8 +12,12 @@ sequences, and the rest as sequences of a power of two, which need no padding.
 
 from __future__ import annotations
 
+import functools
 import heapq
+import itertools
 import os
+import sys
+import unicodedata
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -35,6 +39,19 @@ SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long
           "sequence_id long, `offset` long, sequence_length long, sequence_cost double")
 
 
+@functools.cache
+def unsettled_letters() -> str:
+    """Letters that normalise (composed, lower case) to something that ends in a mark: the
+    tokenizer does not cut between them and a full stop."""
+    out = []
+    for c in map(chr, itertools.chain(range(0xD800), range(0xE000, sys.maxunicode + 1))):
+        if c == "\u0130" or unicodedata.decomposition(c):
+            last = unicodedata.normalize("NFC", c).lower()[-1:]
+            if unicodedata.category(c)[0] == "L" and unicodedata.category(last)[0] != "L":
+                out.append(c)
+    return "".join(out)
+
+
 class WordEncoder:
     """Ids of whole texts through a bounded cache of blank-free chunks.
 
@@ -70,7 +87,7 @@ class WordEncoder:
         texts = pc.replace_substring(pc.fill_null(texts, ""), "\n", " ")
         if not pc.any(pc.match_substring_regex(texts, self.CASED)).as_py():
             texts = pc.ascii_lower(texts)
-        texts = pc.replace_substring_regex(texts, r"(\pL)([.,]) ", r"\1 \2 ")
+        texts = pc.replace_substring_regex(texts, rf"([^\PL{unsettled_letters()}])([.,]) ", r"\1 \2 ")
         codes, names, cuts = coded_words(texts, spaces_only=True)
         names = names.to_pylist()
         values = [self.cache.lookup(w) for w in names]

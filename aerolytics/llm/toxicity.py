@@ -38,9 +38,37 @@ TOKEN = re.compile(WORD)
 EDGES = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum()) + "«»“”„’‘…–—¡¿"
 
 
+PIECE = re.compile(r"[\W_]*(?:[^\W_]|['’])+[\W_]*|[\W_]+")
+INNER = re.compile(r"[^\W_][\W_]+[^\W_]")
+LONGEST = 24                    # characters of a token; longer runs are cut
+CUT = 8                         # into tokens whose prefixes reach their end
+
+
+def pieces(word: str) -> list[str]:
+    """The tokens of a run without blanks: cut behind inner punctuation (not apostrophes), and
+    what is longer than ``LONGEST`` into consecutive tokens, so that every character of a text
+    reaches the features of some token."""
+    if len(word) <= LONGEST and not INNER.search(word):
+        return [word]
+    out = []
+    for m in PIECE.finditer(word):
+        s = m.group()
+        out += [s] if len(s) <= LONGEST else [s[i:i + CUT] for i in range(0, len(s), CUT)]
+    return out
+
+
+def tokens(text: str) -> Iterator[tuple[int, str]]:
+    """Start and characters of every token of a text."""
+    for m in TOKEN.finditer(text):
+        at = m.start()
+        for s in pieces(m.group()):
+            yield at, s
+            at += len(s)
+
+
 def features(word: str) -> list[str]:
     """The word and its affixes, without case and outer punctuation."""
-    w = word.lower().strip(EDGES)[:64] or word[:8]
+    w = word.lower().strip(EDGES) or word[:CUT]
     out = ["w" + w]
     out += ["p" + w[:k] for k in range(3, 9) if len(w) > k]
     out += ["s" + w[-k:] for k in (2, 3, 4) if len(w) > k]
@@ -144,9 +172,18 @@ class Scorer:
         if len(self.at) > CACHE_WORDS:
             self.reset()
         codes, names, cut = coded_words(texts)
-        names = names.to_pylist()
-        self._add([w for w in names if w not in self.at])
-        seq = np.fromiter(map(self.at.__getitem__, names), np.int32, len(names))[codes]
+        parts = [pieces(w) for w in names.to_pylist()]
+        size = np.fromiter(map(len, parts), np.int64, len(parts))
+        flat = [s for p in parts for s in p]
+        self._add([w for w in dict.fromkeys(flat) if w not in self.at])
+        seq = np.fromiter(map(self.at.__getitem__, flat), np.int32, len(flat))
+        if len(flat) == len(parts):
+            seq = seq[codes]
+        else:                                            # runs of several tokens
+            n, first = size[codes], np.cumsum(size) - size
+            ends = np.cumsum(n)
+            seq = seq[np.repeat(first[codes] - (ends - n), n) + np.arange(ends[-1])]
+            cut = np.concatenate([[0], ends])[cut]
         starts = np.zeros(len(seq), bool)
         starts[cut[:-1][cut[:-1] < cut[1:]]] = True
         e = self.m.bias + self.own[seq]
@@ -256,7 +293,7 @@ def train(rows: list[tuple[str, int]], weights: dict[int, float] | None = None,
     if not len(rows) or toxic.min() == toxic.max():
         return Model(zero, zero, zero, 0.0, np.zeros((2, 2)), 0.0, np.zeros(4), labelled=False)
     vocab: dict[str, int] = {}
-    seqs = [np.fromiter((vocab.setdefault(w, len(vocab)) for w in TOKEN.findall(t)), np.int64) for t, _ in rows]
+    seqs = [np.fromiter((vocab.setdefault(w, len(vocab)) for _, w in tokens(t)), np.int64) for t, _ in rows]
     if not vocab:
         return Model(zero, zero, zero, 0.0, np.zeros((2, 2)), 0.0, np.zeros(4), labelled=False)
     pairs = []
@@ -404,8 +441,8 @@ def score_documents(docs: DataFrame, model: Model, id_col: str = "doc_id", text_
                         spans.append([])
                         continue
                     want = set(hit.tolist())
-                    spans.append([{"start": x.start(), "end": x.end()}
-                                  for k, x in enumerate(TOKEN.finditer(texts[i].as_py())) if k in want])
+                    spans.append([{"start": at, "end": at + len(x)}
+                                  for k, (at, x) in enumerate(tokens(texts[i].as_py())) if k in want])
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(lo, hi - lo), pa.array(s, pa.float64()),
                      pa.array((s >= threshold).astype(np.int32), pa.int32()),
