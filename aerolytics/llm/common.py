@@ -40,18 +40,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def scratch(df: DataFrame, label: str, hashes: bool = False) -> DataFrame:
+def scratch(df: DataFrame, label: str, hashes: bool = False, release: bool = False) -> DataFrame:
     """Write ``df`` once below the shared checkpoint folder and read it back.
 
     Cuts the lineage with a table that every executor can reach, so a lost executor costs
     a reread instead of a recomputation; the small derived tables of this package use it
     where a result is read more than once. ``hashes``: mostly random values, which no
-    dictionary makes smaller.
+    dictionary makes smaller. ``release``: the shuffle files behind the table are given back
+    at once; nothing reads them again, but Spark removes them only when the driver happens to
+    collect its garbage.
     """
     spark = df.sparkSession
     root = ensure_checkpoint_dir(spark)
     path = f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
     df.write.option("parquet.enable.dictionary", str(not hashes).lower()).parquet(path)
+    if release:
+        spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -65,6 +69,14 @@ def file_rows(df: DataFrame) -> DataFrame:
         return scratch(df, "rows").select("*", *place)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Remove :func:`scratch` tables that no later step reads."""
+    for t in tables:
+        for path in {f.rsplit("/", 1)[0] for f in t.inputFiles()}:
+            p = t.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(t.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def lower_ascii(col: Column) -> Column:
     return F.translate(col, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 

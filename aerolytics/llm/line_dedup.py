@@ -25,7 +25,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from aerolytics.llm.common import BLANKS, GAP, may_occur, scratch, sieve, words
+from aerolytics.llm.common import BLANKS, GAP, discard, may_occur, scratch, sieve, words
 
 PERCENT = 80
 RARITY_BITS = 20                 # low bits of a word's hash that name its bucket
@@ -122,19 +122,22 @@ def _candidates(a: DataFrame, b: DataFrame, percent: int, extra: Column, best: b
 
 
 def _verified(pairs: DataFrame, lines: DataFrame, docs: DataFrame, percent: int, id_col: str,
-              text_col: str) -> DataFrame:
-    """The (written) pairs whose whole sets match. The sets are made anew from the texts of
+              text_col: str, label: str) -> DataFrame:
+    """The (written) pairs whose whole sets match, as a table in their place. The sets are made anew from the texts of
     the documents that hold the lines, which is cheaper than keeping those of all lines."""
     some = pairs.select(F.explode(F.array("x", "y")).alias("lid"))
-    where = scratch(sieve(lines.select("lid", "row", "no"), some, "lid").join(some.distinct(), "lid"), "line-places")
+    where = scratch(sieve(lines.select("lid", "row", "no"), some, "lid").join(some.distinct(), "lid"), "line-places", release=True)
     sets = line_sets(sieve(docs, where.select(F.col("row").alias("__row")), "__row"), id_col, text_col)
     spot = F.xxhash64("row", "no").alias("spot")
     sets = sieve(sets.select("row", "no", "h", spot), where.select(spot), "spot").drop("spot")
-    sets = scratch(sets.join(where, ["row", "no"]).select("lid", "h"), "line-words", hashes=True)
+    sets = scratch(sets.join(where, ["row", "no"]).select("lid", "h"), "line-words", hashes=True, release=True)
+    written = pairs
     for side in ("x", "y"):
         pairs = pairs.join(sets.select(F.col("lid").alias(side), F.col("h").alias(f"h{side}")), side)
     both = F.size(F.array_intersect("hx", "hy"))
-    return pairs.where(100 * both >= percent * (F.size("hx") + F.size("hy") - both)).select("x", "y")
+    good = scratch(pairs.where(100 * both >= percent * (F.size("hx") + F.size("hy") - both)).select("x", "y"), label, release=True)
+    discard(where, sets, written)
+    return good
 
 
 def find_duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -167,15 +170,15 @@ def find_duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str
                                  bits.alias("bits"),
                                  F.xxhash64(F.sort_array("h")).alias("sig"),
                                  F.slice(F.sort_array(F.transform("h", key)), F.lit(1), size).alias("p")),
-                    "lines", hashes=True)
+                    "lines", hashes=True, release=True)
     order = F.struct("doc", "row", "no", "lid", "n")
-    classes = scratch(lines.groupBy("sig").agg(F.min(order).alias("o"), F.count(F.lit(1)).alias("c")), "line-classes")
+    classes = scratch(lines.groupBy("sig").agg(F.min(order).alias("o"), F.count(F.lit(1)).alias("c")), "line-classes", release=True)
     first = classes.select(F.col("o.lid").alias("lid"), "o")
 
     # lines of an equal set behind the first
     many = classes.where("c > 1").select("sig", "o")
     copies = scratch(sieve(lines.select("sig", "lid", order.alias("l")), many, "sig").join(many, "sig")
-                     .where(F.col("lid") != F.col("o.lid")).select("lid", "l", "o"), "line-copies")
+                     .where(F.col("lid") != F.col("o.lid")).select("lid", "l", "o"), "line-copies", release=True)
 
     # prefixes of one line of each class, by word
     pre = lines.select("lid", "n", "bits", "p")
@@ -192,7 +195,7 @@ def find_duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str
     none = F.lit(None).cast("long")
     both = scratch(pairs.select("x", "y", none.alias("np"), none.alias("bits"))
                    .unionAll(long.select("lid", "word", F.col("np").bitwiseAND(F.lit((1 << 2 * PLACE) - 1)).alias("np"), "bits")),
-                   "line-pairs")
+                   "line-pairs", release=True)
     long = both.where("np is not null").select(F.col("x").alias("lid"), F.col("y").alias("word"), "np", "bits")
     pairs = both.where("np is null").select("x", "y")
 
@@ -205,13 +208,15 @@ def find_duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str
                 .select("word", "np", F.col("m.o.lid").alias("lid"), F.col("m.bits").alias("bits")))
         pairs = scratch(pairs.unionAll(_candidates(
             lead, long, percent, (F.col("a.np") == F.col("b.np")) & (F.col("a.lid") != F.col("b.lid")),
-            best=True)).distinct(), "line-pairs")
-    found = scratch(_verified(pairs, lines, docs, percent, id_col, text_col), "line-matches")
+            best=True)).distinct(), "line-pairs", release=True)
+        discard(both)
+    found = _verified(pairs, lines, docs, percent, id_col, text_col, "line-matches")
     if some_long:
         done = _earlier(found, first).select("lid").distinct()
         rest = long.join(done, "lid", "left_anti")
-        more = scratch(_candidates(rest, long, percent, F.col("b.o") < F.col("a.o")), "line-pairs")
-        found = found.unionAll(scratch(_verified(more, lines, docs, percent, id_col, text_col), "line-rest"))
+        more = scratch(_candidates(rest, long, percent, F.col("b.o") < F.col("a.o")), "line-pairs", release=True)
+        discard(long)
+        found = found.unionAll(_verified(more, lines, docs, percent, id_col, text_col, "line-rest"))
 
     near = _earlier(found, first).groupBy("lid").agg(F.min("match").alias("match"))
     gone = (near.join(first, "lid").select("o", "match")
