@@ -5,8 +5,9 @@ Each stage takes ``(spark, docs, sf_dir)``; all but the last return the columns
 ``docs`` (a text that was cut has its ``n_chars`` counted anew). ``run`` writes the result
 of each stage below the shared checkpoint folder and reads it back for the next.
 
-Rows with a null ``doc_id`` are never dropped as duplicates; rows that share a ``doc_id``
-stay or go together, except that of rows equal in id and text one stays.
+Every stage decides row by row, by a key that is the ``doc_id`` where ids are unique and a
+number where they are null or shared: a leak in one of several rows with one id drops that
+row alone, and a copy without an id goes like any other.
 """
 
 from __future__ import annotations
@@ -44,22 +45,28 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
+def _by_key(docs: DataFrame) -> DataFrame:
+    """The texts with the key of their row as ``doc_id``."""
+    return docs.select(F.col("__row").alias("doc_id"), "text")
+
+
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document (the smallest doc_id) of each component of linked documents."""
-    links = scratch(ngram_join.link_components(docs), "pipeline-links")
-    dropped = links.where("doc_id <> component_id").select("doc_id").distinct()
-    kept = docs.join(dropped, "doc_id", "left_anti")
-    if not links.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").isEmpty():
-        some = kept.where("doc_id is not null").withColumn("__text", F.xxhash64("text"))
-        kept = some.dropDuplicates(["doc_id", "__text"]).drop("__text").unionByName(kept.where("doc_id is null"))
-    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
+    """One document (the smallest doc_id, null ids last) of each component of linked documents."""
+    d = line_dedup.row_keys(docs, "doc_id")
+    links = scratch(ngram_join.link_components(_by_key(d)), "pipeline-links")
+    groups = links.select(F.col("doc_id").alias("__row"), "component_id").join(
+        d.select("__row", F.coalesce(F.col("doc_id").cast("long"), F.lit(line_dedup.NO_ID)).alias("id")), "__row")
+    first = groups.groupBy("component_id").agg(F.min(F.struct("id", "__row"))["__row"].alias("first"))
+    dropped = scratch(groups.join(first, "component_id").where("__row <> first").select("__row"), "pipeline-copies", release=True)
+    return d.join(dropped, "__row", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
-    leaks = decontaminate.find_leaks(docs, table(spark, sf_dir, "benchmark"))
-    hit = scratch(leaks.where("doc_id is not null").select("doc_id").distinct(), "pipeline-leaks")
-    return docs.join(hit, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    d = line_dedup.row_keys(docs, "doc_id")
+    leaks = decontaminate.find_leaks(_by_key(d), table(spark, sf_dir, "benchmark"))
+    hit = scratch(leaks.select(F.col("doc_id").alias("__row")).distinct(), "pipeline-leaks")
+    return d.join(hit, "__row", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -80,5 +87,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of ``sf_dir``."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = scratch(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        docs = scratch(stage(spark, docs, sf_dir), f"pipeline-{name}", release=True)
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -80,3 +80,23 @@ def test_op7_long_urls_and_equal_rules(spark):
     got = url_filter.judge_urls(pages, url_filter.train(url_filter.LABELLED_URLS), rules).collect()
     assert sorted((r["page_id"], len(r["path"]), r["rule"], r["verdict"]) for r in got) == [
         (1, 200_001, "b.example.com/", "allow")] * 2 + [(2, 3, "example.com/de", "allow")]
+
+
+def test_pipeline_decides_by_row(spark, tmp_path):
+    """Rows with null or shared ids: leaks and copies go, clean rows with the same id stay."""
+    import corpus_pipeline as cp
+    rnd = random.Random(3)
+    item = " ".join(f"q{i}" for i in range(30))
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    text = [" ".join(f"w{rnd.randrange(5000)}" for _ in range(60)) for _ in range(5)]
+    leak = f"{text[3]} {item} {text[4]}"
+    rows = [(7, text[0]), (7, leak), (None, leak + " end"), (None, text[1]), (3, text[1] + " more"), (None, text[1]), (9, text[2]),
+            (9, text[2]), (None, None), (None, None)]
+    d = documents(spark, [(i, t, "en", "a") for i, t in rows])
+    near = cp.drop_near_duplicates(spark, d, str(tmp_path))
+    assert near.columns == d.columns
+    got = sorted(((r["doc_id"], r["text"]) for r in near.collect()), key=repr)
+    assert sum(t == text[2] for _, t in got) == 1 and (7, leak) in got and (3, text[1] + " more") in got
+    assert not any(t == text[1] for _, t in got) and sum(t is None for _, t in got) == 2
+    out = sorted(((r["doc_id"], r["text"]) for r in cp.drop_benchmark_leaks(spark, d, str(tmp_path)).collect()), key=repr)
+    assert out == sorted(((i, t) for i, t in rows if t is None or item not in t), key=repr)
