@@ -2,10 +2,17 @@
 
 Every document gets a handful of integer measures in one pass (built-in functions only).
 The distribution of each measure is kept as a mergeable quantile sketch: counts of
-integer buckets per language and source. Sketches of the same measure merge by adding
-their counts, so small sources fall back on the merged sketch of their language, and
-small languages on that of the whole table. Quartile fences from the sketches replace
-fixed cutoffs, and a join on language and source applies them.
+buckets of three significant digits per language and source, so every quantile is known
+within one per cent and a sketch has some hundred rows for each power of ten. Sketches of
+the same measure merge by adding their counts, so small sources fall back on the merged
+sketch of their language, and small languages on that of the whole table. Quartile fences
+from the sketches replace fixed cutoffs, and a join on language and source applies them.
+
+Most documents have no symbol, no repeated line and no repeated window, so the quartiles of
+such rates are zero and say nothing. The sketches hold the rates with one event more (a
+symbol, a line, a window met twice): documents without any spread by their length, the
+quartiles are those of the rate that one event would make in that source, and the fence
+follows. The rate that is held against the fence is the document's own.
 """
 
 from __future__ import annotations
@@ -20,16 +27,19 @@ MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 SYMBOLS = "#*$%&|<>"
 
-#: measure: expression over the metrics, largest bucket, least spread of the fences
-#: (per mille of the words or lines; hundredths of a character for the word length)
+#: measure: integer expression over the metrics, the same with one event more (per mille of
+#: the words or lines; hundredths of a character for the word length, which has no events)
 MEASURES = {
-    "symbols": ("n_symbols * 1000 div nullif(n_words, 0)", 8000, 50),
-    "word_length": ("word_chars * 100 div nullif(n_words, 0)", 20000, 60),
-    "dup_lines": ("n_dup_lines * 1000 div nullif(n_lines, 0)", 1000, 200),
-    "repeats": ("n_repeat_words * 1000 div nullif(n_words, 0)", 1000, 150),
+    "symbols": ("n_symbols * 1000 div nullif(n_words, 0)", "(n_symbols + 1) * 1000 div nullif(n_words, 0)"),
+    "word_length": ("word_chars * 100 div nullif(n_words, 0)", "word_chars * 100 div nullif(n_words, 0)"),
+    "dup_lines": ("n_dup_lines * 1000 div nullif(n_lines, 0)", "(n_dup_lines + 1) * 1000 div nullif(n_lines, 0)"),
+    "repeats": ("n_repeat_words * 1000 div nullif(n_words, 0)", "(n_repeat_words + 6) * 1000 div nullif(n_words, 0)"),
 }
 TWO_SIDED = ("word_length",)
-FENCE = 3
+#: distance of a fence from its quartile in quartile ranges; short texts spread widely, and
+#: a clean document should stay
+FENCE = 8
+DIGITS = 3
 MIN_DOCS = 200
 SMALL = 64
 
@@ -83,23 +93,29 @@ def base_failed() -> Column:
             | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")))
 
 
-def _measure(name: str) -> Column:
-    expr, most, _ = MEASURES[name]
-    return F.least(F.coalesce(F.expr(expr), F.lit(0)), F.lit(most)).cast("long")
+def _measure(name: str, one_more: bool = False) -> Column:
+    return F.coalesce(F.expr(MEASURES[name][one_more]), F.lit(0)).cast("long")
+
+
+def _bucket(v: Column) -> Column:
+    """``v`` (not negative) with all but its first three digits set to zero."""
+    unit = F.pow(F.lit(10), F.greatest(F.length(v.cast("string")) - DIGITS, F.lit(0))).cast("long")
+    return v - v % unit
 
 
 def sketches(metrics: DataFrame) -> DataFrame:
     """Bucket counts (lang, source, measure, bucket, n) of the documents that pass the base
     rules: at most as many rows per group as a measure has buckets, and they add up."""
     rows = metrics.where(~base_failed()).select(
-        "lang", "source", F.explode(F.array(*[F.struct(F.lit(m).alias("measure"), _measure(m).alias("bucket"))
-                                              for m in MEASURES])).alias("x"))
+        "lang", "source", F.explode(F.array(*[
+            F.struct(F.lit(m).alias("measure"), _bucket(_measure(m, one_more=True)).alias("bucket")) for m in MEASURES])).alias("x"))
     return (rows.groupBy("lang", "source", F.col("x.measure").alias("measure"), F.col("x.bucket").alias("bucket"))
             .agg(F.count(F.lit(1)).alias("n")))
 
 
-def fences(sketch: DataFrame, keys: list[str]) -> DataFrame:
-    """Per group (``keys``) of merged sketches: its documents and the fences of each measure."""
+def fences(sketch: DataFrame, keys: list[str], width: int = FENCE) -> DataFrame:
+    """Per group (``keys``) of merged sketches: its documents and the fences of each measure,
+    ``width`` quartile ranges (one at least) beyond the quartiles."""
     merged = sketch.groupBy(*keys, "measure", "bucket").agg(F.sum("n").alias("n"))
     group = Window.partitionBy(*keys, "measure")
     upto = group.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
@@ -107,11 +123,10 @@ def fences(sketch: DataFrame, keys: list[str]) -> DataFrame:
                            F.sum("n").over(group).alias("all"))
     q = {k: F.min(F.when(4 * F.col("up") >= k * F.col("all"), F.col("bucket"))) for k in (1, 3)}
     quart = ranked.groupBy(*keys, "measure").agg(F.max("all").alias("docs"), q[1].alias("q1"), q[3].alias("q3"))
-    least = F.create_map(*[F.lit(x) for m, (_, _, s) in MEASURES.items() for x in (m, s)])
-    spread = F.greatest(F.col("q3") - F.col("q1"), F.element_at(least, F.col("measure")).cast("long"))
+    spread = F.greatest(F.col("q3") - F.col("q1"), F.lit(1))
     both = F.col("measure").isin(*TWO_SIDED)
-    quart = quart.select(*keys, "measure", "docs", (F.col("q3") + FENCE * spread).alias("high"),
-                         F.when(both, F.col("q1") - FENCE * spread).otherwise(-1).alias("low"))
+    quart = quart.select(*keys, "measure", "docs", (F.col("q3") + width * spread).alias("high"),
+                         F.when(both, F.col("q1") - width * spread).otherwise(-1).alias("low"))
     picks = []
     for m in MEASURES:
         for side in ("low", "high"):

@@ -124,20 +124,21 @@ m AS (SELECT d.r, d.doc_id, d.lang, d.source, len(w.w)::BIGINT AS n_words,
              coalesce(covered.n, 0)::BIGINT AS n_repeat_words
       FROM d JOIN w USING (r) LEFT JOIN covered USING (r)),
 f AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
-             least(coalesce(n_symbols * 1000 // n_words, 0), 8000) AS v1,
-             least(coalesce(word_chars * 100 // n_words, 0), 20000) AS v2,
-             least(coalesce(n_dup_lines * 1000 // n_lines, 0), 1000) AS v3,
-             least(coalesce(n_repeat_words * 1000 // n_words, 0), 1000) AS v4 FROM m),
-x AS (SELECT lang, source, unnest([1, 2, 3, 4]) AS k, unnest([v1, v2, v3, v4]) AS v FROM f WHERE NOT base_failed),
+             coalesce(n_symbols * 1000 // n_words, 0) AS v1, coalesce(word_chars * 100 // n_words, 0) AS v2,
+             coalesce(n_dup_lines * 1000 // n_lines, 0) AS v3, coalesce(n_repeat_words * 1000 // n_words, 0) AS v4,
+             coalesce((n_symbols + 1) * 1000 // n_words, 0) AS e1, coalesce((n_dup_lines + 1) * 1000 // n_lines, 0) AS e3,
+             coalesce((n_repeat_words + 6) * 1000 // n_words, 0) AS e4 FROM m),
+x AS (SELECT lang, source, k, v // p * p AS v
+      FROM (SELECT *, (10 ** greatest(length(v::VARCHAR) - 3, 0))::BIGINT AS p
+            FROM (SELECT lang, source, unnest([1, 2, 3, 4]) AS k, unnest([e1, v2, e3, e4]) AS v FROM f WHERE NOT base_failed))),
 lv AS (SELECT 3 AS level, lang, source, k, v FROM x UNION ALL SELECT 2, lang, NULL, k, v FROM x
        UNION ALL SELECT 1, NULL, NULL, k, v FROM x),
 rk AS (SELECT *, row_number() OVER (PARTITION BY level, lang, source, k ORDER BY v) AS n,
               count(*) OVER (PARTITION BY level, lang, source, k) AS al FROM lv),
 qt AS (SELECT level, lang, source, k, max(al) AS docs, min(CASE WHEN 4 * n >= al THEN v END) AS q1,
               min(CASE WHEN 4 * n >= 3 * al THEN v END) AS q3 FROM rk GROUP BY ALL),
-fe AS (SELECT level, lang, source, k, docs, q3 + 3 * greatest(q3 - q1, s) AS high,
-              CASE WHEN k = 2 THEN q1 - 3 * greatest(q3 - q1, s) ELSE -1 END AS low
-       FROM qt JOIN (VALUES (1, 50), (2, 60), (3, 200), (4, 150)) t(k, s) USING (k)),
+fe AS (SELECT level, lang, source, k, docs, q3 + 8 * greatest(q3 - q1, 1) AS high,
+              CASE WHEN k = 2 THEN q1 - 8 * greatest(q3 - q1, 1) ELSE -1 END AS low FROM qt),
 th AS (SELECT a.lang, a.source, a.k,
               CASE WHEN a.docs >= 200 THEN a.low WHEN b.docs >= 200 THEN b.low ELSE c.low END AS low,
               CASE WHEN a.docs >= 200 THEN a.high WHEN b.docs >= 200 THEN b.high ELSE c.high END AS high
