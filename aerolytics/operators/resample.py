@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 from aerolytics.functions.calendar import trunc_ntz, week_ending_sunday
 from aerolytics.functions.scalar import clip
 
+#: steps of a gap that are held as one array
+SLICE = 4096
+
 
 def resample_hourly(df: DataFrame, key: str = "station", time: str = "datetime",
                     value: str = "pm25", station: str | None = None) -> DataFrame:
@@ -27,16 +30,24 @@ def resample_hourly(df: DataFrame, key: str = "station", time: str = "datetime",
     hourly = (df.filter(F.col(value).isNotNull())
               .groupBy(key, trunc_ntz("hour", time).alias(time))
               .agg(F.avg(value).alias(value)))
-    return _fill_gaps(hourly, key, time, value, "INTERVAL 1 HOUR")
+    return _fill_gaps(hourly, key, time, value, 1, "HOUR")
+
 
+def _fill_gaps(df: DataFrame, key: str, time: str, value: str, steps: int, unit: str) -> DataFrame:
+    """Rows on a regular grid per key plus a NULL row for each step missing in between.
 
-def _fill_gaps(df: DataFrame, key: str, time: str, value: str, step: str) -> DataFrame:
-    """Rows on a regular grid per key plus a NULL row for each step missing in between."""
-    step = F.expr(step)
+    A gap is cut into slices of ``SLICE`` steps, which are spelled out one after the other, so
+    a gap of any length (one far-out timestamp is millions of hours) holds one short array at
+    a time and the long rows of its slices carry two timestamps only.
+    """
+    step, slice_step = F.expr(f"INTERVAL {steps} {unit}"), F.expr(f"INTERVAL {steps * SLICE} {unit}")
+    last = F.expr(f"INTERVAL {steps * (SLICE - 1)} {unit}")
     following = F.lead(time).over(Window.partitionBy(key).orderBy(time))
     d = df.withColumn("_until", F.coalesce(following - step, F.col(time)))
-    d = d.select(key, time, value, F.posexplode(F.sequence(F.col(time), F.col("_until"), step)).alias("_i", "_t"))
-    return d.select(key, F.col("_t").alias(time), F.when(F.col("_i") == 0, F.col(value)).alias(value))
+    d = d.select(key, time, value, "_until", F.explode(F.sequence(F.col(time), F.col("_until"), slice_step)).alias("_from"))
+    to = F.least(F.col("_from") + last, F.col("_until"))
+    d = d.select(key, time, value, F.explode(F.sequence(F.col("_from"), to, step)).alias("_t"))
+    return d.select(key, F.col("_t").alias(time), F.when(F.col("_t") == F.col(time), F.col(value)).alias(value))
 
 
 def interpolate_linear(df: DataFrame, key: str = "station", time: str = "datetime",
@@ -80,7 +91,7 @@ def resample_weekly(df: DataFrame, key: str = "station", time: str = "datetime",
     wk = (df.select(key, week_ending_sunday(time).alias("_week"),
                     clip(value, 0.0).alias("_v"))
           .groupBy(key, "_week").agg(F.avg("_v").alias("_mean")))
-    return (_fill_gaps(wk, key, "_week", "_mean", "INTERVAL 7 DAYS")
+    return (_fill_gaps(wk, key, "_week", "_mean", 7, "DAYS")
             .select(key, F.date_format("_week", "yyyy-MM-dd").alias("week_end"),
                     F.round(F.coalesce(F.col("_mean"), F.lit(0.0)), places).alias("mean")))
 
