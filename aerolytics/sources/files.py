@@ -173,10 +173,9 @@ def with_row_index(df: DataFrame, out: str = "row_index") -> DataFrame:
 def read_projection_points(spark: SparkSession, path: str) -> DataFrame:
     """Read back a projection table; missing -> empty; numbers NULL -> 0, text -> Unknown."""
     schema = "pca_x double, pca_y double, station string, aqi_category string"
-    try:
-        df = spark.read.parquet(path)
-    except Exception:  # noqa: BLE001 - missing folder means no projection yet
+    if not exists(path):                                 # no projection yet; an unreadable one is an error
         return spark.createDataFrame([], schema)
+    df = spark.read.parquet(path)
     nums = [c for c, t in df.dtypes if t in ("double", "float", "int", "bigint")]
     return df.select(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) if c in nums
                        else F.coalesce(F.col(c).cast("string"), F.lit("Unknown")).alias(c)

@@ -111,6 +111,10 @@ def test_summary_round_trip(spark, tmp_path):
     assert {r["task_title"] for r in flat} == {"Time Series"}
     assert files.flatten_summary(spark, {"x": {"all": {}}}).count() == 0
     assert files.read_projection_points(spark, str(tmp_path / "missing")).count() == 0
+    (tmp_path / "broken").mkdir()
+    (tmp_path / "broken" / "part-0.parquet").write_text("not a table")
+    with pytest.raises(Exception, match="(?i)parquet"):
+        files.read_projection_points(spark, str(tmp_path / "broken")).count()
 
 
 def test_training_job_end_to_end(spark, tmp_path):
