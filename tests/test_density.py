@@ -96,3 +96,24 @@ def test_cell_diagonals_stay_within_eps():
     for d, eps in itertools.product((1, 2, 3, 5, 12, 40), (0.8, 1e-3, 1e6)):
         side = eps / math.sqrt(d) * (1 - density.MARGIN)
         assert sum(side * side for _ in range(d)) <= eps * eps
+
+
+def test_stored_rows_grow_with_the_points(spark, monkeypatch):
+    """Sparse points in four dimensions have hundreds of cells around each: no pair of cells or
+    of a point and a cell is written, and the labels agree with all pairs in many chunks."""
+    r = random.Random(4)
+    points = [(i, [r.gauss(0, 1) for _ in range(4)]) for i in range(600)]
+    df, cols = frame(spark, points, 4)
+    counts, labels = brute(points, 0.8, 4)
+    written, plain = [], density.stored
+
+    def counted(table, label):
+        out = plain(table, label)
+        written.append(out.count())
+        return out
+
+    monkeypatch.setattr(density, "stored", counted)
+    got = clusters.dbscan(df, cols, "id", 0.8, 4)
+    assert dict(got.collect()) == labels
+    assert dict(density.neighbour_counts(df, cols, "id", 0.8, budget=100).collect()) == counts
+    assert max(written) <= 2 * len(points)
