@@ -152,3 +152,18 @@ def test_training_job_end_to_end(spark, tmp_path):
     assert again.join(table, "station").where("cluster <> cluster_kmeans").count() == 0
     points = stages.ProjectionStage.load(out + "/models/projection").transform(feats).where("pca_x is not null")
     assert points.count() == spark.read.parquet(out + "/projections").count()
+
+
+def test_batch_rows_are_sorted_in_files_of_bounded_rows(spark, tmp_path, monkeypatch):
+    """The number of files that are sorted grows with the table; the numbers stay those of the order."""
+    from aerolytics.plans import artifact_queries
+    rows = [(i * 37 % 500, float(i % 7), float(i % 3)) for i in range(2000)]
+    spark.createDataFrame(rows, "l_orderkey long, l_quantity double, l_tax double").write.parquet(f"{tmp_path}/lineitem.parquet")
+    monkeypatch.setattr(artifact_queries, "FILE_ROWS", 200, raising=False)
+    folders = []
+    plain = artifact_queries._folder
+    monkeypatch.setattr(artifact_queries, "_folder", lambda s, name: folders.append(plain(s, name)) or folders[-1])
+    got = artifact_queries.q_scan_batch_rows(spark, str(tmp_path))
+    want = [(i, *r) for i, r in enumerate(sorted(rows))]
+    assert sorted((r["row_index"], r["id"], r["pm10"], r["temp"]) for r in got.collect()) == want
+    assert spark.read.text(folders[0]).select("_metadata.file_path").distinct().count() >= 8
