@@ -25,7 +25,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from aerolytics.llm.common import BLANKS, GAP, discard, may_occur, scratch, sieve, words
+from aerolytics.llm.common import BLANKS, GAP, discard, may_occur, released, scratch, sieve, words
 
 PERCENT = 80
 RARITY_BITS = 20                 # low bits of a word's hash that name its bucket
@@ -45,7 +45,9 @@ def row_keys(docs: DataFrame, id_col: str) -> DataFrame:
     """``docs`` with ``__row``: the id where it is unique and never null, else a number per
     row, written down so that it does not change."""
     twice = docs.groupBy(id_col).count().where(f"count > 1 or `{id_col}` is null")
-    if twice.isEmpty():
+    with released(docs.sparkSession):
+        unique = twice.isEmpty()
+    if unique:
         return docs.withColumn("__row", F.col(id_col).cast("long"))
     return scratch(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered-docs")
 
@@ -70,8 +72,10 @@ def rarity_levels(docs: DataFrame, text_col: str) -> Column:
                   "shiftleft", level, (4 * F.col("b").bitwiseAND(F.lit(15))).cast("int")).alias("v"))
               .unionAll(docs.sparkSession.range(n >> 4).select(F.col("id").alias("w"), F.lit(0).cast("long").alias("v")))
               .groupBy("w").agg(F.bit_or("v").alias("v")))
-    text = (packed.agg(F.sort_array(F.collect_list(F.struct("w", "v"))).alias("a"))
-            .select(F.array_join(F.transform("a", lambda x: x["v"].cast("string")), ",").alias("s")).first()["s"])
+    text = packed.agg(F.sort_array(F.collect_list(F.struct("w", "v"))).alias("a")) \
+        .select(F.array_join(F.transform("a", lambda x: x["v"].cast("string")), ",").alias("s"))
+    with released(docs.sparkSession):
+        text = text.first()["s"]
     return F.split(F.lit(text), ",").cast("array<long>")
 
 
@@ -202,7 +206,7 @@ def find_duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str
     some_long = not long.isEmpty()
     if some_long:
         # near copies mostly have one size and keep the word in its place: the earliest leads
-        long = scratch(long.join(first, "lid"), "line-members")
+        long = scratch(long.join(first, "lid"), "line-members", release=True)
         lead = (long.groupBy("word", "np")
                 .agg(F.min(F.struct("o", "bits")).alias("m"), F.count(F.lit(1)).alias("c")).where("c > 1")
                 .select("word", "np", F.col("m.o.lid").alias("lid"), F.col("m.bits").alias("bits")))

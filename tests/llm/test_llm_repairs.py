@@ -100,3 +100,19 @@ def test_pipeline_decides_by_row(spark, tmp_path):
     assert not any(t == text[1] for _, t in got) and sum(t is None for _, t in got) == 2
     out = sorted(((r["doc_id"], r["text"]) for r in cp.drop_benchmark_leaks(spark, d, str(tmp_path)).collect()), key=repr)
     assert out == sorted(((i, t) for i, t in rows if t is None or item not in t), key=repr)
+
+
+def test_a_released_table_leaves_no_shuffle(spark):
+    """The shuffles behind a released table are gone when it is written, without the driver's garbage collection."""
+    from pyspark.sql import functions as F
+
+    from aerolytics.llm import common
+    held = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker()
+
+    def kept():
+        return held.shuffleStatuses().size()
+
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+    before, setting = kept(), spark.conf.get(common.CLEANUP, "false")
+    t = common.scratch(spark.range(1000).groupBy((F.col("id") % 10).alias("k")).count().repartition(3), "released", release=True)
+    assert kept() <= before and t.count() == 10 and spark.conf.get(common.CLEANUP, "false") == setting
