@@ -116,3 +116,21 @@ def test_a_released_table_leaves_no_shuffle(spark):
     before, setting = kept(), spark.conf.get(common.CLEANUP, "false")
     t = common.scratch(spark.range(1000).groupBy((F.col("id") % 10).alias("k")).count().repartition(3), "released", release=True)
     assert kept() <= before and t.count() == 10 and spark.conf.get(common.CLEANUP, "false") == setting
+
+
+def test_op9_words_with_signs_behind_them_are_encoded_once():
+    """Runs of signs behind a word do not make new chunks; the ids stay those of the whole text."""
+    e = packing.WordEncoder(Q.vocabulary("word_bpe_49k.json"))
+    plain, sent = e.tok, []
+
+    class Counted:
+        def encode_batch_fast(self, texts, **more):
+            sent.extend(texts)
+            return plain.encode_batch_fast(texts, **more)
+
+    e.tok = Counted()
+    signs = ["%%%", "$$$", "...", ".%%%", ")", "?!", ":", "\"", "]", "_", "\\", "-", "'", "'s.", "<", "|", ">", "é;", "́.", "İ!"]
+    texts = [" ".join(w + s for w in ("harbour", "Été", "x1") for s in signs) + " end%", "wörd." , "a% b"]
+    flat, cuts = e.encode(pa.array(texts))
+    assert [flat[a:b].tolist() for a, b in zip(cuts, cuts[1:])] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    assert sum(t.startswith("harbour") and not set(t) & set("'<|>") for t in sent) <= 4
