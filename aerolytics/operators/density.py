@@ -335,7 +335,9 @@ def density_labels(points: DataFrame, cols, key: str, eps: float, min_points: in
     sparse = sparse.withColumn("core", F.col("own") + F.coalesce("near", F.lit(0)) >= min_points).drop("near")
     every = stored(sure.unionByName(sparse), "core-points")
     core, other = every.where("core"), every.where("not core")
-    nodes = stored(core.groupBy("code").agg(F.min("id").alias("first")), "core-cells")
+    # a cell whose core points all lack a key has no label and joins nothing
+    nodes = stored(core.groupBy("code").agg(F.min("id").alias("first")).where(F.col("first").isNotNull()), "core-cells")
+    core = core.join(nodes.select("code"), "code", "left_semi")
     links = cells.links(core)
     edges = stored(links.unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b"))), "cell-links")
     joined = smallest_labels(nodes.select(F.col("code").alias("node")), edges, max_rounds)

@@ -117,3 +117,10 @@ def test_stored_rows_grow_with_the_points(spark, monkeypatch):
     assert dict(got.collect()) == labels
     assert dict(density.neighbour_counts(df, cols, "id", 0.8, budget=100).collect()) == counts
     assert max(written) <= 2 * len(points)
+
+
+def test_a_core_cell_without_a_key_joins_nothing(spark):
+    rows = [(1, 0.0), (2, 0.1), (None, 0.6), (None, 0.6), (4, 1.1), (5, 1.15)]
+    df = spark.createDataFrame(rows, "id long, x double")
+    got = sorted(map(tuple, clusters.dbscan(df, ["x"], "id", 0.5, 2).collect()), key=str)
+    assert got == sorted([(1, 1), (2, 1), (None, -1), (None, -1), (4, 4), (5, 4)], key=str)
