@@ -35,6 +35,8 @@ SPARE = 25                       # one more shared prefix word is asked for per
 PLACE = 28                       # bits of the place of a word, and of the size of a set, in ``np``
 MANY = 127                       # so many frequent prefix words or more: no bound
 NO_ID = (1 << 63) - 1
+PART_PAIRS = 500_000             # pairs that are verified at once, in up to MOST_PARTS parts
+MOST_PARTS = 8
 
 
 def _shift(name: str, x: Column, k) -> Column:
@@ -135,12 +137,19 @@ def _verified(pairs: DataFrame, lines: DataFrame, docs: DataFrame, percent: int,
     spot = F.xxhash64("row", "no").alias("spot")
     sets = sieve(sets.select("row", "no", "h", spot), where.select(spot), "spot").drop("spot")
     sets = scratch(sets.join(where, ["row", "no"]).select("lid", "h"), "line-words", hashes=True, release=True)
-    written = pairs
-    for side in ("x", "y"):
-        pairs = pairs.join(sets.select(F.col("lid").alias(side), F.col("h").alias(f"h{side}")), side)
-    both = F.size(F.array_intersect("hx", "hy"))
-    good = scratch(pairs.where(100 * both >= percent * (F.size("hx") + F.size("hy") - both)).select("x", "y"), label, release=True)
-    discard(where, sets, written)
+    # a pair carries a whole set from one join to the next: by parts, so that the disk holds a share of them
+    parts = min(MOST_PARTS, max(1, math.ceil(pairs.count() / PART_PAIRS)))
+    good = None
+    for k in range(parts):
+        def of_part(col: str, k: int = k) -> Column:
+            return F.pmod(F.xxhash64(col), F.lit(parts)) == k
+
+        both = pairs.where(of_part("x")).join(sets.where(of_part("lid")).select(F.col("lid").alias("x"), F.col("h").alias("hx")), "x") \
+            .join(sets.select(F.col("lid").alias("y"), F.col("h").alias("hy")), "y")
+        n = F.size(F.array_intersect("hx", "hy"))
+        found = scratch(both.where(100 * n >= percent * (F.size("hx") + F.size("hy") - n)).select("x", "y"), label, release=True)
+        good = found if good is None else good.unionAll(found)
+    discard(where, sets, pairs)
     return good
 
 

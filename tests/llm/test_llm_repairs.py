@@ -5,6 +5,7 @@ import random
 import numpy as np
 import pyarrow as pa
 import pyarrow.parquet as pq
+from pyspark.sql import functions as F
 
 from aerolytics.llm import packing, toxicity, url_filter
 from aerolytics.llm import queries as Q
@@ -104,8 +105,6 @@ def test_pipeline_decides_by_row(spark, tmp_path):
 
 def test_a_released_table_leaves_no_shuffle(spark):
     """The shuffles behind a released table are gone when it is written, without the driver's garbage collection."""
-    from pyspark.sql import functions as F
-
     from aerolytics.llm import common
     held = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker()
 
@@ -134,3 +133,20 @@ def test_op9_words_with_signs_behind_them_are_encoded_once():
     flat, cuts = e.encode(pa.array(texts))
     assert [flat[a:b].tolist() for a, b in zip(cuts, cuts[1:])] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
     assert sum(t.startswith("harbour") and not set(t) & set("'<|>") for t in sent) <= 4
+
+
+def test_op4_pairs_verified_by_parts_are_the_same(spark, monkeypatch):
+    from aerolytics.llm import line_dedup
+    r = random.Random(8)
+    words = [f"w{i}" for i in range(40)]
+    texts = ["\n".join(" ".join(r.sample(words, 9)) for _ in range(4)) for _ in range(30)]
+    texts += [t.replace(r.choice(words), "other") for t in texts]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").withColumn("__row", F.col("doc_id"))
+
+    def gone():
+        return sorted((x["doc_id"], x["line_no"]) for x in line_dedup.find_duplicate_lines(docs).collect())
+
+    want, tables, plain = gone(), [], line_dedup.scratch
+    monkeypatch.setattr(line_dedup, "PART_PAIRS", 10, raising=False)
+    monkeypatch.setattr(line_dedup, "scratch", lambda df, label, **k: tables.append(label) or plain(df, label, **k))
+    assert want and gone() == want and tables.count("line-matches") > 1
