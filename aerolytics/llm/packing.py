@@ -29,11 +29,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aerolytics.llm.common import RecentCache, byte_slices, coded_words, ragged, ship
+from aerolytics.llm.common import RecentCache, byte_slices, coded_words, ragged, release_memory, ship
 
 SEQUENCE_TOKENS = 4096
 BUFFER_TOKENS = 1 << 20
 CACHE_WORDS = 150_000
+BATCH_WORDS = 4096              # chunks that the tokenizer gets at once
+SLICE_BYTES = 2 << 20           # texts that are encoded at once
 
 SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
           "sequence_id long, `offset` long, sequence_length long, sequence_cost double")
@@ -72,6 +74,7 @@ class WordEncoder:
     def get(cls, path: str) -> WordEncoder:
         """One encoder for each worker process (workers are reused between tasks)."""
         if path not in cls._open:
+            release_memory()                            # what an earlier stage left in a reused worker
             cls._open[path] = cls(path)
         return cls._open[path]
 
@@ -95,9 +98,11 @@ class WordEncoder:
         names = names.to_pylist()
         values = self.cache.lookup_all(names)
         missing = [i for i, v in enumerate(values) if v is None]
-        new = self.tok.encode_batch_fast([names[i] for i in missing], add_special_tokens=False)
-        for i, e in zip(missing, new):
-            values[i] = array("I", e.ids).tobytes()
+        for lo in range(0, len(missing), BATCH_WORDS):   # an encoding is far larger than its ids
+            some = missing[lo:lo + BATCH_WORDS]
+            new = self.tok.encode_batch_fast([names[i] for i in some], add_special_tokens=False)
+            for i, e in zip(some, new):
+                values[i] = array("I", e.ids).tobytes()
         self.cache.put_all((names[i], values[i]) for i in missing if len(names[i]) <= 64)
         return ragged(values, codes, cuts)
 
@@ -168,7 +173,7 @@ def _pack_batches(batches, path, end_id, full, linear, quadratic, buffer_tokens)
     held = 0
     for batch in batches:
         texts = batch.column(1)
-        for lo, hi in byte_slices(texts):
+        for lo, hi in byte_slices(texts, SLICE_BYTES):
             flat, cuts = encoder.encode(texts.slice(lo, hi - lo))
             for i, key in enumerate(batch.column(0).slice(lo, hi - lo).to_pylist()):
                 x = np.concatenate([flat[cuts[i]:cuts[i + 1]], end])
