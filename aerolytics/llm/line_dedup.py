@@ -1,19 +1,19 @@
 """Near-duplicate lines across all documents by an exact set-similarity join.
 
 A line is the set of its lower-cased words. Equal sets are one class. Between classes the
-join is a prefix filter: words are ordered by rarity, and two sets of Jaccard similarity
-``t`` share ``l`` words among the first ``n - ceil(t * n) + l`` of both; ``l`` is one for
-short lines and grows with long ones. Candidates pass the length filter and the positional
-filter (what can still follow a shared word) and a bitmap bound on the words that differ
-(lines of fewer than ``BITMAP`` words), must share ``l`` words, and are verified on the
-whole sets. Short and long lists of lines are searched apart: a pair that meets in a short
-list may have the rest of its ``l`` words in long ones, so there it has to meet only as
-often as the words of its prefixes that may be in long lists do not make up for. A line goes if an earlier line (smaller doc_id, then earlier in the
-document) matches it.
+join is a prefix filter: words are ordered by rarity, and two sets of ``n`` and more words that
+match share one word among the first ``n - ceil(t * n) + 1`` of both, and two among one more.
+If the first word they share is rare, they meet in its list. If not, the second is frequent
+too, and they meet in the list of both words together: frequent words have no lists of their
+own, so lists do not grow with the square of the input. The smaller of two sets has fewer
+words to spare, so only its first ones look others up. Candidates pass the length filter and
+a bound on the words that differ (128 bits, each the parity of the words that fall on it: two
+sets differ in at least as many words as bits), and are verified on the whole sets. A line
+goes if an earlier line (smaller doc_id, then earlier in the document) matches it.
 
 Rarity comes from word counts over all lines, kept in a fixed number of hash buckets: the
 levels of the buckets do not grow with the data, every fixed order is exact, and frequent
-words still come last. Lists of a word longer than ``LONG`` are first compared with one
+words still come last. Lists of two words longer than ``LONG`` are first compared with one
 leader; only members without an earlier match are compared further, so a large group of
 near copies is not spelled out pair by pair. Only DataFrame functions are used.
 """
@@ -29,11 +29,9 @@ from aerolytics.llm.common import BLANKS, GAP, discard, may_occur, released, scr
 
 PERCENT = 80
 RARITY_BITS = 20                 # low bits of a word's hash that name its bucket
-LONG = 64
-BITMAP = 64                      # from so many words on a bitmap of 64 bits says little
-SPARE = 25                       # one more shared prefix word is asked for per so many words
-PLACE = 28                       # bits of the place of a word, and of the size of a set, in ``np``
-MANY = 127                       # so many frequent prefix words or more: no bound
+LONG = 64                        # lines in a list of two words that are compared with one leader first
+RARE = 16                        # times LONG lines or more: such a word is frequent
+KEYS = 32                        # of a line by which a pair that meets in several long lists is known
 NO_ID = (1 << 63) - 1
 PART_PAIRS = 500_000             # pairs that are verified at once, in up to MOST_PARTS parts
 MOST_PARTS = 8
@@ -86,45 +84,55 @@ def _need(a: Column, b: Column, percent: int) -> Column:
     return F.ceil((a + b) * percent / (100 + percent))
 
 
-def _shared(n: Column) -> Column:
-    """Prefix words that a set shares at least with one it matches, by its size."""
-    return F.lit(1) + F.floor(n / SPARE).cast("int")
-
-
-def _least_level(long: int) -> int:
-    """Least rarity level of a word in more than ``long`` lines (its bucket counts as many)."""
-    return min(15, math.floor(0.75 * math.log2(long + 2) - 1e-9))
-
-
-def _candidates(a: DataFrame, b: DataFrame, percent: int, extra: Column, best: bool = False,
-                short: bool = False) -> DataFrame:
-    """Pairs (x < y) of lines that share enough prefix words and pass the filters; ``np``
-    holds the frequent words of the prefix (up to ``MANY``), the size of a set and the place
-    of the word in it. ``best``: for each line of ``b`` the one of ``a`` that shares most
-    words, however few. ``short``: the lists are short ones only, and shared words may be
-    missing that are frequent in both lines."""
-    def parts(side: str):
-        np, low = F.col(f"{side}.np"), F.lit((1 << PLACE) - 1)
-        return (_shift("shiftright", np, PLACE).bitwiseAND(low), np.bitwiseAND(low),
-                _shift("shiftright", np, 2 * PLACE))
-
-    (na, pa, fa), (nb, pb, fb) = parts("a"), parts("b")
-    asked = _shared(F.least(na, nb))
-    meet = asked
-    if short:
-        frequent = F.least(fa, fb)
-        meet = F.when(frequent >= MANY, F.lit(1)).otherwise(F.greatest(F.lit(1).cast("long"), asked - frequent))
-    apart = F.bit_count(F.col("a.bits").bitwiseXOR(F.col("b.bits"))) <= na + nb - 2 * _need(na, nb, percent)
-    cond = ((F.col("a.word") == F.col("b.word")) & extra & ((F.greatest(na, nb) >= BITMAP) | apart) & (100 * F.least(na, nb) >= percent * F.greatest(na, nb))
-            & (F.least(na - pa, nb - pb) > _need(na, nb, percent) - asked))
-    joined = a.alias("a").join(b.alias("b"), cond)
-    if best:
-        met = joined.groupBy(F.col("a.lid").alias("l"), F.col("b.lid").alias("m")).agg(F.count(F.lit(1)).alias("met"))
-        met = met.groupBy("m").agg(F.max_by("l", F.struct("met", "l")).alias("l"))
-        return met.select(F.least("l", "m").alias("x"), F.greatest("l", "m").alias("y"))
-    pairs = (joined.groupBy(F.least("a.lid", "b.lid").alias("x"), F.greatest("a.lid", "b.lid").alias("y"))
-             .agg(F.count(F.lit(1)).alias("met"), F.max(meet).alias("asked")))
-    return pairs.where("met >= asked").select("x", "y")
+def _parity(h: Column) -> list[Column]:
+    """128 bits in two numbers, each bit the parity of the words of the set that fall on it."""
+    def half(k: int) -> Column:
+        spots = F.filter(h, lambda x: _shift("shiftrightunsigned", x, 63) == k)
+        return F.aggregate(spots, F.lit(0).cast("long"), lambda a, x: a.bitwiseXOR(_shift(
+            "shiftleft", F.lit(1).cast("long"), _shift("shiftrightunsigned", x, 57).bitwiseAND(F.lit(63)).cast("int"))))
+
+    return [half(0).alias("b0"), half(1).alias("b1")]
+
+
+def _least_level(count: int) -> int:
+    """Least rarity level of a word that occurs more than ``count`` times (its bucket counts as many)."""
+    return min(15, math.floor(0.75 * math.log2(count + 2) - 1e-9))
+
+
+def _spare(n: Column, percent: int) -> Column:
+    """Words of a set of this size that a match may lack."""
+    return n - F.floor((n * percent + 99) / 100).cast("int")
+
+
+def _list_keys(p: Column, n: Column, percent: int) -> Column:
+    """Array of (key, first): the lists of a line with the prefix ``p`` (two shared words), and whether
+    the smaller one of two matching sets may first meet the other there. A list of two words has a key below 0."""
+    spare, own = _spare(n, percent), n - _need(n, n, percent).cast("int")
+    level = F.lit(_least_level(RARE * LONG) << 40)
+    rare = F.size(F.filter(p, lambda x: x < level))
+    few = n - spare < 2                                   # a match may share one word only
+    alone = F.when(few, spare + 1).otherwise(F.least(rare, spare + 1))
+    one = F.transform(F.slice(p, F.lit(1), alone), lambda x, i: F.struct(x.alias("key"), (i <= own).alias("first")))
+
+    def with_later(x: Column, i: Column) -> Column:
+        return F.transform(F.slice(p, rare + i + 2, F.size(p)), lambda y, j: F.struct(
+            F.xxhash64(x, y).bitwiseOR(F.lit(-(1 << 63))).alias("key"), (rare + i + j <= own).alias("first")))
+
+    two = F.flatten(F.transform(F.slice(p, rare + 1, F.size(p)), with_later))
+    return F.when(rare <= spare, F.concat(one, two)).otherwise(one)
+
+
+def _candidates(a: DataFrame, b: DataFrame, percent: int, extra: Column) -> DataFrame:
+    """Lines (a, b) that meet in a list and pass the filters, once for each such list."""
+    na, nb = F.col("a.n"), F.col("b.n")
+    apart = F.bit_count(F.col("a.b0").bitwiseXOR(F.col("b.b0"))) + F.bit_count(F.col("a.b1").bitwiseXOR(F.col("b.b1")))
+    cond = ((F.col("a.key") == F.col("b.key")) & (100 * F.least(na, nb) >= percent * F.greatest(na, nb))
+            & ((100 + percent) * apart <= (100 - percent) * (na + nb)) & extra)
+    return a.alias("a").join(b.alias("b"), cond)
+
+
+def _pairs(l: str, m: str) -> list[Column]:
+    return [F.least(l, m).alias("x"), F.greatest(l, m).alias("y")]
 
 
 def _verified(pairs: DataFrame, lines: DataFrame, docs: DataFrame, percent: int, id_col: str,
@@ -175,12 +183,12 @@ def find_duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str
         return _shift("shiftleft", level.bitwiseAND(F.lit(15)), 40).bitwiseOR(_shift("shiftrightunsigned", x, 24))
 
     n = F.size("h")
-    size = F.least(n, n - F.floor((n * percent + 99) / 100).cast("int") + _shared(n))
+    # a set that no other one can match has no prefix
+    alone = (_need(n, n + 1, percent) > n) & (_need(n - 1, n, percent) > n - 1)
+    size = F.when(alone, F.lit(0)).otherwise(F.least(n, _spare(n, percent) + 2))
     lines = line_sets(docs, id_col, text_col)
-    bits = F.when(n < BITMAP, F.aggregate("h", F.lit(0).cast("long"), lambda a, x: a.bitwiseOR(
-        _shift("shiftleft", F.lit(1).cast("long"), _shift("shiftrightunsigned", x, 58).cast("int"))))).otherwise(F.lit(0).cast("long"))
     lines = scratch(lines.select("row", "doc", "no", F.monotonically_increasing_id().alias("lid"), n.alias("n"),
-                                 bits.alias("bits"),
+                                 *_parity(F.col("h")),
                                  F.xxhash64(F.sort_array("h")).alias("sig"),
                                  F.slice(F.sort_array(F.transform("h", key)), F.lit(1), size).alias("p")),
                     "lines", hashes=True, release=True)
@@ -193,42 +201,52 @@ def find_duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str
     copies = scratch(sieve(lines.select("sig", "lid", order.alias("l")), many, "sig").join(many, "sig")
                      .where(F.col("lid") != F.col("o.lid")).select("lid", "l", "o"), "line-copies", release=True)
 
-    # prefixes of one line of each class, by word
-    pre = lines.select("lid", "n", "bits", "p")
+    # one line of each class in its lists
+    pre = lines.where(F.size("p") > 0).select("lid", "n", "b0", "b1", "p")
     maybe = may_occur(copies, "lid")
     pre = pre.where(~maybe).unionAll(pre.where(maybe).join(copies.select("lid"), "lid", "left_anti"))
-    often = F.least(F.size(F.filter("p", lambda x: x >= F.lit(_least_level(LONG) << 40))), F.lit(MANY))
-    pre = pre.select("lid", _shift("shiftleft", often.cast("long"), PLACE).bitwiseOR(F.col("n").cast("long")).alias("fn"),
-                     "bits", F.posexplode("p").alias("pos", "word")).select(
-        "word", "lid", "bits", _shift("shiftleft", F.col("fn"), PLACE).bitwiseOR(F.col("pos").cast("long")).alias("np"))
-    lists = pre.repartition("word").withColumn("len", F.count(F.lit(1)).over(Window.partitionBy("word"))).where("len > 1")
-    short, long = lists.where(F.col("len") <= LONG), lists.where(F.col("len") > LONG)
-    pairs = _candidates(short, short, percent, F.col("a.lid") < F.col("b.lid"), short=True)
-    # candidates and long lists leave one job, which deals the prefixes out once
-    none = F.lit(None).cast("long")
-    both = scratch(pairs.select("x", "y", none.alias("np"), none.alias("bits"))
-                   .unionAll(long.select("lid", "word", F.col("np").bitwiseAND(F.lit((1 << 2 * PLACE) - 1)).alias("np"), "bits")),
-                   "line-pairs", release=True)
-    long = both.where("np is not null").select(F.col("x").alias("lid"), F.col("y").alias("word"), "np", "bits")
-    pairs = both.where("np is null").select("x", "y")
+    pre = pre.select("lid", "n", "b0", "b1", F.explode(_list_keys(F.col("p"), F.col("n"), percent)).alias("k")) \
+        .select("k.key", "lid", (2 * F.col("n") + F.col("k.first").cast("int")).alias("nf"), "b0", "b1").where("key is not null")
+    lists = pre.repartition("key").withColumn("len", F.count(F.lit(1)).over(Window.partitionBy("key"))).where("len > 1")
+    # one condition on both columns: no part of it goes below the count, so the prefixes are dealt out once
+    is_long = F.when(F.col("key") < 0, F.col("len") - LONG).otherwise(F.lit(0) * F.col("len")) > 0
+    lists = lists.select("key", "lid", _shift("shiftright", F.col("nf"), 1).alias("n"), "b0", "b1",
+                         F.col("nf").bitwiseAND(F.lit(1)).alias("first"), is_long.alias("long"))
+    short = lists.where("not long")
+    na, nb = F.col("a.n"), F.col("b.n")
+    smaller = (na < nb) | ((na == nb) & (F.col("a.lid") < F.col("b.lid")))
+    pairs = _candidates(short.where("first = 1"), short, percent, smaller).select(*_pairs("a.lid", "b.lid")).distinct()
+    # candidates and long lists leave one job
+    none = F.lit(None)
+    both = scratch(pairs.select("x", "y", none.cast("int").alias("n"), none.cast("long").alias("b0"), none.cast("long").alias("b1"))
+                   .unionAll(lists.where("long").select("lid", "key", "n", "b0", "b1")), "line-pairs", release=True)
+    long = both.where("n is not null").select(F.col("x").alias("lid"), F.col("y").alias("key"), "n", "b0", "b1")
+    pairs = both.where("n is null").select("x", "y")
 
     some_long = not long.isEmpty()
     if some_long:
-        # near copies mostly have one size and keep the word in its place: the earliest leads
-        long = scratch(long.join(first, "lid"), "line-members", release=True)
-        lead = (long.groupBy("word", "np")
-                .agg(F.min(F.struct("o", "bits")).alias("m"), F.count(F.lit(1)).alias("c")).where("c > 1")
-                .select("word", "np", F.col("m.o.lid").alias("lid"), F.col("m.bits").alias("bits")))
-        pairs = scratch(pairs.unionAll(_candidates(
-            lead, long, percent, (F.col("a.np") == F.col("b.np")) & (F.col("a.lid") != F.col("b.lid")),
-            best=True)).distinct(), "line-pairs", release=True)
+        members = long.groupBy("lid", "n", "b0", "b1").agg(F.sort_array(F.collect_list("key")).alias("all"))
+        members = scratch(members.join(first, "lid"), "line-members", release=True)
+        long = members.select("lid", "o", "n", "b0", "b1", F.size("all").alias("pop"),
+                              F.slice("all", F.lit(1), F.lit(KEYS)).alias("some"), F.explode("all").alias("key"))
+        # a pair is looked at in the least list that both lines name, not in each where they meet
+        shared = F.array_intersect("a.some", "b.some")
+        once = (F.col("b.o") < F.col("a.o")) & (F.coalesce(F.array_min(shared), F.col("a.key")) >= F.col("a.key"))
+        # the earliest line of a list leads, and so does the one in most long lists, which is next to a text that
+        # many lines are near copies of; a member takes the earlier one that it meets most often
+        who = F.struct("o", "n", "b0", "b1", "some")
+        lead = long.groupBy("key").agg(F.array_distinct(F.array(F.min(who), F.min_by(who, F.struct(-F.col("pop"), "o")))).alias("m")) \
+            .select("key", F.explode("m").alias("m")).select("key", F.col("m.o.lid").alias("lid"), "m.*")
+        met = _candidates(long, lead, percent, once).select(F.col("a.lid").alias("m"), F.col("b.lid").alias("l"), F.size(shared).alias("met"))
+        met = met.groupBy("m").agg(F.max_by("l", F.struct("met", "l")).alias("l"))
+        pairs = scratch(pairs.unionAll(met.select(*_pairs("l", "m"))).distinct(), "line-pairs", release=True)
         discard(both)
     found = _verified(pairs, lines, docs, percent, id_col, text_col, "line-matches")
     if some_long:
         done = _earlier(found, first).select("lid").distinct()
-        rest = long.join(done, "lid", "left_anti")
-        more = scratch(_candidates(rest, long, percent, F.col("b.o") < F.col("a.o")), "line-pairs", release=True)
-        discard(long)
+        more = _candidates(long.join(done, "lid", "left_anti"), long, percent, once)
+        more = scratch(more.select(*_pairs("a.lid", "b.lid")).distinct(), "line-pairs", release=True)
+        discard(members)
         found = found.unionAll(_verified(more, lines, docs, percent, id_col, text_col, "line-rest"))
 
     near = _earlier(found, first).groupBy("lid").agg(F.min("match").alias("match"))
