@@ -31,7 +31,7 @@ PERCENT = 80
 RARITY_BITS = 20                 # low bits of a word's hash that name its bucket
 LONG = 64                        # lines in a list of two words that are compared with one leader first
 RARE = 16                        # times LONG lines or more: such a word is frequent
-KEYS = 32                        # of a line by which a pair that meets in several long lists is known
+KEYS = 8                         # of a line by which a pair that meets in several long lists is known
 NO_ID = (1 << 63) - 1
 PART_PAIRS = 500_000             # pairs that are verified at once, in up to MOST_PARTS parts
 MOST_PARTS = 8
