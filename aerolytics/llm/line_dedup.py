@@ -20,12 +20,13 @@ near copies is not spelled out pair by pair. Only DataFrame functions are used.
 
 from __future__ import annotations
 
+import functools
 import math
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from aerolytics.llm.common import BLANKS, GAP, discard, may_occur, released, scratch, sieve, words
+from aerolytics.llm.common import BLANKS, discard, may_occur, released, scratch, sieve
 
 PERCENT = 80
 RARITY_BITS = 20                 # low bits of a word's hash that name its bucket
@@ -33,6 +34,7 @@ LONG = 64                        # lines in a list of two words that are compare
 RARE = 16                        # times LONG lines or more: such a word is frequent
 KEYS = 8                         # of a line by which a pair that meets in several long lists is known
 NO_ID = (1 << 63) - 1
+LIST_PARTS = 2                   # parts of the lists of rare words that are dealt out one after the other
 PART_PAIRS = 500_000             # pairs that are verified at once, in up to MOST_PARTS parts
 MOST_PARTS = 8
 
@@ -52,20 +54,28 @@ def row_keys(docs: DataFrame, id_col: str) -> DataFrame:
     return scratch(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered-docs")
 
 
+def _spaced(text: Column) -> Column:
+    """``text`` with spaces in place of the blanks that lines may hold besides (few texts do), so that words
+    are split at one character, which takes no pattern."""
+    others = BLANKS.replace(" ", "").replace("\n", "")
+    some = functools.reduce(Column.__or__, [F.contains(text, F.lit(x)) for x in others])
+    return F.when(some, F.translate(text, others, " " * len(others))).otherwise(text)
+
+
 def line_sets(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """row, doc (the id, nulls last), no, h (hashes of the words) of every line with a word."""
     d = docs.select(F.col("__row").alias("row"), F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("doc"),
-                    F.posexplode(F.split(F.lower(text_col), "\n", -1)).alias("no", "line"))
-    d = d.select("row", "doc", "no", F.btrim("line", F.lit(BLANKS)).alias("line")).where(F.col("line") != "")
-    return d.select("row", "doc", "no", F.array_distinct(
-        F.transform(F.split("line", GAP), lambda x: F.xxhash64(x))).alias("h"))
+                    F.posexplode(F.split(F.lower(_spaced(F.col(text_col))), "\n", -1)).alias("no", "line"))
+    d = d.select("row", "doc", "no", F.btrim("line").alias("line")).where(F.col("line") != "")
+    h = F.array_distinct(F.transform(F.split("line", " "), lambda x: F.xxhash64(x)))
+    return d.select("row", "doc", "no", F.array_remove(h, F.xxhash64(F.lit(""))).alias("h"))
 
 
 def rarity_levels(docs: DataFrame, text_col: str) -> Column:
     """Levels 0 (rarest) to 15 of the buckets of words by their counts over all texts, four
     bits each in a literal array: ``2 ** RARITY_BITS`` buckets are half a megabyte, whatever the input."""
     n = 1 << RARITY_BITS
-    word = docs.select(F.explode(words(F.lower(text_col))).alias("x"))
+    word = docs.select(F.explode(F.split(F.replace(F.lower(_spaced(F.col(text_col))), F.lit("\n"), F.lit(" ")), " ")).alias("x")).where("x <> ''")
     counts = word.groupBy(F.xxhash64("x").bitwiseAND(F.lit(n - 1)).alias("b")).agg(F.count(F.lit(1)).alias("c"))
     level = F.least(F.floor(0.75 * F.log2(F.col("c") + 1)), F.lit(15)).cast("long")
     packed = (counts.select(_shift("shiftright", F.col("b"), 4).alias("w"), _shift(
@@ -86,12 +96,12 @@ def _need(a: Column, b: Column, percent: int) -> Column:
 
 def _parity(h: Column) -> list[Column]:
     """128 bits in two numbers, each bit the parity of the words of the set that fall on it."""
-    def half(k: int) -> Column:
-        spots = F.filter(h, lambda x: _shift("shiftrightunsigned", x, 63) == k)
+    def half(spots: Column) -> Column:
+        # a shift goes by the low six bits of its number
         return F.aggregate(spots, F.lit(0).cast("long"), lambda a, x: a.bitwiseXOR(_shift(
-            "shiftleft", F.lit(1).cast("long"), _shift("shiftrightunsigned", x, 57).bitwiseAND(F.lit(63)).cast("int"))))
+            "shiftleft", F.lit(1).cast("long"), _shift("shiftrightunsigned", x, 57).cast("int"))))
 
-    return [half(0).alias("b0"), half(1).alias("b1")]
+    return [half(F.filter(h, lambda x: x >= 0)).alias("b0"), half(F.filter(h, lambda x: x < 0)).alias("b1")]
 
 
 def _least_level(count: int) -> int:
@@ -104,22 +114,41 @@ def _spare(n: Column, percent: int) -> Column:
     return n - F.floor((n * percent + 99) / 100).cast("int")
 
 
-def _list_keys(p: Column, n: Column, percent: int) -> Column:
-    """Array of (key, first): the lists of a line with the prefix ``p`` (two shared words), and whether
-    the smaller one of two matching sets may first meet the other there. A list of two words has a key below 0."""
-    spare, own = _spare(n, percent), n - _need(n, n, percent).cast("int")
-    level = F.lit(_least_level(RARE * LONG) << 40)
-    rare = F.size(F.filter(p, lambda x: x < level))
+def _rare_words(p: Column) -> Column:
+    return F.size(F.filter(p, lambda x: x < F.lit(_least_level(RARE * LONG) << 40)))
+
+
+def _own(n: Column, percent: int) -> Column:
+    return n - _need(n, n, percent).cast("int")
+
+
+def _rare_entries(lines: DataFrame, percent: int) -> DataFrame:
+    """key, lid, b0, b1 and nf (twice the size of the set, and whether the smaller one of two matching sets may first
+    meet the other there) of the lists of rare words of all lines; their prefixes are for two shared words."""
+    n = F.col("n")
+    spare = _spare(n, percent)
     few = n - spare < 2                                   # a match may share one word only
-    alone = F.when(few, spare + 1).otherwise(F.least(rare, spare + 1))
-    one = F.transform(F.slice(p, F.lit(1), alone), lambda x, i: F.struct(x.alias("key"), (i <= own).alias("first")))
+    alone = F.when(few, spare + 1).otherwise(F.least("rare", spare + 1))
+    e = lines.select("lid", "n", "b0", "b1", F.posexplode(F.slice("p", F.lit(1), alone)).alias("at", "key"))
+    return e.select("key", "lid", (2 * n + (F.col("at") < _own(n, percent)).cast("int")).alias("nf"), "b0", "b1")
+
+
+def _frequent_entries(lines: DataFrame, percent: int) -> DataFrame:
+    """The same of the lists of two frequent words."""
+    n, p, rare = F.col("n"), F.col("p"), F.col("rare")
 
     def with_later(x: Column, i: Column) -> Column:
         return F.transform(F.slice(p, rare + i + 2, F.size(p)), lambda y, j: F.struct(
-            F.xxhash64(x, y).bitwiseOR(F.lit(-(1 << 63))).alias("key"), (rare + i + j <= own).alias("first")))
+            F.xxhash64(x, y).alias("key"), (rare + i + j <= _own(n, percent)).alias("first")))
+
+    keys = F.flatten(F.transform(F.slice(p, rare + 1, F.size(p)), with_later))
+    e = lines.where((rare <= _spare(n, percent)) & (rare + 1 < F.size(p))).select("lid", "n", "b0", "b1", F.explode(keys).alias("k"))
+    return e.select("k.key", "lid", (2 * n + F.col("k.first").cast("int")).alias("nf"), "b0", "b1")
+
 
-    two = F.flatten(F.transform(F.slice(p, rare + 1, F.size(p)), with_later))
-    return F.when(rare <= spare, F.concat(one, two)).otherwise(one)
+def _opened(entries: DataFrame, *more: str) -> DataFrame:
+    return entries.select("key", "lid", _shift("shiftright", F.col("nf"), 1).alias("n"), "b0", "b1",
+                          F.col("nf").bitwiseAND(F.lit(1)).alias("first"), *more)
 
 
 def _candidates(a: DataFrame, b: DataFrame, percent: int, extra: Column) -> DataFrame:
@@ -135,16 +164,18 @@ def _pairs(l: str, m: str) -> list[Column]:
     return [F.least(l, m).alias("x"), F.greatest(l, m).alias("y")]
 
 
-def _verified(pairs: DataFrame, lines: DataFrame, docs: DataFrame, percent: int, id_col: str,
+def _verified(pairs: DataFrame, first: DataFrame, docs: DataFrame, percent: int, id_col: str,
               text_col: str, label: str) -> DataFrame:
-    """The (written) pairs whose whole sets match, as a table in their place. The sets are made anew from the texts of
-    the documents that hold the lines, which is cheaper than keeping those of all lines."""
+    """The (written) pairs whose whole sets match, as a table in their place: lid of the later line, and the earlier
+    line. The sets are made anew from the texts of the documents that hold the lines, which is cheaper than keeping
+    those of all lines. They come with their places, so that no pair is joined to the lines again."""
     some = pairs.select(F.explode(F.array("x", "y")).alias("lid"))
-    where = scratch(sieve(lines.select("lid", "row", "no"), some, "lid").join(some.distinct(), "lid"), "line-places", release=True)
+    where = sieve(first, some, "lid").join(some.distinct(), "lid").select("lid", "o", "o.row", "o.no")
+    where = scratch(where, "line-places", release=True)
     sets = line_sets(sieve(docs, where.select(F.col("row").alias("__row")), "__row"), id_col, text_col)
     spot = F.xxhash64("row", "no").alias("spot")
     sets = sieve(sets.select("row", "no", "h", spot), where.select(spot), "spot").drop("spot")
-    sets = scratch(sets.join(where, ["row", "no"]).select("lid", "h"), "line-words", hashes=True, release=True)
+    sets = scratch(sets.join(where, ["row", "no"]).select("lid", "o", "h"), "line-words", hashes=True, release=True)
     # a pair carries a whole set from one join to the next: by parts, so that the disk holds a share of them
     parts = min(MOST_PARTS, max(1, math.ceil(pairs.count() / PART_PAIRS)))
     good = None
@@ -152,10 +183,11 @@ def _verified(pairs: DataFrame, lines: DataFrame, docs: DataFrame, percent: int,
         def of_part(col: str, k: int = k) -> Column:
             return F.pmod(F.xxhash64(col), F.lit(parts)) == k
 
-        both = pairs.where(of_part("x")).join(sets.where(of_part("lid")).select(F.col("lid").alias("x"), F.col("h").alias("hx")), "x") \
-            .join(sets.select(F.col("lid").alias("y"), F.col("h").alias("hy")), "y")
+        both = pairs.where(of_part("x")).join(sets.where(of_part("lid")).select(F.col("lid").alias("x"), F.col("o").alias("ox"), F.col("h").alias("hx")), "x") \
+            .join(sets.select(F.col("lid").alias("y"), F.col("o").alias("oy"), F.col("h").alias("hy")), "y")
         n = F.size(F.array_intersect("hx", "hy"))
-        found = scratch(both.where(100 * n >= percent * (F.size("hx") + F.size("hy") - n)).select("x", "y"), label, release=True)
+        found = scratch(both.where(100 * n >= percent * (F.size("hx") + F.size("hy") - n))
+                        .select(F.greatest("ox", "oy").alias("o"), F.least("ox", "oy").alias("match")), label, release=True)
         good = found if good is None else good.unionAll(found)
     discard(where, sets, pairs)
     return good
@@ -205,28 +237,39 @@ def find_duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str
     pre = lines.where(F.size("p") > 0).select("lid", "n", "b0", "b1", "p")
     maybe = may_occur(copies, "lid")
     pre = pre.where(~maybe).unionAll(pre.where(maybe).join(copies.select("lid"), "lid", "left_anti"))
-    pre = pre.select("lid", "n", "b0", "b1", F.explode(_list_keys(F.col("p"), F.col("n"), percent)).alias("k")) \
-        .select("k.key", "lid", (2 * F.col("n") + F.col("k.first").cast("int")).alias("nf"), "b0", "b1").where("key is not null")
-    lists = pre.repartition("key").withColumn("len", F.count(F.lit(1)).over(Window.partitionBy("key"))).where("len > 1")
-    # one condition on both columns: no part of it goes below the count, so the prefixes are dealt out once
-    is_long = F.when(F.col("key") < 0, F.col("len") - LONG).otherwise(F.lit(0) * F.col("len")) > 0
-    lists = lists.select("key", "lid", _shift("shiftright", F.col("nf"), 1).alias("n"), "b0", "b1",
-                         F.col("nf").bitwiseAND(F.lit(1)).alias("first"), is_long.alias("long"))
-    short = lists.where("not long")
+    pre = scratch(pre.withColumn("rare", _rare_words(F.col("p"))), "line-prefixes", hashes=True, release=True)
+    discard(lines)
+
+    # lists of rare words, by parts, so that the disk holds a share of them. One condition on both sides has the
+    # smaller set go first: nothing of it goes below the dealing out, which then serves both sides
     na, nb = F.col("a.n"), F.col("b.n")
+    rare = _rare_entries(pre, percent)
+    smaller = F.coalesce(F.col("a.first"), F.lit(0)) * (nb - na + (F.col("a.lid") < F.col("b.lid")).cast("int")) > 0
+    tables = []
+    for k in range(LIST_PARTS):
+        part = _opened(rare.where(F.pmod("key", F.lit(LIST_PARTS)) == k).repartition("key"))
+        met = _candidates(part, part, percent, smaller).select(*_pairs("a.lid", "b.lid")).distinct()
+        tables.append(scratch(met, "line-pairs", release=True))
+
+    # lists of two frequent words
+    two = _frequent_entries(pre, percent)
+    two = two.repartition("key").withColumn("len", F.count(F.lit(1)).over(Window.partitionBy("key"))).where("len > 1")
+    two = _opened(two, "len")
+    short = two.where(F.col("len") <= LONG)
     smaller = (na < nb) | ((na == nb) & (F.col("a.lid") < F.col("b.lid")))
-    pairs = _candidates(short.where("first = 1"), short, percent, smaller).select(*_pairs("a.lid", "b.lid")).distinct()
+    met = _candidates(short.where("first = 1"), short, percent, smaller).select(*_pairs("a.lid", "b.lid")).distinct()
     # candidates and long lists leave one job
     none = F.lit(None)
-    both = scratch(pairs.select("x", "y", none.cast("int").alias("n"), none.cast("long").alias("b0"), none.cast("long").alias("b1"))
-                   .unionAll(lists.where("long").select("lid", "key", "n", "b0", "b1")), "line-pairs", release=True)
+    both = scratch(met.select("x", "y", none.cast("int").alias("n"), none.cast("long").alias("b0"), none.cast("long").alias("b1"))
+                   .unionAll(two.where(F.col("len") > LONG).select("lid", "key", "n", "b0", "b1")), "line-pairs", release=True)
+    discard(pre)
     long = both.where("n is not null").select(F.col("x").alias("lid"), F.col("y").alias("key"), "n", "b0", "b1")
-    pairs = both.where("n is null").select("x", "y")
+    pairs = functools.reduce(DataFrame.unionAll, tables, both.where("n is null").select("x", "y"))
 
     some_long = not long.isEmpty()
     if some_long:
         members = long.groupBy("lid", "n", "b0", "b1").agg(F.sort_array(F.collect_list("key")).alias("all"))
-        members = scratch(members.join(first, "lid"), "line-members", release=True)
+        members = scratch(members.join(sieve(first, long, "lid"), "lid"), "line-members", release=True)
         long = members.select("lid", "o", "n", "b0", "b1", F.size("all").alias("pop"),
                               F.slice("all", F.lit(1), F.lit(KEYS)).alias("some"), F.explode("all").alias("key"))
         # a pair is looked at in the least list that both lines name, not in each where they meet
@@ -239,32 +282,26 @@ def find_duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str
             .select("key", F.explode("m").alias("m")).select("key", F.col("m.o.lid").alias("lid"), "m.*")
         met = _candidates(long, lead, percent, once).select(F.col("a.lid").alias("m"), F.col("b.lid").alias("l"), F.size(shared).alias("met"))
         met = met.groupBy("m").agg(F.max_by("l", F.struct("met", "l")).alias("l"))
-        pairs = scratch(pairs.unionAll(met.select(*_pairs("l", "m"))).distinct(), "line-pairs", release=True)
-        discard(both)
-    found = _verified(pairs, lines, docs, percent, id_col, text_col, "line-matches")
+        pairs = pairs.unionAll(met.select(*_pairs("l", "m")))
+    pairs = scratch(pairs.distinct(), "line-pairs", release=True)
+    discard(both, *tables)
+    found = _verified(pairs, first, docs, percent, id_col, text_col, "line-matches")
     if some_long:
-        done = _earlier(found, first).select("lid").distinct()
+        done = found.select("o.lid").distinct()
         more = _candidates(long.join(done, "lid", "left_anti"), long, percent, once)
         more = scratch(more.select(*_pairs("a.lid", "b.lid")).distinct(), "line-pairs", release=True)
         discard(members)
-        found = found.unionAll(_verified(more, lines, docs, percent, id_col, text_col, "line-rest"))
+        found = found.unionAll(_verified(more, first, docs, percent, id_col, text_col, "line-rest"))
 
-    near = _earlier(found, first).groupBy("lid").agg(F.min("match").alias("match"))
-    gone = (near.join(first, "lid").select("o", "match")
-            .unionAll(copies.select(F.col("l").alias("o"), F.col("o").alias("match"))))
+    discard(classes)
+    near = found.groupBy("o").agg(F.min("match").alias("match"))
+    gone = near.unionAll(copies.select(F.col("l").alias("o"), F.col("o").alias("match")))
     return gone.select(F.col("o.row").alias("row"), F.nullif(F.col("o.doc"), F.lit(NO_ID)).alias("doc_id"),
                        F.col("o.no").alias("line_no"), F.col("o.n").alias("n_words"),
                        F.nullif(F.col("match.doc"), F.lit(NO_ID)).alias("match_doc_id"),
                        F.col("match.no").alias("match_line_no"))
 
 
-def _earlier(pairs: DataFrame, first: DataFrame) -> DataFrame:
-    """lid of the later class of each pair, and the first line of the earlier one."""
-    p = pairs.join(first.select(F.col("lid").alias("x"), F.col("o").alias("ox")), "x") \
-        .join(first.select(F.col("lid").alias("y"), F.col("o").alias("oy")), "y")
-    return p.select(F.greatest("ox", "oy")["lid"].alias("lid"), F.least("ox", "oy").alias("match"))
-
-
 def remove_lines(docs: DataFrame, gone: DataFrame, text_col: str = "text") -> DataFrame:
     """``docs`` (with ``__row``) without the lines of ``gone``; blank lines stay. A document
     of which no line goes keeps its text as it is."""

@@ -1,6 +1,8 @@
 """Lists of two frequent words in the search for near-duplicate lines (op4_line_dedup, pipeline)."""
 
+import pathlib
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -60,3 +62,36 @@ def test_parity_bits_bound_the_words_that_differ(spark):
     bits = F.bit_count(x[0].bitwiseXOR(y[0])) + F.bit_count(x[1].bitwiseXOR(y[1]))
     got = d.select("apart", bits.alias("bits")).collect()
     assert all(g["bits"] <= g["apart"] and (g["apart"] - g["bits"]) % 2 == 0 for g in got) and any(g["bits"] > 40 for g in got)
+
+
+def test_lists_hold_a_share_of_the_disk(spark, monkeypatch):
+    """The lists of rare words are dealt out by parts, and the table of all lines is gone by then."""
+    r = random.Random(11)
+    texts = [" ".join(f"w{r.randrange(2000)}" for _ in range(20)) for _ in range(60)]
+    texts += [f"{t} new{i}" for i, t in enumerate(texts[:20])] + texts[30:40]
+    sizes, there, plain = [], {}, line_dedup.scratch
+
+    def watched(df, label, **k):
+        lines = there.get("lines")
+        sizes.append((label, lines is not None and lines.exists()))
+        out = plain(df, label, **k)
+        there[label] = pathlib.Path(out.inputFiles()[0].removeprefix("file:")).parent
+        return out
+
+    monkeypatch.setattr(line_dedup, "scratch", watched)
+    assert gone_lines(spark, texts) == brute(texts) >= set(range(60, 90))
+    parts = [held for label, held in sizes if label == "line-pairs"]
+    assert len(parts) > 2 and not any(parts)
+
+
+def test_words_between_any_blanks(spark):
+    words = [f"w{i}" for i in range(12)]
+    gaps = [" ", "  ", "\t", "\x0b", "\x0c", "\r", " \t\r "]
+    texts = [g.join(words) for g in gaps] + [f"\t {' '.join(words)}  \r", " ".join(words[:11]) + " w11"]
+    texts += [" \t\r\x0b\x0c", "  ", "", "A  B", "a b", "x" * 5]
+    assert gone_lines(spark, texts) == brute_blanks(texts)
+
+
+def brute_blanks(texts):
+    sets = [frozenset(re.findall(r"[^\x20\x09-\x0D]+", t.lower())) for t in texts]
+    return {i for i, s in enumerate(sets) if s and any(e and 100 * len(s & e) >= 80 * len(s | e) for e in sets[:i])}
