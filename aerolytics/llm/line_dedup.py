@@ -130,7 +130,7 @@ def _rare_entries(lines: DataFrame, percent: int) -> DataFrame:
     few = n - spare < 2                                   # a match may share one word only
     alone = F.when(few, spare + 1).otherwise(F.least("rare", spare + 1))
     e = lines.select("lid", "n", "b0", "b1", F.posexplode(F.slice("p", F.lit(1), alone)).alias("at", "key"))
-    return e.select("key", "lid", (2 * n + (F.col("at") < _own(n, percent)).cast("int")).alias("nf"), "b0", "b1")
+    return e.select("key", "lid", (2 * n + (F.col("at") <= _own(n, percent)).cast("int")).alias("nf"), "b0", "b1")
 
 
 def _frequent_entries(lines: DataFrame, percent: int) -> DataFrame:

@@ -95,3 +95,12 @@ def test_words_between_any_blanks(spark):
 def brute_blanks(texts):
     sets = [frozenset(re.findall(r"[^\x20\x09-\x0D]+", t.lower())) for t in texts]
     return {i for i, s in enumerate(sets) if s and any(e and 100 * len(s & e) >= 80 * len(s | e) for e in sets[:i])}
+
+
+def test_short_lines_look_up_their_first_word(spark):
+    """A set of six or seven words spares none when it is the smaller one: its rarest word alone finds the match."""
+    texts = []
+    for n in range(4, 13):
+        base = [f"s{n}w{i}" for i in range(n)]
+        texts += [" ".join(base), " ".join([*base, f"more{n}"]), " ".join([*base[:-1], f"other{n}"])]
+    assert gone_lines(spark, texts) == brute(texts) >= {texts.index(t) for t in texts if "more" in t}
