@@ -26,6 +26,7 @@ BLOCK_BITS = 4
 BLOCKS = 128 // BLOCK_BITS
 RADIUS = BLOCKS - 1              # within this distance one block is equal for certain
 MAX_BROADCAST_SHINGLES = 500_000
+CHUNK = 1024                     # shingles of a document that are looked up at once
 
 
 def _hash(w: Column, at: Column) -> Column:
@@ -97,24 +98,37 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     tables give no rows; other columns are not read. Whole texts are searched.
     """
     items = scratch(benchmark_items(benchmark, item_col, item_text_col), "benchmark-items")
+    # with the words around a shingle that its windows may need: ``back`` before, ``ahead`` from it on
     marks = bounded_broadcast(
         items.select("len", F.posexplode("item").alias("q", "h")).groupBy("h")
-        .agg(F.collect_set(F.struct("len", "q")).alias("places")), MAX_BROADCAST_SHINGLES)
+        .agg(F.collect_set(F.struct("len", "q")).alias("places"), F.max("q").alias("back"),
+             F.max(F.col("len") - F.col("q")).alias("ahead")), MAX_BROADCAST_SHINGLES)
+    longest = items.agg(F.max("len")).first()[0] or WORDS
 
-    # the shingles of the documents that occur in an item (generate, hash and join in one stage)
+    # the shingles of the documents that occur in an item (generate, hash and join in one stage).
+    # That stage holds what one input row gives, so its rows are parts of texts, not whole ones,
+    # and a shingle that is found goes on with the words around it only
     d = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(F.col(text_col)).alias("t"),
-                    words(F.lower(text_col)).alias("w"))
-    p = (d.where(F.size("w") >= WORDS)
-         .select("doc_id", "t", "w", F.explode(F.sequence(F.lit(0), F.size("w") - WORDS)).alias("p"))
-         .withColumn("h", _hash(F.col("w"), F.col("p"))).join(marks, "h"))
+                    words(F.lower(text_col)).alias("w")).where(F.size("w") >= WORDS)
+    parts = F.transform(F.sequence(F.lit(0), F.size("w") - WORDS, F.lit(CHUNK)), lambda c: F.struct(
+        c.alias("c"), F.slice("w", F.greatest(c - longest, F.lit(0)) + 1, CHUNK + 2 * longest).alias("w")))
+    d = d.select("doc_id", "t", F.size("w").alias("size"), F.explode(parts).alias("part")).select(
+        "doc_id", "t", "size", F.col("part.c").alias("c"), F.col("part.w").alias("w"))
+    before = F.greatest(F.col("c") - longest, F.lit(0))              # words of the text before the part
+    base = F.greatest(F.col("p") - F.col("back"), F.lit(0))          # and before those kept
+    p = (d.select("doc_id", "t", "size", "c", "w", F.explode(F.sequence(
+            F.col("c"), F.least(F.col("c") + CHUNK, F.col("size") - WORDS + 1) - 1)).alias("p"))
+         .withColumn("h", _hash(F.col("w"), F.col("p") - before)).join(marks, "h")
+         .select("doc_id", "t", "size", "p", "places", base.alias("base"),
+                 F.slice("w", base - before + 1, F.col("p") + F.col("ahead") - base).alias("w")))
     # item-sized windows there
     first = F.greatest(F.col("x.start"), F.lit(0))
-    last = F.least(F.col("x.start") + F.col("x.len"), F.size("w"))
+    last = F.least(F.col("x.start") + F.col("x.len"), F.col("size"))
     starts = F.array_distinct(F.transform("places", lambda x: F.struct(
         x["len"].alias("len"), (F.col("p") - x["q"]).alias("start"))))
-    wins = (p.select("doc_id", "t", "w", F.explode(starts).alias("x"))
+    wins = (p.select("doc_id", "t", "size", "base", "w", F.explode(starts).alias("x"))
             .select("doc_id", "t", F.col("x.len").alias("len"), first.alias("start"), (last - first).alias("n"),
-                    _shingles(F.col("w"), first, last).alias("win")))
+                    _shingles(F.col("w"), first - F.col("base"), last - F.col("base")).alias("win")))
     wins = scratch(_with_fingerprints(wins.dropDuplicates(["doc_id", "t", "len", "start", "n"]), "win", ["f1", "f2"]),
                    "benchmark-windows")
 
